@@ -1 +1,344 @@
-ORACLE_SQL = {}
+"""DuckDB SQL that must return the same rows as each registered query.
+
+Written independently of the Spark plans, over the raw benchmark views.
+Conventions that keep the comparison exact (both engines agree bit for bit):
+
+* money is summed as DECIMAL and cast to DOUBLE at the end;
+* means of integers are exact ``sum / count`` doubles; 2-place means are
+  HALF_UP from the exact integer ratio (``(2*100*s + n) // (2*n) / 100``);
+* integer results are cast to the Spark type (``year``/``month``/ranks to
+  INTEGER, integer sums to BIGINT).
+"""
+
+from __future__ import annotations
+
+from quarry.plans.bindings import (BALANCE_BOUNDS, MIN_RATINGS_FOR_BEST, REVENUE_YEAR,
+                                   SCORE_DIVISOR, STOP_WORDS, TOP_K_WORDS, WORD_FREQ_THRESHOLD)
+from quarry.sources.tables import TABLES
+
+_STOP_LIST = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
+
+_TOKENS = r"unnest(regexp_split_to_array(lower(regexp_replace({col}, '[^\p{{L}}\p{{N}}\s]', ' ', 'g')), '\s+'))"
+_KEEP = f"word IS NOT NULL AND trim(word) <> '' AND word NOT IN ({_STOP_LIST})"
+
+_LABELLED_DOCS = """
+  docs AS (
+    SELECT d.doc_id AS rid, d.text AS comment, d.lang AS category, d.source AS aspect,
+           CASE WHEN l.toxic = 1 THEN 'negative' WHEN l.quality = 1 THEN 'positive'
+                ELSE 'neutral' END AS sentiment
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
+
+_WORDS = f"""
+  toks AS (SELECT rid, category, aspect, sentiment, {_TOKENS.format(col='comment')} AS word FROM docs),
+  words AS (SELECT * FROM toks WHERE {_KEEP})"""
+
+_RATINGS_USER = """
+  r AS (SELECT o.o_custkey AS user_id, l.l_partkey AS movie_id, l.l_quantity AS rating
+        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
+_B0, _B1, _B2 = BALANCE_BOUNDS
+
+
+def _bucket(col: str, labels: tuple[str, str, str, str]) -> str:
+    return (f"CASE WHEN {col} <= {_B0} THEN '{labels[0]}' WHEN {col} <= {_B1} THEN '{labels[1]}' "
+            f"WHEN {col} <= {_B2} THEN '{labels[2]}' WHEN {col} IS NOT NULL THEN '{labels[3]}' END")
+
+
+def _half_up(num: str, den: str) -> str:
+    """HALF_UP(num / den, 2) for integers, den > 0 (NULL otherwise)."""
+    return (f"CASE WHEN ({den}) > 0 THEN CAST(CASE WHEN ({num}) < 0 THEN -1 ELSE 1 END * "
+            f"((abs({num}) * 200 + ({den})) // (2 * ({den}))) AS DOUBLE) / 100.0::DOUBLE END")
+
+
+def _f32_mean(s: str, n: str) -> str:
+    return f"CAST(CAST({s} AS FLOAT)::DOUBLE / CAST({n} AS FLOAT)::DOUBLE AS FLOAT)"
+
+
+_SCORE = f"CAST(trunc(value / {SCORE_DIVISOR}) AS INTEGER)"
+_VALID_SCORES = f"""
+  v AS (SELECT event_id AS order_id, {_SCORE} AS score FROM events
+        WHERE value IS NOT NULL AND trunc(value / {SCORE_DIVISOR}) BETWEEN 1 AND 5)"""
+
+_REVENUE = ("CAST(l_extendedprice AS DECIMAL(18,2)) + "
+            "CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2))")
+
+_CUSTOMERS = """
+  cust AS (SELECT c.c_custkey AS customer_id, n.n_name AS country
+           FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
+
+_DUCK_TO_SPARK_TYPE = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+      WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'FLOAT' THEN 'float'
+      WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>'
+      WHEN 'DATE' THEN 'date' WHEN 'BOOLEAN' THEN 'boolean' ELSE lower(data_type) END"""
+
+_TABLE_LIST = ", ".join(f"'{t}'" for t in TABLES)
+_COUNTS = "\n    UNION ALL ".join(f"SELECT '{t}' AS dataset, count(*) AS n_rows FROM {t}" for t in TABLES)
+
+
+def _top_words(sentiment: str | None) -> str:
+    where = f"sentiment = '{sentiment}' AND " if sentiment else ""
+    return f"""
+WITH {_LABELLED_DOCS},{_WORDS},
+  f AS (SELECT category, word, count(*) AS freq FROM words
+        WHERE {where}category IS NOT NULL GROUP BY category, word),
+  ranked AS (SELECT category, word, freq,
+                    CAST(row_number() OVER (PARTITION BY category ORDER BY freq DESC, word) AS INTEGER)
+                      AS rank_in_category
+             FROM f)
+SELECT category, word, freq, rank_in_category FROM ranked WHERE rank_in_category <= {TOP_K_WORDS}"""
+
+
+def _aspect_counts(sentiment: str) -> str:
+    return f"""
+WITH {_LABELLED_DOCS}
+SELECT aspect, count(rid) AS {sentiment}_count FROM docs WHERE sentiment = '{sentiment}' GROUP BY aspect"""
+
+
+def _top_aspect(sentiment: str) -> str:
+    return f"""
+WITH {_LABELLED_DOCS},
+  c AS (SELECT aspect, count(rid) AS {sentiment}_count FROM docs
+        WHERE sentiment = '{sentiment}' GROUP BY aspect)
+SELECT aspect, {sentiment}_count FROM c WHERE {sentiment}_count = (SELECT max({sentiment}_count) FROM c)"""
+
+
+_MOVIE_STATS = """
+  s AS (SELECT l_partkey AS movie_id, sum(l_quantity) AS sm, count(l_quantity) AS total_ratings
+        FROM lineitem GROUP BY l_partkey),
+  m AS (SELECT s.movie_id, coalesce(p.p_name, {default}) AS title,
+               s.sm / s.total_ratings AS avg_rating, s.total_ratings
+        FROM s LEFT JOIN part p ON s.movie_id = p.p_partkey)"""
+
+_GENRE_BASE = """
+WITH pm AS (SELECT l_partkey AS movie_id, sum(l_quantity) AS sm, count(l_quantity) AS n
+            FROM lineitem GROUP BY l_partkey),
+  t0 AS (SELECT p_partkey AS movie_id, trim(unnest(string_split(p_name, ' '))) AS genre FROM part),
+  tags AS (SELECT movie_id, genre FROM t0 WHERE genre <> ''),
+  g AS (SELECT genre, sum(sm) AS sm, sum(n) AS n FROM pm JOIN tags USING (movie_id) GROUP BY genre)"""
+
+
+def _gender_aggs() -> str:
+    parts = []
+    for g in ("M", "F"):
+        k = g.lower()
+        parts.append(f"sum(CASE WHEN gender = '{g}' THEN rating END) AS s_{k}, "
+                     f"count(CASE WHEN gender = '{g}' THEN rating END) AS {k}_count")
+    return ", ".join(parts)
+
+
+_AGE_OVERLAP = ("0-18", "18-35", "35-50", "50+")
+_AGE_DASH = ("0-18", "19-35", "36-50", "51+")
+_AGE_COLS = ("age_0_18", "age_18_35", "age_35_50", "age_50_plus")
+
+
+def _age_wide() -> str:
+    aggs = ", ".join(
+        f"sum(CASE WHEN age_group = '{lab}' THEN rating END) AS s_{c}, "
+        f"count(CASE WHEN age_group = '{lab}' THEN rating END) AS {c}_count"
+        for lab, c in zip(_AGE_OVERLAP, _AGE_COLS))
+    cols = ", ".join(
+        f"coalesce(CASE WHEN {c}_count > 0 THEN s_{c} / {c}_count END, 0.0::DOUBLE) AS {c}_avg, {c}_count"
+        for c in _AGE_COLS)
+    return f"""
+WITH {_RATINGS_USER},
+  x AS (SELECT r.movie_id, r.rating, {_bucket('c.c_acctbal', _AGE_OVERLAP)} AS age_group
+        FROM r JOIN customer c ON r.user_id = c.c_custkey),
+  s AS (SELECT movie_id, {aggs} FROM x WHERE age_group IS NOT NULL GROUP BY movie_id)
+SELECT s.movie_id, coalesce(p.p_name, '?') AS title, {cols}
+FROM s LEFT JOIN part p ON s.movie_id = p.p_partkey"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    # ------------------------------------------------------------ ratings
+    "movie_stats": f"""
+WITH {_MOVIE_STATS.format(default="'?'")}
+SELECT movie_id, title, avg_rating, total_ratings FROM m""",
+
+    "best_movie": f"""
+WITH {_MOVIE_STATS.format(default="'?'")}
+SELECT movie_id, title, avg_rating, total_ratings FROM m WHERE total_ratings >= {MIN_RATINGS_FOR_BEST}
+ORDER BY avg_rating DESC, total_ratings DESC, lower(title), movie_id LIMIT 1""",
+
+    "best_movie_by_id_text": f"""
+WITH {_MOVIE_STATS.format(default="CAST(s.movie_id AS VARCHAR)")}
+SELECT movie_id, title, avg_rating, total_ratings FROM m WHERE total_ratings >= {MIN_RATINGS_FOR_BEST}
+ORDER BY avg_rating DESC, CAST(movie_id AS VARCHAR) LIMIT 1""",
+
+    "genre_stats": f"""{_GENRE_BASE}
+SELECT genre, sm / n AS avg_rating, CAST(n AS BIGINT) AS total_ratings FROM g""",
+
+    "genre_stats_float32": f"""{_GENRE_BASE}
+SELECT genre, {_f32_mean('sm', 'n')} AS avg_rating, CAST(n AS BIGINT) AS total_ratings FROM g""",
+
+    "gender_stats": f"""
+WITH {_RATINGS_USER},
+  x AS (SELECT r.movie_id, r.rating, substr(c.c_mktsegment, 1, 1) AS gender
+        FROM r JOIN customer c ON r.user_id = c.c_custkey),
+  s AS (SELECT movie_id, {_gender_aggs()} FROM x WHERE gender IN ('M', 'F') GROUP BY movie_id)
+SELECT s.movie_id, coalesce(p.p_name, '?') AS title,
+       CASE WHEN m_count > 0 THEN s_m / m_count END AS m_avg, m_count,
+       CASE WHEN f_count > 0 THEN s_f / f_count END AS f_avg, f_count
+FROM s LEFT JOIN part p ON s.movie_id = p.p_partkey""",
+
+    "gender_means_by_title": f"""
+WITH {_RATINGS_USER},
+  x AS (SELECT p.p_name AS title, r.rating, upper(substr(c.c_mktsegment, 1, 1)) AS gender
+        FROM r JOIN customer c ON r.user_id = c.c_custkey JOIN part p ON r.movie_id = p.p_partkey),
+  s AS (SELECT title, {_gender_aggs()} FROM x WHERE gender IN ('M', 'F') GROUP BY title)
+SELECT title,
+       coalesce(CASE WHEN m_count > 0 THEN {_f32_mean('s_m', 'm_count')} END, CAST(0.0 AS FLOAT)) AS m_avg,
+       m_count,
+       coalesce(CASE WHEN f_count > 0 THEN {_f32_mean('s_f', 'f_count')} END, CAST(0.0 AS FLOAT)) AS f_avg,
+       f_count
+FROM s""",
+
+    "age_group_stats": f"""
+WITH {_RATINGS_USER},
+  x AS (SELECT r.movie_id, r.rating, {_bucket('c.c_acctbal', _AGE_DASH)} AS age_group
+        FROM r JOIN customer c ON r.user_id = c.c_custkey),
+  s AS (SELECT movie_id, age_group, sum(rating) AS sm, count(rating) AS total_ratings
+        FROM x WHERE age_group IS NOT NULL GROUP BY movie_id, age_group)
+SELECT s.movie_id, coalesce(p.p_name, '?') AS title, s.age_group, s.sm / s.total_ratings AS avg_rating,
+       s.total_ratings
+FROM s LEFT JOIN part p ON s.movie_id = p.p_partkey""",
+
+    "age_group_stats_wide": _age_wide(),
+
+    "occupation_stats": """
+WITH pu AS (SELECT o.o_custkey AS user_id, sum(l.l_quantity) AS sm, count(l.l_quantity) AS n
+            FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY o.o_custkey),
+  j AS (SELECT c.c_nationkey AS occupation_id, sum(pu.sm) AS sm, sum(pu.n) AS n
+        FROM pu JOIN customer c ON pu.user_id = c.c_custkey GROUP BY c.c_nationkey)
+SELECT j.occupation_id, coalesce(nt.n_name, '?') AS occupation, j.sm / j.n AS avg_rating,
+       CAST(j.n AS BIGINT) AS total_ratings
+FROM j LEFT JOIN nation nt ON j.occupation_id = nt.n_nationkey""",
+
+    "yearly_stats": """
+SELECT CAST(year(l_shipdate) AS INTEGER) AS year, sum(l_quantity) / count(l_quantity) AS avg_rating,
+       count(l_quantity) AS total_ratings
+FROM lineitem GROUP BY year(l_shipdate)""",
+
+    # ------------------------------------------------------------ text
+    "clean_words": f"""
+WITH {_LABELLED_DOCS},{_WORDS}
+SELECT word, rid, category, aspect, sentiment FROM words""",
+
+    "word_freq_over_threshold": f"""
+WITH toks AS (SELECT {_TOKENS.format(col='text')} AS word FROM documents),
+  words AS (SELECT word FROM toks WHERE {_KEEP})
+SELECT word, count(*) AS freq FROM words GROUP BY word HAVING count(*) > {WORD_FREQ_THRESHOLD}""",
+
+    "review_count_by_category": """
+SELECT lang AS category, count(doc_id) AS review_count FROM documents GROUP BY lang""",
+
+    "review_count_by_aspect": """
+SELECT source AS aspect, count(doc_id) AS review_count FROM documents GROUP BY source""",
+
+    "positive_aspect_counts": _aspect_counts("positive"),
+    "negative_aspect_counts": _aspect_counts("negative"),
+    "top_positive_aspect": _top_aspect("positive"),
+    "top_negative_aspect": _top_aspect("negative"),
+    "top_positive_words_by_category": _top_words("positive"),
+    "top_negative_words_by_category": _top_words("negative"),
+    "top_words_by_category": _top_words(None),
+
+    # ------------------------------------------------------------ commerce
+    "dataset_profile": f"""
+WITH cols AS (
+    SELECT table_name AS dataset, CAST(ordinal_position AS INTEGER) AS ordinal, column_name,
+      {_DUCK_TO_SPARK_TYPE} AS data_type
+    FROM information_schema.columns WHERE table_name IN ({_TABLE_LIST})),
+  nc AS (SELECT dataset, CAST(count(*) AS INTEGER) AS n_cols FROM cols GROUP BY dataset),
+  counts AS (
+    {_COUNTS})
+SELECT c.dataset, k.n_rows, nc.n_cols, c.ordinal, c.column_name, c.data_type
+FROM cols c JOIN nc ON c.dataset = nc.dataset JOIN counts k ON c.dataset = k.dataset""",
+
+    "overall_stats": f"""
+WITH {_CUSTOMERS}
+SELECT 'total_orders' AS metric, count(*) AS value FROM orders
+UNION ALL SELECT 'unique_customers', count(DISTINCT customer_id) FROM cust
+UNION ALL SELECT 'unique_sellers', count(DISTINCT l_suppkey) FROM lineitem""",
+
+    "orders_by_country": f"""
+WITH {_CUSTOMERS},
+  pc AS (SELECT o_custkey AS customer_id, count(o_orderkey) AS n FROM orders GROUP BY o_custkey)
+SELECT country, CAST(sum(n) AS BIGINT) AS order_count FROM pc JOIN cust USING (customer_id)
+GROUP BY country""",
+
+    "orders_by_year_month": """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+       count(o_orderkey) AS order_count
+FROM orders GROUP BY year(o_orderdate), month(o_orderdate)""",
+
+    "review_score_distribution": f"""
+WITH {_VALID_SCORES}
+SELECT score, count(*) AS review_count FROM v GROUP BY score""",
+
+    "review_score_summary": f"""
+WITH {_VALID_SCORES}
+SELECT {_half_up('sum(score)', 'count(*)')} AS avg_score, count(*) AS total_valid FROM v""",
+
+    "revenue_by_category": f"""
+WITH o AS (SELECT o_orderkey FROM orders
+           WHERE o_orderdate >= TIMESTAMP '{REVENUE_YEAR}-01-01'
+             AND o_orderdate < TIMESTAMP '{REVENUE_YEAR + 1}-01-01'),
+  li AS (SELECT l.l_partkey AS product_id, {_REVENUE} AS rev
+         FROM lineitem l JOIN o ON l.l_orderkey = o.o_orderkey),
+  pp AS (SELECT product_id, sum(rev) AS rev FROM li GROUP BY product_id)
+SELECT p.p_type AS category, CAST(sum(pp.rev) AS DOUBLE) AS total_revenue
+FROM pp JOIN part p ON pp.product_id = p.p_partkey GROUP BY p.p_type""",
+
+    "top_products": f"""
+WITH {_VALID_SCORES},
+  po AS (SELECT order_id, sum(score) AS s, count(*) AS n FROM v GROUP BY order_id),
+  io AS (SELECT l_partkey AS product_id, l_orderkey AS order_id, count(*) AS m
+         FROM lineitem GROUP BY l_partkey, l_orderkey),
+  w AS (SELECT io.product_id, sum(io.m * po.s) AS ws, sum(io.m * po.n) AS wn
+        FROM io JOIN po ON io.order_id = po.order_id GROUP BY io.product_id),
+  sales AS (SELECT l_partkey AS product_id, count(l_linenumber) AS sales_count
+            FROM lineitem GROUP BY l_partkey)
+SELECT sales.product_id, sales.sales_count, {_half_up('w.ws', 'w.wn')} AS avg_review_score
+FROM sales LEFT JOIN w ON sales.product_id = w.product_id""",
+
+    "seller_ranking": f"""
+WITH s AS (SELECT l_suppkey AS seller_id, CAST(sum({_REVENUE}) AS DOUBLE) AS total_revenue,
+                  count(DISTINCT l_orderkey) AS order_count
+           FROM lineitem GROUP BY l_suppkey)
+SELECT seller_id, total_revenue, order_count,
+       CAST(dense_rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS INTEGER) AS rank
+FROM s""",
+
+    "delivery_performance": f"""
+WITH x AS (SELECT l.l_suppkey AS seller_id, datediff('day', o.o_orderdate, l.l_shipdate) AS d
+           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+  g AS (SELECT seller_id, count(*) AS items, sum(d) AS sd, max(d) AS max_delay_days,
+               count(CASE WHEN d > 90 THEN 1 END) AS late_items
+        FROM x WHERE d IS NOT NULL GROUP BY seller_id)
+SELECT seller_id, items, {_half_up('sd', 'items')} AS avg_delay_days,
+       CAST(max_delay_days AS INTEGER) AS max_delay_days, late_items
+FROM g""",
+}
+
+_SEGMENTS = f"""
+  p AS (SELECT o_custkey AS customer_id, count(*) AS order_count,
+               sum(CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT)) AS cents,
+               min(CAST(o_orderdate AS DATE)) AS first_d, max(CAST(o_orderdate AS DATE)) AS last_d
+        FROM orders GROUP BY o_custkey),
+  q AS (SELECT customer_id, order_count, {_half_up('cents', 'order_count * 100')} AS avg_order_value,
+               CASE WHEN order_count > 1 THEN
+                 {_half_up("datediff('day', first_d, last_d)", 'order_count - 1')} END AS days_between_orders
+        FROM p),
+  seg AS (SELECT customer_id, order_count, avg_order_value, days_between_orders,
+                 (CASE WHEN order_count >= 10 THEN 'frequent'
+                       WHEN days_between_orders <= 120 THEN 'regular' ELSE 'occasional' END)
+                 || '/' || (CASE WHEN avg_order_value >= 150000 THEN 'high' ELSE 'standard' END) AS segment
+          FROM q)"""
+
+ORACLE_SQL["customer_segments"] = f"""
+WITH {_SEGMENTS}
+SELECT customer_id, order_count, avg_order_value, days_between_orders, segment FROM seg"""
+
+ORACLE_SQL["segment_summary"] = f"""
+WITH {_SEGMENTS}
+SELECT segment, count(*) AS customers, CAST(sum(order_count) AS BIGINT) AS orders FROM seg GROUP BY segment"""
