@@ -342,3 +342,64 @@ SELECT customer_id, order_count, avg_order_value, days_between_orders, segment F
 ORACLE_SQL["segment_summary"] = f"""
 WITH {_SEGMENTS}
 SELECT segment, count(*) AS customers, CAST(sum(order_count) AS BIGINT) AS orders FROM seg GROUP BY segment"""
+
+_REQUIRED = (("orders", "order_id"), ("orders", "customer_id"), ("customers", "customer_id"),
+             ("customers", "country"), ("items", "seller_id"), ("items", "price"),
+             ("products", "category"), ("reviews", "score"))
+_HAS_COLUMNS = "\n".join(
+    f"  UNION ALL SELECT '{t}.has_column.{c}', 'eq', 1, 1" for t, c in _REQUIRED)
+
+ORACLE_SQL["validation_report"] = f"""
+WITH {_CUSTOMERS}, {_VALID_SCORES},
+  q_items AS (SELECT l_orderkey AS order_id, l_linenumber AS item_id, l_extendedprice AS price,
+                     CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS freight
+              FROM lineitem),
+  sellers AS (SELECT l_suppkey AS seller_id, CAST(sum({_REVENUE}) AS DOUBLE) AS total_revenue
+              FROM lineitem GROUP BY l_suppkey),
+  ranked AS (SELECT dense_rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS rk FROM sellers),
+  checks AS (
+  SELECT 'orders.row_count' AS "check", 'ge' AS rule, count(*) AS actual, 1 AS expected FROM orders
+  UNION ALL SELECT 'customers.row_count', 'ge', count(*), 1 FROM cust
+  UNION ALL SELECT 'items.row_count', 'ge', count(*), 1 FROM q_items
+  UNION ALL SELECT 'items.negative_price', 'eq', count(CASE WHEN price < 0 THEN 1 END), 0 FROM q_items
+  UNION ALL SELECT 'items.negative_freight', 'eq', count(CASE WHEN freight < 0 THEN 1 END), 0 FROM q_items
+  UNION ALL SELECT 'products.row_count', 'ge', count(*), 1 FROM part
+  UNION ALL SELECT 'products.null_category', 'eq', count(CASE WHEN p_type IS NULL THEN 1 END), 0 FROM part
+  UNION ALL SELECT 'reviews.row_count', 'ge', count(*), 1 FROM events
+  UNION ALL SELECT 'reviews.null_score', 'info', count(CASE WHEN value IS NULL THEN 1 END), NULL FROM events
+  UNION ALL SELECT 'reviews.empty_score', 'info',
+                   count(CASE WHEN CAST(value / {SCORE_DIVISOR} AS VARCHAR) = '' THEN 1 END), NULL FROM events
+  UNION ALL SELECT 'reviews.valid_score', 'info', count(*), NULL FROM v
+  UNION ALL SELECT 'reviews.mean_in_range', 'eq',
+                   CASE WHEN sum(score) >= count(*) AND sum(score) <= 5 * count(*) THEN 1 ELSE 0 END, 1 FROM v
+{_HAS_COLUMNS}
+  UNION ALL SELECT 'orders_join_customers.rows', 'eq',
+                   (SELECT count(*) FROM orders o JOIN cust c ON o.o_custkey = c.customer_id),
+                   (SELECT count(*) FROM orders)
+  UNION ALL SELECT 'orders_join_customers.null_country', 'eq',
+                   (SELECT count(*) FROM orders o JOIN cust c ON o.o_custkey = c.customer_id
+                    WHERE c.country IS NULL), 0
+  UNION ALL SELECT 'orders_by_year_month.total', 'eq', count(o_orderkey), count(*) FROM orders
+  UNION ALL SELECT 'orders.duplicate_order_id', 'eq', count(*), 0
+            FROM (SELECT o_orderkey FROM orders GROUP BY o_orderkey HAVING count(*) > 1)
+  UNION ALL SELECT 'items.duplicate_item_key', 'eq', count(*), 0
+            FROM (SELECT order_id, item_id FROM q_items GROUP BY order_id, item_id HAVING count(*) > 1)
+  UNION ALL SELECT 'orders.orphan_customer', 'eq', count(*), 0
+            FROM orders o WHERE NOT EXISTS (SELECT 1 FROM cust c WHERE c.customer_id = o.o_custkey)
+  UNION ALL SELECT 'items.orphan_order', 'eq', count(*), 0
+            FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)
+  UNION ALL SELECT 'reviews.orphan_order', 'eq', count(*), 0
+            FROM events e WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = e.event_id)
+  UNION ALL SELECT 'ranking.rank_gaps', 'eq', coalesce(max(rk) - count(DISTINCT rk), 0), 0 FROM ranked
+  UNION ALL SELECT 'ranking.min_rank', 'eq', min(rk), 1 FROM ranked
+  UNION ALL SELECT 'ranking.rank1_rows', 'ge', count(CASE WHEN rk = 1 THEN 1 END), 1 FROM ranked),
+  report AS (
+    SELECT "check", rule, CAST(actual AS BIGINT) AS actual, CAST(expected AS BIGINT) AS expected,
+           coalesce(CASE WHEN rule = 'info' THEN true WHEN rule = 'ge' THEN actual >= expected
+                         ELSE actual = expected END, false) AS ok
+    FROM checks)
+SELECT * FROM report
+UNION ALL
+SELECT 'summary.failed_checks', 'eq', count(CASE WHEN NOT ok THEN 1 END), CAST(0 AS BIGINT),
+       count(CASE WHEN NOT ok THEN 1 END) = 0
+FROM report"""
