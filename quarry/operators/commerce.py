@@ -132,7 +132,7 @@ def seller_ranking(items: DataFrame) -> DataFrame:
         F.sum(exact_amount(items, "price") + exact_amount(items, "freight")).cast("double")
         .alias("total_revenue"),
         F.countDistinct("order_id").alias("order_count"))
-    ranked = dense_rank_global(stats, "total_revenue", "rank")
+    ranked = dense_rank_global(stats, "total_revenue", "rank", checkpoint_input=True)
     return ranked.select("seller_id", "total_revenue", "order_count", "rank").orderBy("rank", "seller_id")
 
 

@@ -6,7 +6,9 @@ A side is broadcast only when its size is *proven* small:
 
 * ``bounded_broadcast(df, max_rows)`` runs ``df.limit(max_rows + 1).count()``
   — a bounded probe that reads at most ``max_rows + 1`` rows — and hints
-  ``broadcast`` only if the side fits.  Otherwise the plain join is kept and
+  ``broadcast`` only if the side fits.  Probes are applied to projections of
+  scans (dimension tables), where the limit stops reading early; derived
+  sides (aggregates) are sized from counts the plan already has.  Otherwise the plain join is kept and
   Spark's sort-merge join (or AQE's runtime conversion, which again checks the
   real size) handles it.
 * Sides whose size is fixed by construction (a one-row aggregate, a literal
@@ -57,5 +59,5 @@ def anti_join(df: DataFrame, other: DataFrame, on: str | list[str], *,
               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Rows of ``df`` with no match in ``other`` (JN7, JN14)."""
     keys = [on] if isinstance(on, str) else list(on)
-    right = bounded_broadcast(other.select(*keys).distinct(), max_broadcast_rows)
+    right = bounded_broadcast(other.select(*keys), max_broadcast_rows)
     return df.join(right, on=keys, how="left_anti")

@@ -1,0 +1,21 @@
+"""Parallelism helpers.
+
+``spread_for_cpu_work`` is for per-row work that is expensive (regex
+tokenisation of long texts).  A scan gets one task per file split; a small or
+unsplittable file (one Parquet row group) would leave that work on a single
+core.  When the input has fewer partitions than the session's parallelism it
+is redistributed round-robin first; a large input (thousands of splits)
+already exceeds the parallelism and passes through without a shuffle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_for_cpu_work(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

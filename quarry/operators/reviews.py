@@ -41,7 +41,9 @@ def clean_words(reviews: DataFrame, stopwords: DataFrame | None, *,
     """One row per kept token: ``(*keep, word)``.
 
     lower-case + punctuation to space -> split on whitespace -> drop blank
-    tokens -> drop stop words."""
+    tokens -> drop stop words.  Tokenising is the CPU-heavy step: give this
+    operator an input with enough partitions (see
+    ``quarry.operators.partitioning.spread_for_cpu_work``)."""
     tokens = (reviews
               .select(*keep, F.explode(tokenize(normalize_text(text_col))).alias("word"))
               .filter(is_real_token("word")))

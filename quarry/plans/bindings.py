@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.joins import bounded_broadcast
+from quarry.operators.partitioning import spread_for_cpu_work
 from quarry.sources.tables import read_table
 
 # The stop-word list used with the benchmark documents
@@ -93,8 +94,15 @@ class Bindings:
 
     # ---- text family ----------------------------------------------------
     @cached_property
-    def text_reviews(self) -> DataFrame:
+    def documents(self) -> DataFrame:
+        """Documents, spread over the cores when the scan yields too few splits
+        (tokenising is CPU-bound; a one-row-group file is one task)."""
         docs = self.table("documents").select("doc_id", "text", "lang", "source")
+        return spread_for_cpu_work(docs)
+
+    @cached_property
+    def text_reviews(self) -> DataFrame:
+        docs = self.documents
         labels = bounded_broadcast(self.table("labels").select("doc_id", "quality", "toxic"))
         sentiment = (F.when(F.col("toxic") == 1, F.lit(SENTIMENT_NEGATIVE))
                      .when(F.col("quality") == 1, F.lit(SENTIMENT_POSITIVE))
@@ -107,7 +115,7 @@ class Bindings:
     @cached_property
     def text_reviews_unlabelled(self) -> DataFrame:
         """Reviews without the label join, for jobs that never look at sentiment."""
-        return self.table("documents").select(
+        return self.documents.select(
             F.col("doc_id").alias("rid"), F.col("text").alias("comment"),
             F.col("lang").alias("category"), F.col("source").alias("aspect"),
             F.lit(None).cast("string").alias("sentiment"))
