@@ -34,3 +34,9 @@ def is_real_token(word: str | Column) -> Column:
     """Not null and not blank (FLT1)."""
     w = _col(word)
     return w.isNotNull() & (F.trim(w) != F.lit(""))
+
+
+def java_trim(text: str | Column) -> Column:
+    """Strip leading/trailing characters <= U+0020 (spaces, tabs, control
+    characters), as ``String.trim`` does; Spark's ``trim`` strips spaces only."""
+    return F.regexp_replace(_col(text), r"^[\x00-\x20]+|[\x00-\x20]+$", "")

@@ -104,6 +104,12 @@ def top_words_by_category(words: DataFrame, k: int = 5, *, sentiment: str | None
         words = words.filter(F.col("sentiment") == F.lit(sentiment))
     freq = (words.filter(F.col(category).isNotNull())
             .groupBy(category, "word").agg(F.count(F.lit(1)).alias("freq")))
-    ranked = top_k_per_group(freq, category, [F.col("freq").desc(), F.col("word")], k,
-                             rank_col="rank_in_category")
-    return ranked.orderBy(category, "rank_in_category", "word")
+    return rank_word_counts(freq, k, category=category).orderBy(category, "rank_in_category", "word")
+
+
+def rank_word_counts(freq: DataFrame, k: int = 5, *, category: str = "category") -> DataFrame:
+    """Top ``k`` rows of ``(category, word, freq)`` per non-null category,
+    ``freq`` descending then word, numbered in ``rank_in_category``."""
+    ranked = top_k_per_group(freq.filter(F.col(category).isNotNull()), category,
+                             [F.col("freq").desc(), F.col("word")], k, rank_col="rank_in_category")
+    return ranked.select(category, "word", "freq", "rank_in_category")

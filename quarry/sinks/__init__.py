@@ -1 +1,7 @@
-"""Writers for result DataFrames."""
+"""Writers for result DataFrames (SNK1–SNK6)."""
+
+from quarry.sinks.writers import (format_line, preview, write_quoted_csv, write_report,
+                                  write_sorted_lines, write_tsv)
+
+__all__ = ["format_line", "preview", "write_quoted_csv", "write_report", "write_sorted_lines",
+           "write_tsv"]
