@@ -240,6 +240,12 @@ def _validation(b: Bindings) -> DataFrame:
                                      commerce.seller_ranking(b.items), required_columns=required)
 
 
+@register("validation_leaders")
+def _leaders(b: Bindings) -> DataFrame:
+    """TOP4: top country by orders, top product by sales, top seller by revenue."""
+    return quality.leaders(b.orders, b.customers, b.items, commerce.seller_ranking(b.items))
+
+
 @register("delivery_performance")
 def _delivery(b: Bindings) -> DataFrame:
     """Ship date minus order date per seller; late after 90 days."""

@@ -403,3 +403,19 @@ UNION ALL
 SELECT 'summary.failed_checks', 'eq', count(CASE WHEN NOT ok THEN 1 END), CAST(0 AS BIGINT),
        count(CASE WHEN NOT ok THEN 1 END) = 0
 FROM report"""
+
+ORACLE_SQL["validation_leaders"] = f"""
+WITH {_CUSTOMERS},
+  pc AS (SELECT o_custkey AS customer_id, count(o_orderkey) AS n FROM orders GROUP BY o_custkey),
+  bc AS (SELECT country, sum(n) AS n FROM pc JOIN cust USING (customer_id)
+         WHERE country IS NOT NULL GROUP BY country),
+  bp AS (SELECT l_partkey AS product_id, count(l_linenumber) AS n FROM lineitem GROUP BY l_partkey),
+  bs AS (SELECT l_suppkey AS seller_id, CAST(sum({_REVENUE}) AS DOUBLE) AS total_revenue
+         FROM lineitem GROUP BY l_suppkey),
+  top_c AS (SELECT 'top_country' AS item, country AS key, CAST(n AS DOUBLE) AS value FROM bc
+            ORDER BY n DESC, country LIMIT 1),
+  top_p AS (SELECT 'top_product' AS item, CAST(product_id AS VARCHAR) AS key, CAST(n AS DOUBLE) AS value
+            FROM bp ORDER BY n DESC, product_id LIMIT 1),
+  top_s AS (SELECT 'top_seller' AS item, CAST(seller_id AS VARCHAR) AS key, total_revenue AS value
+            FROM bs ORDER BY total_revenue DESC, seller_id LIMIT 1)
+SELECT * FROM top_c UNION ALL SELECT * FROM top_p UNION ALL SELECT * FROM top_s"""
