@@ -1,19 +1,30 @@
 """Exact money sums and HALF_UP rounding (FN13, FN14, FN16).
 
 Double sums depend on the order rows arrive in, which differs between runs,
-partitionings and engines.  Money is therefore summed as DECIMAL (exact,
-order-independent) and only the final value is turned into a double.  Means
-of integer scores are rounded from the exact ratio of two integer sums, so
-``round(mean, 2)`` never depends on how the double mean happens to print.
+partitionings and engines.  Money is therefore summed exactly and only the
+final value is turned into a double:
+
+* ``amount_units(c, s)`` turns an amount into an integer count of ``10^-s``
+  units with ``rint`` (one multiply and one rounding per row — no per-row
+  double->decimal conversion, which costs a string round trip);
+* ``units_sum`` adds the units as DECIMAL(38,0), which cannot overflow where
+  a long sum would;
+* ``units_to_double`` scales the exact total back once per group.
+
+Means of integer scores are rounded from the exact ratio of two integer sums,
+so ``round(mean, 2)`` never depends on how the double mean happens to print.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
+UNITS_SUM = "decimal(38,0)"
 
 
 def _col(c: str | Column) -> Column:
@@ -25,6 +36,23 @@ def money(c: str | Column) -> Column:
     return _col(c).cast(MONEY)
 
 
+def amount_units(c: str | Column, scale: int = 2) -> Column:
+    """``c`` as a whole number of ``10^-scale`` units (long).  Exact for
+    amounts with at most ``scale`` decimals and ``|c| < 2^52 / 10^scale``;
+    an amount with more decimals is rounded half-even at that scale."""
+    return F.rint(_col(c) * F.lit(float(10 ** scale))).cast("long")
+
+
+def units_sum(units: str | Column) -> Column:
+    """Exact, overflow-safe sum of integer units."""
+    return F.sum(_col(units).cast(UNITS_SUM))
+
+
+def units_to_double(total: str | Column, scale: int = 2) -> Column:
+    """An exact unit total as a double amount (one correctly rounded step)."""
+    return (_col(total).cast(UNITS_SUM) * F.lit(Decimal(1).scaleb(-scale))).cast("double")
+
+
 def exact_amount(df: DataFrame, column: str) -> Column:
     """``column`` as an exact DECIMAL: kept as is when it already is one
     (e.g. a computed freight with 4 decimals), else read as 2-decimal money."""

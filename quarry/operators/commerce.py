@@ -16,7 +16,9 @@ Scale notes
   per customer before the customer join, revenue per product before the
   product join, reviews per order before the item join), so dimension joins
   see key-cardinality rows and fan-out joins never multiply raw rows.
-* Money is summed as DECIMAL (exact, order-independent), then cast to double.
+* Money is summed exactly as integer units (``amount_units``), then scaled
+  to a double once per group; ``money_scale`` is the number of decimals the
+  amounts carry (2 for prices, 4 when a freight is a price times a rate).
 * Means of integer scores are HALF_UP-rounded from exact integer sums.
 * The seller ranking uses the distributed dense rank, not a one-partition
   window.
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.casts import lenient_int
-from quarry.functions.numeric import exact_amount, money, ratio_half_up
+from quarry.functions.numeric import amount_units, ratio_half_up, units_sum, units_to_double
 from quarry.functions.times import as_timestamp, year_range
 from quarry.operators.ranking import dense_rank_global
 
@@ -89,16 +91,18 @@ def score_summary(reviews: DataFrame, score_col: str = "score") -> DataFrame:
 
 
 def revenue_by_category(orders: DataFrame, items: DataFrame, products: DataFrame,
-                        year: int, ts_col: str = "purchase_ts") -> DataFrame:
+                        year: int, ts_col: str = "purchase_ts", money_scale: int = 2) -> DataFrame:
     """``(category, total_revenue)``: sum of ``price + freight`` of items in
     orders purchased in ``year``, by product category, revenue descending
-    (J17).  The year test is a range on the timestamp so it reaches the scan."""
+    (J17).  The year test is a range on the timestamp so it reaches the scan;
+    revenue is summed exactly in ``10^-money_scale`` units per product first,
+    so the product join sees one row per product."""
     in_year = orders.filter(year_range(orders, ts_col, year)).select("order_id")
     lines = items.join(in_year, "order_id", "inner")
-    per_product = lines.groupBy("product_id").agg(
-        F.sum(exact_amount(items, "price") + exact_amount(items, "freight")).alias("__rev"))
+    per_product = lines.groupBy("product_id").agg(units_sum(_revenue_units(money_scale)).alias("__rev"))
     cats = per_product.join(products.select("product_id", "category"), "product_id", "inner")
-    return (cats.groupBy("category").agg(F.sum("__rev").cast("double").alias("total_revenue"))
+    return (cats.groupBy("category")
+            .agg(units_to_double(F.sum("__rev"), money_scale).alias("total_revenue"))
             .orderBy(F.col("total_revenue").desc(), F.col("category").asc_nulls_last()))
 
 
@@ -109,29 +113,43 @@ def top_products(items: DataFrame, reviews: DataFrame, score_col: str = "score")
     ``sales_count`` counts non-null item ids.  The mean is taken over the
     item x review pairs of the same order (a product sold twice in an order
     with two reviews weighs each review twice), computed without building the
-    pairs: reviews -> (order, sum, n), items -> (product, order, m), mean =
-    sum(m*sum) / sum(m*n), HALF_UP to 2 places.  NULL when no valid review."""
-    sales = items.groupBy("product_id").agg(F.count("item_id").alias("sales_count"))
+    pairs: reviews are reduced to one ``(order, sum, n)`` row per order and
+    left-joined to the items (a unique key, so no fan-out); summing ``sum``
+    and ``n`` over a product's item rows gives sum(m*sum) / sum(m*n).  One
+    scan of the items, one join, one aggregate; HALF_UP to 2 places, NULL when
+    the product has no valid review."""
     per_order = (valid_scores(reviews, score_col).groupBy("order_id")
                  .agg(F.sum("score_int").alias("__s"), F.count(F.lit(1)).alias("__n")))
-    item_orders = items.groupBy("product_id", "order_id").agg(F.count(F.lit(1)).alias("__m"))
-    weighted = (item_orders.join(per_order, "order_id", "inner")
-                .groupBy("product_id")
-                .agg(F.sum(F.col("__m") * F.col("__s")).alias("__ws"),
-                     F.sum(F.col("__m") * F.col("__n")).alias("__wn")))
-    means = weighted.select("product_id", ratio_half_up("__ws", "__wn", 2).alias("avg_review_score"))
-    return (sales.join(means, "product_id", "left")
-            .select("product_id", "sales_count", "avg_review_score")
+    joined = items.select("order_id", "product_id", "item_id").join(per_order, "order_id", "left")
+    stats = joined.groupBy("product_id").agg(F.count("item_id").alias("sales_count"),
+                                             F.sum("__s").alias("__ws"), F.sum("__n").alias("__wn"))
+    return (stats.select("product_id", "sales_count",
+                         ratio_half_up("__ws", "__wn", 2).alias("avg_review_score"))
             .orderBy(F.col("sales_count").desc(), F.col("product_id")))
 
 
-def seller_ranking(items: DataFrame) -> DataFrame:
+def _revenue_units(money_scale: int):
+    """Per-row ``price + freight`` in integer ``10^-money_scale`` units."""
+    return amount_units("price", money_scale) + amount_units("freight", money_scale)
+
+
+def _revenue(money_scale: int):
+    """Exact sum of ``price + freight`` as a double."""
+    return units_to_double(units_sum(_revenue_units(money_scale)), money_scale)
+
+
+def seller_revenue(items: DataFrame, money_scale: int = 2) -> DataFrame:
+    """``(seller_id, total_revenue)``."""
+    return items.groupBy("seller_id").agg(_revenue(money_scale).alias("total_revenue"))
+
+
+def seller_ranking(items: DataFrame, money_scale: int = 2) -> DataFrame:
     """``(seller_id, total_revenue, order_count, rank)``: revenue = sum of
-    ``price + freight``, distinct orders, dense rank by revenue desc (J19)."""
+    ``price + freight``, distinct orders, dense rank by revenue desc (J19).
+    The per-seller table is checkpointed once and ranked without a
+    one-partition window."""
     stats = items.groupBy("seller_id").agg(
-        F.sum(exact_amount(items, "price") + exact_amount(items, "freight")).cast("double")
-        .alias("total_revenue"),
-        F.countDistinct("order_id").alias("order_count"))
+        _revenue(money_scale).alias("total_revenue"), F.countDistinct("order_id").alias("order_count"))
     ranked = dense_rank_global(stats, "total_revenue", "rank", checkpoint_input=True)
     return ranked.select("seller_id", "total_revenue", "order_count", "rank").orderBy("rank", "seller_id")
 
@@ -165,7 +183,7 @@ def customer_segments(orders: DataFrame, *, ts_col: str = "purchase_ts",
     ``regular`` if ``days_between_orders <= regular_days``, else ``occasional``.
     value: ``high`` if ``avg_order_value >= high_value`` else ``standard``."""
     ts = as_timestamp(orders, ts_col)
-    cents = (money("order_total") * F.lit(100)).cast("long")
+    cents = amount_units("order_total", 2)
     per = (orders.select("customer_id", cents.alias("__v"), F.to_date(ts).alias("__d"))
            .groupBy("customer_id")
            .agg(F.count(F.lit(1)).alias("order_count"),

@@ -169,18 +169,20 @@ def validation_report(orders: DataFrame, customers: DataFrame, items: DataFrame,
 
 
 def leaders(orders: DataFrame, customers: DataFrame, items: DataFrame,
-            ranking: DataFrame) -> DataFrame:
+            money_scale: int = 2) -> DataFrame:
     """``(item, key, value)``: the country with most orders, the product with
-    most sales and the top-ranked seller (TOP4); ties go to the smallest key.
-    Each is a distributed top-1 (``TakeOrderedAndProject``) over an aggregate."""
-    from quarry.operators.commerce import orders_by_country
+    most sales and the seller with the highest revenue (TOP4); ties go to the
+    smallest key.  Each is a distributed top-1 (``TakeOrderedAndProject``) over
+    an aggregate."""
+    from quarry.operators.commerce import orders_by_country, seller_revenue
     from quarry.operators.ranking import first_by
 
     country = first_by(orders_by_country(orders, customers).filter(F.col("country").isNotNull()),
                        [F.col("order_count").desc(), F.col("country")])
     product = first_by(items.groupBy("product_id").agg(F.count("item_id").alias("n")),
                        [F.col("n").desc(), F.col("product_id")])
-    seller = first_by(ranking, [F.col("rank"), F.col("seller_id")])
+    seller = first_by(seller_revenue(items, money_scale),
+                      [F.col("total_revenue").desc(), F.col("seller_id")])
     return (country.select(F.lit("top_country").alias("item"), F.col("country").cast("string").alias("key"),
                            F.col("order_count").cast("double").alias("value"))
             .unionByName(product.select(F.lit("top_product").alias("item"),

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.joins import DEFAULT_BROADCAST_ROWS, fixed_broadcast
+from quarry.operators.joins import fixed_broadcast
 from quarry.session import ensure_checkpoint_dir
 
 
@@ -60,9 +60,9 @@ def dense_rank_global(df: DataFrame, value: str, rank_col: str = "rank", *,
        prefix offsets, and each value's rank is its local ``row_number`` plus
        the offset of its partition.  ``row_number`` on distinct values is the
        dense rank.
-    4. The rank is joined back to every row on ``value``; the ranked distinct
-       values are broadcast when the bounded probe says they are small, else
-       the join shuffles (AQE splits a hot value).
+    4. The rank is joined back to every row on ``value`` (AQE broadcasts the
+       ranked side when its measured size is small, else the join shuffles
+       and AQE splits a hot value).
 
     ``checkpoint_input=True`` materialises ``df`` first — worthwhile when it
     is a compact aggregate that would otherwise be recomputed for step 4.
@@ -91,9 +91,6 @@ def dense_rank_global(df: DataFrame, value: str, rank_col: str = "rank", *,
     ranked = (laid_out.withColumn("__local", F.row_number().over(local))
               .join(fixed_broadcast(offsets), "__part")
               .select(F.col(value), (F.col("__local") + F.col("__offset")).cast("int").alias(rank_col)))
-    # the ranked side has one row per distinct value; its size is known from
-    # the per-partition counts (a read of the small checkpoint)
-    n_distinct = counts.agg(F.sum("__n")).first()[0] or 0
-    if n_distinct <= DEFAULT_BROADCAST_ROWS:
-        ranked = fixed_broadcast(ranked)
+    # one row per distinct value: a plain equi-join; AQE turns it into a
+    # broadcast from the measured shuffle size when the ranked side is small
     return df.join(ranked, on=df[value].eqNullSafe(ranked[value]), how="left").drop(ranked[value])

@@ -46,6 +46,7 @@ SCORE_DIVISOR = 80
 WORD_FREQ_THRESHOLD = 500
 TOP_K_WORDS = 5
 MIN_RATINGS_FOR_BEST = 5
+MONEY_SCALE = 4          # decimals of price + price x rate
 
 
 class Bindings:
@@ -142,12 +143,12 @@ class Bindings:
 
     @cached_property
     def items(self) -> DataFrame:
-        price = F.col("l_extendedprice").cast("decimal(18,2)")
+        # freight = price x tax rate: an amount with 4 decimals (MONEY_SCALE)
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("item_id"),
             F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("seller_id"),
             F.col("l_extendedprice").alias("price"),
-            (price * F.col("l_tax").cast("decimal(4,2)")).alias("freight"),
+            (F.col("l_extendedprice") * F.col("l_tax")).alias("freight"),
             F.col("l_shipdate").alias("shipped_ts"))
 
     @cached_property

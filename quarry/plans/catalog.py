@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.functions.buckets import AGE_LABELS_DASH, AGE_LABELS_OVERLAP
 from quarry.operators import commerce, quality, ratings, reviews
-from quarry.plans.bindings import (BALANCE_BOUNDS, MIN_RATINGS_FOR_BEST, REVENUE_YEAR,
+from quarry.plans.bindings import (BALANCE_BOUNDS, MIN_RATINGS_FOR_BEST, MONEY_SCALE, REVENUE_YEAR,
                                    SENTIMENT_NEGATIVE, SENTIMENT_POSITIVE, TOP_K_WORDS,
                                    WORD_FREQ_THRESHOLD, Bindings)
 from quarry.sources.profile import dataset_profile
@@ -216,7 +216,8 @@ def _score_summary(b: Bindings) -> DataFrame:
 @register("revenue_by_category")
 def _revenue(b: Bindings) -> DataFrame:
     """Revenue of orders purchased in 1998 per product type."""
-    return commerce.revenue_by_category(b.orders, b.items, b.products, REVENUE_YEAR)
+    return commerce.revenue_by_category(b.orders, b.items, b.products, REVENUE_YEAR,
+                                        money_scale=MONEY_SCALE)
 
 
 @register("top_products")
@@ -228,7 +229,7 @@ def _top_products(b: Bindings) -> DataFrame:
 @register("seller_ranking")
 def _sellers(b: Bindings) -> DataFrame:
     """Seller revenue, distinct orders and dense revenue rank."""
-    return commerce.seller_ranking(b.items)
+    return commerce.seller_ranking(b.items, MONEY_SCALE)
 
 
 @register("validation_report")
@@ -237,13 +238,14 @@ def _validation(b: Bindings) -> DataFrame:
     required = {"orders": ["order_id", "customer_id"], "customers": ["customer_id", "country"],
                 "items": ["seller_id", "price"], "products": ["category"], "reviews": ["score"]}
     return quality.validation_report(b.orders, b.customers, b.items, b.products, b.score_reviews,
-                                     commerce.seller_ranking(b.items), required_columns=required)
+                                     commerce.seller_ranking(b.items, MONEY_SCALE),
+                                     required_columns=required)
 
 
 @register("validation_leaders")
 def _leaders(b: Bindings) -> DataFrame:
     """TOP4: top country by orders, top product by sales, top seller by revenue."""
-    return quality.leaders(b.orders, b.customers, b.items, commerce.seller_ranking(b.items))
+    return quality.leaders(b.orders, b.customers, b.items, MONEY_SCALE)
 
 
 @register("delivery_performance")
