@@ -148,8 +148,12 @@ def seller_ranking(items: DataFrame, money_scale: int = 2) -> DataFrame:
     ``price + freight``, distinct orders, dense rank by revenue desc (J19).
     The per-seller table is checkpointed once and ranked without a
     one-partition window."""
-    stats = items.groupBy("seller_id").agg(
-        _revenue(money_scale).alias("total_revenue"), F.countDistinct("order_id").alias("order_count"))
+    # two levels: (seller, order) sums stay in long units (one order's value),
+    # then one row per order gives both the distinct-order count and the total
+    per_order = items.groupBy("seller_id", "order_id").agg(F.sum(_revenue_units(money_scale)).alias("__u"))
+    stats = per_order.groupBy("seller_id").agg(
+        units_to_double(units_sum("__u"), money_scale).alias("total_revenue"),
+        F.count("order_id").alias("order_count"))
     ranked = dense_rank_global(stats, "total_revenue", "rank", checkpoint_input=True)
     return ranked.select("seller_id", "total_revenue", "order_count", "rank").orderBy("rank", "seller_id")
 

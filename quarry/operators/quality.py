@@ -19,15 +19,33 @@ from pyspark.sql import functions as F
 from quarry.functions.casts import lenient_int
 from quarry.functions.times import as_timestamp
 from quarry.operators.commerce import SCORE_MAX, SCORE_MIN
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import materialize
 
 CHECK_COLUMNS = ("check", "rule", "actual", "expected")
 
+# (check name, rule, actual as SQL over the aggregate, expected as SQL or None)
+Check = tuple[str, str, str, str | None]
 
-def _row(agg: DataFrame, check: str, rule: str, actual: Column, expected: Column | int | None) -> DataFrame:
-    exp = expected if isinstance(expected, Column) else F.lit(expected)
-    return agg.select(F.lit(check).alias("check"), F.lit(rule).alias("rule"),
-                      actual.cast("long").alias("actual"), exp.cast("long").alias("expected"))
+
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _checks(agg: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Rows ``(check, rule, actual, expected)`` evaluated on the one-row
+    aggregate ``agg``: one ``inline(array(struct, ...))`` per aggregate, so the
+    report has one plan branch per aggregate, not one per check."""
+    structs = ", ".join(
+        f"struct({_sql_text(name)} AS `check`, {_sql_text(rule)} AS rule, "
+        f"CAST({actual} AS BIGINT) AS actual, CAST({expected or 'NULL'} AS BIGINT) AS expected)"
+        for name, rule, actual, expected in checks)
+    return agg.selectExpr(f"inline(array({structs}))")
+
+
+def _count_rule(name: str, expected_rows: Mapping[str, int]) -> Check:
+    if name in expected_rows:
+        return f"{name}.row_count", "eq", "n", str(int(expected_rows[name]))
+    return f"{name}.row_count", "ge", "n", "1"
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -50,121 +68,110 @@ def validation_report(orders: DataFrame, customers: DataFrame, items: DataFrame,
               "products": products, "reviews": reviews}
     expected_rows = dict(expected_rows or {})
     parts: list[DataFrame] = []
+    one = F.lit(1)
 
     # Each table is aggregated once; all checks on it read that aggregate.
-    # orders: rows, (year, month) reconciliation (DQ1, DQ5)
+    # orders: rows and the (year, month) reconciliation (DQ1, DQ5)
     ts = as_timestamp(orders, "purchase_ts")
     o_agg = (orders.groupBy(F.year(ts).alias("__y"), F.month(ts).alias("__mo"))
-             .agg(F.count("order_id").alias("c"), F.count(F.lit(1)).alias("r"))
+             .agg(F.count("order_id").alias("c"), F.count(one).alias("r"))
              .agg(F.coalesce(F.sum("c"), F.lit(0)).alias("grouped"),
                   F.coalesce(F.sum("r"), F.lit(0)).alias("n")))
-    parts.append(_row(o_agg, "orders.row_count", "eq" if "orders" in expected_rows else "ge",
-                      F.col("n"), expected_rows.get("orders", 1)))
-    c_agg = customers.agg(F.count(F.lit(1)).alias("n"))
-    parts.append(_row(c_agg, "customers.row_count", "eq" if "customers" in expected_rows else "ge",
-                      F.col("n"), expected_rows.get("customers", 1)))
-    i_agg = items.agg(F.count(F.lit(1)).alias("n"),
-                      F.count(F.when(F.col("price") < 0, F.lit(1))).alias("neg_price"),
-                      F.count(F.when(F.col("freight") < 0, F.lit(1))).alias("neg_freight"))
-    parts.append(_row(i_agg, "items.row_count", "eq" if "items" in expected_rows else "ge",
-                      F.col("n"), expected_rows.get("items", 1)))
-    parts.append(_row(i_agg, "items.negative_price", "eq", F.col("neg_price"), 0))
-    parts.append(_row(i_agg, "items.negative_freight", "eq", F.col("neg_freight"), 0))
-    p_agg = products.agg(F.count(F.lit(1)).alias("n"),
-                         F.count(F.when(F.col("category").isNull(), F.lit(1))).alias("null_cat"))
-    parts.append(_row(p_agg, "products.row_count", "eq" if "products" in expected_rows else "ge",
-                      F.col("n"), expected_rows.get("products", 1)))
-    parts.append(_row(p_agg, "products.null_category", "eq", F.col("null_cat"), 0))
+    parts.append(_checks(o_agg, [_count_rule("orders", expected_rows),
+                                 ("orders_by_year_month.total", "eq", "grouped", "n")]))
+
+    # customers: rows, plus the schema checks (DQ2: metadata, no data read)
+    c_agg = customers.agg(F.count(one).alias("n"))
+    c_checks = [_count_rule("customers", expected_rows)]
+    for table, cols in (required_columns or {}).items():
+        present = set(tables[table].columns)
+        c_checks += [(f"{table}.has_column.{c}", "eq", "1" if c in present else "0", "1") for c in cols]
+    parts.append(_checks(c_agg, c_checks))
+
+    # items and products: rows, negative amounts, null category (DQ1, DQ4, DQ7)
+    i_agg = items.agg(F.count(one).alias("n"),
+                      F.count(F.when(F.col("price") < 0, one)).alias("neg_price"),
+                      F.count(F.when(F.col("freight") < 0, one)).alias("neg_freight"))
+    parts.append(_checks(i_agg, [_count_rule("items", expected_rows),
+                                 ("items.negative_price", "eq", "neg_price", "0"),
+                                 ("items.negative_freight", "eq", "neg_freight", "0")]))
+    p_agg = products.agg(F.count(one).alias("n"),
+                         F.count(F.when(F.col("category").isNull(), one)).alias("null_cat"))
+    parts.append(_checks(p_agg, [_count_rule("products", expected_rows),
+                                 ("products.null_category", "eq", "null_cat", "0")]))
 
     # reviews: DQ6 tallies and DQ7 mean range in one pass
-    s = F.col("score")
     score = lenient_int("score")
     valid = score.between(SCORE_MIN, SCORE_MAX)
     r_agg = reviews.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(F.when(s.isNull(), F.lit(1))).alias("null_score"),
-        F.count(F.when(s == F.lit(""), F.lit(1))).alias("empty_score"),
-        F.count(F.when(valid, F.lit(1))).alias("valid"),
+        F.count(one).alias("n"),
+        F.count(F.when(F.col("score").isNull(), one)).alias("null_score"),
+        F.count(F.when(F.col("score") == F.lit(""), one)).alias("empty_score"),
+        F.count(F.when(valid, one)).alias("valid"),
         F.sum(F.when(valid, score)).alias("total"))
-    parts.append(_row(r_agg, "reviews.row_count", "eq" if "reviews" in expected_rows else "ge",
-                      F.col("n"), expected_rows.get("reviews", 1)))
-    parts.append(_row(r_agg, "reviews.null_score", "info", F.col("null_score"), None))
-    parts.append(_row(r_agg, "reviews.empty_score", "info", F.col("empty_score"), None))
-    parts.append(_row(r_agg, "reviews.valid_score", "info", F.col("valid"), None))
-    # the valid mean must lie in [1, 5]: 1*valid <= total <= 5*valid
-    parts.append(_row(r_agg, "reviews.mean_in_range", "eq",
-                      F.when((F.col("total") >= F.col("valid")) & (F.col("total") <= F.col("valid") * 5),
-                             F.lit(1)).otherwise(F.lit(0)), 1))
-
-    # DQ2 required columns (schema metadata, no data read)
-    for table, cols in (required_columns or {}).items():
-        present = set(tables[table].columns)
-        for c in cols:
-            parts.append(_row(c_agg, f"{table}.has_column.{c}", "eq",
-                              F.lit(1 if c in present else 0), 1))
+    parts.append(_checks(r_agg, [
+        _count_rule("reviews", expected_rows),
+        ("reviews.null_score", "info", "null_score", None),
+        ("reviews.empty_score", "info", "empty_score", None),
+        ("reviews.valid_score", "info", "valid", None),
+        # the valid mean lies in [1, 5]: 1*valid <= total <= 5*valid
+        ("reviews.mean_in_range", "eq",
+         "CASE WHEN total >= valid AND total <= valid * 5 THEN 1 ELSE 0 END", "1")]))
 
     # DQ3 / DQ4 / DQ9 orders vs customers.  Orders per customer meet customer-id
     # multiplicities: joined rows = sum(n * multiplicity), orphans = orders whose
     # customer id has no match — all without materialising the join.
-    per_cust = orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("__n"))
+    per_cust = orders.groupBy("customer_id").agg(F.count(one).alias("__n"))
     mult = customers.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("__m"),
-        F.count(F.when(F.col("country").isNull(), F.lit(1))).alias("__mnull"))
+        F.count(one).alias("__m"), F.count(F.when(F.col("country").isNull(), one)).alias("__mnull"))
     j_agg = (per_cust.join(mult, "customer_id", "left")
-             .agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("orders"),
-                  F.coalesce(F.sum(F.col("__n") * F.coalesce(F.col("__m"), F.lit(0))), F.lit(0)).alias("rows"),
-                  F.coalesce(F.sum(F.col("__n") * F.coalesce(F.col("__mnull"), F.lit(0))), F.lit(0))
-                  .alias("nulls"),
-                  F.coalesce(F.sum(F.when(F.col("__m").isNull(), F.col("__n"))), F.lit(0)).alias("orphans")))
-    parts.append(_row(j_agg, "orders_join_customers.rows", "eq", F.col("rows"), F.col("orders")))
-    parts.append(_row(j_agg, "orders_join_customers.null_country", "eq", F.col("nulls"), 0))
-    parts.append(_row(o_agg, "orders_by_year_month.total", "eq", F.col("grouped"), F.col("n")))
+             .agg(F.sum("__n").alias("orders"),
+                  F.sum(F.col("__n") * F.coalesce(F.col("__m"), F.lit(0))).alias("rows"),
+                  F.sum(F.col("__n") * F.coalesce(F.col("__mnull"), F.lit(0))).alias("nulls"),
+                  F.sum(F.when(F.col("__m").isNull(), F.col("__n"))).alias("orphans")))
+    parts.append(_checks(j_agg, [
+        ("orders_join_customers.rows", "eq", "coalesce(rows, 0)", "coalesce(orders, 0)"),
+        ("orders_join_customers.null_country", "eq", "coalesce(nulls, 0)", "0"),
+        ("orders.orphan_customer", "eq", "coalesce(orphans, 0)", "0")]))
 
     # DQ8 key uniqueness
-    dup_orders = (orders.groupBy("order_id").agg(F.count(F.lit(1)).alias("__c"))
-                  .agg(F.count(F.when(F.col("__c") > 1, F.lit(1))).alias("d")))
-    parts.append(_row(dup_orders, "orders.duplicate_order_id", "eq", F.col("d"), 0))
-    dup_items = (items.groupBy("order_id", "item_id").agg(F.count(F.lit(1)).alias("__c"))
-                 .agg(F.count(F.when(F.col("__c") > 1, F.lit(1))).alias("d")))
-    parts.append(_row(dup_items, "items.duplicate_item_key", "eq", F.col("d"), 0))
+    dup_orders = (orders.groupBy("order_id").agg(F.count(one).alias("__c"))
+                  .agg(F.count(F.when(F.col("__c") > 1, one)).alias("d")))
+    parts.append(_checks(dup_orders, [("orders.duplicate_order_id", "eq", "d", "0")]))
+    dup_items = (items.groupBy("order_id", "item_id").agg(F.count(one).alias("__c"))
+                 .agg(F.count(F.when(F.col("__c") > 1, one)).alias("d")))
+    parts.append(_checks(dup_items, [("items.duplicate_item_key", "eq", "d", "0")]))
 
     # DQ9 referential integrity: rows per key on the referencing side, then a
     # left join on the distinct referenced keys
-    order_keys = orders.select("order_id").distinct().withColumn("__hit", F.lit(1))
+    order_keys = orders.select(F.col("order_id").alias("__ok")).distinct().withColumn("__hit", one)
 
-    def orphans(df: DataFrame, key: str) -> DataFrame:
-        per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-        return (per_key.join(order_keys, per_key[key] == order_keys["order_id"], "left")
-                .agg(F.coalesce(F.sum(F.when(F.col("__hit").isNull(), F.col("__n"))), F.lit(0)).alias("d")))
+    def orphans(df: DataFrame) -> DataFrame:
+        per_key = df.groupBy(F.col("order_id").alias("__k")).agg(F.count(one).alias("__n"))
+        return (per_key.join(order_keys, per_key["__k"] == order_keys["__ok"], "left")
+                .agg(F.sum(F.when(F.col("__hit").isNull(), F.col("__n"))).alias("d")))
 
-    parts.append(_row(j_agg, "orders.orphan_customer", "eq", F.col("orphans"), 0))
-    parts.append(_row(orphans(items.select(F.col("order_id").alias("__k")), "__k"),
-                      "items.orphan_order", "eq", F.col("d"), 0))
-    parts.append(_row(orphans(reviews.select(F.col("order_id").alias("__k")), "__k"),
-                      "reviews.orphan_order", "eq", F.col("d"), 0))
+    parts.append(_checks(orphans(items), [("items.orphan_order", "eq", "coalesce(d, 0)", "0")]))
+    parts.append(_checks(orphans(reviews), [("reviews.orphan_order", "eq", "coalesce(d, 0)", "0")]))
 
     # DQ10 dense-rank continuity
     rk = ranking.agg(F.max("rank").alias("mx"), F.countDistinct("rank").alias("nd"),
-                     F.min("rank").alias("mn"),
-                     F.count(F.when(F.col("rank") == 1, F.lit(1))).alias("top"))
-    parts.append(_row(rk, "ranking.rank_gaps", "eq", F.coalesce(F.col("mx") - F.col("nd"), F.lit(0)), 0))
-    parts.append(_row(rk, "ranking.min_rank", "eq", F.col("mn"), 1))
-    parts.append(_row(rk, "ranking.rank1_rows", "ge", F.col("top"), 1))
-
-    report = _union(parts)
-    ok = (F.when(F.col("rule") == "info", F.lit(True))
-          .when(F.col("rule") == "ge", F.col("actual") >= F.col("expected"))
-          .otherwise(F.col("actual") == F.col("expected")))
-    report = report.withColumn("ok", F.coalesce(ok, F.lit(False)))
+                     F.min("rank").alias("mn"), F.count(F.when(F.col("rank") == 1, one)).alias("top"))
+    parts.append(_checks(rk, [("ranking.rank_gaps", "eq", "coalesce(mx - nd, 0)", "0"),
+                              ("ranking.min_rank", "eq", "mn", "1"),
+                              ("ranking.rank1_rows", "ge", "top", "1")]))
+
+    report = _union(parts).selectExpr(
+        "`check`", "rule", "actual", "expected",
+        "coalesce(CASE WHEN rule = 'info' THEN true WHEN rule = 'ge' THEN actual >= expected "
+        "ELSE actual = expected END, false) AS ok")
     # The check table has one row per check.  Materialise it once in the shared
     # checkpoint folder so the summary below does not re-run every check.
-    ensure_checkpoint_dir(report.sparkSession)
-    report = report.checkpoint(eager=True)
+    report = materialize(report, "quality-report")
     # DQ11 summary row
-    summary = report.agg(F.count(F.when(~F.col("ok"), F.lit(1))).alias("failed")).select(
-        F.lit("summary.failed_checks").alias("check"), F.lit("eq").alias("rule"),
-        F.col("failed").cast("long").alias("actual"), F.lit(0).cast("long").alias("expected"),
-        (F.col("failed") == 0).alias("ok"))
+    summary = report.agg(F.count(F.when(~F.col("ok"), one)).alias("failed")).selectExpr(
+        "'summary.failed_checks' AS `check`", "'eq' AS rule", "CAST(failed AS BIGINT) AS actual",
+        "CAST(0 AS BIGINT) AS expected", "failed = 0 AS ok")
     return report.unionByName(summary)
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.joins import fixed_broadcast
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import materialize
 
 
 def top_k_per_group(df: DataFrame, group: str | Sequence[str], order: Sequence[Column],
@@ -54,8 +54,9 @@ def dense_rank_global(df: DataFrame, value: str, rank_col: str = "rank", *,
     1. Distinct values are range-partitioned on ``value`` (equal values always
        share a partition, and partition ``i`` holds only values that rank
        before those of partition ``i+1``).
-    2. The layout is checkpointed to the shared checkpoint folder so both
-       following passes see the same partitioning even if an executor is lost.
+    2. The layout (value, partition id) is written once to the shared
+       checkpoint folder, so both following passes see the same assignment
+       even if an executor is lost.
     3. Values are counted per partition (one row per partition), turned into
        prefix offsets, and each value's rank is its local ``row_number`` plus
        the offset of its partition.  ``row_number`` on distinct values is the
@@ -66,21 +67,20 @@ def dense_rank_global(df: DataFrame, value: str, rank_col: str = "rank", *,
 
     ``checkpoint_input=True`` materialises ``df`` first — worthwhile when it
     is a compact aggregate that would otherwise be recomputed for step 4.
+    Spark's range partitioner samples its input (one extra, cheap pass).
 
     A null ``value`` ranks last, as with ``dense_rank`` over
     ``value DESC NULLS LAST``.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     if checkpoint_input:
-        df = df.checkpoint(eager=True)
+        df = materialize(df, "rank-input")
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
     distinct_values = df.select(value).distinct()
-    laid_out = (distinct_values.repartitionByRange(partitions, order)
-                .withColumn("__part", F.spark_partition_id())
-                .checkpoint(eager=True))
+    laid_out = materialize(distinct_values.repartitionByRange(partitions, order)
+                           .withColumn("__part", F.spark_partition_id()), "rank-layout")
     counts = laid_out.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     # one row per partition: a bounded table, ordered on a single task
     offsets = counts.select(

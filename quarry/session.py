@@ -14,8 +14,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -81,3 +82,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
                                dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir() or scratch
+
+
+def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return a DataFrame reading it back.
+
+    This cuts lineage like ``checkpoint()`` but in a single job (an eager RDD
+    checkpoint computes, then recomputes to write) and the re-read plan has
+    real file statistics for the optimizer.  The folder is the cluster's
+    ``spark.checkpoint.dir``, so the result survives executor loss.
+    """
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    path = f"{root.rstrip('/')}/quarry-tables/{label}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
