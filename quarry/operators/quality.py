@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.casts import lenient_int
-from quarry.functions.times import as_timestamp
+from quarry.functions.numeric import amount_units, units_sum
+from quarry.functions.times import as_timestamp, year_range
 from quarry.operators.commerce import SCORE_MAX, SCORE_MIN
-from quarry.session import materialize
 
 CHECK_COLUMNS = ("check", "rule", "actual", "expected")
 
@@ -49,21 +49,26 @@ def _count_rule(name: str, expected_rows: Mapping[str, int]) -> Check:
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Union of same-schema frames as a balanced tree: each ``union`` re-analyses
+    its inputs, so a left-deep chain of n unions costs O(n^2) analysis."""
+    parts = list(parts)
+    while len(parts) > 1:
+        parts = [parts[i].union(parts[i + 1]) if i + 1 < len(parts) else parts[i]
+                 for i in range(0, len(parts), 2)]
+    return parts[0]
 
 
 def validation_report(orders: DataFrame, customers: DataFrame, items: DataFrame,
                       products: DataFrame, reviews: DataFrame, ranking: DataFrame, *,
                       expected_rows: Mapping[str, int] | None = None,
-                      required_columns: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+                      required_columns: Mapping[str, Sequence[str]] | None = None,
+                      year: int | None = None, money_scale: int = 2) -> DataFrame:
     """The validation report over the commerce inputs and a seller ranking.
 
     ``expected_rows``: table -> row count to require (DQ1); without it a table
     only has to be non-empty.  ``required_columns``: table -> columns that must
-    exist (DQ2, checked on the schema)."""
+    exist (DQ2, checked on the schema).  With ``year``, the revenue job of that
+    year is checked too: no item lost at the product join, revenue positive."""
     tables = {"orders": orders, "customers": customers, "items": items,
               "products": products, "reviews": reviews}
     expected_rows = dict(expected_rows or {})
@@ -76,23 +81,34 @@ def validation_report(orders: DataFrame, customers: DataFrame, items: DataFrame,
     o_agg = (orders.groupBy(F.year(ts).alias("__y"), F.month(ts).alias("__mo"))
              .agg(F.count("order_id").alias("c"), F.count(one).alias("r"))
              .agg(F.coalesce(F.sum("c"), F.lit(0)).alias("grouped"),
-                  F.coalesce(F.sum("r"), F.lit(0)).alias("n")))
-    parts.append(_checks(o_agg, [_count_rule("orders", expected_rows),
-                                 ("orders_by_year_month.total", "eq", "grouped", "n")]))
+                  F.coalesce(F.sum("r"), F.lit(0)).alias("n"),
+                  F.coalesce(F.sum(F.when(F.col("__y").isNull(), F.col("r"))), F.lit(0)).alias("null_ts"),
+                  F.coalesce(F.sum(F.when(F.col("__y") == F.lit(year), F.col("r"))), F.lit(0))
+                  .alias("in_year")))
+    o_checks = [_count_rule("orders", expected_rows),
+                ("orders.null_purchase_ts", "eq", "null_ts", "0"),
+                ("orders_by_year_month.total", "eq", "grouped", "n")]
+    if year is not None:
+        o_checks.append(("year.orders", "info", "in_year", None))
+    parts.append(_checks(o_agg, o_checks))
 
     # customers: rows, plus the schema checks (DQ2: metadata, no data read)
-    c_agg = customers.agg(F.count(one).alias("n"))
-    c_checks = [_count_rule("customers", expected_rows)]
+    c_agg = customers.agg(F.count(one).alias("n"), F.countDistinct("customer_id").alias("ids"))
+    c_checks = [_count_rule("customers", expected_rows), ("customers.distinct_ids", "info", "ids", None)]
     for table, cols in (required_columns or {}).items():
         present = set(tables[table].columns)
         c_checks += [(f"{table}.has_column.{c}", "eq", "1" if c in present else "0", "1") for c in cols]
     parts.append(_checks(c_agg, c_checks))
 
     # items and products: rows, negative amounts, null category (DQ1, DQ4, DQ7)
-    i_agg = items.agg(F.count(one).alias("n"),
+    i_agg = items.agg(F.count(one).alias("n"), F.count("item_id").alias("with_id"),
+                      F.countDistinct("seller_id").alias("sellers"),
                       F.count(F.when(F.col("price") < 0, one)).alias("neg_price"),
                       F.count(F.when(F.col("freight") < 0, one)).alias("neg_freight"))
     parts.append(_checks(i_agg, [_count_rule("items", expected_rows),
+                                 ("items.distinct_sellers", "info", "sellers", None),
+                                 # per-product sales counts add up to the item rows (DQ5)
+                                 ("sales_count.total", "eq", "with_id", "n"),
                                  ("items.negative_price", "eq", "neg_price", "0"),
                                  ("items.negative_freight", "eq", "neg_freight", "0")]))
     p_agg = products.agg(F.count(one).alias("n"),
@@ -108,12 +124,16 @@ def validation_report(orders: DataFrame, customers: DataFrame, items: DataFrame,
         F.count(F.when(F.col("score").isNull(), one)).alias("null_score"),
         F.count(F.when(F.col("score") == F.lit(""), one)).alias("empty_score"),
         F.count(F.when(valid, one)).alias("valid"),
-        F.sum(F.when(valid, score)).alias("total"))
+        F.sum(F.when(valid, score)).alias("total"),
+        F.min(F.when(valid, score)).alias("lo"), F.max(F.when(valid, score)).alias("hi"))
     parts.append(_checks(r_agg, [
         _count_rule("reviews", expected_rows),
         ("reviews.null_score", "info", "null_score", None),
         ("reviews.empty_score", "info", "empty_score", None),
         ("reviews.valid_score", "info", "valid", None),
+        ("reviews.invalid_score", "info", "n - valid", None),
+        ("reviews.min_valid_score", "info", "lo", None),
+        ("reviews.max_valid_score", "info", "hi", None),
         # the valid mean lies in [1, 5]: 1*valid <= total <= 5*valid
         ("reviews.mean_in_range", "eq",
          "CASE WHEN total >= valid AND total <= valid * 5 THEN 1 ELSE 0 END", "1")]))
@@ -128,8 +148,10 @@ def validation_report(orders: DataFrame, customers: DataFrame, items: DataFrame,
              .agg(F.sum("__n").alias("orders"),
                   F.sum(F.col("__n") * F.coalesce(F.col("__m"), F.lit(0))).alias("rows"),
                   F.sum(F.col("__n") * F.coalesce(F.col("__mnull"), F.lit(0))).alias("nulls"),
-                  F.sum(F.when(F.col("__m").isNull(), F.col("__n"))).alias("orphans")))
+                  F.sum(F.when(F.col("__m").isNull(), F.col("__n"))).alias("orphans"),
+                  F.count("customer_id").alias("ids")))
     parts.append(_checks(j_agg, [
+        ("orders.distinct_customers", "info", "ids", None),
         ("orders_join_customers.rows", "eq", "coalesce(rows, 0)", "coalesce(orders, 0)"),
         ("orders_join_customers.null_country", "eq", "coalesce(nulls, 0)", "0"),
         ("orders.orphan_customer", "eq", "coalesce(orphans, 0)", "0")]))
@@ -154,6 +176,34 @@ def validation_report(orders: DataFrame, customers: DataFrame, items: DataFrame,
     parts.append(_checks(orphans(items), [("items.orphan_order", "eq", "coalesce(d, 0)", "0")]))
     parts.append(_checks(orphans(reviews), [("reviews.orphan_order", "eq", "coalesce(d, 0)", "0")]))
 
+    # DQ7 per-product mean review score within [1, 5] (item x review pairs,
+    # computed from per-order sums as in the top-products job)
+    score_per_order = (reviews.select("order_id", score.alias("__s")).filter(valid)
+                       .groupBy("order_id").agg(F.sum("__s").alias("__s"), F.count(one).alias("__c")))
+    product_means = (items.select("order_id", "product_id").join(score_per_order, "order_id", "inner")
+                     .groupBy("product_id").agg(F.sum("__s").alias("__ws"), F.sum("__c").alias("__wn"))
+                     .agg(F.count(F.when((F.col("__ws") < F.col("__wn")) | (F.col("__ws") > F.col("__wn") * 5),
+                                         one)).alias("bad")))
+    parts.append(_checks(product_means, [("products.mean_out_of_range", "eq", "bad", "0")]))
+
+    if year is not None:
+        # the revenue job of ``year``: items of the year's orders, per product
+        # first, then the product multiplicities (an inner join keeps n * m rows)
+        in_year = orders.filter(year_range(orders, "purchase_ts", year)).select("order_id")
+        units = amount_units("price", money_scale) + amount_units("freight", money_scale)
+        per_product = (items.join(in_year, "order_id", "inner").groupBy("product_id")
+                       .agg(F.count(one).alias("__n"), units_sum(units).alias("__u")))
+        product_rows = products.groupBy("product_id").agg(F.count(one).alias("__m"))
+        y_agg = (per_product.join(product_rows, "product_id", "left")
+                 .agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("items"),
+                      F.coalesce(F.sum(F.col("__n") * F.coalesce(F.col("__m"), F.lit(0))), F.lit(0))
+                      .alias("joined"),
+                      F.sum(F.when(F.col("__m").isNotNull(), F.col("__u") * F.col("__m"))).alias("revenue")))
+        parts.append(_checks(y_agg, [
+            ("year.items", "info", "items", None),
+            ("year.items_after_product_join", "eq", "joined", "items"),
+            ("year.revenue_positive", "eq", "CASE WHEN revenue > 0 THEN 1 ELSE 0 END", "1")]))
+
     # DQ10 dense-rank continuity
     rk = ranking.agg(F.max("rank").alias("mx"), F.countDistinct("rank").alias("nd"),
                      F.min("rank").alias("mn"), F.count(F.when(F.col("rank") == 1, one)).alias("top"))
@@ -165,10 +215,8 @@ def validation_report(orders: DataFrame, customers: DataFrame, items: DataFrame,
         "`check`", "rule", "actual", "expected",
         "coalesce(CASE WHEN rule = 'info' THEN true WHEN rule = 'ge' THEN actual >= expected "
         "ELSE actual = expected END, false) AS ok")
-    # The check table has one row per check.  Materialise it once in the shared
-    # checkpoint folder so the summary below does not re-run every check.
-    report = materialize(report, "quality-report")
-    # DQ11 summary row
+    # DQ11 summary row: its input is the same plan as the report, so Spark's
+    # exchange reuse computes every check aggregate once for both
     summary = report.agg(F.count(F.when(~F.col("ok"), one)).alias("failed")).selectExpr(
         "'summary.failed_checks' AS `check`", "'eq' AS rule", "CAST(failed AS BIGINT) AS actual",
         "CAST(0 AS BIGINT) AS expected", "failed = 0 AS ok")

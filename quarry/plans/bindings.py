@@ -50,12 +50,27 @@ MONEY_SCALE = 4          # decimals of price + price x rate
 
 
 class Bindings:
-    """Logical operator inputs over one benchmark directory."""
+    """Logical operator inputs over one benchmark directory.
+
+    ``Bindings.of(spark, sf_dir)`` returns one instance per application and
+    directory, so the lazy table projections, the input spreading decision and
+    the dimension size probes are made once per session and shared by every
+    query that runs in it."""
+
+    _cache: dict[tuple[str, str], "Bindings"] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Bindings":
+        key = (spark.sparkContext.applicationId, sf_dir)
+        found = cls._cache.get(key)
+        if found is None or found.spark is not spark:
+            found = cls._cache[key] = cls(spark, sf_dir)
+        return found
+
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 

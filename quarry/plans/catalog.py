@@ -26,7 +26,7 @@ QUERIES: dict[str, Query] = {}
 def register(name: str):
     def deco(fn: Callable[[Bindings], DataFrame]) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Bindings(spark, sf_dir))
+            return fn(Bindings.of(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -239,7 +239,8 @@ def _validation(b: Bindings) -> DataFrame:
                 "items": ["seller_id", "price"], "products": ["category"], "reviews": ["score"]}
     return quality.validation_report(b.orders, b.customers, b.items, b.products, b.score_reviews,
                                      commerce.seller_ranking(b.items, MONEY_SCALE),
-                                     required_columns=required)
+                                     required_columns=required, year=REVENUE_YEAR,
+                                     money_scale=MONEY_SCALE)
 
 
 @register("validation_leaders")

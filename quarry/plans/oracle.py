@@ -357,6 +357,9 @@ WITH {_CUSTOMERS}, {_VALID_SCORES},
   sellers AS (SELECT l_suppkey AS seller_id, CAST(sum({_REVENUE}) AS DOUBLE) AS total_revenue
               FROM lineitem GROUP BY l_suppkey),
   ranked AS (SELECT dense_rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS rk FROM sellers),
+  year_items AS (SELECT l.* FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+                 WHERE o.o_orderdate >= TIMESTAMP '{REVENUE_YEAR}-01-01'
+                   AND o.o_orderdate < TIMESTAMP '{REVENUE_YEAR + 1}-01-01'),
   checks AS (
   SELECT 'orders.row_count' AS "check", 'ge' AS rule, count(*) AS actual, 1 AS expected FROM orders
   UNION ALL SELECT 'customers.row_count', 'ge', count(*), 1 FROM cust
@@ -380,6 +383,28 @@ WITH {_CUSTOMERS}, {_VALID_SCORES},
                    (SELECT count(*) FROM orders o JOIN cust c ON o.o_custkey = c.customer_id
                     WHERE c.country IS NULL), 0
   UNION ALL SELECT 'orders_by_year_month.total', 'eq', count(o_orderkey), count(*) FROM orders
+  UNION ALL SELECT 'orders.null_purchase_ts', 'eq', count(*) - count(o_orderdate), 0 FROM orders
+  UNION ALL SELECT 'year.orders', 'info', count(CASE WHEN year(o_orderdate) = {REVENUE_YEAR} THEN 1 END), NULL
+            FROM orders
+  UNION ALL SELECT 'orders.distinct_customers', 'info', count(DISTINCT o_custkey), NULL FROM orders
+  UNION ALL SELECT 'customers.distinct_ids', 'info', count(DISTINCT customer_id), NULL FROM cust
+  UNION ALL SELECT 'items.distinct_sellers', 'info', count(DISTINCT l_suppkey), NULL FROM lineitem
+  UNION ALL SELECT 'sales_count.total', 'eq', count(l_linenumber), count(*) FROM lineitem
+  UNION ALL SELECT 'reviews.invalid_score', 'info', (SELECT count(*) FROM events) - count(*), NULL FROM v
+  UNION ALL SELECT 'reviews.min_valid_score', 'info', min(score), NULL FROM v
+  UNION ALL SELECT 'reviews.max_valid_score', 'info', max(score), NULL FROM v
+  UNION ALL SELECT 'products.mean_out_of_range', 'eq', count(*), 0 FROM (
+            SELECT l.l_partkey, sum(po.s) AS ws, sum(po.n) AS wn
+            FROM lineitem l JOIN (SELECT order_id, sum(score) AS s, count(*) AS n FROM v GROUP BY order_id) po
+              ON l.l_orderkey = po.order_id
+            GROUP BY l.l_partkey) WHERE ws < wn OR ws > 5 * wn
+  UNION ALL SELECT 'year.items', 'info', count(*), NULL FROM year_items
+  UNION ALL SELECT 'year.items_after_product_join', 'eq',
+                   (SELECT count(*) FROM year_items y JOIN part p ON y.l_partkey = p.p_partkey),
+                   (SELECT count(*) FROM year_items)
+  UNION ALL SELECT 'year.revenue_positive', 'eq',
+                   CASE WHEN sum({_REVENUE}) > 0 THEN 1 ELSE 0 END, 1
+            FROM year_items y JOIN part p ON y.l_partkey = p.p_partkey
   UNION ALL SELECT 'orders.duplicate_order_id', 'eq', count(*), 0
             FROM (SELECT o_orderkey FROM orders GROUP BY o_orderkey HAVING count(*) > 1)
   UNION ALL SELECT 'items.duplicate_item_key', 'eq', count(*), 0

@@ -146,8 +146,30 @@ def test_validation_report(data):
     assert got["reviews.valid_score"][0] == 4 and got["reviews.mean_in_range"] == (1, 1, True)
     assert got["ranking.rank_gaps"] == (0, 0, True) and got["ranking.min_rank"] == (1, 1, True)
     assert got["orders.duplicate_order_id"] == (0, 0, True)
+    assert got["orders.null_purchase_ts"] == (1, 0, False)        # 'garbage' does not parse
+    assert got["sales_count.total"] == (8, 8, True)
+    assert got["products.mean_out_of_range"] == (0, 0, True)
+    assert got["customers.distinct_ids"][0] == 3 and got["items.distinct_sellers"][0] == 5
+    assert got["orders.distinct_customers"][0] == 4 and got["reviews.invalid_score"][0] == 5
+    assert got["reviews.min_valid_score"][0] == 3 and got["reviews.max_valid_score"][0] == 5
     failed = sum(1 for k, v in got.items() if k != "summary.failed_checks" and not v[2])
-    assert got["summary.failed_checks"] == (failed, 0, False) and failed == 8
+    assert got["summary.failed_checks"] == (failed, 0, False) and failed == 9
+
+
+def test_validation_report_year_checks(data):
+    orders, customers, items, products, reviews = data
+    rep = Q.validation_report(orders, customers, items, products, reviews, C.seller_ranking(items),
+                              year=2024)
+    got = {r["check"]: (r["actual"], r["expected"], r["ok"]) for r in rep.collect()}
+    assert got["year.orders"][0] == 4                       # o1, o2, o5, o6
+    assert got["year.items"][0] == 6                        # o1 x2, o2 x2, o5, o6
+    assert got["year.items_after_product_join"] == (6, 6, True)
+    assert got["year.revenue_positive"] == (1, 1, True)
+    no_products = products.filter("product_id = 'p1'")
+    rep2 = Q.validation_report(orders, customers, items, no_products, reviews, C.seller_ranking(items),
+                               year=2024)
+    got2 = {r["check"]: (r["actual"], r["expected"], r["ok"]) for r in rep2.collect()}
+    assert got2["year.items_after_product_join"] == (2, 6, False)
 
 
 def test_validation_report_duplicates(spark, data):
