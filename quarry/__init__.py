@@ -6,6 +6,6 @@ the driver inside the library.  ``quarry.plans`` binds the operators to the
 benchmark tables and carries the SQL oracle used for cross-checking.
 """
 
-from quarry.session import build_session, ensure_checkpoint_dir, materialize
+from quarry.session import build_session, cluster_conf, ensure_checkpoint_dir, materialize
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "materialize"]
+__all__ = ["build_session", "cluster_conf", "ensure_checkpoint_dir", "materialize"]

@@ -24,9 +24,41 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot join key even when that costs one more shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
 }
 
+MIB = 1024 * 1024
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 split_mib: int = 512) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster run over ``input_bytes`` of data.
+
+    * scans: ``split_mib`` per input split, so a task's input fits in its
+      share of executor memory while the number of map tasks stays moderate;
+    * shuffles: about one partition per GiB of input, clamped to 3..8 waves of
+      the cluster's cores (map tasks x reduce partitions is the shuffle's block
+      count, so it must not explode); AQE then coalesces small partitions
+      towards an advisory size, splits skewed ones and turns joins whose
+      measured side is small into broadcasts.
+
+    For 100 TB on 1000 executors x 8 cores: 512 MiB splits (~205k map tasks)
+    and 64k initial shuffle partitions.
+    """
+    cores = max(1, executors * cores_per_executor)
+    by_size = input_bytes // (1024 * MIB)
+    initial = min(max(by_size, 3 * cores), 8 * cores)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_mib * MIB),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MIB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MIB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * MIB),
+    }
+
 
 def build_session(master: str | None = None, app_name: str = "quarry",
                   shuffle_partitions: int | None = None,

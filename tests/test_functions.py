@@ -88,3 +88,12 @@ def test_year_range_is_half_open(spark):
                                                            (dt.datetime(2024, 12, 31, 23, 59, 59),)]
     text = spark.createDataFrame([("2024-01-01 00:00",), ("2023-12-31 23:59",)], "s string")
     assert text.filter(year_range(text, "s", 2024)).count() == 1
+
+
+def test_cluster_conf_bounds():
+    from quarry.session import cluster_conf
+    big = cluster_conf(100 * 2 ** 40, 1000, 8)
+    assert int(big["spark.sql.shuffle.partitions"]) == 64000            # clamped to 8 waves
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 512 * 2 ** 20
+    small = cluster_conf(2 ** 30, 1, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24              # at least 3 waves
