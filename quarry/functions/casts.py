@@ -21,8 +21,3 @@ def lenient_float(text: str | Column) -> Column:
     """String -> float32, NULL when it does not parse (SRC1 rating field)."""
     c = F.col(text) if isinstance(text, str) else text
     return F.trim(c).try_cast("float")
-
-
-def lenient_double(text: str | Column) -> Column:
-    c = F.col(text) if isinstance(text, str) else text
-    return F.trim(c).try_cast("double")

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.casts import lenient_float
 from quarry.functions.text import java_trim
 
 Paths = str | Sequence[str]
@@ -49,7 +50,7 @@ def read_ratings_lenient(spark: SparkSession, paths: Paths) -> DataFrame:
     dropped; ``ts`` is NULL when the fourth field is absent or not a number."""
     parts = _fields(F.col("line"))
     rows = _lines(spark, paths).select(parts.alias("p"))
-    rating = F.col("p")[2].try_cast("float")
+    rating = lenient_float(F.col("p")[2])
     return (rows.filter((F.size("p") >= 3) & rating.isNotNull())
             .select(F.col("p")[0].alias("user_id"), F.col("p")[1].alias("movie_id"),
                     rating.alias("rating"),

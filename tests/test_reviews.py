@@ -99,3 +99,10 @@ def test_top_words_matches_self_join_definition(spark):
         if rank <= 5:
             want.add((c, w, f, rank))
     assert got == want
+
+
+def test_normalized_comments(data):
+    reviews, _ = data
+    out = {r.rid: r.clean_comment for r in V.normalized_comments(reviews).collect()}
+    assert out[1] == "phòng sạch sẽ  nhân viên thân thiện "
+    assert out[4] is None
