@@ -112,6 +112,12 @@ def _clean_words(b: Bindings) -> DataFrame:
     return reviews.clean_words(b.text_reviews, b.stopwords)
 
 
+@register("normalized_comments")
+def _normalized(b: Bindings) -> DataFrame:
+    """J7 side output: each review with its normalised (lower-case, punctuation-free) text."""
+    return reviews.normalized_comments(b.text_reviews)
+
+
 @register("word_freq_over_threshold")
 def _word_freq(b: Bindings) -> DataFrame:
     """Words seen more than 500 times."""

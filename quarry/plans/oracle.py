@@ -223,6 +223,12 @@ FROM lineitem GROUP BY year(l_shipdate)""",
 WITH {_LABELLED_DOCS},{_WORDS}
 SELECT word, rid, category, aspect, sentiment FROM words""",
 
+    "normalized_comments": f"""
+WITH {_LABELLED_DOCS}
+SELECT rid, lower(regexp_replace(comment, '[^\\p{{L}}\\p{{N}}\\s]', ' ', 'g')) AS clean_comment,
+       category, aspect, sentiment
+FROM docs""",
+
     "word_freq_over_threshold": f"""
 WITH toks AS (SELECT {_TOKENS.format(col='text')} AS word FROM documents),
   words AS (SELECT word FROM toks WHERE {_KEEP})
