@@ -97,11 +97,20 @@ def genre_stats(ratings: DataFrame, movies: DataFrame, *, sep: str = "|",
             .orderBy("genre"))
 
 
-def _user_side(ratings: DataFrame, users: DataFrame, cols: Sequence[str]) -> DataFrame:
+def _user_side(ratings: DataFrame, users: DataFrame | None, cols: Sequence[str]) -> DataFrame:
+    """Ratings with the user attributes ``cols``: an inner join on ``user_id``
+    (ratings of unknown users are dropped), or, with ``users=None``, ratings
+    that already carry them — a caller that joined the users to a smaller
+    table first (orders x customers) saves a fact-sized shuffle."""
+    if users is None:
+        missing = [c for c in cols if c not in ratings.columns]
+        if missing:
+            raise ValueError(f"ratings lack user attributes {missing}; pass users")
+        return ratings
     return ratings.join(users.select("user_id", *cols), "user_id", "inner")
 
 
-def gender_stats(ratings: DataFrame, users: DataFrame, movies: DataFrame, *,
+def gender_stats(ratings: DataFrame, users: DataFrame | None, movies: DataFrame, *,
                  genders: Sequence[str] = ("M", "F"), case_insensitive: bool = False,
                  by: str = "id", fill: float | None = None, precision: str = "double",
                  on_missing: str = "label") -> DataFrame:
@@ -118,7 +127,7 @@ def gender_stats(ratings: DataFrame, users: DataFrame, movies: DataFrame, *,
                  on_missing=on_missing)
 
 
-def age_group_stats_wide(ratings: DataFrame, users: DataFrame, movies: DataFrame, *,
+def age_group_stats_wide(ratings: DataFrame, users: DataFrame | None, movies: DataFrame, *,
                          bounds: Sequence[float] = AGE_BOUNDS,
                          labels: Sequence[str] = AGE_LABELS_DASH, age_col: str = "age",
                          by: str = "id", fill: float | None = None,
@@ -170,7 +179,7 @@ def _wide(rated: DataFrame, movies: DataFrame, key: str, values: Sequence[str],
     return stats.select(*cols).orderBy(*order)
 
 
-def age_group_stats_long(ratings: DataFrame, users: DataFrame, movies: DataFrame, *,
+def age_group_stats_long(ratings: DataFrame, users: DataFrame | None, movies: DataFrame, *,
                          bounds: Sequence[float] = AGE_BOUNDS,
                          labels: Sequence[str] = AGE_LABELS_DASH, age_col: str = "age",
                          precision: str = "double", on_missing: str = "label") -> DataFrame:
@@ -189,17 +198,23 @@ def age_group_stats_long(ratings: DataFrame, users: DataFrame, movies: DataFrame
             .orderBy(F.lower("title"), bucket_ordinal("age_group", labels), "movie_id"))
 
 
-def occupation_stats(ratings: DataFrame, users: DataFrame, occupations: DataFrame, *,
+def occupation_stats(ratings: DataFrame, users: DataFrame | None, occupations: DataFrame, *,
                      precision: str = "double") -> DataFrame:
     """``(occupation_id, occupation, avg_rating, total_ratings)`` (J5); an id
     without a name is labelled ``'?'``.  Ordered by ``lower(occupation)``, id.
 
-    Ratings are first reduced to one row per user, so the users join and the
-    occupation aggregate see (#users) rows."""
-    per_user = ratings.groupBy("user_id").agg(F.sum("rating").alias("__sum"),
-                                              F.count("rating").alias("__n"))
-    joined = per_user.join(users.select("user_id", F.col("occupation").alias("occupation_id")),
-                           "user_id", "inner")
+    With a users table, ratings are first reduced to one row per user, so the
+    users join and the occupation aggregate see (#users) rows; with
+    ``users=None`` the ratings carry ``occupation`` already."""
+    if users is None:
+        joined = _user_side(ratings, None, ["occupation"]).select(
+            F.col("occupation").alias("occupation_id"), F.col("rating").alias("__sum"),
+            F.when(F.col("rating").isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias("__n"))
+    else:
+        per_user = ratings.groupBy("user_id").agg(F.sum("rating").alias("__sum"),
+                                                  F.count("rating").alias("__n"))
+        joined = per_user.join(users.select("user_id", F.col("occupation").alias("occupation_id")),
+                               "user_id", "inner")
     stats = (joined.groupBy("occupation_id")
              .agg(F.sum("__sum").alias("__sum"), F.sum("__n").alias("total_ratings")))
     stats = stats.select("occupation_id",

@@ -69,34 +69,34 @@ def _genre_stats_f32(b: Bindings) -> DataFrame:
 @register("gender_stats")
 def _gender_stats(b: Bindings) -> DataFrame:
     """Wide male/female mean and count per movie."""
-    return ratings.gender_stats(b.ratings_with_user, b.users, b.movies)
+    return ratings.gender_stats(b.ratings_with_user, None, b.movies)
 
 
 @register("gender_means_by_title")
 def _gender_by_title(b: Bindings) -> DataFrame:
     """J3 (MapReduce form): per title, case-insensitive gender, 0.0 fill, float32."""
-    return ratings.gender_stats(b.ratings_with_user, b.users, b.movies, case_insensitive=True,
+    return ratings.gender_stats(b.ratings_with_user, None, b.movies, case_insensitive=True,
                                 by="title", fill=0.0, precision="float32")
 
 
 @register("age_group_stats")
 def _age_long(b: Bindings) -> DataFrame:
     """J4 long form: (movie, age group) mean and count."""
-    return ratings.age_group_stats_long(b.ratings_with_user, b.users, b.movies,
+    return ratings.age_group_stats_long(b.ratings_with_user, None, b.movies,
                                         bounds=BALANCE_BOUNDS, labels=AGE_LABELS_DASH)
 
 
 @register("age_group_stats_wide")
 def _age_wide(b: Bindings) -> DataFrame:
     """J4 wide form: four groups per movie, 0.0 for an absent group."""
-    return ratings.age_group_stats_wide(b.ratings_with_user, b.users, b.movies,
+    return ratings.age_group_stats_wide(b.ratings_with_user, None, b.movies,
                                         bounds=BALANCE_BOUNDS, labels=AGE_LABELS_OVERLAP, fill=0.0)
 
 
 @register("occupation_stats")
 def _occupation(b: Bindings) -> DataFrame:
     """Mean and count per occupation, unnamed ids as '?'."""
-    return ratings.occupation_stats(b.ratings_with_user, b.users, b.occupations)
+    return ratings.occupation_stats(b.ratings_with_user, None, b.occupations)
 
 
 @register("yearly_stats")
