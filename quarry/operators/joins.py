@@ -24,10 +24,15 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; reads at most
+    ``max_rows + 1`` rows of a scan projection to find out."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
-    fits = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if fits else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def fixed_broadcast(df: DataFrame) -> DataFrame:

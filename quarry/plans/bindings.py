@@ -24,7 +24,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.joins import bounded_broadcast
+from quarry.operators.joins import bounded_broadcast, fits_broadcast
 from quarry.operators.partitioning import spread_for_cpu_work
 from quarry.sources.tables import read_table
 
@@ -86,14 +86,22 @@ class Bindings:
     def ratings_with_user(self) -> DataFrame:
         """Ratings carrying the rater's attributes (gender, age, occupation).
 
-        The two smaller tables are joined first (orders x customers, one row
-        per order) and the fact table joins that once on the order key: one
-        lineitem-sized shuffle instead of two (fact x orders, then x users)."""
-        order_users = (self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"),
-                                                   F.col("o_custkey").alias("user_id"))
-                       .join(self.users, "user_id", "inner"))
+        The plan is chosen from size probes of the base tables:
+
+        * orders and customers within the broadcast bound: both are broadcast
+          and the fact table streams through without any shuffle;
+        * otherwise the two smaller tables are joined first (orders x
+          customers, one row per order) and the fact table joins that once on
+          the order key: one fact-sized shuffle instead of two (fact x orders,
+          then x users)."""
+        orders = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"),
+                                             F.col("o_custkey").alias("user_id"))
         li = self.table("lineitem").select("l_orderkey", F.col("l_partkey").alias("movie_id"),
                                            F.col("l_quantity").alias("rating"))
+        if fits_broadcast(orders) and fits_broadcast(self.users):
+            return (li.join(F.broadcast(orders), "l_orderkey", "inner")
+                    .join(F.broadcast(self.users), "user_id", "inner").drop("l_orderkey"))
+        order_users = orders.join(bounded_broadcast(self.users), "user_id", "inner")
         return li.join(order_users, "l_orderkey", "inner").drop("l_orderkey")
 
     @cached_property
