@@ -146,8 +146,8 @@ def seller_revenue(items: DataFrame, money_scale: int = 2) -> DataFrame:
 def seller_ranking(items: DataFrame, money_scale: int = 2) -> DataFrame:
     """``(seller_id, total_revenue, order_count, rank)``: revenue = sum of
     ``price + freight``, distinct orders, dense rank by revenue desc (J19).
-    The per-seller table is checkpointed once and ranked without a
-    one-partition window."""
+    The per-seller table is written once to the shared checkpoint folder and
+    ranked without a one-partition window."""
     # two levels: (seller, order) sums stay in long units (one order's value),
     # then one row per order gives both the distinct-order count and the total
     per_order = items.groupBy("seller_id", "order_id").agg(F.sum(_revenue_units(money_scale)).alias("__u"))

@@ -4,13 +4,15 @@ Broadcast policy
 ----------------
 A side is broadcast only when its size is *proven* small:
 
-* ``bounded_broadcast(df, max_rows)`` runs ``df.limit(max_rows + 1).count()``
-  — a bounded probe that reads at most ``max_rows + 1`` rows — and hints
-  ``broadcast`` only if the side fits.  Probes are applied to projections of
-  scans (dimension tables), where the limit stops reading early; derived
-  sides (aggregates) are sized from counts the plan already has.  Otherwise the plain join is kept and
-  Spark's sort-merge join (or AQE's runtime conversion, which again checks the
-  real size) handles it.
+* ``fits_broadcast`` / ``bounded_broadcast(df, max_rows)`` run
+  ``df.limit(max_rows + 1).count()`` — a bounded probe that reads at most
+  ``max_rows + 1`` rows — and hint ``broadcast`` only if the side fits.
+  Probes are applied to projections of scans (dimension tables), where the
+  limit stops reading early.  When a side does not fit, the plain join is
+  kept: Spark's sort-merge join, which AQE may still turn into a broadcast
+  from the *measured* shuffle size, and whose hot keys AQE splits.
+* Derived sides (aggregates, joins) are not probed — a probe would compute
+  them — and use plain joins that AQE sizes at run time.
 * Sides whose size is fixed by construction (a one-row aggregate, a literal
   list) are broadcast directly via ``fixed_broadcast``.
 """
