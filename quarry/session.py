@@ -23,6 +23,9 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # coalesce small post-shuffle partitions by size, not "one per core":
+    # fewer, fuller tasks (the recommended setting on a shared cluster)
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even when that costs one more shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
