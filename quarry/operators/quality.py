@@ -100,32 +100,51 @@ def validation_report(orders: DataFrame, customers: DataFrame, items: DataFrame,
         c_checks += [(f"{table}.has_column.{c}", "eq", "1" if c in present else "0", "1") for c in cols]
     parts.append(_checks(c_agg, c_checks))
 
-    # items and products: rows, negative amounts, null category (DQ1, DQ4, DQ7)
-    i_agg = items.agg(F.count(one).alias("n"), F.count("item_id").alias("with_id"),
-                      F.countDistinct("seller_id").alias("sellers"),
-                      F.count(F.when(F.col("price") < 0, one)).alias("neg_price"),
-                      F.count(F.when(F.col("freight") < 0, one)).alias("neg_freight"))
+    def total(c: str) -> F.Column:
+        return F.coalesce(F.sum(c), F.lit(0))
+
+    # Checks that group a table by the same key share one aggregate (one scan,
+    # one exchange): per (order, item) for items, per order for orders and
+    # reviews, per product for products.
+    # items: rows, amounts, duplicate keys (DQ1, DQ5, DQ7, DQ8)
+    per_item_key = items.groupBy("order_id", "item_id").agg(
+        F.count(one).alias("__c"), F.count("item_id").alias("__w"),
+        F.count(F.when(F.col("price") < 0, one)).alias("__np"),
+        F.count(F.when(F.col("freight") < 0, one)).alias("__nf"))
+    i_agg = per_item_key.agg(total("__c").alias("n"), total("__w").alias("with_id"),
+                             total("__np").alias("neg_price"), total("__nf").alias("neg_freight"),
+                             F.count(F.when(F.col("__c") > 1, one)).alias("dup"))
     parts.append(_checks(i_agg, [_count_rule("items", expected_rows),
-                                 ("items.distinct_sellers", "info", "sellers", None),
                                  # per-product sales counts add up to the item rows (DQ5)
                                  ("sales_count.total", "eq", "with_id", "n"),
                                  ("items.negative_price", "eq", "neg_price", "0"),
-                                 ("items.negative_freight", "eq", "neg_freight", "0")]))
-    p_agg = products.agg(F.count(one).alias("n"),
-                         F.count(F.when(F.col("category").isNull(), one)).alias("null_cat"))
+                                 ("items.negative_freight", "eq", "neg_freight", "0"),
+                                 ("items.duplicate_item_key", "eq", "dup", "0")]))
+    sellers = items.agg(F.countDistinct("seller_id").alias("sellers"))
+    parts.append(_checks(sellers, [("items.distinct_sellers", "info", "sellers", None)]))
+
+    # products: rows, null category; the per-product multiplicity is reused below
+    product_rows = products.groupBy("product_id").agg(
+        F.count(one).alias("__m"), F.count(F.when(F.col("category").isNull(), one)).alias("__nc"))
+    p_agg = product_rows.agg(total("__m").alias("n"), total("__nc").alias("null_cat"))
     parts.append(_checks(p_agg, [_count_rule("products", expected_rows),
                                  ("products.null_category", "eq", "null_cat", "0")]))
 
-    # reviews: DQ6 tallies and DQ7 mean range in one pass
+    # reviews: DQ6 tallies and DQ7 mean range, per order first (the per-order
+    # rows also serve the orphan check and the product means)
     score = lenient_int("score")
     valid = score.between(SCORE_MIN, SCORE_MAX)
-    r_agg = reviews.agg(
-        F.count(one).alias("n"),
-        F.count(F.when(F.col("score").isNull(), one)).alias("null_score"),
-        F.count(F.when(F.col("score") == F.lit(""), one)).alias("empty_score"),
-        F.count(F.when(valid, one)).alias("valid"),
-        F.sum(F.when(valid, score)).alias("total"),
-        F.min(F.when(valid, score)).alias("lo"), F.max(F.when(valid, score)).alias("hi"))
+    per_review_order = reviews.groupBy("order_id").agg(
+        F.count(one).alias("__n"),
+        F.count(F.when(F.col("score").isNull(), one)).alias("__null"),
+        F.count(F.when(F.col("score") == F.lit(""), one)).alias("__empty"),
+        F.count(F.when(valid, one)).alias("__valid"),
+        F.sum(F.when(valid, score)).alias("__total"),
+        F.min(F.when(valid, score)).alias("__lo"), F.max(F.when(valid, score)).alias("__hi"))
+    r_agg = per_review_order.agg(
+        total("__n").alias("n"), total("__null").alias("null_score"), total("__empty").alias("empty_score"),
+        total("__valid").alias("valid"), F.sum("__total").alias("total"),
+        F.min("__lo").alias("lo"), F.max("__hi").alias("hi"))
     parts.append(_checks(r_agg, [
         _count_rule("reviews", expected_rows),
         ("reviews.null_score", "info", "null_score", None),
@@ -156,32 +175,29 @@ def validation_report(orders: DataFrame, customers: DataFrame, items: DataFrame,
         ("orders_join_customers.null_country", "eq", "coalesce(nulls, 0)", "0"),
         ("orders.orphan_customer", "eq", "coalesce(orphans, 0)", "0")]))
 
-    # DQ8 key uniqueness
-    dup_orders = (orders.groupBy("order_id").agg(F.count(one).alias("__c"))
-                  .agg(F.count(F.when(F.col("__c") > 1, one)).alias("d")))
+    # DQ8 order-key uniqueness; the same per-order rows are the key set the
+    # DQ9 orphan checks join against
+    per_order_id = orders.groupBy("order_id").agg(F.count(one).alias("__c"))
+    dup_orders = per_order_id.agg(F.count(F.when(F.col("__c") > 1, one)).alias("d"))
     parts.append(_checks(dup_orders, [("orders.duplicate_order_id", "eq", "d", "0")]))
-    dup_items = (items.groupBy("order_id", "item_id").agg(F.count(one).alias("__c"))
-                 .agg(F.count(F.when(F.col("__c") > 1, one)).alias("d")))
-    parts.append(_checks(dup_items, [("items.duplicate_item_key", "eq", "d", "0")]))
+    order_keys = per_order_id.select(F.col("order_id").alias("__ok"), one.alias("__hit"))
 
-    # DQ9 referential integrity: rows per key on the referencing side, then a
-    # left join on the distinct referenced keys
-    order_keys = orders.select(F.col("order_id").alias("__ok")).distinct().withColumn("__hit", one)
+    def orphans(per_key: DataFrame, count_col: str) -> DataFrame:
+        """Rows whose order id is missing from the orders, from per-order counts."""
+        return (per_key.join(order_keys, per_key["order_id"] == order_keys["__ok"], "left")
+                .agg(F.sum(F.when(F.col("__hit").isNull(), F.col(count_col))).alias("d")))
 
-    def orphans(df: DataFrame) -> DataFrame:
-        per_key = df.groupBy(F.col("order_id").alias("__k")).agg(F.count(one).alias("__n"))
-        return (per_key.join(order_keys, per_key["__k"] == order_keys["__ok"], "left")
-                .agg(F.sum(F.when(F.col("__hit").isNull(), F.col("__n"))).alias("d")))
-
-    parts.append(_checks(orphans(items), [("items.orphan_order", "eq", "coalesce(d, 0)", "0")]))
-    parts.append(_checks(orphans(reviews), [("reviews.orphan_order", "eq", "coalesce(d, 0)", "0")]))
+    item_orders = per_item_key.groupBy("order_id").agg(F.sum("__c").alias("__n"))
+    parts.append(_checks(orphans(item_orders, "__n"), [("items.orphan_order", "eq", "coalesce(d, 0)", "0")]))
+    parts.append(_checks(orphans(per_review_order, "__n"),
+                         [("reviews.orphan_order", "eq", "coalesce(d, 0)", "0")]))
 
     # DQ7 per-product mean review score within [1, 5] (item x review pairs,
     # computed from per-order sums as in the top-products job)
-    score_per_order = (reviews.select("order_id", score.alias("__s")).filter(valid)
-                       .groupBy("order_id").agg(F.sum("__s").alias("__s"), F.count(one).alias("__c")))
+    score_per_order = (per_review_order.filter(F.col("__valid") > 0)
+                       .select("order_id", F.col("__total").alias("__s"), F.col("__valid").alias("__v")))
     product_means = (items.select("order_id", "product_id").join(score_per_order, "order_id", "inner")
-                     .groupBy("product_id").agg(F.sum("__s").alias("__ws"), F.sum("__c").alias("__wn"))
+                     .groupBy("product_id").agg(F.sum("__s").alias("__ws"), F.sum("__v").alias("__wn"))
                      .agg(F.count(F.when((F.col("__ws") < F.col("__wn")) | (F.col("__ws") > F.col("__wn") * 5),
                                          one)).alias("bad")))
     parts.append(_checks(product_means, [("products.mean_out_of_range", "eq", "bad", "0")]))
@@ -193,8 +209,7 @@ def validation_report(orders: DataFrame, customers: DataFrame, items: DataFrame,
         units = amount_units("price", money_scale) + amount_units("freight", money_scale)
         per_product = (items.join(in_year, "order_id", "inner").groupBy("product_id")
                        .agg(F.count(one).alias("__n"), units_sum(units).alias("__u")))
-        product_rows = products.groupBy("product_id").agg(F.count(one).alias("__m"))
-        y_agg = (per_product.join(product_rows, "product_id", "left")
+        y_agg = (per_product.join(product_rows.select("product_id", "__m"), "product_id", "left")
                  .agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("items"),
                       F.coalesce(F.sum(F.col("__n") * F.coalesce(F.col("__m"), F.lit(0))), F.lit(0))
                       .alias("joined"),
