@@ -41,6 +41,12 @@ def _movie_stats(b: Bindings) -> DataFrame:
     return ratings.movie_stats(b.ratings, b.movies)
 
 
+@register("movie_stats_float32")
+def _movie_stats_f32(b: Bindings) -> DataFrame:
+    """J1 (MapReduce form): float32 means, an unknown movie titled by its id."""
+    return ratings.movie_stats(b.ratings, b.movies, precision="float32", on_missing="id")
+
+
 @register("best_movie")
 def _best_movie(b: Bindings) -> DataFrame:
     """Best mean among movies with >= 5 ratings (count, title, id tiebreaks)."""

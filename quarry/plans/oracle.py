@@ -154,6 +154,11 @@ ORACLE_SQL: dict[str, str] = {
 WITH {_MOVIE_STATS.format(default="'?'")}
 SELECT movie_id, title, avg_rating, total_ratings FROM m""",
 
+    "movie_stats_float32": f"""
+WITH {_MOVIE_STATS.format(default="CAST(s.movie_id AS VARCHAR)")}
+SELECT m.movie_id, m.title, {_f32_mean('s.sm', 's.total_ratings')} AS avg_rating, m.total_ratings
+FROM m JOIN s ON m.movie_id = s.movie_id""",
+
     "best_movie": f"""
 WITH {_MOVIE_STATS.format(default="'?'")}
 SELECT movie_id, title, avg_rating, total_ratings FROM m WHERE total_ratings >= {MIN_RATINGS_FOR_BEST}
