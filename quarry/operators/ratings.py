@@ -32,6 +32,7 @@ from quarry.functions.times import year_of_epoch
 from quarry.operators.joins import bounded_broadcast, lookup
 from quarry.operators.ranking import first_by
 
+# Fixed value: the label shown for a movie or occupation id without a name.
 MISSING_LABEL = "?"
 
 

@@ -12,6 +12,7 @@ Conventions that keep the comparison exact (both engines agree bit for bit):
 
 from __future__ import annotations
 
+from quarry.functions.buckets import AGE_LABELS_DASH, AGE_LABELS_OVERLAP
 from quarry.plans.bindings import (BALANCE_BOUNDS, MIN_RATINGS_FOR_BEST, REVENUE_YEAR,
                                    SCORE_DIVISOR, STOP_WORDS, TOP_K_WORDS, WORD_FREQ_THRESHOLD)
 from quarry.sources.tables import TABLES
@@ -126,8 +127,8 @@ def _gender_aggs() -> str:
     return ", ".join(parts)
 
 
-_AGE_OVERLAP = ("0-18", "18-35", "35-50", "50+")
-_AGE_DASH = ("0-18", "19-35", "36-50", "51+")
+_AGE_OVERLAP = AGE_LABELS_OVERLAP
+_AGE_DASH = AGE_LABELS_DASH
 _AGE_COLS = ("age_0_18", "age_18_35", "age_35_50", "age_50_plus")
 
 
