@@ -4,13 +4,15 @@ Broadcast policy
 ----------------
 A side is broadcast only when its size is *proven* small:
 
-* ``fits_broadcast`` / ``bounded_broadcast(df, max_rows)`` run
-  ``df.limit(max_rows + 1).count()`` — a bounded probe that reads at most
-  ``max_rows + 1`` rows — and hint ``broadcast`` only if the side fits.
-  Probes are applied to projections of scans (dimension tables), where the
-  limit stops reading early.  When a side does not fit, the plain join is
-  kept: Spark's sort-merge join, which AQE may still turn into a broadcast
-  from the *measured* shuffle size, and whose hot keys AQE splits.
+* ``fits_broadcast`` / ``bounded_broadcast(df, max_rows)`` count the side's
+  rows and hint ``broadcast`` only if it has at most ``max_rows``.  Probes are
+  applied to projections of scans (dimension tables): the count needs no
+  column, so on Parquet/ORC it is answered from row-group metadata, one
+  partial count per task.  (``limit(n).count()`` would be worse at scale: every
+  split ships up to ``n`` rows into one single-partition limit.)  When a side
+  does not fit, the plain join is kept: Spark's sort-merge join, which AQE may
+  still turn into a broadcast from the *measured* shuffle size, and whose hot
+  keys AQE splits.
 * Derived sides (aggregates, joins) are not probed — a probe would compute
   them — and use plain joins that AQE sizes at run time.
 * Sides whose size is fixed by construction (a one-row aggregate, a literal
@@ -27,9 +29,9 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads at most
-    ``max_rows + 1`` rows of a scan projection to find out."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows (an exact, partially
+    aggregated count; metadata-only on a columnar scan projection)."""
+    return df.count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
