@@ -88,3 +88,32 @@ def test_hot_user_gender_means(spark):
     want = {mid: (s[0] / s[1] if s[1] else None, s[1], s[2] / s[3] if s[3] else None, s[3])
             for mid, s in sums.items()}
     assert got == want
+
+
+def test_hot_category_top_k(spark):
+    rnd = random.Random(13)
+    docs = []
+    for i in range(120):
+        cat = "HOT" if i % 3 else f"C{i % 4}"          # two thirds of documents in one category
+        docs.append((i, " ".join(f"w{rnd.randint(0, 40)}" for _ in range(30)), cat, "A", "positive"))
+    r = spark.createDataFrame(docs, "rid int, comment string, category string, aspect string, sentiment string")
+    words = V.clean_words(r, None, keep=("category",))
+    got = set(rows(V.top_words_by_category(words, 3)))
+    freq = Counter((c, w) for _, t, c, *_ in docs for w in t.split())
+    want = set()
+    for (c, w), f in freq.items():
+        rank = sum(1 for (c2, w2), f2 in freq.items() if c2 == c and (f2 > f or (f2 == f and w2 <= w)))
+        if rank <= 3:
+            want.add((c, w, f, rank))
+    assert got == want
+
+
+def test_hot_country_orders(spark):
+    orders = [(f"o{i}", "c-hot" if i % 3 == 0 else f"c{i % 50}") for i in range(900)]
+    customers = [("c-hot", "Hotland")] + [(f"c{i}", f"Country{i % 7}") for i in range(50)]
+    o = spark.createDataFrame(orders, "order_id string, customer_id string")
+    c = spark.createDataFrame(customers, "customer_id string, country string")
+    got = dict(rows(C.orders_by_country(o, c)))
+    country = dict(customers)
+    want = Counter(country[cid] for _, cid in orders if cid in country)
+    assert got == dict(want) and got["Hotland"] == 300
