@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame
 
 
 def spread_for_cpu_work(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a remote session): leave it as is
         return df
-    return df.repartition(target)
+    return df if splits >= target else df.repartition(target)

@@ -65,7 +65,11 @@ class Bindings:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Bindings":
-        key = (spark.sparkContext.applicationId, sf_dir)
+        try:
+            app = spark.sparkContext.applicationId
+        except Exception:  # a session without a local SparkContext handle
+            app = str(id(spark))
+        key = (app, sf_dir)
         found = cls._cache.get(key)
         if found is None or found.spark is not spark:
             found = cls._cache[key] = cls(spark, sf_dir)
