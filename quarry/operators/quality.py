@@ -100,7 +100,7 @@ def validation_report(orders: DataFrame, customers: DataFrame, items: DataFrame,
         c_checks += [(f"{table}.has_column.{c}", "eq", "1" if c in present else "0", "1") for c in cols]
     parts.append(_checks(c_agg, c_checks))
 
-    def total(c: str) -> F.Column:
+    def total(c: str) -> Column:
         return F.coalesce(F.sum(c), F.lit(0))
 
     # Checks that group a table by the same key share one aggregate (one scan,
