@@ -155,6 +155,12 @@ def _neg_counts(b: Bindings) -> DataFrame:
     return reviews.aspect_sentiment_counts(b.text_reviews, SENTIMENT_NEGATIVE)
 
 
+@register("aspect_sentiment_counts")
+def _aspect_both(b: Bindings) -> DataFrame:
+    """J9 in one pass: positive and negative review counts per aspect."""
+    return reviews.aspect_counts_by_sentiment(b.text_reviews)
+
+
 @register("top_positive_aspect")
 def _top_pos(b: Bindings) -> DataFrame:
     """aspect(s) with the most positive reviews, ties kept."""

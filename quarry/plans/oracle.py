@@ -248,6 +248,14 @@ SELECT source AS aspect, count(doc_id) AS review_count FROM documents GROUP BY s
 
     "positive_aspect_counts": _aspect_counts("positive"),
     "negative_aspect_counts": _aspect_counts("negative"),
+    "aspect_sentiment_counts": f"""
+WITH {_LABELLED_DOCS}
+SELECT aspect,
+       CASE WHEN count(CASE WHEN sentiment = 'positive' THEN 1 END) > 0
+            THEN count(CASE WHEN sentiment = 'positive' THEN rid END) END AS positive_count,
+       CASE WHEN count(CASE WHEN sentiment = 'negative' THEN 1 END) > 0
+            THEN count(CASE WHEN sentiment = 'negative' THEN rid END) END AS negative_count
+FROM docs WHERE sentiment IN ('positive', 'negative') GROUP BY aspect""",
     "top_positive_aspect": _top_aspect("positive"),
     "top_negative_aspect": _top_aspect("negative"),
     "top_positive_words_by_category": _top_words("positive"),
