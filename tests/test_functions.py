@@ -98,3 +98,13 @@ def test_cluster_conf_bounds():
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 512 * 2 ** 20
     small = cluster_conf(2 ** 30, 1, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 24              # at least 3 waves
+
+
+def test_money_units_are_exact(spark):
+    from quarry.functions import amount_units, units_sum, units_to_double
+    vals = [0.1, 0.2, 0.7, 1234567.89, -0.05] * 1000          # double sums drift on these
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(7)
+    got = df.agg(units_to_double(units_sum(amount_units("x", 2)), 2)).first()[0]
+    assert got == 1234568.84 * 1000
+    four = spark.createDataFrame([(68423.46 * 0.07,)], "x double")       # 4-decimal product
+    assert four.select(amount_units("x", 4)).first()[0] == 47896422
