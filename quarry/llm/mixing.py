@@ -81,11 +81,12 @@ def _shard_totals(total: int, shards: int) -> np.ndarray:
     return np.diff(np.linspace(0, total, shards + 1).round().astype(np.int64))
 
 
-def draw_plan(docs: DataFrame, sized: DataFrame, *, weights: Sequence[float], share: float, cap: float,
+def draw_plan(sized: DataFrame, *, weights: Sequence[float], share: float, cap: float,
               blocks: int, shards: int, seed: int) -> DataFrame:
     """What is drawn of each ``(source, block)``: one row with ``source_size``,
     ``target``, ``passes``, ``rest`` (``all``, ``part`` or ``none`` of one more
-    pass), ``cut`` (last document key of a part) and ``draws`` (copy, shard)."""
+    pass), ``cut`` and ``patch`` (a part is the documents up to the key ``cut``
+    and the one with the key ``patch``) and ``draws`` (copy, shard)."""
     per_block = written(sized.groupBy("source", "block").agg(F.sum("size").alias("words")), "mix-blocks")
     sources = per_block.groupBy("source").agg(F.sum("words").alias("source_size"),
                                               F.count(F.lit(1)).alias("n_blocks"))
@@ -104,18 +105,34 @@ def draw_plan(docs: DataFrame, sized: DataFrame, *, weights: Sequence[float], sh
         .withColumn("rest", F.when((F.col("words") > 0) & (F.col("want") >= F.col("words")), "all")
                     .when((F.col("words") > 0) & (F.col("want") > 0), "part").otherwise("none")), "mix-plan")
 
-    # the block that the target cuts: its documents in permuted order, to the nearest
-    cut_blocks = planned.where("rest = 'part'").select(F.col("source").alias("c_source"), F.col("block").alias("c_block"), "want")
+    # the block that the target cuts: its documents in permuted order, while they fit
+    def same(left: DataFrame, right: DataFrame) -> Column:
+        return left["source"].eqNullSafe(right["p_source"]) & (left["block"] == right["p_block"])
+
+    def renamed(frame: DataFrame) -> DataFrame:
+        return frame.withColumnsRenamed({"source": "p_source", "block": "p_block"})
+
     within = Window.partitionBy("source").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
-    cuts = (sized.join(cut_blocks, sized["source"].eqNullSafe(F.col("c_source")) & (sized["block"] == F.col("c_block")))
-            .withColumn("upto", F.sum("size").over(within))
-            .where(F.col("upto") - F.col("size") / 2 <= F.col("want"))
-            .groupBy("source", "block").agg(F.max("key").alias("cut")))
-    planned = planned.join(cuts.withColumnsRenamed({"source": "c_source", "block": "c_block"}),
-                           planned["source"].eqNullSafe(F.col("c_source")) & (planned["block"] == F.col("c_block")),
-                           "left").drop("c_source", "c_block")
-    planned = written(planned.withColumn("rest", F.when((F.col("rest") == "part") & F.col("cut").isNull(), "none")
-                                         .otherwise(F.col("rest"))), "mix-cuts")
+    cut_blocks = renamed(planned.where("rest = 'part'").select("source", "block", "want"))
+    cuts = written(sized.join(cut_blocks, same(sized, cut_blocks))
+                   .withColumn("fits", F.sum("size").over(within) <= F.col("want"))
+                   .groupBy("source", "block", "want")
+                   .agg(F.max(F.when(F.col("fits"), F.col("key"))).alias("cut"),
+                        (F.col("want") - F.coalesce(F.sum(F.when(F.col("fits"), F.col("size"))), F.lit(0))).alias("left")), "mix-cuts")
+    # then one more document, of the size nearest to the words still wanted, if that helps
+    missing = cuts.select(F.col("source").alias("m_source"), "cut", "left")
+    states = renamed(planned.select("source", "block", "rest"))
+    untaken = sized.join(states, same(sized, states)).join(missing, sized["source"].eqNullSafe(F.col("m_source"))) \
+        .where("rest = 'none' or (rest = 'part' and (cut is null or key > cut))")
+    gap = F.abs(F.col("size") - F.col("left"))
+    patches = untaken.where((F.col("size") > 0) & (gap < F.col("left"))).groupBy("source") \
+        .agg(F.min(F.struct(gap.alias("gap"), "key", "block")).alias("best")) \
+        .select("source", F.col("best.block").alias("block"), F.col("best.key").alias("patch"))
+    cuts, patches = renamed(cuts.select("source", "block", "cut")), renamed(patches)
+    planned = planned.join(cuts, same(planned, cuts), "left").drop("p_source", "p_block")
+    planned = planned.join(patches, same(planned, patches), "left").drop("p_source", "p_block")
+    planned = written(planned.withColumn("rest", F.when((F.col("rest") != "all") & F.col("cut").isNull() & F.col("patch").isNull(), "none")
+                                         .when(F.col("rest") != "all", "part").otherwise("all")), "mix-draws")
 
     # every block draw, and the tree that deals them to the shards
     copies = F.concat(F.when(F.col("passes") > 0, F.sequence(F.lit(0), F.col("passes") - 1)).otherwise(F.array().cast("array<int>")),
@@ -138,9 +155,9 @@ def draw_plan(docs: DataFrame, sized: DataFrame, *, weights: Sequence[float], sh
 
     dealt = draws.groupBy("grp").applyInPandas(deal, "source string, block int, copy int, shard int")
     per = dealt.groupBy("source", "block").agg(F.array_sort(F.collect_list(F.struct("copy", "shard"))).alias("draws"))
-    per = per.withColumnsRenamed({"source": "p_source", "block": "p_block"})
-    return planned.join(per, planned["source"].eqNullSafe(F.col("p_source")) & (planned["block"] == F.col("p_block")), "left") \
-        .select("source", "block", "source_size", "target", "passes", "rest", "cut", "draws")
+    per = renamed(per)
+    return planned.join(per, same(planned, per), "left") \
+        .select("source", "block", "source_size", "target", "passes", "rest", "cut", "patch", "draws")
 
 
 def plan_mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source",
@@ -155,7 +172,7 @@ def plan_mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sou
 
     Work per group is bounded: block tables have at most ``blocks`` rows a
     source, only the documents of the one block that the target cuts are
-    ordered, and texts are not moved unless the plan is too large to
+    ordered, the one nearest fit is an aggregate, and texts are not moved unless the plan is too large to
     broadcast.  The result depends on the rows, the parameters and the seed
     only, so reruns agree.
 
@@ -171,11 +188,11 @@ def plan_mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sou
     sized = sized.withColumn("block", F.pmod(F.xxhash64(F.lit("deal"), "pick"), F.lit(blocks)).cast("int")) \
         .withColumn("key", F.struct("pick", "size"))
     light = written(sized.select("source", "size", "block", "key"), "mix-sizes")
-    plan = draw_plan(docs, light, weights=weights, share=share, cap=cap, blocks=blocks, shards=shards, seed=seed)
+    plan = draw_plan(light, weights=weights, share=share, cap=cap, blocks=blocks, shards=shards, seed=seed)
     plan = plan.withColumnsRenamed({"source": "p_source", "block": "p_block"})
     joined = sized.join(plan, sized["source"].eqNullSafe(F.col("p_source")) & (sized["block"] == F.col("p_block")), "left")
     taken = F.filter("draws", lambda d: (d["copy"] < F.col("passes")) | (F.col("rest") == "all")
-                     | ((F.col("rest") == "part") & (F.col("key") <= F.col("cut"))))
+                     | ((F.col("rest") == "part") & (F.coalesce(F.col("key") <= F.col("cut"), F.lit(False)) | F.col("key").eqNullSafe(F.col("patch")))))
     empty = F.array().cast("array<struct<copy:int,shard:int>>")
     return joined.select("doc", "size", "source_size", "target", F.coalesce(taken, empty).alias("draws"))
 
