@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .lm_score import lm_scores
 from .mixing import plan_mix
+from .simhash import hex_fingerprint, simhash_classes
 from .token_files import token_digest
 from .url_rules import judge_urls, rules_frame
 
@@ -23,6 +25,11 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_classes(table(spark, sf_dir, "documents"), shingle=3, max_bits=2).select(
+        "doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules_frame(spark, URL_RULES))
 
@@ -31,13 +38,17 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = plan_mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc.doc_id", "size", "source_size", "target",
                         (F.col("size") * F.size("draws")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op5_url_filter, op7_token_files, op9_source_mix)}
+QUERIES = {f.__name__: f for f in (op3_simhash, op5_url_filter, op7_token_files, op8_lm_score, op9_source_mix)}
 
 ORACLE_SQL = {
     "op5_url_filter": r"""
