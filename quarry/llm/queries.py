@@ -9,6 +9,7 @@ from .lm_score import lm_scores
 from .mixing import plan_mix
 from .simhash import hex_fingerprint, simhash_classes
 from .token_files import token_digest
+from .toxicity import score_toxicity
 from .url_rules import judge_urls, rules_frame
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
@@ -30,6 +31,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules_frame(spark, URL_RULES))
 
@@ -48,7 +53,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("size") * F.size("draws")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op5_url_filter, op7_token_files, op8_lm_score, op9_source_mix)}
+QUERIES = {f.__name__: f for f in (op3_simhash, op4_toxicity, op5_url_filter, op7_token_files, op8_lm_score, op9_source_mix)}
 
 ORACLE_SQL = {
     "op5_url_filter": r"""
