@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import nearest
 from .lm_score import lm_scores
 from .mixing import plan_mix
 from .simhash import hex_fingerprint, simhash_classes
@@ -26,6 +27,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), queries=F.col("vec_id") % 20 == 0, k=20)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_classes(table(spark, sf_dir, "documents"), shingle=3, max_bits=2).select(
         "doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
@@ -53,7 +58,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("size") * F.size("draws")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op4_toxicity, op5_url_filter, op7_token_files, op8_lm_score, op9_source_mix)}
+QUERIES = {f.__name__: f for f in (op1_multi_index_hashing, op3_simhash, op4_toxicity, op5_url_filter, op7_token_files, op8_lm_score, op9_source_mix)}
 
 ORACLE_SQL = {
     "op5_url_filter": r"""
