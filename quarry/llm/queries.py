@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ann import nearest
+from .decontaminate import benchmark_matches
+from .html_text import extract_main_text
 from .lm_score import lm_scores
 from .mixing import plan_mix
 from .simhash import hex_fingerprint, simhash_classes
@@ -31,6 +33,10 @@ def op1_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), queries=F.col("vec_id") % 20 == 0, k=20)
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_classes(table(spark, sf_dir, "documents"), shingle=3, max_bits=2).select(
         "doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
@@ -44,6 +50,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules_frame(spark, URL_RULES))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -58,7 +68,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("size") * F.size("draws")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_multi_index_hashing, op3_simhash, op4_toxicity, op5_url_filter, op7_token_files, op8_lm_score, op9_source_mix)}
+QUERIES = {f.__name__: f for f in (op1_multi_index_hashing, op2_html_text, op3_simhash, op4_toxicity, op5_url_filter, op6_decontamination, op7_token_files, op8_lm_score, op9_source_mix)}
 
 ORACLE_SQL = {
     "op5_url_filter": r"""
