@@ -10,6 +10,7 @@ from .decontaminate import benchmark_matches
 from .html_text import extract_main_text
 from .lm_score import lm_scores
 from .mixing import plan_mix
+from .repeats import repeat_digest
 from .simhash import hex_fingerprint, simhash_classes
 from .token_files import token_digest
 from .toxicity import score_toxicity
@@ -68,7 +69,11 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("size") * F.size("draws")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_multi_index_hashing, op2_html_text, op3_simhash, op4_toxicity, op5_url_filter, op6_decontamination, op7_token_files, op8_lm_score, op9_source_mix)}
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_multi_index_hashing, op2_html_text, op3_simhash, op4_toxicity, op5_url_filter, op6_decontamination, op7_token_files, op8_lm_score, op9_source_mix, op10_repeats)}
 
 ORACLE_SQL = {
     "op5_url_filter": r"""
