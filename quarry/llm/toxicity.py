@@ -1,7 +1,7 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier.
 
-1. Voters.  Over all labelled training texts, Spark counts in how many toxic
-   and how many other texts each word and each word beginning occurs.  The
+1. Voters.  Over a bounded sample of labelled training texts, Spark counts in how
+   many toxic and how many other texts each word and each word beginning occurs.  The
    features that speak most clearly for toxicity become voters: a word is a
    lexicon voter, a beginning a pattern voter.  A voter fires or abstains.
 2. Label model.  Voters are independent given the hidden label, but for cliques
@@ -36,7 +36,7 @@ MAX_FEATURES = 1024
 MIN_SHARE = 0.004       # of the toxic texts a mined feature occurs in, at least
 MIN_TOXIC = 3
 Z, MIN_ODDS = 2.0, 1.0  # the log-odds of a mined feature, less Z standard errors, exceed MIN_ODDS
-SAMPLE_ROWS = 20_000    # bound of the classifier's sample
+SAMPLE_ROWS = 20_000    # bound of the labelled texts mined, and of the rows the classifier is fitted on
 CONFIDENCE = 0.98       # that a given label is right
 ROUNDS = 8
 CORRELATED = 0.5
@@ -53,7 +53,7 @@ def text_features(text: str | None) -> set[str]:
     return {f for w in words for f in word_features(w)}
 
 
-def mine_features(labelled: DataFrame) -> pd.DataFrame:
+def mine_features(labelled: DataFrame, n_pos: int, n_neg: int) -> pd.DataFrame:
     """The clearest features of the toxic texts of ``(text, toxic)``: ``feature``,
     ``pos``, ``neg`` (texts of either label with it); at most ``MAX_FEATURES`` rows."""
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -70,8 +70,6 @@ def mine_features(labelled: DataFrame) -> pd.DataFrame:
         return frame.select("text").mapInPandas(counts, "feature string, n long").groupBy("feature").agg(F.sum("n").alias(name))
 
     toxic = labelled.where("toxic = 1")
-    texts = labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()  # two rows
-    n_pos, n_neg = (sum(r["n"] for r in texts if r.toxic == y) for y in (1, 0))
     frequent = counted(toxic, "pos").where(F.col("pos") >= max(MIN_TOXIC, MIN_SHARE * n_pos))
     other = counted(labelled.where("toxic = 0"), "neg")
     both = frequent.join(other, "feature", "left").withColumn("neg", F.coalesce("neg", F.lit(0)))
@@ -220,19 +218,23 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
         label: str = "toxic", buckets: int = 4, held: int = 2) -> ToxicityModel:
     """Learn from the rows whose ``crc32(doc_id as text) mod buckets`` is not ``held``.
 
-    The vocabulary counts and the label model cover all of these; the linear
-    classifier is fitted on at most ``SAMPLE_ROWS`` of them, those with the
-    smallest hashes.  A document with several labels counts as toxic if any is.
+    The voters are mined from the texts of at most ``SAMPLE_ROWS`` labelled ids, one
+    text an id, and the classifier is fitted on as many rows, in both cases those
+    with the smallest hashes.  The label model covers all training rows.  A
+    document with several labels counts as toxic if any is.
     Without toxic labels the model has no features and scores everything by the prior.
     """
     given = labels.select(F.col(f"`{label_id}`").cast("long").alias("d"), F.col(f"`{label}`").cast("int").alias("toxic")) \
         .where("d is not null and toxic in (0, 1)").groupBy("d").agg(F.max("toxic").alias("toxic"))
     train = docs.select(F.col(f"`{doc_id}`").cast("long").alias("d"), F.col(f"`{text}`").alias("text")) \
         .where(crc_mod(F.col("d"), buckets) != held)
-    # labels meet ids alone first: texts are scanned with the labels at hand, or joined once by id
-    labelled = train.join(given, "d").select("text", "toxic")
-    mined = mine_features(written(labelled, "toxic-labelled"))
-    n_pos, n_neg = _label_rows(train.select("d"), given)
+    # a bounded sample of the labels is broadcast, so that texts are filtered where they are read
+    sample_ids = written(given.where(crc_mod(F.col("d"), buckets) != held).orderBy(F.xxhash64("d"), "d").limit(SAMPLE_ROWS), "toxic-ids")
+    labelled = written(train.join(F.broadcast(sample_ids), "d").groupBy("d", "toxic").agg(F.min("text").alias("text"))
+                       .select("text", "toxic"), "toxic-labelled")
+    texts = {r.toxic: r["n"] for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+    n_pos, n_neg = texts.get(1, 0), texts.get(0, 0)
+    mined = mine_features(labelled, n_pos, n_neg)
     prior = (n_pos + 0.5) / (n_pos + n_neg + 1)
     features = mined["feature"].tolist()
     voters = features[:MAX_VOTERS]
@@ -263,11 +265,6 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     return ToxicityModel(features, weights, bias, voters, firing, cliques, prior)
 
 
-def _label_rows(ids: DataFrame, given: DataFrame) -> tuple[int, int]:
-    got = {r.toxic: r["n"] for r in ids.join(given, "d").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
-    return got.get(1, 0), got.get(0, 0)
-
-
 def score_column(model: ToxicityModel, text: Column) -> Column:
     """Score of a text, 0 to 1; the model's arrays are bounded by ``MAX_FEATURES``."""
     @F.pandas_udf("double")
