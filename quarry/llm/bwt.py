@@ -23,22 +23,32 @@ def sorted_suffixes(data: np.ndarray, left: np.ndarray, depth: int) -> np.ndarra
     """Positions of one shard in the order of their first ``depth`` letters, by prefix doubling.
 
     ``left``: letters from a position to the end of its string."""
-    rank = data.astype(np.int64)
-    size, length = len(data), 1
-    order = np.argsort(rank, kind="stable")
+    size, length = len(data), 4
+    key = np.zeros(size, np.int64)
+    for k in range(length):  # the first four letters at once
+        key <<= 9
+        at = np.flatnonzero(left > k)
+        key[at] |= data[at + k]
+    order = np.argsort(key)
+    rank = _ranks(key, order)
     while length < depth:
         after = np.zeros(size, np.int64)
         at = np.flatnonzero(left > length)
         after[at] = rank[at + length]
-        key = rank * (int(rank.max()) + 1) + after
-        order = np.argsort(key, kind="stable")
-        new = np.zeros(size, np.int64)
-        new[order] = np.cumsum(np.concatenate([[1], np.diff(key[order]) != 0]))
-        rank = new
+        key = rank * (size + 1) + after
+        order = np.argsort(key)
+        rank = _ranks(key, order)
         length *= 2
     return order
 
 
+def _ranks(key: np.ndarray, order: np.ndarray) -> np.ndarray:
+    rank = np.empty(len(key), np.int64)
+    in_order = key[order]
+    rank[order] = np.cumsum(np.concatenate([[1], in_order[1:] != in_order[:-1]]))
+    return rank
+
+
 def merged_blocks(data: np.ndarray, lengths: np.ndarray, shard_bytes: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions in merged order, and the block of each: equal blocks share their first ``depth`` bytes.
 
@@ -67,7 +77,8 @@ def merged_blocks(data: np.ndarray, lengths: np.ndarray, shard_bytes: int, depth
     bounds = np.concatenate([starts[edges], [len(data)]])
     suffixes = np.concatenate([a + sorted_suffixes(data[a:b], left[a:b], depth) for a, b in zip(bounds, bounds[1:])])
     transform = symbols[suffixes]                                                   # the shards' transforms in a row
-    interleave = np.repeat(np.arange(len(edges), dtype=np.uint16), np.diff(bounds))  # which shard is read where
+    small = np.uint8 if len(edges) <= 256 else np.uint16
+    interleave = np.repeat(np.arange(len(edges), dtype=small), np.diff(bounds))      # which shard is read where
     block = np.zeros(len(data), np.int32)
     for _ in range(-(-depth // STRIDE)):
         read = np.empty_like(transform)

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,29 +93,38 @@ def _digest(piece: bytes) -> int:
     return int.from_bytes(xxhash.xxh64_digest(piece), "little", signed=True)
 
 
+def _digests(data: bytes, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    view, digest = memoryview(data), xxhash.xxh64_intdigest
+    return np.array([digest(view[a:b]) for a, b in zip(first.tolist(), end.tolist(), strict=True)], np.uint64).view(np.int64)
+
+
 def _pieces(size: int):
     """Rows of PIECE; ``ph`` is null for what an earlier piece of the same stream is known to repeat."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emit(texts: list[tuple[int | None, int, int, bytes]]) -> pa.RecordBatch:
             joined = b"".join(t[3] for t in texts)
             lengths = np.array([len(t[3]) for t in texts], np.int64)
-            begin = (np.cumsum(lengths) - lengths).tolist()
+            begin = np.cumsum(lengths) - lengths
             of, first, last, h, own = window_runs(lengths, np.frombuffer(joined, np.uint8), size)
-            rows: list[list] = []
-            seen: dict[tuple[int, int, int], int] = {}
-            for k, a, b, x, o in zip(of.tolist(), first.tolist(), last.tolist(), h.view(np.int64).tolist(), (own - first).tolist(), strict=True):
-                doc_id, th, place, _ = texts[k]
-                row = [x, doc_id, th, place + a - begin[k], o, b - a + size, _digest(joined[a:b + size])]
-                again = seen.setdefault((x, o, row[6]), len(rows))
-                if again < len(rows):
-                    other = rows[again]
-                    if _order(row) < _order(other):
-                        rows[again], row = row, other
-                    if _order(row) == _order(rows[again]):
-                        continue
-                    row = [*row[:6], None]
-                rows.append(row)
-            return _batch(rows, PIECE)
+            digest = _digests(joined, first, last + size)
+            ids = pa.array([t[0] for t in texts], pa.int64()).take(pa.array(of))
+            no_id = ids.is_null().to_numpy(zero_copy_only=False)
+            doc_id = ids.fill_null(0).to_numpy(zero_copy_only=False)
+            th = np.array([t[1] for t in texts], np.int64)[of]
+            at = first - begin[of] + np.array([t[2] for t in texts], np.int64)[of]
+            off = own - first
+            h = h.view(np.int64)
+            order = np.lexsort((at, th, doc_id, no_id, digest, off, h))
+            again = np.zeros(len(order), bool)
+            copy = np.zeros(len(order), bool)
+            if len(order):
+                a, b = order[:-1], order[1:]
+                again[b] = (h[a] == h[b]) & (off[a] == off[b]) & (digest[a] == digest[b])
+                copy[b] = again[b] & (at[a] == at[b]) & (th[a] == th[b]) & (doc_id[a] == doc_id[b]) & (no_id[a] == no_id[b])
+            rows = pa.RecordBatch.from_arrays([pa.array(h), ids, pa.array(th), pa.array(at), pa.array(off.astype(np.int32)),
+                                               pa.array((last - first + size).astype(np.int32)), pa.array(digest, mask=again)],
+                                              names=[f.split()[0] for f in PIECE.split(", ")])
+            return rows.filter(pa.array(~copy))
 
         held, n = [], 0
         for batch in batches:
@@ -134,38 +144,57 @@ def _pieces(size: int):
 
 def _known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of PIECE, sorted by minimiser, piece and place -> ranges repeated whole
-    (``h`` null), and the first places of the pieces of minimisers that have several."""
-    out: list[tuple] = []
-    group: list[list] = []
-    hot, last = False, None
+    (``h`` null), and the first places of the pieces of minimisers that have several.
 
-    def ask(rows: list[list]) -> None:
-        out.extend((r[1], r[2], r[3], r[3] + r[5], r[0], r[4], hot) for r in rows)
+    Whole batches are compared row by row with the row before.  What is carried
+    over is the first rows of the pieces of the last minimiser, at most ``HOT``."""
+    held: pa.RecordBatch | None = None   # first rows of the last minimiser's pieces
+    before: pa.RecordBatch | None = None  # the last row
+    hot_h = None
+
+    def ranges(rows: pa.RecordBatch, asked: bool, hot: bool = False) -> pa.RecordBatch:
+        n = rows.num_rows
+        return pa.RecordBatch.from_arrays([rows["doc_id"], rows["th"], rows["at"], pc.add(rows["at"], rows["n"].cast(pa.int64())),
+                                           rows["h"] if asked else pa.nulls(n, pa.int64()), rows["off"] if asked else pa.nulls(n, pa.int32()),
+                                           pa.array(np.full(n, hot)) if asked else pa.nulls(n, pa.bool_())],
+                                          names=[f.split()[0] for f in FOUND.split(", ")])
 
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if row[6] is None:
-                out.append((row[1], row[2], row[3], row[3] + row[5], None, None, None))
-                continue
-            if last is None or row[0] != last[0]:
-                if hot or len(group) > 1:
-                    ask(group)
-                group, hot = [], False
-            if last is None or (row[0], row[4], row[6]) != (last[0], last[4], last[6]):
-                group.append(row)
-                last = row
-                if hot or len(group) > HOT:
-                    hot = True
-                    ask(group)
-                    group = []
-            elif _order(row) != _order(last):
-                out.append((row[1], row[2], row[3], row[3] + row[5], None, None, None))
-        if len(out) > 20_000:
-            yield _batch(out, FOUND)
-            out.clear()
-    if hot or len(group) > 1:
-        ask(group)
-    yield _batch(out, FOUND)
+        yield ranges(batch.filter(batch["ph"].is_null()), False)
+        batch = batch.filter(batch["ph"].is_valid())
+        if not batch.num_rows:
+            continue
+        seen = pa.concat_batches([before, batch]) if before is not None else batch
+        same = [np.concatenate([[False], _equal(seen[c])])[-batch.num_rows:] for c in ("h", "off", "ph", "doc_id", "th", "at")]
+        piece = same[0] & same[1] & same[2]
+        yield ranges(batch.filter(pa.array(piece & ~(same[3] & same[4] & same[5]))), False)
+        before = batch.slice(batch.num_rows - 1)
+        firsts = batch.filter(pa.array(~piece))
+        if held is not None:
+            firsts = pa.concat_batches([held, firsts])
+        if not firsts.num_rows:
+            continue
+        h = firsts["h"].to_numpy(zero_copy_only=False)
+        run = np.cumsum(np.concatenate([[0], h[1:] != h[:-1]]))
+        several = (np.bincount(run) > 1)[run] | (h == hot_h if hot_h is not None else False)
+        last = run == run[-1]
+        yield ranges(firsts.filter(pa.array(several & ~last & (h != hot_h if hot_h is not None else True))), True)
+        if hot_h is not None:
+            yield ranges(firsts.filter(pa.array((h == hot_h) & ~last)), True, True)
+        held = firsts.filter(pa.array(last))
+        if held.num_rows > HOT or h[-1] == hot_h:
+            hot_h = int(h[-1])
+            yield ranges(held, True, True)
+            held = held.slice(held.num_rows)
+    if held is not None and held.num_rows > 1:
+        yield ranges(held, True)
+
+
+def _equal(column: pa.Array) -> np.ndarray:
+    """Which values equal the one before (nulls are equal)."""
+    null = column.is_null().to_numpy(zero_copy_only=False)
+    value = column.fill_null(0).to_numpy(zero_copy_only=False)
+    return (value[1:] == value[:-1]) & (null[1:] == null[:-1])
 
 
 def _fetch(size: int):
