@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 
-STRIDE = 4  # bytes a refinement step moves
+STRIDES = (5, 4, 3, 2, 1)  # letters a refinement round moves: the first that divides the depth
 
 
-def _symbols(data: np.ndarray, local: np.ndarray) -> np.ndarray:
-    """For every position the rank of the STRIDE letters before it; 0 where its string has fewer."""
-    at = np.flatnonzero(local >= STRIDE)
+def _symbols(data: np.ndarray, local: np.ndarray, stride: int) -> np.ndarray:
+    """For every position the rank of the ``stride`` letters before it; 0 where its string has fewer."""
+    at = np.flatnonzero(local >= stride)
     before = np.zeros(len(at), np.uint64)
-    for k in range(STRIDE):
-        before = before << np.uint64(9) | data[at - STRIDE + k].astype(np.uint64)
+    for k in range(stride):
+        before = before << np.uint64(9) | data[at - stride + k].astype(np.uint64)
     values, rank = np.unique(before, return_inverse=True)
     out = np.zeros(len(data), np.uint16 if len(values) < 65535 else np.uint32)
     out[at] = rank + 1
@@ -56,22 +56,23 @@ def merged_blocks(data: np.ndarray, lengths: np.ndarray, shard_bytes: int, depth
     make up shards, each sorted for itself and kept as its transform.  The
     interleave starts with the shards one after another.  Each round reads all
     transforms through the interleave, and dealing the shard numbers out by the
-    symbols read, stably, orders the suffixes by STRIDE more bytes; positions
+    symbols read, stably, orders the suffixes by a stride more letters; positions
     part into blocks where the symbols or the earlier blocks differ, which is
     where their common prefix ends.  Blocks say nothing about suffixes shorter
     than ``depth``.
     """
-    # letters: bytes plus 1, and STRIDE terminators (0) after every string
-    place = np.arange(len(data)) + STRIDE * np.repeat(np.arange(len(lengths)), lengths)
-    letters = np.zeros(len(data) + STRIDE * len(lengths), np.uint16)
+    stride = next(s for s in STRIDES if depth % s == 0)
+    # letters: bytes plus 1, and a stride of terminators (0) after every string
+    place = np.arange(len(data)) + stride * np.repeat(np.arange(len(lengths)), lengths)
+    letters = np.zeros(len(data) + stride * len(lengths), np.uint16)
     letters[place] = data.astype(np.uint16) + np.uint16(1)
     back = np.full(len(letters), -1, np.int64)
     back[place] = np.arange(len(data))
-    data, lengths = letters, lengths + STRIDE
+    data, lengths = letters, lengths + stride
     starts = np.cumsum(lengths) - lengths
     local = np.arange(len(data)) - np.repeat(starts, lengths)
     left = np.repeat(lengths, lengths) - local
-    symbols = _symbols(data, local)
+    symbols = _symbols(data, local, stride)
     shard_of = np.minimum(starts // shard_bytes, 65534)
     edges = np.flatnonzero(np.concatenate([[True], np.diff(shard_of) != 0]))
     bounds = np.concatenate([starts[edges], [len(data)]])
@@ -80,7 +81,7 @@ def merged_blocks(data: np.ndarray, lengths: np.ndarray, shard_bytes: int, depth
     small = np.uint8 if len(edges) <= 256 else np.uint16
     interleave = np.repeat(np.arange(len(edges), dtype=small), np.diff(bounds))      # which shard is read where
     block = np.zeros(len(data), np.int32)
-    for _ in range(-(-depth // STRIDE)):
+    for _ in range(depth // stride):
         read = np.empty_like(transform)
         read[np.argsort(interleave, kind="stable")] = transform
         dealt = np.argsort(read, kind="stable")

@@ -29,8 +29,8 @@ from .common import written
 SIZE = 100
 GRAM = 32                # bytes of a minimiser
 STREAM = 1 << 20         # bytes handled together; positions fit the low bits of a key
-SHARD_BYTES = 1 << 18    # of a transform
-MERGE_BYTES = 1 << 21    # of the pieces merged together, at least
+SHARD_BYTES = 1 << 15    # of a transform
+MERGE_BYTES = 1 << 18    # of the pieces merged together, at least
 MULTIPLIER = 0x9E3779B97F4A7C15
 _LOW = STREAM - 1
 
