@@ -145,15 +145,20 @@ def read_file(content: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]
     return [None if x else d for d, x in zip(doc_ids, nulls, strict=True)], lengths, ids
 
 
+_ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 class WordIds(dict):
     """Piece of a text between white space -> its ids as bytes.
 
     The tokenizer drops white space and no token spans it, so a text's ids are
-    those of its pieces in a row.  Two generations of ``limit`` pieces each
-    bound the memory: a full young one becomes the old one.
+    those of its pieces in a row.  It lowers case and never puts a letter and a
+    final full stop or comma into one token, so such pieces follow from others.
+    Two generations of ``limit`` pieces each bound the memory: a full young
+    one becomes the old one.
     """
 
-    def __init__(self, tokenizer, limit: int = 250_000):
+    def __init__(self, tokenizer, limit: int = 400_000):
         super().__init__({"": b""})
         self.tokenizer, self.limit, self.old = tokenizer, limit, {}
 
@@ -168,9 +173,26 @@ class WordIds(dict):
         known = pieces.intersection(self.old)
         for p in known:
             self[p] = self.old[p]
-        new = list(pieces.difference(known))
-        for p, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+        new = pieces.difference(known)
+        # a piece = its stem (A-Z lowered, without a final stop after a letter) and that stop
+        stems = {p: self._stem(p) for p in new}
+        for p in set(stems.values()).union(".,").difference(self):
+            if p in self.old:
+                self[p] = self.old[p]
+        own = list(set(stems.values()).union(".,").difference(self))
+        for p, got in zip(own, self.tokenizer.encode_batch_fast(own, add_special_tokens=False), strict=True):
             self[p] = np.array(got.ids, "<u4").tobytes()
+        for p, stem in stems.items():
+            if p != stem:
+                self[p] = self[stem] + (self[p[-1]] if len(p) > len(stem) else b"")
+
+    @staticmethod
+    def _stem(piece: str) -> str:
+        if "<|" in piece:  # could be a special token
+            return piece
+        if piece[-1:] in (".", ",") and piece[-2:-1].isalpha():
+            piece = piece[:-1]
+        return piece.translate(_ASCII_LOWER)
 
     def __missing__(self, piece: str) -> bytes:  # dropped while its own batch was learnt
         self[piece] = got = self.old.get(piece) or np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
