@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 WORDS = re.compile(r"\w+")
 SIMILARITY = 0.8
-STEPS, COORDINATES, REPEATS = 14, 6, 6
+STEPS, COORDINATES, REPEATS = 20, 7, 6
+DISTINCT = 5             # words that a window's sampled coordinates must stand on to be indexed
 BLOCK_CHARS = 8_000_000  # benchmark characters a broadcast block holds
 GROUP_WORDS = 2_000_000  # document words hashed together
 
@@ -44,6 +45,13 @@ def edit_match(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
     return int(row[end]), end
 
 
+def _among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which keys are in the sorted ``known``."""
+    if not len(known):
+        return np.zeros(len(keys), bool)
+    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+
+
 class Screen:
     """The items of one benchmark block, ready to be looked for."""
 
@@ -68,9 +76,11 @@ class Screen:
             complete: dict[int, list[tuple[int, int]]] = {}
             for n, (_, ids) in enumerate(self.items):
                 for start in range(len(ids)):
-                    keys = self._keys(ids[start:], r)
+                    keys, places = self._keys(ids[start:], r)
                     if len(keys) < coordinates and start:
                         break  # the window is shorter than its walk; only whole items may be that short
+                    if places < min(DISTINCT, len(ids) - 1) or not keys:
+                        continue  # too common a key
                     for depth, key in enumerate(keys):
                         partial[depth].add(key)
                     complete.setdefault(keys[-1], []).append((n, start))
@@ -79,9 +89,9 @@ class Screen:
         # complete keys of the windows that end before the last coordinate
         self.short = [np.array(sorted(set(c) - set(p[-1].tolist())), np.int64) for c, p in zip(self.complete, self.partial, strict=True)]
 
-    def _keys(self, window: np.ndarray, r: int) -> list[int]:
-        """Partial keys of one window, as far as its walk stays inside."""
-        at, key, out = 0, np.int64(0), []
+    def _keys(self, window: np.ndarray, r: int) -> tuple[list[int], int]:
+        """Partial keys of one window, as far as its walk stays inside, and how many words they stand on."""
+        at, key, out, places = 0, np.int64(0), [], set()
         with np.errstate(over="ignore"):
             for step in range(self.steps):
                 if at >= len(window):
@@ -89,8 +99,9 @@ class Screen:
                 if step in self.sampled[r]:
                     key = (key + window[at]) * self.mixers[r, len(out)]
                     out.append(int(key))
+                    places.add(at)
                 at += self.moves[r, step, window[at]]
-        return out
+        return out, len(places)
 
     def candidates(self, ids: np.ndarray) -> set[tuple[int, int]]:
         """(item, position at which it would start) for a stream of word ids; 0 is no item's word."""
@@ -106,14 +117,12 @@ class Screen:
                 word = stream[at]
                 if step in depths:
                     key = (key + word) * self.mixers[r, depths[step]]
-                    known = self.partial[r][depths[step]]
-                    place = np.minimum(np.searchsorted(known, key), max(0, len(known) - 1))
-                    keep = known[place] == key if len(known) else np.zeros(len(key), bool)
+                    keep = _among(key, self.partial[r][depths[step]])
                     start, at, key, word = start[keep], at[keep], key[keep], word[keep]
                     done = start, key
                     if step != self.sampled[r][-1]:  # items that end before the last coordinate
-                        short = np.isin(key, self.short[r])
-                        done = start[short], key[short]
+                        ends = _among(key, self.short[r])
+                        done = start[ends], key[ends]
                     for p, k in zip(done[0].tolist(), done[1].tolist(), strict=True):
                         found.update((n, p - a) for n, a in self.complete[r].get(k, ()))
                 at = at + self.moves[r, step, word]
