@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
 from .url_rules import url_host
 
 # fixed values: elements by role
@@ -200,19 +201,19 @@ def host_paths(pages: DataFrame, host: Column, body: Column) -> DataFrame:
             yield pd.DataFrame({"host": batch["host"], "path": [n.path for n in best], "size": [n.size for n in best]})
     votes = pages.select(host.alias("host"), body.alias("body")).where("body is not null") \
         .mapInPandas(vote, "host string, path string, size long").where("path <> ''")
-    counts = votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"), F.sum("size").alias("size"))
+    counts = written(votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"), F.sum("size").alias("size")), "html-votes")
     totals = counts.groupBy("host").agg(F.sum("votes").alias("all"))
     won = counts.join(totals, "host").where(F.col("votes") >= MIN_VOTES * F.col("all"))  # at most 1 / MIN_VOTES a host
     ranked = F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("v"), (-F.col("size")).alias("s"), "path")))
-    return won.groupBy("host").agg(F.transform(F.slice(ranked, 1, MAX_PATHS), lambda p: p["path"]).alias("paths"))
+    return written(won.groupBy("host").agg(F.transform(F.slice(ranked, 1, MAX_PATHS), lambda p: p["path"]).alias("paths")), "html-paths")
 
 
 def extract_main_text(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", body: str = "html") -> DataFrame:
     """One row per input row: ``page_id``, ``url``, ``text``, ``n_chars`` (code points).
 
-    The votes are two small aggregates; pages meet their host's paths in a
-    join that AQE broadcasts or splits by measured size, so a host with a third of
-    all pages is no single task.
+    The votes are small aggregates, written once; pages meet their host's paths
+    in a join that Spark broadcasts or splits by the written size, so a host with a
+    third of all pages is no single task.
 
     Edge cases: null or empty HTML gives an empty text; a page without tags is
     its own text; a null URL belongs to the empty host; repeated rows vote and
