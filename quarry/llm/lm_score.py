@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -94,7 +95,7 @@ def count_trie(texts: DataFrame, order: int = ORDER, floor: float = FLOOR) -> Tr
     return Trie(order, [g for g, _ in counts], [c for _, c in counts], [x for x, _ in contexts], [t for _, t in contexts])
 
 
-_models: dict[int, Model] = {}  # per worker process: the last broadcast's
+_models: dict[str, Model] = {}  # per worker process: the last broadcast's
 
 
 def _model(shared) -> Model:
@@ -140,7 +141,7 @@ def lm_scores(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tr
     often = words.where(F.col("n") >= least).toArrow()
     common = spark.sparkContext.broadcast(dict(zip(often["word"].to_pylist(), often["n"].to_pylist(), strict=True)))
     trie = count_trie(train, order, floor)
-    shared = spark.sparkContext.broadcast((id(trie), trie))
+    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, trie))
 
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(shared)

@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,7 @@ MIN_SHARE = 0.004       # of the toxic texts a mined feature occurs in, at least
 MIN_TOXIC = 3
 Z, MIN_ODDS = 2.0, 1.0  # the log-odds of a mined feature, less Z standard errors, exceed MIN_ODDS
 SAMPLE_ROWS = 20_000    # bound of the labelled texts mined, and of the rows the classifier is fitted on
+PRIOR = 0.05            # share of toxic texts that is assumed without labels
 CONFIDENCE = 0.98       # that a given label is right
 ROUNDS = 8
 CORRELATED = 0.5
@@ -56,18 +58,21 @@ def text_features(text: str | None) -> set[str]:
 def mine_features(labelled: DataFrame, n_pos: int, n_neg: int) -> pd.DataFrame:
     """The clearest features of the toxic texts of ``(text, toxic)``: ``feature``,
     ``pos``, ``neg`` (texts of either label with it); at most ``MAX_FEATURES`` rows."""
-    def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"feature": pa.array(held.keys(), pa.string()), "n": pa.array(held.values(), pa.int64())})
         for batch in batches:
             for text in batch["text"]:
-                held.update(text_features(text))
+                held.update(text_features(text.as_py()))
                 if len(held) > CACHE:
-                    yield pd.DataFrame({"feature": list(held), "n": list(held.values())})
+                    yield rows()
                     held.clear()
-        yield pd.DataFrame({"feature": list(held), "n": list(held.values())})
+        yield rows()
 
     def counted(frame: DataFrame, name: str) -> DataFrame:
-        return frame.select("text").mapInPandas(counts, "feature string, n long").groupBy("feature").agg(F.sum("n").alias(name))
+        return frame.select("text").mapInArrow(counts, "feature string, n long").groupBy("feature").agg(F.sum("n").alias(name))
 
     toxic = labelled.where("toxic = 1")
     frequent = counted(toxic, "pos").where(F.col("pos") >= max(MIN_TOXIC, MIN_SHARE * n_pos))
@@ -235,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     texts = {r.toxic: r["n"] for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
     n_pos, n_neg = texts.get(1, 0), texts.get(0, 0)
     mined = mine_features(labelled, n_pos, n_neg)
-    prior = (n_pos + 0.5) / (n_pos + n_neg + 1)
+    prior = (n_pos + PRIOR) / (n_pos + n_neg + 1)
     features = mined["feature"].tolist()
     voters = features[:MAX_VOTERS]
     if not voters:
