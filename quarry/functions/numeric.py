@@ -49,14 +49,15 @@ def units_to_double(total: str | Column, scale: int = 2) -> Column:
 def ratio_half_up(numerator: str | Column, denominator: str | Column,
                   digits: int = 2) -> Column:
     """``round(numerator / denominator, digits)`` with HALF_UP on the exact
-    ratio of two integers (denominator > 0).  Uses integral division only, so
-    the result is the same double in any engine."""
-    num = _col(numerator).cast("long")
-    den = _col(denominator).cast("long")
+    ratio of two integers (denominator > 0).  Uses integral division of
+    decimals only, so nothing overflows or is rounded on the way and the result
+    is the same double in any engine."""
+    num = _col(numerator).cast("decimal(32,0)")
+    den = _col(denominator).cast("decimal(32,0)")
     scale = 10 ** digits
     # HALF_UP: floor((|num| * 2 * scale + den) / (2 * den)), all in integers
     top = F.abs(num) * F.lit(2 * scale) + den
-    bottom = den * F.lit(2)
-    whole = ((top - F.pmod(top, bottom)) / bottom).cast("long")  # exact floor division
+    bottom = F.when(den > 0, den * F.lit(2))
+    whole = F.call_function("div", top, bottom)  # exact floor division
     signed = F.when(num < 0, -whole).otherwise(whole)
     return F.when(den > 0, signed / F.lit(float(scale)))

@@ -148,9 +148,9 @@ def seller_ranking(items: DataFrame, money_scale: int = 2) -> DataFrame:
     ``price + freight``, distinct orders, dense rank by revenue desc (J19).
     The per-seller table is written once to the shared checkpoint folder and
     ranked without a one-partition window."""
-    # two levels: (seller, order) sums stay in long units (one order's value),
-    # then one row per order gives both the distinct-order count and the total
-    per_order = items.groupBy("seller_id", "order_id").agg(F.sum(_revenue_units(money_scale)).alias("__u"))
+    # two levels, both summed as decimals that a hot order cannot overflow:
+    # one row per order gives the distinct-order count and the total
+    per_order = items.groupBy("seller_id", "order_id").agg(units_sum(_revenue_units(money_scale)).alias("__u"))
     stats = per_order.groupBy("seller_id").agg(
         units_to_double(units_sum("__u"), money_scale).alias("total_revenue"),
         F.count("order_id").alias("order_count"))

@@ -52,12 +52,9 @@ MONEY_SCALE = 4          # decimals of price + price x rate
 class Bindings:
     """Logical operator inputs over one benchmark directory.
 
-    ``Bindings.of(spark, sf_dir)`` returns one instance per application and
-    directory, so the lazy table projections, the input spreading decision and
-    the dimension size probes are made once per session and shared by every
-    query that runs in it."""
-
-    _cache: dict[tuple[str, str], "Bindings"] = {}
+    ``Bindings.of(spark, sf_dir)`` returns a new instance per query: file listings
+    and size decisions are never kept from one query to the next, so a query
+    always sees the files that are there when it is built."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -65,15 +62,7 @@ class Bindings:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Bindings":
-        try:
-            app = spark.sparkContext.applicationId
-        except Exception:  # a session without a local SparkContext handle
-            app = str(id(spark))
-        key = (app, sf_dir)
-        found = cls._cache.get(key)
-        if found is None or found.spark is not spark:
-            found = cls._cache[key] = cls(spark, sf_dir)
-        return found
+        return cls(spark, sf_dir)
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)

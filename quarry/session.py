@@ -12,8 +12,6 @@ Settings every operator relies on:
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,9 +90,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make sure reliable checkpoints have a shared directory.
 
     The cluster names it in ``spark.checkpoint.dir``; that setting always wins.
-    Only a local-mode session without the setting (tests, benchmarks) gets a
-    private scratch folder.  On a cluster a machine-local folder would lose the
-    checkpoint with its executor, so we refuse instead.
+    Where it is unset, a folder in the warehouse is used, which the driver and
+    all executors share; never a machine-local one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -109,14 +106,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a shared folder "
-            "(HDFS/S3/ABFS) so checkpoints survive executor loss")
-    scratch = tempfile.mkdtemp(prefix="quarry-ckpt-",
-                               dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(scratch)
-    return sc.getCheckpointDir() or scratch
+    sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
+    return sc.getCheckpointDir()
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

@@ -108,3 +108,10 @@ def test_money_units_are_exact(spark):
     assert got == 1234568.84 * 1000
     four = spark.createDataFrame([(68423.46 * 0.07,)], "x double")       # 4-decimal product
     assert four.select(amount_units("x", 4)).first()[0] == 47896422
+
+
+def test_ratio_half_up_is_exact_for_large_integers(spark):
+    from quarry.functions.numeric import ratio_half_up
+    df = spark.createDataFrame([(30000000000000001, 7), (9 * 10**16, 2), (-5, 8), (1, 0)], "n long, d long")
+    got = [r[0] for r in df.select(ratio_half_up("n", "d", 2)).collect()]
+    assert got[0] == 4285714285714285.86 and got[1] == 4.5e16 and got[2] == -0.63 and got[3] is None

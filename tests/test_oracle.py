@@ -9,12 +9,13 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from quarry.plans.catalog import QUERIES as OWN
 from conftest import SF_SMALL
 from oracle_compare import compare, duck
 
 SF = os.environ.get("QUARRY_ORACLE_SF", SF_SMALL)
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in OWN}
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in OWN}
 
 
 def test_every_query_has_an_oracle():
