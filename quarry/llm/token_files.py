@@ -22,6 +22,7 @@ gives random access to any id range without unpacking the rest.
 from __future__ import annotations
 
 import os
+import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -145,60 +146,60 @@ def read_file(content: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]
     return [None if x else d for d, x in zip(doc_ids, nulls, strict=True)], lengths, ids
 
 
-_ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 class WordIds(dict):
-    """Piece of a text between white space -> its ids as bytes.
+    """Piece of a text between white space, as UTF-8 -> its ids as bytes.
 
     The tokenizer drops white space and no token spans it, so a text's ids are
-    those of its pieces in a row.  It lowers case and never puts a letter and a
-    final full stop or comma into one token, so such pieces follow from others.
+    those of its pieces in a row.  It lowers case and never puts an ASCII letter
+    and a final full stop or comma into one token, so such pieces follow from
+    others (other letters may turn into a letter and a mark, which joins the stop).
     Two generations of ``limit`` pieces each bound the memory: a full young
     one becomes the old one.
     """
 
     def __init__(self, tokenizer, limit: int = 400_000):
-        super().__init__({"": b""})
+        super().__init__({b"": b""})
         self.tokenizer, self.limit, self.old = tokenizer, limit, {}
 
-    def learn(self, pieces: set[str]) -> None:
+    def learn(self, pieces: set[bytes]) -> None:
         """Make sure that all of these are young."""
         pieces = pieces.difference(self)
         if len(self) + len(pieces) > self.limit:
             self.old = dict(self)
             self.clear()
-            self[""] = b""
-            pieces = pieces.union([""])
+            self[b""] = b""
+            pieces = pieces.union([b""])
         known = pieces.intersection(self.old)
         for p in known:
             self[p] = self.old[p]
-        new = pieces.difference(known)
-        # a piece = its stem (A-Z lowered, without a final stop after a letter) and that stop
-        stems = {p: self._stem(p) for p in new}
-        for p in set(stems.values()).union(".,").difference(self):
-            if p in self.old:
-                self[p] = self.old[p]
-        own = list(set(stems.values()).union(".,").difference(self))
-        for p, got in zip(own, self.tokenizer.encode_batch_fast(own, add_special_tokens=False), strict=True):
-            self[p] = np.array(got.ids, "<u4").tobytes()
+        # a piece = its stem (A-Z lowered, without a final stop after an ASCII letter) and that stop
+        stems = {p: stem for p in pieces.difference(known) if (stem := self._stem(p)) != p}
+        own = pieces.difference(known, stems).union(stems.values(), (b".", b",")).difference(self)
+        for p in own.intersection(self.old):
+            self[p] = self.old[p]
+        new = list(own.difference(self.old))
+        for p, got in zip(new, self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False), strict=True):
+            self[p] = _id_bytes(got.ids)
         for p, stem in stems.items():
-            if p != stem:
-                self[p] = self[stem] + (self[p[-1]] if len(p) > len(stem) else b"")
+            self[p] = self[stem] + (self[p[-1:]] if len(p) > len(stem) else b"")
 
     @staticmethod
-    def _stem(piece: str) -> str:
-        if "<|" in piece:  # could be a special token
+    def _stem(piece: bytes) -> bytes:
+        if b"<|" in piece:  # could be a special token
             return piece
-        if piece[-1:] in (".", ",") and piece[-2:-1].isalpha():
+        if piece.endswith((b".", b",")) and piece[-2:-1].isalpha():
             piece = piece[:-1]
-        return piece.translate(_ASCII_LOWER)
+        return piece.lower()  # of bytes: A-Z alone
 
-    def __missing__(self, piece: str) -> bytes:  # dropped while its own batch was learnt
-        self[piece] = got = self.old.get(piece) or np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+    def __missing__(self, piece: bytes) -> bytes:  # dropped while its own batch was learnt
+        self[piece] = got = self.old.get(piece) or _id_bytes(self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids)
         return got
 
 
+def _id_bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 _loaded: dict[str, WordIds] = {}  # per worker process
 
 
@@ -210,27 +211,29 @@ def _word_ids(path: str) -> WordIds:
     return _loaded[path]
 
 
-_BREAKS = str.maketrans("\t\n\r", "   ")
-GROUP_CHARS = 2_000_000  # characters tokenised together
+_BREAKS = bytes.maketrans(b"\t\n\r", b"   ")
+_BREAKS_LOWER = bytes.maketrans(b"\t\n\rABCDEFGHIJKLMNOPQRSTUVWXYZ", b"   abcdefghijklmnopqrstuvwxyz")
+GROUP_BYTES = 2_000_000  # bytes of text tokenised together
 
 
 def encode_texts(texts: Iterable[str | None], path: str, end_id: int) -> Iterator[bytes]:
     """Each text's ids, then ``end_id``, as little-endian uint32 bytes."""
     cache, end = _word_ids(path), np.array([end_id], "<u4").tobytes()
 
-    def encoded(group: list[str]) -> Iterator[bytes]:
-        pieces = [t.translate(_BREAKS).split(" ") for t in group]
+    def encoded(group: list[bytes]) -> Iterator[bytes]:
+        # special tokens are case-sensitive, so texts that may hold one keep their capitals
+        pieces = [t.translate(_BREAKS if b"<|" in t else _BREAKS_LOWER).split(b" ") for t in group]
         cache.learn(set().union(*pieces))
         return (b"".join(map(cache.__getitem__, p)) + end for p in pieces)
 
-    group: list[str] = []
-    chars = 0
+    group: list[bytes] = []
+    size = 0
     for t in texts:
-        group.append(t or "")
-        chars += len(group[-1])
-        if chars >= GROUP_CHARS:
+        group.append((t or "").encode())
+        size += len(group[-1])
+        if size >= GROUP_BYTES:
             yield from encoded(group)
-            group, chars = [], 0
+            group, size = [], 0
     yield from encoded(group)
 
 

@@ -276,6 +276,18 @@ def test_token_files_round_trip(docs, texts, empty):
     assert token_digest(empty, path).count() == 0
 
 
+def test_ids_of_pieces_are_those_of_whole_texts():
+    import public_tokenizers
+    from quarry.llm.token_files import encode_texts
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    odd = ["\u0130. K. x", "\u0958. A, a.. U.S.", "A<|endoftext|>B <|ENDOFTEXT|> X.", "\tA\nB\rC\x0b.\x0cD\x85.\x1c,\xa0e.",
+           "\u03a3. \u03b1\u03a3, \u01c5. 1\u00b2.", " \u0301. ,. .,", "x' 'S don'T.", ""]
+    for text, got in zip(odd, encode_texts(odd, path, 2), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], text
+
+
 @pytest.mark.parametrize("n", [0, 1, 1023, 1024, 5000])
 def test_frame_of_reference_round_trip(n):
     from quarry.llm.token_files import decode_blocks, encode_ids
