@@ -32,8 +32,13 @@ def _col(c: str | Column) -> Column:
 def amount_units(c: str | Column, scale: int = 2) -> Column:
     """``c`` as a whole number of ``10^-scale`` units (long).  Exact for
     amounts with at most ``scale`` decimals and ``|c| < 2^52 / 10^scale``;
-    an amount with more decimals is rounded half-even at that scale."""
-    return F.rint(_col(c) * F.lit(float(10 ** scale))).cast("long")
+    an amount with more decimals fails the query instead of losing value."""
+    scaled = _col(c) * F.lit(float(10 ** scale))
+    whole = F.rint(scaled)
+    # what double arithmetic may be off by, against what a further decimal is worth
+    close = F.abs(scaled - whole) <= F.greatest(F.lit(1e-3), F.abs(scaled) * F.lit(1e-12))
+    fail = F.raise_error(F.concat(F.lit(f"amount finer than {scale} decimals: "), _col(c).cast("string")))
+    return F.when(scaled.isNull() | close, whole).otherwise(fail).cast("long")
 
 
 def units_sum(units: str | Column) -> Column:

@@ -1,22 +1,14 @@
-"""Join helpers: size-checked broadcast, lookups with defaults, anti joins.
+"""Join helpers: lookups with defaults, anti joins.
 
 Broadcast policy
 ----------------
-A side is broadcast only when its size is *proven* small:
-
-* ``fits_broadcast`` / ``bounded_broadcast(df, max_rows)`` count the side's
-  rows and hint ``broadcast`` only if it has at most ``max_rows``.  Probes are
-  applied to projections of scans (dimension tables): the count needs no
-  column, so on Parquet/ORC it is answered from row-group metadata, one
-  partial count per task.  (``limit(n).count()`` would be worse at scale: every
-  split ships up to ``n`` rows into one single-partition limit.)  When a side
-  does not fit, the plain join is kept: Spark's sort-merge join, which AQE may
-  still turn into a broadcast from the *measured* shuffle size, and whose hot
-  keys AQE splits.
-* Derived sides (aggregates, joins) are not probed — a probe would compute
-  them — and use plain joins that AQE sizes at run time.
-* Sides whose size is fixed by construction (a one-row aggregate, a literal
-  list) are broadcast directly via ``fixed_broadcast``.
+No operator hints a broadcast of a table.  Lookups and anti joins are plain
+equi-joins: Spark broadcasts a side whose size in bytes is known to be below
+``spark.sql.autoBroadcastJoinThreshold``, or that AQE *measures* to be below its
+threshold after the side's own shuffle; beyond it the join is a sort-merge join
+whose hot keys AQE splits.  Only sides whose size is fixed by construction (a
+one-row aggregate, one row per shuffle partition) are broadcast by hint, through
+``fixed_broadcast``.
 """
 
 from __future__ import annotations
@@ -24,35 +16,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows we accept to ship to every executor (a lookup of a few MB).
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows (an exact, partially
-    aggregated count; metadata-only on a columnar scan projection)."""
-    return df.count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
 
 def fixed_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a side whose row count is bounded by construction
-    (global aggregate, literal lookup list)."""
+    (global aggregate, one row per shuffle partition)."""
     return F.broadcast(df)
 
 
-def lookup(df: DataFrame, dim: DataFrame, key: str, value: str, *,
-           default: str | Column | None = None, alias: str | None = None,
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Left join ``dim[key, value]`` onto ``df`` (JN1, JN6, JN13).
+def unique_lookup(dim: DataFrame, key: str, value: str) -> DataFrame:
+    """``(key, value)`` with one row per key: the smallest non-null value of a
+    repeated key, so that a lookup never multiplies rows."""
+    return dim.groupBy(key).agg(F.min(value).alias(value))
 
+
+def lookup(df: DataFrame, dim: DataFrame, key: str, value: str, *,
+           default: str | Column | None = None, alias: str | None = None) -> DataFrame:
+    """Left join ``dim[key, value]`` onto ``df`` (JN1, JN6, JN13), one row out
+    per row in (see ``unique_lookup``).
     ``default`` replaces a missing value (``'?'``, the key itself, ...)."""
-    right = bounded_broadcast(dim.select(key, value), max_broadcast_rows)
-    out = df.join(right, on=key, how="left")
+    out = df.join(unique_lookup(dim, key, value), on=key, how="left")
     name = alias or value
     if default is not None:
         fill = default if isinstance(default, Column) else F.lit(default)
@@ -64,9 +46,7 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, value: str, *,
     return out
 
 
-def anti_join(df: DataFrame, other: DataFrame, on: str | list[str], *,
-              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def anti_join(df: DataFrame, other: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows of ``df`` with no match in ``other`` (JN7, JN14)."""
     keys = [on] if isinstance(on, str) else list(on)
-    right = bounded_broadcast(other.select(*keys), max_broadcast_rows)
-    return df.join(right, on=keys, how="left_anti")
+    return df.join(other.select(*keys), on=keys, how="left_anti")

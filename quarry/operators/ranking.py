@@ -46,9 +46,6 @@ def argmax_with_ties(df: DataFrame, value: str) -> DataFrame:
               .drop("__best"))
 
 
-MAX_RANGES = 2048
-
-
 def dense_rank_global(df: DataFrame, value: str, rank_col: str = "rank", *,
                       descending: bool = True, partitions: int | None = None,
                       checkpoint_input: bool = False) -> DataFrame:
@@ -79,10 +76,8 @@ def dense_rank_global(df: DataFrame, value: str, rank_col: str = "rank", *,
     if checkpoint_input:
         df = materialize(df, "rank-input")
     if partitions is None:
-        # enough ranges to spread the distinct values, few enough that the
-        # layout is not thousands of tiny files and the offsets table
-        # (one row per range, ordered on one task) stays small
-        partitions = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES))
+        # one range per shuffle partition; the offsets table has as many rows
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
     distinct_values = df.select(value).distinct()
     laid_out = materialize(distinct_values.repartitionByRange(partitions, order)

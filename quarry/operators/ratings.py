@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from quarry.functions.buckets import AGE_BOUNDS, AGE_LABELS_DASH, bucket_ordinal, bucketize
 from quarry.functions.tags import split_tags
 from quarry.functions.times import year_of_epoch
-from quarry.operators.joins import bounded_broadcast, lookup
+from quarry.operators.joins import lookup, unique_lookup
 from quarry.operators.ranking import first_by
 
 # Fixed value: the label shown for a movie or occupation id without a name.
@@ -46,7 +46,7 @@ def _mean(total: Column, count: Column, precision: str) -> Column:
 
 def _title_of(stats: DataFrame, movies: DataFrame, on_missing: str) -> DataFrame:
     if on_missing == "drop":
-        return stats.join(bounded_broadcast(movies.select("movie_id", "title")), "movie_id", "inner")
+        return stats.join(unique_lookup(movies, "movie_id", "title"), "movie_id", "inner")
     default = F.lit(MISSING_LABEL) if on_missing == "label" else F.col("movie_id").cast("string")
     if on_missing not in ("label", "id"):
         raise ValueError("on_missing must be 'label', 'id' or 'drop'")
@@ -118,12 +118,14 @@ def gender_stats(ratings: DataFrame, users: DataFrame | None, movies: DataFrame,
     """Wide per-movie means and counts for each gender.
 
     Columns ``movie_id, title, <g>_avg, <g>_count`` per gender in ``genders``
-    (lower-cased prefix).  Ratings from other genders are ignored; a movie
-    appears only if it has a rating from one of ``genders``.  An absent gender
-    gets ``fill`` as mean (NULL by default) and count 0."""
+    (lower-cased prefix).  Ratings from other genders are ignored.  With
+    ``by='id'`` a movie appears only if it has a rating from one of
+    ``genders``; with ``by='title'`` every rated title appears.  An absent
+    gender gets ``fill`` as mean (NULL by default) and count 0."""
     g = F.upper("gender") if case_insensitive else F.col("gender")
     rated = _user_side(ratings, users, ["gender"]).withColumn("gender", g)
-    rated = rated.filter(F.col("gender").isin(*genders))
+    if by == "id":
+        rated = rated.filter(F.col("gender").isin(*genders))
     return _wide(rated, movies, "gender", genders, by=by, fill=fill, precision=precision,
                  on_missing=on_missing)
 
@@ -163,8 +165,11 @@ def _wide(rated: DataFrame, movies: DataFrame, key: str, values: Sequence[str],
         lead = [F.col("movie_id"), F.col("title")]
         order = [F.lower("title"), F.col("movie_id")]
     elif by == "title":
-        titled = rated.join(bounded_broadcast(movies.select("movie_id", "title")), "movie_id", "inner")
-        stats = titled.groupBy("title").agg(*aggs)
+        # one row per movie before the titles are joined; titles shared by movies merge afterwards
+        per_movie = rated.filter(F.col("rating").isNotNull()).groupBy("movie_id").agg(*aggs)
+        totals = [F.sum(c).alias(c) for c in per_movie.columns if c != "movie_id"]
+        titles = unique_lookup(movies, "movie_id", "title").filter(F.col("title").isNotNull())
+        stats = per_movie.join(titles, "movie_id", "inner").groupBy("title").agg(*totals)
         lead = [F.col("title")]
         order = [F.col("title")]
     else:

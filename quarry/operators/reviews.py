@@ -8,7 +8,7 @@ Scale notes
 * Tokens are produced with ``explode(split(...))`` inside codegen and are
   immediately partially aggregated (map-side combine), so a hot word that is
   a third of the corpus is one row per map task by the time it is shuffled.
-* The stop-word list goes through a bounded broadcast anti join.
+* The stop-word list goes through an anti join, a broadcast when it is small in bytes.
 * Per-category top-k uses ``row_number <= k`` (partial ``WindowGroupLimit``),
   never a self-join.
 """
@@ -41,9 +41,8 @@ def clean_words(reviews: DataFrame, stopwords: DataFrame | None, *,
     """One row per kept token: ``(*keep, word)``.
 
     lower-case + punctuation to space -> split on whitespace -> drop blank
-    tokens -> drop stop words.  Tokenising is the CPU-heavy step: give this
-    operator an input with enough partitions (see
-    ``quarry.operators.partitioning.spread_for_cpu_work``)."""
+    tokens -> drop stop words.  Tokenising is the CPU-heavy step and runs in the tasks
+    of the scan: give this operator an input with enough splits."""
     tokens = (reviews
               .select(*keep, F.explode(tokenize(normalize_text(text_col))).alias("word"))
               .filter(is_real_token("word")))

@@ -24,8 +24,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.joins import bounded_broadcast, fits_broadcast
-from quarry.operators.partitioning import spread_for_cpu_work
+from quarry.operators.joins import fixed_broadcast
 from quarry.sources.tables import read_table
 
 # The stop-word list used with the benchmark documents
@@ -79,22 +78,15 @@ class Bindings:
     def ratings_with_user(self) -> DataFrame:
         """Ratings carrying the rater's attributes (gender, age, occupation).
 
-        The plan is chosen from size probes of the base tables:
-
-        * orders and customers within the broadcast bound: both are broadcast
-          and the fact table streams through without any shuffle;
-        * otherwise the two smaller tables are joined first (orders x
-          customers, one row per order) and the fact table joins that once on
-          the order key: one fact-sized shuffle instead of two (fact x orders,
-          then x users)."""
+        The two smaller tables are joined first (orders x customers, one row
+        per order) and the fact table joins that once on the order key: at most
+        one fact-sized shuffle instead of two (fact x orders, then x users),
+        and none where that side is small enough to be broadcast."""
         orders = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"),
                                              F.col("o_custkey").alias("user_id"))
         li = self.table("lineitem").select("l_orderkey", F.col("l_partkey").alias("movie_id"),
                                            F.col("l_quantity").alias("rating"))
-        if fits_broadcast(orders) and fits_broadcast(self.users):
-            return (li.join(F.broadcast(orders), "l_orderkey", "inner")
-                    .join(F.broadcast(self.users), "user_id", "inner").drop("l_orderkey"))
-        order_users = orders.join(bounded_broadcast(self.users), "user_id", "inner")
+        order_users = orders.join(self.users, "user_id", "inner")
         return li.join(order_users, "l_orderkey", "inner").drop("l_orderkey")
 
     @cached_property
@@ -118,15 +110,12 @@ class Bindings:
     # ---- text family ----------------------------------------------------
     @cached_property
     def documents(self) -> DataFrame:
-        """Documents, spread over the cores when the scan yields too few splits
-        (tokenising is CPU-bound; a one-row-group file is one task)."""
-        docs = self.table("documents").select("doc_id", "text", "lang", "source")
-        return spread_for_cpu_work(docs)
+        return self.table("documents").select("doc_id", "text", "lang", "source")
 
     @cached_property
     def text_reviews(self) -> DataFrame:
         docs = self.documents
-        labels = bounded_broadcast(self.table("labels").select("doc_id", "quality", "toxic"))
+        labels = self.table("labels").select("doc_id", "quality", "toxic")
         sentiment = (F.when(F.col("toxic") == 1, F.lit(SENTIMENT_NEGATIVE))
                      .when(F.col("quality") == 1, F.lit(SENTIMENT_POSITIVE))
                      .otherwise(F.lit(SENTIMENT_NEUTRAL)))
@@ -145,7 +134,8 @@ class Bindings:
 
     @cached_property
     def stopwords(self) -> DataFrame:
-        return self.spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
+        # a literal list: the one side that is broadcast by hint
+        return fixed_broadcast(self.spark.createDataFrame([(w,) for w in STOP_WORDS], "word string"))
 
     # ---- commerce family ------------------------------------------------
     @cached_property
@@ -157,8 +147,8 @@ class Bindings:
 
     @cached_property
     def customers(self) -> DataFrame:
-        nation = bounded_broadcast(self.table("nation").select(
-            F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")))
+        nation = self.table("nation").select(
+            F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country"))
         return (self.table("customer").select("c_custkey", "c_nationkey")
                 .join(nation, "c_nationkey", "left")
                 .select(F.col("c_custkey").alias("customer_id"), "country"))

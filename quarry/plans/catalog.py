@@ -55,8 +55,8 @@ def _best_movie(b: Bindings) -> DataFrame:
 
 @register("best_movie_by_id_text")
 def _best_movie_id(b: Bindings) -> DataFrame:
-    """J1 (MapReduce rule): best mean, ties to the smallest id in text order."""
-    stats = ratings.movie_stats(b.ratings, b.movies, on_missing="id")
+    """J1 (MapReduce rule): best float32 mean, ties to the smallest id in text order."""
+    stats = ratings.movie_stats(b.ratings, b.movies, precision="float32", on_missing="id")
     return ratings.best_movie(stats, MIN_RATINGS_FOR_BEST, rule="id_text")
 
 
@@ -99,6 +99,13 @@ def _age_wide(b: Bindings) -> DataFrame:
                                         bounds=BALANCE_BOUNDS, labels=AGE_LABELS_OVERLAP, fill=0.0)
 
 
+@register("age_group_means_by_title")
+def _age_by_title(b: Bindings) -> DataFrame:
+    """J4 (MapReduce form): per title, four groups, 0.0 fill, float32."""
+    return ratings.age_group_stats_wide(b.ratings_with_user, None, b.movies, bounds=BALANCE_BOUNDS,
+                                        labels=AGE_LABELS_OVERLAP, by="title", fill=0.0, precision="float32")
+
+
 @register("occupation_stats")
 def _occupation(b: Bindings) -> DataFrame:
     """Mean and count per occupation, unnamed ids as '?'."""

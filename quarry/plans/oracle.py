@@ -149,6 +149,23 @@ SELECT s.movie_id, coalesce(p.p_name, '?') AS title, {cols}
 FROM s LEFT JOIN part p ON s.movie_id = p.p_partkey"""
 
 
+def _age_by_title() -> str:
+    aggs = ", ".join(
+        f"sum(CASE WHEN age_group = '{lab}' THEN rating END) AS s_{c}, "
+        f"count(CASE WHEN age_group = '{lab}' THEN rating END) AS {c}_count"
+        for lab, c in zip(_AGE_OVERLAP, _AGE_COLS))
+    cols = ", ".join(
+        f"coalesce(CASE WHEN {c}_count > 0 THEN {_f32_mean('s_' + c, c + '_count')} END, CAST(0.0 AS FLOAT)) "
+        f"AS {c}_avg, {c}_count" for c in _AGE_COLS)
+    return f"""
+WITH {_RATINGS_USER},
+  x AS (SELECT p.p_name AS title, r.rating, {_bucket('c.c_acctbal', _AGE_OVERLAP)} AS age_group
+        FROM r JOIN customer c ON r.user_id = c.c_custkey JOIN part p ON r.movie_id = p.p_partkey),
+  s AS (SELECT title, {aggs} FROM x
+        WHERE title IS NOT NULL AND age_group IS NOT NULL AND rating IS NOT NULL GROUP BY title)
+SELECT title, {cols} FROM s"""
+
+
 ORACLE_SQL: dict[str, str] = {
     # ------------------------------------------------------------ ratings
     "movie_stats": f"""
@@ -167,8 +184,9 @@ ORDER BY avg_rating DESC, total_ratings DESC, lower(title), movie_id LIMIT 1""",
 
     "best_movie_by_id_text": f"""
 WITH {_MOVIE_STATS.format(default="CAST(s.movie_id AS VARCHAR)")}
-SELECT movie_id, title, avg_rating, total_ratings FROM m WHERE total_ratings >= {MIN_RATINGS_FOR_BEST}
-ORDER BY avg_rating DESC, CAST(movie_id AS VARCHAR) LIMIT 1""",
+SELECT m.movie_id, m.title, {_f32_mean('s.sm', 's.total_ratings')} AS avg_rating, m.total_ratings
+FROM m JOIN s ON m.movie_id = s.movie_id WHERE m.total_ratings >= {MIN_RATINGS_FOR_BEST}
+ORDER BY avg_rating DESC, CAST(m.movie_id AS VARCHAR) LIMIT 1""",
 
     "genre_stats": f"""{_GENRE_BASE}
 SELECT genre, sm / n AS avg_rating, CAST(n AS BIGINT) AS total_ratings FROM g""",
@@ -190,7 +208,7 @@ FROM s LEFT JOIN part p ON s.movie_id = p.p_partkey""",
 WITH {_RATINGS_USER},
   x AS (SELECT p.p_name AS title, r.rating, upper(substr(c.c_mktsegment, 1, 1)) AS gender
         FROM r JOIN customer c ON r.user_id = c.c_custkey JOIN part p ON r.movie_id = p.p_partkey),
-  s AS (SELECT title, {_gender_aggs()} FROM x WHERE gender IN ('M', 'F') GROUP BY title)
+  s AS (SELECT title, {_gender_aggs()} FROM x WHERE title IS NOT NULL AND rating IS NOT NULL GROUP BY title)
 SELECT title,
        coalesce(CASE WHEN m_count > 0 THEN {_f32_mean('s_m', 'm_count')} END, CAST(0.0 AS FLOAT)) AS m_avg,
        m_count,
@@ -210,6 +228,8 @@ FROM s LEFT JOIN part p ON s.movie_id = p.p_partkey""",
 
     "age_group_stats_wide": _age_wide(),
 
+    "age_group_means_by_title": _age_by_title(),
+
     "occupation_stats": """
 WITH pu AS (SELECT o.o_custkey AS user_id, sum(l.l_quantity) AS sm, count(l.l_quantity) AS n
             FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY o.o_custkey),

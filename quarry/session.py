@@ -39,18 +39,17 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
 
     * scans: ``split_mib`` per input split, so a task's input fits in its
       share of executor memory while the number of map tasks stays moderate;
-    * shuffles: about one partition per GiB of input, clamped to 3..8 waves of
-      the cluster's cores (map tasks x reduce partitions is the shuffle's block
-      count, so it must not explode); AQE then coalesces small partitions
+    * shuffles: about one partition per GiB of input, and at least 3 waves of
+      the cluster's cores; AQE then coalesces small partitions
       towards an advisory size, splits skewed ones and turns joins whose
       measured side is small into broadcasts.
 
     For 100 TB on 1000 executors x 8 cores: 512 MiB splits (~205k map tasks)
-    and 64k initial shuffle partitions.
+    and ~102k initial shuffle partitions.
     """
     cores = max(1, executors * cores_per_executor)
     by_size = input_bytes // (1024 * MIB)
-    initial = min(max(by_size, 3 * cores), 8 * cores)
+    initial = max(by_size, 3 * cores)
     return {
         "spark.sql.files.maxPartitionBytes": str(split_mib * MIB),
         "spark.sql.shuffle.partitions": str(initial),

@@ -3,6 +3,7 @@
 import datetime as dt
 import unicodedata
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -94,7 +95,7 @@ def test_year_range_is_half_open(spark):
 def test_cluster_conf_bounds():
     from quarry.session import cluster_conf
     big = cluster_conf(100 * 2 ** 40, 1000, 8)
-    assert int(big["spark.sql.shuffle.partitions"]) == 64000            # clamped to 8 waves
+    assert int(big["spark.sql.shuffle.partitions"]) == 102400           # one per GiB
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 512 * 2 ** 20
     small = cluster_conf(2 ** 30, 1, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 24              # at least 3 waves
@@ -110,6 +111,14 @@ def test_money_units_are_exact(spark):
     assert four.select(amount_units("x", 4)).first()[0] == 47896422
 
 
+def test_money_finer_than_its_scale_fails_instead_of_rounding(spark):
+    from quarry.functions import amount_units
+    df = spark.createDataFrame([(1.004,), (None,)], "x double")
+    assert [r[0] for r in df.select(amount_units("x", 3)).collect()] == [1004, None]
+    with pytest.raises(Exception, match="finer than 2 decimals"):
+        df.select(amount_units("x", 2)).collect()
+
+
 def test_ratio_half_up_is_exact_for_large_integers(spark):
     from quarry.functions.numeric import ratio_half_up
     df = spark.createDataFrame([(30000000000000001, 7), (9 * 10**16, 2), (-5, 8), (1, 0)], "n long, d long")

@@ -57,6 +57,10 @@ def test_best_movie_rules(spark, data):
     assert rows(R.best_movie(stats, 5), "movie_id") == [(9,)]
     # id in text order: '10' < '11' < '12' < '9'
     assert rows(R.best_movie(stats, 5, rule="id_text"), "movie_id") == [(10,)]
+    # means that differ only beyond float32 tie there
+    near = spark.createDataFrame([(1, 9, 4.35000001)] * 5 + [(1, 10, 4.35)] * 5, "user_id long, movie_id long, rating double")
+    for precision, best in (("double", 9), ("float32", 10)):
+        assert rows(R.best_movie(R.movie_stats(near, tie_movies, precision=precision), 5, rule="id_text"), "movie_id") == [(best,)]
     # equal means and counts -> lower(title) then id
     stats2 = R.movie_stats(tie.filter(F.col("movie_id") != 9), tie_movies)
     assert rows(R.best_movie(stats2, 5), "movie_id") == [(10,)]
@@ -90,6 +94,10 @@ def test_gender_stats_wide(data):
     assert by_title["Twin"] == (2.0, 1, 4.0, 1)         # same-title movies merge (S2)
     assert by_title["beta"] == (3.5, 1, 0.0, 0)         # fill 0.0
     assert "?" not in by_title                          # unknown movie dropped
+    other = ratings.filter("user_id = 13 and movie_id = 1")
+    only = rows(R.gender_stats(other, users, movies, by="title", fill=0.0, precision="float32"))
+    assert only == [("Alpha, The", 0.0, 0, 0.0, 0)]     # rated by another gender only
+    assert R.gender_stats(other, users, movies).count() == 0
 
 
 def test_age_groups_long_and_wide(data):
@@ -103,6 +111,8 @@ def test_age_groups_long_and_wide(data):
                             "age_50_plus_avg", "age_50_plus_count"]
     g = {r[0]: r[2:] for r in rows(wide)}
     assert g[3] == (0.0, 0, 0.0, 0, 4.5, 1, 2.5, 1)
+    titled = R.age_group_stats_wide(ratings, users, movies, labels=AGE_LABELS_OVERLAP, by="title", fill=0.0, precision="float32")
+    assert {r[0]: r[1:] for r in rows(titled)}["Twin"] == (2.0, 1, 4.0, 1, 0.0, 0, 0.0, 0)
 
 
 def test_occupation_and_yearly(data):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from quarry.functions import bucketize
-from quarry.operators.joins import anti_join, bounded_broadcast, fits_broadcast, lookup
+from quarry.operators.joins import anti_join, lookup
 from quarry.operators.ranking import argmax_with_ties, first_by, top_k_per_group
 from quarry.session import ensure_checkpoint_dir, materialize
 from quarry.sinks import write_report
@@ -27,12 +27,20 @@ def test_materialize_writes_under_checkpoint_dir(spark):
     assert all(local(f).startswith(local(root)) for f in files)
 
 
-def test_bounded_broadcast_probe(spark):
-    small = spark.range(10)
-    big = spark.range(50)
-    assert fits_broadcast(small, 10) and not fits_broadcast(big, 10)
-    hinted = bounded_broadcast(small, 10).join(spark.range(100), "id")
-    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+def test_lookup_keeps_one_row_per_row_and_measures_its_side(spark):
+    facts = spark.range(10)
+    dim = spark.createDataFrame([(1, "b"), (1, "a"), (2, None), (2, "c")], "id long, name string")
+    got = lookup(facts, dim, "id", "name", default="?")
+    assert [r for r in rows(got.orderBy("id")) if r[1] != "?"] == [(1, "a"), (2, "c")] and got.count() == 10
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for size, join in (("10MB", "BroadcastHashJoin"), ("-1", "SortMergeJoin")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+            out = lookup(facts, dim, "id", "name")
+            out.collect()
+            assert join in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_lookup_defaults_and_anti_join(spark):

@@ -68,6 +68,12 @@ def test_top_k_uses_partial_window_group_limit(spark, queries):
     assert "WindowGroupLimit" in _formatted(df)
 
 
+def test_review_counts_move_no_rows_before_counting(spark, queries):
+    for name in ("review_count_by_category", "review_count_by_aspect", "positive_aspect_counts",
+                 "negative_aspect_counts", "aspect_sentiment_counts", "top_positive_aspect", "top_negative_aspect"):
+        assert "RoundRobin" not in _formatted(queries[name](spark, SF_SMALL)), name
+
+
 def test_stop_words_broadcast(spark, queries):
     df = queries["word_freq_over_threshold"](spark, SF_SMALL)
     text = _formatted(df)
