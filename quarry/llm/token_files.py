@@ -22,6 +22,7 @@ gives random access to any id range without unpacking the rest.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -146,20 +147,39 @@ def read_file(content: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]
     return [None if x else d for d, x in zip(doc_ids, nulls, strict=True)], lengths, ids
 
 
+# a word of Latin letters, then ASCII punctuation without the apostrophe (letters may follow that in one token)
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@[-`{-~]*)")
+_PROBE = "A b,\tCD.\nthe\rThe \u00c9t\u00e9!? 1 don't ...  x"
+
+
 class WordIds(dict):
     """Piece of a text between white space, as UTF-8 -> its ids as bytes.
 
-    The tokenizer drops white space and no token spans it, so a text's ids are
-    those of its pieces in a row.  It lowers case and never puts an ASCII letter
-    and a final full stop or comma into one token, so such pieces follow from
-    others (other letters may turn into a letter and a mark, which joins the stop).
+    Holds for tokenizers that drop white space, lower case and never put a
+    letter and punctuation into one token, which ``fits`` tries: a text's ids
+    are those of its pieces in a row, and a plain word's are what the model
+    alone makes of its bytes, in lower case; other pieces take the whole tokenizer.
     Two generations of ``limit`` pieces each bound the memory: a full young
     one becomes the old one.
     """
 
     def __init__(self, tokenizer, limit: int = 400_000):
+        from tokenizers.pre_tokenizers import ByteLevel
         super().__init__({b"": b""})
         self.tokenizer, self.limit, self.old = tokenizer, limit, {}
+        self.model = tokenizer.model
+        # the model's letters for UTF-8 bytes, as the library maps them
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.letters = {c: spell(chr(c))[0][0] for c in range(0xDF, 0x100)}
+
+    def fits(self) -> bool:
+        """Whether this tokenizer's ids of a probe are those of its pieces."""
+        pieces = _pieces(_PROBE.encode())
+        self.learn(set(pieces))
+        return b"".join(map(self.__getitem__, pieces)) == _id_bytes(self.tokenizer.encode(_PROBE, add_special_tokens=False).ids)
+
+    def _word(self, word: str) -> bytes:
+        return _id_bytes([t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.letters))])
 
     def learn(self, pieces: set[bytes]) -> None:
         """Make sure that all of these are young."""
@@ -172,24 +192,24 @@ class WordIds(dict):
         known = pieces.intersection(self.old)
         for p in known:
             self[p] = self.old[p]
-        # a piece = its stem (A-Z lowered, without a final stop after an ASCII letter) and that stop
-        stems = {p: stem for p in pieces.difference(known) if (stem := self._stem(p)) != p}
-        own = pieces.difference(known, stems).union(stems.values(), (b".", b",")).difference(self)
-        for p in own.intersection(self.old):
-            self[p] = self.old[p]
-        new = list(own.difference(self.old))
+        split, odd, words = [], [], {}
+        for p in pieces.difference(known):
+            match = _PLAIN.fullmatch(p.decode())
+            if match:
+                word, tail = match[1].lower(), match[2].encode()
+                split.append((p, word, tail))
+                words[word] = b""
+                odd.append(tail)
+            else:
+                odd.append(p)
+        new = list(set(odd).difference(self))
         for p, got in zip(new, self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False), strict=True):
             self[p] = _id_bytes(got.ids)
-        for p, stem in stems.items():
-            self[p] = self[stem] + (self[p[-1:]] if len(p) > len(stem) else b"")
-
-    @staticmethod
-    def _stem(piece: bytes) -> bytes:
-        if b"<|" in piece:  # could be a special token
-            return piece
-        if piece.endswith((b".", b",")) and piece[-2:-1].isalpha():
-            piece = piece[:-1]
-        return piece.lower()  # of bytes: A-Z alone
+        for word in words:
+            key = word.encode()
+            words[word] = self.get(key) or self.old.get(key) or self._word(word)
+        for p, word, tail in split:
+            self[p] = words[word] + self[tail]
 
     def __missing__(self, piece: bytes) -> bytes:  # dropped while its own batch was learnt
         self[piece] = got = self.old.get(piece) or _id_bytes(self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids)
@@ -200,14 +220,16 @@ def _id_bytes(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-_loaded: dict[str, WordIds] = {}  # per worker process
+_loaded: dict[str, tuple] = {}  # per worker process: the tokenizer, and its cache where pieces do
 
 
-def _word_ids(path: str) -> WordIds:
+def _load(path: str) -> tuple:
     if path not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        _loaded[path] = WordIds(Tokenizer.from_file(path))
+        tokenizer = Tokenizer.from_file(path)
+        cache = WordIds(tokenizer)
+        _loaded[path] = tokenizer, cache if cache.fits() else None
     return _loaded[path]
 
 
@@ -216,15 +238,22 @@ _BREAKS_LOWER = bytes.maketrans(b"\t\n\rABCDEFGHIJKLMNOPQRSTUVWXYZ", b"   abcdef
 GROUP_BYTES = 2_000_000  # bytes of text tokenised together
 
 
+def _pieces(text: bytes) -> list[bytes]:
+    # special tokens are case-sensitive, so texts that may hold one keep their capitals
+    return text.translate(_BREAKS if b"<|" in text else _BREAKS_LOWER).split(b" ")
+
+
 def encode_texts(texts: Iterable[str | None], path: str, end_id: int) -> Iterator[bytes]:
     """Each text's ids, then ``end_id``, as little-endian uint32 bytes."""
-    cache, end = _word_ids(path), np.array([end_id], "<u4").tobytes()
+    (tokenizer, cache), end = _load(path), np.array([end_id], "<u4").tobytes()
 
     def encoded(group: list[bytes]) -> Iterator[bytes]:
-        # special tokens are case-sensitive, so texts that may hold one keep their capitals
-        pieces = [t.translate(_BREAKS if b"<|" in t else _BREAKS_LOWER).split(b" ") for t in group]
+        if cache is None:
+            yield from (_id_bytes(got.ids) + end for got in tokenizer.encode_batch_fast([t.decode() for t in group], add_special_tokens=False))
+            return
+        pieces = [_pieces(t) for t in group]
         cache.learn(set().union(*pieces))
-        return (b"".join(map(cache.__getitem__, p)) + end for p in pieces)
+        yield from (b"".join(map(cache.__getitem__, p)) + end for p in pieces)
 
     group: list[bytes] = []
     size = 0

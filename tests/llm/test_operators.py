@@ -284,10 +284,23 @@ def test_ids_of_pieces_are_those_of_whole_texts():
     tokenizer = Tokenizer.from_file(path)
     odd = ["\u0130. K. x", "\u0958. A, a.. U.S.", "A<|endoftext|>B <|ENDOFTEXT|> X.", "\tA\nB\rC\x0b.\x0cD\x85.\x1c,\xa0e.",
            "\u03a3. \u03b1\u03a3, \u01c5. 1\u00b2.", " \u0301. ,. .,", "x' 'S don'T.", ""]
+    rnd = random.Random(3)
+    letters = "aZ\u00e9\u00c9\u00df\u00ff\u00f7\u00d7'.,!<|>-3 \t\n\u0301\u0338\u0130\u03a3\u00aa`~{\xa0s"
+    odd += ["".join(rnd.choices(letters, k=rnd.randint(1, 9))) for _ in range(3000)]
     for text, got in zip(odd, encode_texts(odd, path, 2), strict=True):
         assert np.frombuffer(got, "<u4").tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], text
 
 
+def test_ids_of_a_tokenizer_that_keeps_spaces():
+    import public_tokenizers
+    from quarry.llm.token_files import encode_texts
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, texts = Tokenizer.from_file(path), ["A b  c.", None, "The the\n\u00e9 <|endoftext|> x"]
+    for text, got in zip(texts, encode_texts(texts, path, 2), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+
+
 @pytest.mark.parametrize("n", [0, 1, 1023, 1024, 5000])
 def test_frame_of_reference_round_trip(n):
     from quarry.llm.token_files import decode_blocks, encode_ids
