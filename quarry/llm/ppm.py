@@ -1,31 +1,26 @@
-"""Prediction by partial matching over bytes, with a trie counted by Spark.
+"""Prediction by partial matching over bytes: the n-grams of symbols.
 
 Symbols are the bytes of a text, then ``END``; the context of a symbol is the
 up to ``order`` bytes before it (``PAD`` before the text).  ``END`` and ``PAD``
 are byte values that UTF-8 never uses.
 
-The trie keeps a context's symbol if the corpus has context and symbol at least
-``floor`` times as often as it has symbols.  No order can then hold more than
-``1 / floor`` entries, whatever the corpus size, which bounds what is
-broadcast.  A kept context of count ``N`` with kept symbols ``S`` gives symbol
-``s`` the probability ``(c(s) - 1/2) / N`` and escapes with the rest: half a unit
-for every distinct symbol, and the counts of the symbols that were not kept.
-After an escape the shorter context excludes the symbols of the longer one
-(always a subset of its own) from its symbols and its total.  Symbols that no
-context has share what is left evenly.
+A context of count ``N`` with symbols ``S`` gives symbol ``s`` the probability
+``(c(s) - 1/2) / N`` and escapes with the rest, half a unit for every distinct
+symbol.  Where the caller leaves out n-grams below a floor, their counts go to
+the escape, too.  After an escape the shorter context excludes the symbols of
+the longer one (always a subset of its own) from its symbols and its total.
+Symbols that no context has share what is left evenly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 
 PAD, END = 0xFE, 0xFF
 ORDER = 5
-FLOOR = 5e-7
+COMMON = 5e-7  # share of all symbols from which a gram's score is broadcast, so at most 1 / COMMON grams
 MAX_ORDER = 6  # a gram of order + 1 bytes fits a signed long
 
 
@@ -50,94 +45,14 @@ def counted(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(grams, return_counts=True)
 
 
-@dataclass
-class Trie:
-    """Per order k: sorted grams of k + 1 bytes with counts, and contexts of k bytes with full counts."""
-
-    order: int
-    grams: list[np.ndarray]
-    counts: list[np.ndarray]
-    contexts: list[np.ndarray]
-    totals: list[np.ndarray]
-
-
-class Model:
-    """A trie made ready for scoring whole arrays of symbols."""
-
-    def __init__(self, trie: Trie):
-        self.order = trie.order
-        self.gram_index = [pd.Index(g) for g in trie.grams]
-        self.context_index = [pd.Index(c) for c in trie.contexts]
-        self.log_count = [np.log(c - 0.5) for c in trie.counts]
-        self.own: list[np.ndarray] = []      # context of each gram
-        self.log_top: list[np.ndarray] = []  # log denominator of a context that coding starts at
-        self.log_escape: list[np.ndarray] = []
-        self.shorter: list[np.ndarray] = []  # a context's suffix in the order below
-        self.log_after: list[np.ndarray] = []  # denominator of the suffix, without this context's symbols
-        self.log_escape_after: list[np.ndarray] = []
-        kept, symbols = [], []
-        for k in range(trie.order + 1):
-            own = self.context_index[k].get_indexer(trie.grams[k] >> 8)
-            self.own.append(own)
-            n = len(trie.contexts[k])
-            kept.append(np.bincount(own, trie.counts[k], n))
-            symbols.append(np.bincount(own, minlength=n).astype(np.float64))
-            top = np.log(trie.totals[k])
-            self.log_top.append(top)
-            self.log_escape.append(np.log(symbols[k] / 2 + trie.totals[k] - kept[k]) - top)
-            if not k:
-                self.shorter.append(np.full(n, -1))
-                self.log_after.append(np.zeros(n))
-                self.log_escape_after.append(np.zeros(n))
-                continue
-            mask = (1 << 8 * (k - 1)) - 1
-            shorter = self.context_index[k - 1].get_indexer(trie.contexts[k] & mask)
-            below = self.gram_index[k - 1].get_indexer(trie.grams[k] & ((1 << 8 * k) - 1))
-            excluded = np.bincount(own, trie.counts[k - 1][below], n)
-            left = symbols[k - 1][shorter] - symbols[k]
-            rest = trie.totals[k - 1][shorter] - excluded
-            out = left / 2 + trie.totals[k - 1][shorter] - kept[k - 1][shorter]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                self.shorter.append(shorter)
-                self.log_after.append(np.log(rest))
-                self.log_escape_after.append(np.where(rest > 0, np.log(out) - np.log(rest), 0.0))
-        self.log_uniform = -np.log(256.0 - len(trie.grams[0]))
-
-    def log_probabilities(self, grams: np.ndarray) -> np.ndarray:
-        """Natural log probability of the last symbol of each (order + 1)-gram."""
-        out = np.zeros(len(grams))
-        open_, came = np.arange(len(grams)), np.full(len(grams), -1)  # came: longer context escaped from, or -1
-        for k in range(self.order, -1, -1):
-            own = grams[open_] & ((1 << 8 * (k + 1)) - 1)
-            at = self.gram_index[k].get_indexer(own)
-            found = at >= 0
-            hit, gram, after = open_[found], at[found], came[found]
-            start = self.log_top[k][self.own[k][gram]]
-            out[hit] += self.log_count[k][gram] - (start if k == self.order else np.where(after < 0, start, self.log_after[k + 1][after] if len(self.log_after[k + 1]) else start))
-            open_, came, own = open_[~found], came[~found], own[~found]
-            fresh = came < 0
-            here = np.where(fresh, -1, 0)
-            if fresh.any():
-                context = self.context_index[k].get_indexer(own[fresh] >> 8)
-                here[fresh] = context
-                started = context >= 0
-                out[open_[fresh][started]] += self.log_escape[k][context[started]]
-            if k < self.order and not fresh.all():
-                longer = came[~fresh]
-                here[~fresh] = self.shorter[k + 1][longer]
-                out[open_[~fresh]] += self.log_escape_after[k + 1][longer]
-            came = here
-        out[open_] += self.log_uniform
-        return out
-
-    def log10_texts(self, texts: list[bytes], chunk: int = 1 << 21) -> np.ndarray:
-        """log10 probability of each whole text, its end included."""
-        out = np.zeros(len(texts))
-        for a, b in batches([len(t) + 1 for t in texts], chunk):
-            grams, sizes = gram_windows(texts[a:b], self.order)
-            logs = np.concatenate([self.log_probabilities(grams[i:i + chunk]) for i in range(0, len(grams), chunk)])
-            out[a:b] = np.add.reduceat(logs, np.cumsum(sizes) - sizes) / np.log(10)
-        return out
+def packed(values: np.ndarray) -> bytes:
+    """The integers' bytes, those of equal weight together (sorted values then compress well)."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 def batches(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:

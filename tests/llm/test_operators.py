@@ -375,6 +375,16 @@ def test_lm_scores(docs, texts, empty, floor):
     assert lm_scores(empty).count() == 0
 
 
+@pytest.mark.parametrize("gram_floor", [2e-3, 2.0])
+def test_lm_scores_know_rare_grams(docs, texts, gram_floor, monkeypatch):
+    from quarry.llm import lm_score
+    monkeypatch.setattr(lm_score, "BUCKET", 10_000)
+    train = [t for i, t in texts if i is not None and zlib.crc32(str(i).encode()) % 10]
+    want = sorted(ppm(train, [t for _, t in texts], 5, 0.0))
+    got = sorted(r.score for r in lm_score.lm_scores(docs, gram_floor=gram_floor).collect())
+    assert np.allclose(got, want, rtol=1e-9)
+
+
 # op9
 
 def test_mixture(docs, texts, empty):
