@@ -47,12 +47,12 @@ def counted(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def packed(values: np.ndarray) -> bytes:
     """The integers' bytes, those of equal weight together (sorted values then compress well)."""
-    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
 
 
 def unpacked(data: bytes, kind: type) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, len(data) // size).T).view(kind).ravel()
 
 
 def batches(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:

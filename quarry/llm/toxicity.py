@@ -1,7 +1,7 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier.
 
-1. Voters.  Over a bounded sample of labelled training texts, Spark counts in how
-   many toxic and how many other texts each word and each word beginning occurs.  The
+1. Voters.  Over all labelled training texts, Spark counts in how many toxic
+   and how many other texts each word and each word beginning occurs.  The
    features that speak most clearly for toxicity become voters: a word is a
    lexicon voter, a beginning a pattern voter.  A voter fires or abstains.
 2. Label model.  Voters are independent given the hidden label, but for cliques
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc_mod, written
+from .ppm import packed, unpacked
 
 WORDS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5)
@@ -37,12 +38,13 @@ MAX_FEATURES = 1024
 MIN_SHARE = 0.004       # of the toxic texts a mined feature occurs in, at least
 MIN_TOXIC = 3
 Z, MIN_ODDS = 2.0, 1.0  # the log-odds of a mined feature, less Z standard errors, exceed MIN_ODDS
-SAMPLE_ROWS = 20_000    # bound of the labelled texts mined, and of the rows the classifier is fitted on
+SAMPLE_ROWS = 20_000    # bound of the rows the classifier is fitted on
 PRIOR = 0.05            # share of toxic texts that is assumed without labels
 CONFIDENCE = 0.98       # that a given label is right
 ROUNDS = 8
 CORRELATED = 0.5
 CACHE = 400_000
+FILTER_BITS = 1 << 26   # of the filter that toxic ids pass; past as many toxic ids more texts pass it, and the join decides
 
 
 def word_features(word: str) -> list[str]:
@@ -55,9 +57,47 @@ def text_features(text: str | None) -> set[str]:
     return {f for w in words for f in word_features(w)}
 
 
-def mine_features(labelled: DataFrame, n_pos: int, n_neg: int) -> pd.DataFrame:
-    """The clearest features of the toxic texts of ``(text, toxic)``: ``feature``,
-    ``pos``, ``neg`` (texts of either label with it); at most ``MAX_FEATURES`` rows."""
+def feature_finder(table: dict[str, int]):
+    """A function from a text to the set of its features' numbers in ``table``."""
+    known: dict[str, tuple[int, ...]] = {}
+
+    def found(text: str | None) -> set[int]:
+        ids: set[int] = set()
+        for word in set(WORDS.findall((text or "").lower())):
+            own = known.get(word)
+            if own is None:
+                own = tuple(table[f] for f in word_features(word) if f in table)
+                if len(known) >= CACHE:
+                    known.clear()
+                known[word] = own
+            if own:
+                ids.update(own)
+        return ids
+    return found
+
+
+def toxic_filter(toxic: DataFrame) -> Column:
+    """Whether a row's id may be one of the ids ``d`` of ``toxic``: a bitmap of their hashes."""
+    place = F.pmod(F.xxhash64("d"), F.lit(FILTER_BITS))
+    got = toxic.select(place.alias("h")).groupBy(F.shiftright("h", 3).alias("byte")) \
+        .agg(F.bit_or(F.expr("shiftleft(1, cast(h & 7 as int))")).alias("bits")).toArrow()
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    bits[got["byte"].to_numpy()] = got["bits"].to_numpy()
+    shared = toxic.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def may_be(h: pd.Series) -> pd.Series:
+        h = h.to_numpy()
+        return pd.Series(shared.value[h >> 3] >> (h & 7) & 1).astype(bool)
+    return may_be(place)
+
+
+def mine_features(train: DataFrame, given: DataFrame, n_pos: int, n_neg: int) -> pd.DataFrame:
+    """The clearest features of the toxic texts of ``train`` (``d``, ``text``), labelled by ``given``
+    (``d``, ``toxic``): ``feature``, ``pos``, ``neg`` (texts of either label with it); at most ``MAX_FEATURES`` rows.
+
+    All labelled texts count.  Only texts whose id passes a filter of the toxic ids meet their labels as
+    texts; of the others, the numbers of the features that are frequent in toxic texts meet them."""
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
 
@@ -71,18 +111,37 @@ def mine_features(labelled: DataFrame, n_pos: int, n_neg: int) -> pd.DataFrame:
                     held.clear()
         yield rows()
 
-    def counted(frame: DataFrame, name: str) -> DataFrame:
-        return frame.select("text").mapInArrow(counts, "feature string, n long").groupBy("feature").agg(F.sum("n").alias(name))
+    toxic = given.where("toxic = 1").select("d")
+    # a toxic text adds to few features' shares, so at most (features a text) / MIN_SHARE are frequent
+    mined = train.where(toxic_filter(toxic)).join(toxic, "d").select("text").mapInArrow(counts, "feature string, n long") \
+        .groupBy("feature").agg(F.sum("n").alias("pos")).where(F.col("pos") >= max(MIN_TOXIC, MIN_SHARE * n_pos)).toPandas()
+    shared = train.sparkSession.sparkContext.broadcast({f: k for k, f in enumerate(mined["feature"])})
+    n_features = len(mined)
 
-    toxic = labelled.where("toxic = 1")
-    frequent = counted(toxic, "pos").where(F.col("pos") >= max(MIN_TOXIC, MIN_SHARE * n_pos))
-    other = counted(labelled.where("toxic = 0"), "neg")
-    both = frequent.join(other, "feature", "left").withColumn("neg", F.coalesce("neg", F.lit(0)))
-    odds = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1))
+    def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = feature_finder(shared.value)
+        for batch in batches:
+            ids = [packed(np.array(sorted(found(t.as_py())), np.int32)) for t in batch["text"]]
+            yield pa.RecordBatch.from_pydict({"d": batch["d"], "ids": pa.array(ids, pa.binary())})
+
+    def tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(n_features, np.int64)
+        for batch in batches:
+            for ids in batch["ids"]:
+                n[unpacked(ids.as_py(), np.int32)] += 1
+        own = np.flatnonzero(n)
+        yield pa.RecordBatch.from_pydict({"k": own, "n": n[own]})
+
+    neg = np.zeros(n_features)
+    if n_features:
+        got = train.where("d is not null").mapInArrow(numbers, "d long, ids binary").join(given.where("toxic = 0").select("d"), "d") \
+            .select("ids").mapInArrow(tallies, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
+        neg[got["k"]] = got["n"]
+    pos = mined["pos"].to_numpy(float)
+    odds = np.log((pos + 0.5) / (n_pos + 1)) - np.log((neg + 0.5) / (n_neg + 1))
     # a bound that the log-odds exceed with some certainty: rare features must be clearer
-    doubt = F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
-    return both.withColumn("odds", odds - Z * doubt).where(F.col("odds") > MIN_ODDS) \
-        .orderBy(F.desc("odds"), "feature").limit(MAX_FEATURES).toPandas()
+    mined = mined.assign(neg=neg, odds=odds - Z * np.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5)))
+    return mined[mined["odds"] > MIN_ODDS].sort_values(["odds", "feature"], ascending=[False, True]).head(MAX_FEATURES).reset_index(drop=True)
 
 
 @dataclass
@@ -99,19 +158,10 @@ class ToxicityModel:
         return {f: k for k, f in enumerate(self.features)}
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        table, known = self.feature_ids(), {}
+        found = feature_finder(self.feature_ids())
         out = np.empty(len(texts))
         for k, text in enumerate(texts):
-            ids: set[int] = set()
-            for word in set(WORDS.findall((text or "").lower())):
-                own = known.get(word)
-                if own is None:
-                    own = tuple(table[f] for f in word_features(word) if f in table)
-                    if len(known) >= CACHE:
-                        known.clear()
-                    known[word] = own
-                if own:
-                    ids.update(own)
+            ids = found(text)
             z = self.bias + self.weights[list(ids)].sum() if ids else self.bias
             out[k] = 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
         return out
@@ -223,23 +273,20 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
         label: str = "toxic", buckets: int = 4, held: int = 2) -> ToxicityModel:
     """Learn from the rows whose ``crc32(doc_id as text) mod buckets`` is not ``held``.
 
-    The voters are mined from the texts of at most ``SAMPLE_ROWS`` labelled ids, one
-    text an id, and the classifier is fitted on as many rows, in both cases those
-    with the smallest hashes.  The label model covers all training rows.  A
-    document with several labels counts as toxic if any is.
+    The feature counts, the prior and the label model cover all of these; the
+    classifier is fitted on at most ``SAMPLE_ROWS`` of them, those with the
+    smallest hashes.  A document with several labels counts as toxic if any is.
     Without toxic labels the model has no features and scores everything by the prior.
     """
     given = labels.select(F.col(f"`{label_id}`").cast("long").alias("d"), F.col(f"`{label}`").cast("int").alias("toxic")) \
         .where("d is not null and toxic in (0, 1)").groupBy("d").agg(F.max("toxic").alias("toxic"))
     train = docs.select(F.col(f"`{doc_id}`").cast("long").alias("d"), F.col(f"`{text}`").alias("text")) \
         .where(crc_mod(F.col("d"), buckets) != held)
-    # a bounded sample of the labels is broadcast, so that texts are filtered where they are read
-    sample_ids = written(given.where(crc_mod(F.col("d"), buckets) != held).orderBy(F.xxhash64("d"), "d").limit(SAMPLE_ROWS), "toxic-ids")
-    labelled = written(train.join(F.broadcast(sample_ids), "d").groupBy("d", "toxic").agg(F.min("text").alias("text"))
-                       .select("text", "toxic"), "toxic-labelled")
-    texts = {r.toxic: r["n"] for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+    # labels meet ids alone first
+    given = written(given, "toxic-given")
+    texts = {r.toxic: r["n"] for r in train.select("d").join(given, "d").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
     n_pos, n_neg = texts.get(1, 0), texts.get(0, 0)
-    mined = mine_features(labelled, n_pos, n_neg)
+    mined = mine_features(train, given, n_pos, n_neg)
     prior = (n_pos + PRIOR) / (n_pos + n_neg + 1)
     features = mined["feature"].tolist()
     voters = features[:MAX_VOTERS]
@@ -250,8 +297,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     n_voters = len(voters)
 
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        find = feature_finder(table)
         for texts in batches:
-            yield pd.Series([sorted(table[f] for f in text_features(t) if f in table) for t in texts])
+            yield pd.Series([sorted(find(t)) for t in texts])
     ids = F.pandas_udf(found, "array<int>")
     rows = written(train.withColumn("ids", ids("text")).select("d", "ids", F.xxhash64("d", "ids").alias("h"))
                    .join(given, "d", "left"), "toxic-features")

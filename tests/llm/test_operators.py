@@ -205,6 +205,23 @@ def test_toxicity_on_held_out_rows(spark):
     assert score_toxicity(frame, given.limit(0)).where("predicted = 1").count() == 0
 
 
+def test_toxicity_counts_all_labelled_texts(spark, monkeypatch):
+    from quarry.llm import toxicity
+    rows = [(i, f"common words {'smorf' if i % 9 == 0 else 'fine'} w{chr(97 + i % 26)}") for i in range(800)]
+    frame = spark.createDataFrame(rows + [(5, "common twice")], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i % 9 == 0)) for i in range(0, 3000)], "doc_id long, toxic int")
+    seen = []
+    mine = toxicity.mine_features
+    monkeypatch.setattr(toxicity, "mine_features", lambda *a: seen.append((a[-2:], mine(*a))) or seen[-1][1])
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 50)
+    toxicity.fit(frame, labels)
+    train = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    n_pos = sum(i % 9 == 0 for i, _ in train)
+    (got, mined), = seen
+    assert got == (n_pos, len(train) - n_pos + (zlib.crc32(b"5") % 4 != 2))
+    assert dict(zip(mined["feature"], zip(mined["pos"], mined["neg"], strict=True), strict=True))["smorf"] == (n_pos, 0)
+
+
 # op5
 
 def test_url_rules(spark):
