@@ -2,9 +2,10 @@
 
 Every page's containers are scored by the text they hold outside menus,
 adverts and the like; the page votes for the generalised path (tags and
-classes, without digits) of the deepest container that holds most of it.
+classes, without digits) of the deepest container that holds all of it.
 Spark adds the votes up per host, and every page is extracted again from the
-best path of its host that it has, or else from its own best container.
+best path of its host that holds all of its text, or else from its own best
+container.
 """
 
 from __future__ import annotations
@@ -41,8 +42,9 @@ KEEPS_HEADER = frozenset({"article", "main"})
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _CLASS = re.compile(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
-SHARE = 0.6       # of the parent's text that a container needs to be descended into
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NO_DISPLAY = re.compile(r"(?<![\w-])display\s*:\s*none", re.I)
+MOST = 0.5        # of the page's text; what holds more is no noise by a class word
 MIN_VOTES = 0.05  # of a host's pages that a winning path needs
 MAX_PATHS = 20    # so at most 1 / MIN_VOTES paths win
 
@@ -51,13 +53,26 @@ def _value(match: re.Match | None) -> str:
     return "" if match is None else next((g for g in match.groups() if g is not None), "")
 
 
+def _hidden(attributes: str) -> bool:
+    for m in _ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), next((g for g in m.groups()[1:] if g is not None), "")
+        if (name == "hidden" and not value.lower().startswith("until")) or (name == "aria-hidden" and value.lower() == "true") \
+                or (name == "style" and _NO_DISPLAY.search(value)):
+            return True
+    return False
+
+
 def _is_noise(tag: str, attributes: str, kept_header: bool) -> bool:
+    """Noise by the tag or because it is hidden."""
     if tag in NOISE or (tag == "header" and not kept_header):
         return True
+    return bool(attributes) and tag not in ("html", "body", "article", "main") and _hidden(attributes)
+
+
+def _named_noise(tag: str, attributes: str, kept_header: bool) -> bool:
+    """Noise by a word of its class, id or role."""
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
-    if _HIDDEN.search(attributes):
-        return True
     words = {w for m in _NAMED.finditer(attributes) for w in re.split(r"[^a-z]+", _value(m).lower())}
     if kept_header:
         words.discard("header")
@@ -79,16 +94,28 @@ class Node:
     end: int = -1                    # one after the last
     size: int = 0                    # characters of text outside links, noise excluded
     children: list[Node] = field(default_factory=list)
+    sure: bool = False               # noise by more than a class word
+    held: int = 0                    # like size, but with what class words condemn
 
 
 def parse(page: str | None) -> tuple[Node, list[str]]:
     """The page's container tree and its blocks of kept text, in page order.
 
+    A class word does not condemn an element that holds most of the page's text."""
+    root, blocks, named = _parse(page, frozenset())
+    spared = frozenset(k for k, node in named.items() if node.held > MOST * root.held)
+    return _parse(page, spared)[:2] if spared else (root, blocks)
+
+
+def _parse(page: str | None, spared: frozenset[int]) -> tuple[Node, list[str], dict[int, Node]]:
+    """Tree, blocks, and the nodes that class words condemn by their place in the page; not those ``spared``.
+
     The tree's nodes cover runs of blocks.  Unclosed elements end where their
     parent or a block that cannot lie inside them ends or starts."""
     text = page or ""
     root = Node("", "", False, 0)
     stack, blocks, held = [root], [], []
+    named: dict[int, Node] = {}
     linked = 0
 
     def flush() -> None:
@@ -99,12 +126,16 @@ def parse(page: str | None) -> tuple[Node, list[str]]:
                 blocks.append(joined)
 
     def add(piece: str) -> None:
-        if piece and not stack[-1].noise:
-            held.append(piece)
+        if piece and not stack[-1].sure:
+            kept = not stack[-1].noise
+            if kept:
+                held.append(piece)
             if not linked and not piece.isspace():
                 n = len(piece)
                 for node in stack:
-                    node.size += n
+                    node.held += n
+                    if kept:
+                        node.size += n
 
     def close(depth: int) -> None:
         nonlocal linked
@@ -147,7 +178,11 @@ def parse(page: str | None) -> tuple[Node, list[str]]:
             parent = stack[-1]
             kept = any(n.tag in KEEPS_HEADER for n in stack)
             node = Node(tag, f"{parent.path}/{_step(tag, attributes)}" if tag in CONTAINER else parent.path,
-                        parent.noise or _is_noise(tag, attributes, kept), len(blocks))
+                        parent.noise, len(blocks), sure=parent.sure or _is_noise(tag, attributes, kept))
+            if not node.sure and m.start() not in spared and _named_noise(tag, attributes, kept):
+                named[m.start()] = node
+                node.noise = True
+            node.noise |= node.sure
             if attributes.endswith("/") and tag not in BLOCK:
                 continue
             stack.append(node)
@@ -162,22 +197,22 @@ def parse(page: str | None) -> tuple[Node, list[str]]:
     add(text[at:])
     flush()
     close(0)
-    return root, blocks
+    return root, blocks, named
 
 
 def best_container(root: Node) -> Node:
-    """The deepest container on the way down that holds most of its parent's text."""
+    """The deepest container on the way down outside which is only noise and link text."""
     node = root
     while node.children:
         child = max(node.children, key=lambda c: c.size)
-        if child.size < SHARE * node.size or not child.size:
+        if child.size < node.size or not child.size:
             break
         node = child
     return node
 
 
 def main_text(page: str | None, paths: list[str] = ()) -> str:
-    """Text of the first of ``paths`` that the page has, else of its best container."""
+    """Text of the first of ``paths`` that leaves only noise and link text of the page out, else of its best container."""
     root, blocks = parse(page)
     for path in paths:
         found, todo = [], list(root.children)
@@ -187,7 +222,7 @@ def main_text(page: str | None, paths: list[str] = ()) -> str:
                 found.append(node)
             else:
                 todo = node.children + todo
-        if any(n.size for n in found):
+        if root.size and sum(n.size for n in found) == root.size:
             return "\n".join(b for n in found for b in blocks[n.start:n.end])
     node = best_container(root)
     return "\n".join(blocks[node.start:node.end])

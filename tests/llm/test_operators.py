@@ -113,6 +113,18 @@ def test_main_text_keeps_the_article_only(spark):
     assert got[7] == got[8] == ("", 0) and got[9] == ("plain & text", 12)
 
 
+def test_main_text_drops_named_noise_only():
+    from quarry.llm.html_text import main_text
+    long = "long enough article text " * 40
+    parts = ["First paragraph of some length.", long.strip(), "Last paragraph."]
+    inner = f"<p>{parts[0]}</p><section class=body><p>{parts[1]}</p></section><p>{parts[2]}</p>"
+    for page in (f"<nav>menu</nav><main>{inner}</main><footer>foot</footer>", f'<div class="has-sidebar"><div class="with-header">{inner}</div>'
+                 '<div class="sidebar">side</div></div>', f'<div style="overflow:hidden">{inner}</div><div hidden>no</div>',
+                 f'<div class="overflow-hidden" data-x="hidden">{inner}</div><div style="color:red; display: none">no</div>'):
+        assert main_text(page) == "\n".join(parts)
+        assert main_text(page, ["/main/section.body", "/div/section.body", "/div.overflow-hidden/section.body"]) == "\n".join(parts)
+
+
 # op3
 
 def simhash(text):
