@@ -1,15 +1,13 @@
-"""Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit check.
-
-A text is the sequence of its lower-cased words.  The CGK embedding walks over a
-window with a random function of (step, word): it writes the word it stands on
-and moves on if the function says 1.  Windows at small edit distance stay in
-step, so their embeddings are at small Hamming distance.  Each repetition draws
-a new walk and samples some of its coordinates as a key.  The keys of every
-item's windows (one from each of its words to its end) are broadcast; those of
-the windows at all words of all documents are made coordinate by coordinate,
-and a window is dropped as soon as no item has its coordinates so far.  What
-is left names an item and where it would start, and a semi-global edit
-distance over the words decides.
+"""Benchmark decontamination: exact pieces of every item, exact edit check.
+
+A text is the sequence of its lower-cased words.  An item that may differ by
+``k`` word edits is cut into ``k + 1`` pieces of nearly equal length: at most
+``k`` of them are touched by edits, so one stands in the document word by word.
+The pieces of all items are broadcast by their hashes and looked for at all
+words of all documents.  A piece names an item and where it would start; a
+place is left if too few of the words around it are the item's, and a
+semi-global edit distance over the words decides.  No item within the limit
+is missed.
 """
 
 from __future__ import annotations
@@ -24,10 +22,9 @@ from pyspark.sql import functions as F
 
 WORDS = re.compile(r"\w+")
 SIMILARITY = 0.8
-STEPS, COORDINATES, REPEATS = 20, 7, 6
-DISTINCT = 5             # words that a window's sampled coordinates must stand on to be indexed
 BLOCK_CHARS = 8_000_000  # benchmark characters a broadcast block holds
 GROUP_WORDS = 2_000_000  # document words hashed together
+CELLS = 4_000_000        # words around candidate places that are looked at together
 
 
 def words_of(text: str | None) -> list[str]:
@@ -45,18 +42,10 @@ def edit_match(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
     return int(row[end]), end
 
 
-def _among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which keys are in the sorted ``known``."""
-    if not len(known):
-        return np.zeros(len(keys), bool)
-    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
-
-
 class Screen:
     """The items of one benchmark block, ready to be looked for."""
 
-    def __init__(self, items: list[tuple[int, str | None]], similarity: float = SIMILARITY, steps: int = STEPS,
-                 coordinates: int = COORDINATES, repeats: int = REPEATS, seed: int = 6):
+    def __init__(self, items: list[tuple[int, str | None]], similarity: float = SIMILARITY, seed: int = 6):
         self.vocabulary: dict[str, int] = {}
         self.items: list[tuple[int, np.ndarray]] = []
         for item_id, text in items:
@@ -64,69 +53,70 @@ class Screen:
             if len(ids):
                 self.items.append((item_id, ids))
         self.similarity = similarity
+        pieces: dict[int, list[tuple[np.ndarray, int, int]]] = {}  # by length: (words, item, place in it)
+        for n, (_, ids) in enumerate(self.items):
+            cuts = np.linspace(0, len(ids), self.slack(ids) + 2).astype(int).tolist()
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if b > a:  # as many edits as words: no word needs to be there, none is looked for
+                    pieces.setdefault(b - a, []).append((ids[a:b], n, a))
         rng = np.random.default_rng(seed)
-        self.steps = steps
-        self.moves = rng.integers(0, 2, (repeats, steps, len(self.vocabulary) + 1), dtype=np.int64)
-        self.mixers = rng.integers(1, 1 << 62, (repeats, coordinates), dtype=np.int64) | 1
-        self.sampled = [np.concatenate([[0], np.sort(rng.choice(np.arange(1, steps), coordinates - 1, replace=False))]) for _ in range(repeats)]
-        self.partial: list[list[np.ndarray]] = []           # per repetition and depth: sorted partial keys
-        self.complete: list[dict[int, list[tuple[int, int]]]] = []  # full key -> (item, window start)
-        for r in range(repeats):
-            partial: list[set[int]] = [set() for _ in range(coordinates)]
-            complete: dict[int, list[tuple[int, int]]] = {}
-            for n, (_, ids) in enumerate(self.items):
-                for start in range(len(ids)):
-                    keys, places = self._keys(ids[start:], r)
-                    if len(keys) < coordinates and start:
-                        break  # the window is shorter than its walk; only whole items may be that short
-                    if places < min(DISTINCT, len(ids) - 1) or not keys:
-                        continue  # too common a key
-                    for depth, key in enumerate(keys):
-                        partial[depth].add(key)
-                    complete.setdefault(keys[-1], []).append((n, start))
-            self.partial.append([np.array(sorted(p), np.int64) for p in partial])
-            self.complete.append(complete)
-        # complete keys of the windows that end before the last coordinate
-        self.short = [np.array(sorted(set(c) - set(p[-1].tolist())), np.int64) for c, p in zip(self.complete, self.partial, strict=True)]
-
-    def _keys(self, window: np.ndarray, r: int) -> tuple[list[int], int]:
-        """Partial keys of one window, as far as its walk stays inside, and how many words they stand on."""
-        at, key, out, places = 0, np.int64(0), [], set()
+        self.mixers = rng.integers(1, 1 << 62, max(pieces, default=0), dtype=np.int64) | 1
+        self.index = []  # per length: which words are at each place of a piece, sorted keys, and the pieces of each
+        for size, own in sorted(pieces.items()):
+            words = np.array([w for w, _, _ in own])
+            known = np.zeros((size, len(self.vocabulary) + 1), bool)
+            known[np.arange(size), words] = True
+            keys = self._keys(words.T)
+            place = np.argsort(keys, kind="stable")
+            distinct, first = np.unique(keys[place], return_index=True)
+            self.index.append((size, known, distinct, np.append(first, len(own)),
+                               np.array([n for _, n, _ in own])[place], np.array([a for _, _, a in own])[place]))
+
+    def slack(self, item: np.ndarray) -> int:
+        return int((1 - self.similarity) * len(item) + 1e-9)
+
+    def _keys(self, words: np.ndarray) -> np.ndarray:
+        key = np.zeros(words.shape[1], np.int64)
         with np.errstate(over="ignore"):
-            for step in range(self.steps):
-                if at >= len(window):
-                    break
-                if step in self.sampled[r]:
-                    key = (key + window[at]) * self.mixers[r, len(out)]
-                    out.append(int(key))
-                    places.add(at)
-                at += self.moves[r, step, window[at]]
-        return out, len(places)
-
-    def candidates(self, ids: np.ndarray) -> set[tuple[int, int]]:
-        """(item, position at which it would start) for a stream of word ids; 0 is no item's word."""
-        found: set[tuple[int, int]] = set()
-        stream = np.concatenate([ids, np.zeros(self.steps, np.int64)])
-        for r in range(len(self.sampled)):
-            depths = {int(s): d for d, s in enumerate(self.sampled[r])}
-            start = np.flatnonzero(ids)
-            at, key = start.copy(), np.zeros(len(start), np.int64)
-            for step in range(int(self.sampled[r][-1]) + 1):
-                if not len(start):
-                    break
-                word = stream[at]
-                if step in depths:
-                    key = (key + word) * self.mixers[r, depths[step]]
-                    keep = _among(key, self.partial[r][depths[step]])
-                    start, at, key, word = start[keep], at[keep], key[keep], word[keep]
-                    done = start, key
-                    if step != self.sampled[r][-1]:  # items that end before the last coordinate
-                        ends = _among(key, self.short[r])
-                        done = start[ends], key[ends]
-                    for p, k in zip(done[0].tolist(), done[1].tolist(), strict=True):
-                        found.update((n, p - a) for n, a in self.complete[r].get(k, ()))
-                at = at + self.moves[r, step, word]
-        return found
+            for word, mixer in zip(words, self.mixers, strict=False):
+                key = (key ^ key >> 29) * 0x5851F42D4C957F2D + word * mixer
+        return key
+
+    def candidates(self, stream: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, text, position at which it would start), by item, of a stream of the word ids
+        of texts from ``starts`` on; 0 is no item's word and stands between texts."""
+        found = [np.zeros((3, 0), np.int64)]
+        words = np.flatnonzero(stream)
+        for size, known, keys, first, items, places in self.index:
+            at = words[words <= len(stream) - size]
+            for k in range(size):
+                at = at[known[k, stream[at + k]]]
+            key = self._keys(np.stack([stream[at + k] for k in range(size)]))
+            own = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            hit = keys[own] == key
+            at, own = at[hit], own[hit]
+            times = first[own + 1] - first[own]
+            piece = np.repeat(first[own] - np.cumsum(times) + times, times) + np.arange(times.sum())
+            at = np.repeat(at, times)
+            text = np.searchsorted(starts, at, side="right") - 1
+            found.append(np.stack([items[piece], text, at - places[piece]]))
+        got = np.concatenate(found, axis=1)
+        got = got[:, np.lexsort(got[::-1])]
+        return tuple(got[:, np.diff(got, axis=1, prepend=-1 - got[:, :1]).any(axis=0)])
+
+    def _likely(self, item: np.ndarray, at: np.ndarray, ends: np.ndarray, stream: np.ndarray) -> np.ndarray:
+        """Which of the regions ``at`` to ``ends`` hold enough of the item's words."""
+        slack = self.slack(item)
+        member = np.zeros(len(self.vocabulary) + 1, bool)
+        member[item] = True
+        width = np.arange(len(item) + 2 * slack)
+        out = np.zeros(len(at), bool)
+        step = max(1, CELLS // len(width))
+        for k in range(0, len(at), step):
+            place = at[k:k + step, None] + width
+            inside = place < ends[k:k + step, None]
+            out[k:k + step] = (member[stream[np.minimum(place, len(stream) - 1)]] & inside).sum(axis=1) >= len(item) - slack
+        return out
 
     def matches(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
         """Per text: (item id, first word, end word, edit distance) of every item found, its best place."""
@@ -138,27 +128,30 @@ class Screen:
                 group.append(np.array([get(w, 0) for w in words_of(texts[k])], np.int64))
                 n += len(group[-1])
                 k += 1
-            gap = np.zeros(self.steps, np.int64)
+            gap = np.zeros(1, np.int64)
             stream = np.concatenate([x for ids in group for x in (ids, gap)])
-            starts = np.cumsum([0] + [len(ids) + len(gap) for ids in group])
+            starts = np.cumsum([0] + [len(ids) + 1 for ids in group])
             best: dict[tuple[int, int], tuple[int, int, int]] = {}
-            for n_item, p in sorted(self.candidates(stream)):
-                item_id, item = self.items[n_item]
-                slack = int((1 - self.similarity) * len(item) + 1e-9)
-                doc = int(np.searchsorted(starts, max(0, p + min(len(item) - 1, slack)), side="right")) - 1
-                # the window that made the key lies in one text; its item may reach over the text's ends
-                for d in {doc, int(np.searchsorted(starts, p + len(item) - 1, side="right")) - 1}:
-                    if not 0 <= d < len(group):
-                        continue
-                    ids = group[d]
-                    a = max(0, p - int(starts[d]) - slack)
-                    b = min(len(ids), p - int(starts[d]) + len(item) + slack)
-                    if b <= a:
-                        continue
-                    distance, end = edit_match(item, ids[a:b])
+            items, where, places = self.candidates(stream, starts)
+            cuts = np.flatnonzero(np.diff(items, prepend=-1, append=-1)) if len(items) else np.zeros(1, int)
+            for u, v in zip(cuts, cuts[1:], strict=False):
+                n_item = int(items[u])
+                item = self.items[n_item][1]
+                slack = self.slack(item)
+                text, p = where[u:v], places[u:v]
+                # its region lies in the piece's text; the item may reach over the text's ends
+                left = np.maximum(starts[text], p - slack)
+                right = np.minimum(starts[text + 1] - 1, p + len(item) + slack)
+                likely = self._likely(item, left, right, stream)
+                for d, a, b in zip(text[likely].tolist(), left[likely].tolist(), right[likely].tolist(), strict=True):
+                    had = best.get((d, n_item))
+                    if had and not had[0]:
+                        continue  # places come in order, so the first exact one stays
+                    distance, end = edit_match(item, stream[a:b])
                     if distance <= slack:
+                        a -= int(starts[d])
                         got = (distance, max(0, a + end - len(item)), a + end)
-                        best[d, n_item] = min(best.get((d, n_item), got), got)
+                        best[d, n_item] = min(had or got, got)
             for (d, n_item), (distance, a, b) in sorted(best.items()):
                 out[first + d].append((self.items[n_item][0], a, b, distance))
         return out

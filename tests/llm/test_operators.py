@@ -286,6 +286,23 @@ def test_decontamination(spark):
     assert benchmark_matches(frame, bench.limit(0)).count() == 0 and benchmark_matches(frame.limit(0), bench).count() == 0
 
 
+def test_decontamination_misses_no_item_within_the_limit():
+    from quarry.llm.decontaminate import Screen
+    rng = random.Random(6)
+    fresh = lambda n: [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+    items = [fresh(n) for n in (1, 4, 5, 6, 7, 8, 9, 12, 16, 30, 55) for _ in range(40)] + [["the"] * 8, ["a", "b"] * 4]
+    texts, want = [], []
+    for k, item in enumerate(items):
+        edited = list(item)
+        for place in rng.sample(range(len(item)), len(item) // 5):
+            edited[place] = rng.choice(["", "changed", edited[place] + " added"])
+        for body in (item, edited):
+            texts.append(" ".join(fresh(rng.randint(0, 30)) + body + fresh(rng.randint(0, 30))))
+            want.append(k)
+    screen = Screen([(k, " ".join(item)) for k, item in enumerate(items)])
+    assert all(k in {m[0] for m in found} for k, found in zip(want, screen.matches(texts), strict=True))
+
+
 # op7
 
 def test_token_files_round_trip(docs, texts, empty):
