@@ -10,11 +10,14 @@ from .decontaminate import benchmark_matches
 from .html_text import extract_main_text
 from .lm_score import lm_scores
 from .mixing import plan_mix
+from .periodic import periodic_runs
+from .pii import find_personal_data, labelled_lines
 from .repeats import repeat_digest
 from .simhash import hex_fingerprint, simhash_classes
 from .token_files import token_digest
 from .toxicity import score_toxicity
 from .url_rules import judge_urls, rules_frame
+from .whitening import whiten
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
              ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -73,7 +76,20 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_multi_index_hashing, op2_html_text, op3_simhash, op4_toxicity, op5_url_filter, op6_decontamination, op7_token_files, op8_lm_score, op9_source_mix, op10_repeats)}
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"), labelled_lines(spark))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_multi_index_hashing, op2_html_text, op3_simhash, op4_toxicity, op5_url_filter, op6_decontamination, op7_token_files, op8_lm_score, op9_source_mix, op10_repeats,
+                                    op11_personal_data, op12_periodic_runs, op13_whitening)}
 
 ORACLE_SQL = {
     "op5_url_filter": r"""
