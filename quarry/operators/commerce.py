@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.casts import lenient_int
@@ -61,20 +61,31 @@ def orders_by_country(orders: DataFrame, customers: DataFrame) -> DataFrame:
             .orderBy(F.col("order_count").desc(), F.col("country").asc_nulls_last()))
 
 
-def orders_by_year_month(orders: DataFrame, ts_col: str = "purchase_ts") -> DataFrame:
-    """``(year, month, order_count)``, year ascending, month descending.
-    Text timestamps are parsed with the export pattern; unparseable -> NULL."""
+def month_key(orders: DataFrame, ts_col: str = "purchase_ts") -> tuple[Column, Column]:
+    """Year and month of purchase, the key of J15.  Text timestamps are parsed
+    with the export pattern; unparseable -> NULL."""
     ts = as_timestamp(orders, ts_col)
-    return (orders.groupBy(F.year(ts).alias("year"), F.month(ts).alias("month"))
+    return F.year(ts), F.month(ts)
+
+
+def orders_by_year_month(orders: DataFrame, ts_col: str = "purchase_ts") -> DataFrame:
+    """``(year, month, order_count)``, year ascending, month descending."""
+    year, month = month_key(orders, ts_col)
+    return (orders.groupBy(year.alias("year"), month.alias("month"))
             .agg(F.count("order_id").alias("order_count"))
             .orderBy(F.col("year").asc_nulls_last(), F.col("month").desc_nulls_last()))
 
 
+def score_key(reviews: DataFrame, score_col: str = "score") -> Column:
+    """The score as an integer if it is one of 1..5, else NULL: the key of J16."""
+    s = lenient_int(score_col)
+    return F.when(s.between(SCORE_MIN, SCORE_MAX), s)
+
+
 def valid_scores(reviews: DataFrame, score_col: str = "score") -> DataFrame:
     """Reviews with an integer score in 1..5 as column ``score_int`` (FLT5)."""
-    s = lenient_int(score_col)
-    return (reviews.withColumn("score_int", s)
-            .filter(F.col("score_int").between(SCORE_MIN, SCORE_MAX)))
+    return (reviews.withColumn("score_int", score_key(reviews, score_col))
+            .filter(F.col("score_int").isNotNull()))
 
 
 def score_distribution(reviews: DataFrame, score_col: str = "score") -> DataFrame:

@@ -1,9 +1,18 @@
 """Data-quality report (J20: DQ1–DQ11) as one DataFrame.
 
-Every check is a one-row aggregate ``(check, rule, actual, expected)``; the
-report is their union plus ``ok`` and a final ``summary.failed_checks`` row.
-Checks on the same table read from the same aggregate, so each table is
-scanned once for its simple checks (Spark reuses the identical exchange).
+Every table is read once.  Its rows enter one stream as entries
+``(level, k1, k2, k3, measures)``, a level being the key that some checks group
+by: order, order line, customer, customer and country, product, seller, month,
+score.  One aggregate over all levels replaces an aggregate per check, and rows
+of different tables with the same key meet in it, without joins.  A window per
+order (and per customer) then hands the order's facts to its lines, and two
+further aggregates reduce the stream to named numbers, from which all checks and
+the summary are computed.
+
+Totals that jobs report (orders by month, score distribution, units sold) are
+added up from the groups that those jobs form, with the jobs' own key
+expressions, and compared with row counts that do not pass through this stream:
+``stored_rows``, or else a count of the table.
 
 Rules: ``eq`` (actual == expected), ``ge`` (actual >= expected),
 ``info`` (always ok; expected NULL).
@@ -12,230 +21,275 @@ Rules: ``eq`` (actual == expected), ``ge`` (actual >= expected),
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.casts import lenient_int
-from quarry.functions.numeric import amount_units, units_sum
-from quarry.functions.times import as_timestamp, year_range
-from quarry.operators.commerce import SCORE_MAX, SCORE_MIN
+from quarry.functions.numeric import amount_units, ratio_half_up
+from quarry.functions.times import year_range
+from quarry.operators import commerce
 
 CHECK_COLUMNS = ("check", "rule", "actual", "expected")
 
-# (check name, rule, actual as SQL over the aggregate, expected as SQL or None)
+# (check name, rule, actual as SQL over the named numbers, expected as SQL or None)
 Check = tuple[str, str, str, str | None]
 
+# What an entry may carry besides its keys; sums of longs but for the money units.
+MEASURES = ("rows", "ids", "orders", "in_year", "nulls", "empties", "valid", "total", "bad_price", "bad_freight",
+            "copies", "null_attr", "units")
+
 
 def _sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _checks(agg: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Rows ``(check, rule, actual, expected)`` evaluated on the one-row
-    aggregate ``agg``: one ``inline(array(struct, ...))`` per aggregate, so the
-    report has one plan branch per aggregate, not one per check."""
-    structs = ", ".join(
-        f"struct({_sql_text(name)} AS `check`, {_sql_text(rule)} AS rule, "
-        f"CAST({actual} AS BIGINT) AS actual, CAST({expected or 'NULL'} AS BIGINT) AS expected)"
-        for name, rule, actual, expected in checks)
-    return agg.selectExpr(f"inline(array({structs}))")
-
-
-def _count_rule(name: str, expected_rows: Mapping[str, int]) -> Check:
+def _entry(level: str, k1: Column | None = None, k2: Column | None = None, k3: Column | None = None,
+           **measures: Column | int) -> Column:
+    """One entry of the stream; what is not given is null."""
+    keys = [(F.lit(None) if k is None else k).cast("string").alias(n) for n, k in (("k1", k1), ("k2", k2), ("k3", k3))]
+    values = [F.lit(measures[m]) if isinstance(measures.get(m), int) else measures.get(m, F.lit(None)) for m in MEASURES]
+    return F.struct(F.lit(level).alias("level"), *keys, *(v.cast("long").alias(m) for m, v in zip(MEASURES, values)))
+
+
+def _flag(condition: Column) -> Column:
+    return F.when(condition, F.lit(1))
+
+
+def _entries(df: DataFrame, *entries: Column) -> DataFrame:
+    return df.select(F.inline(F.array(*entries)))
+
+
+def _levels(orders: DataFrame, customers: DataFrame, items: DataFrame, products: DataFrame, reviews: DataFrame,
+            year: int | None, money_scale: int) -> DataFrame:
+    """The entries of all tables; every table is one scan."""
+    in_year = F.lit(None) if year is None else _flag(year_range(orders, "purchase_ts", year))
+    month = commerce.month_key(orders)
+    from_orders = _entries(
+        orders,
+        _entry("order", F.col("order_id"), orders=1, in_year=in_year),
+        _entry("customer", F.col("customer_id"), orders=1),
+        _entry("month", *month, rows=1, ids=_flag(F.col("order_id").isNotNull())))
+    from_customers = _entries(
+        customers,
+        _entry("customer", F.col("customer_id"), copies=1, null_attr=_flag(F.col("country").isNull())),
+        _entry("country", F.col("customer_id"), F.col("country"), copies=1))
+    units = F.lit(None) if year is None else amount_units("price", money_scale) + amount_units("freight", money_scale)
+    from_items = _entries(
+        items,
+        _entry("line", F.col("order_id"), F.col("item_id"), F.col("product_id"), rows=1,
+               ids=_flag(F.col("item_id").isNotNull()), bad_price=_flag(F.col("price") < 0),
+               bad_freight=_flag(F.col("freight") < 0), units=units),
+        _entry("seller", F.col("seller_id"), rows=1))
+    from_products = _entries(
+        products, _entry("product", F.col("product_id"), copies=1, null_attr=_flag(F.col("category").isNull())))
+    # the tally of valid scores (DQ6) has a rule of its own, the distribution the job's key (DQ5)
+    score = lenient_int("score")
+    valid = score.between(commerce.SCORE_MIN, commerce.SCORE_MAX)
+    key = commerce.score_key(reviews)
+    from_reviews = _entries(
+        reviews,
+        _entry("order", F.col("order_id"), rows=1, nulls=_flag(F.col("score").isNull()),
+               empties=_flag(F.col("score") == F.lit("")), valid=_flag(valid), total=F.when(valid, score)),
+        _entry("score", key, valid=_flag(key.isNotNull())))
+    return reduce(DataFrame.union, (from_orders, from_customers, from_items, from_products, from_reviews))
+
+
+def _named_numbers(levels: DataFrame) -> DataFrame:
+    """``(name, value)`` rows, a few dozen, from the entries."""
+    sums = [F.sum(F.col(m).cast("decimal(38,0)") if m == "units" else F.col(m)).alias(m) for m in MEASURES]
+    grouped = levels.groupBy("level", "k1", "k2", "k3").agg(*sums)
+
+    # an order's lines see the order; a customer's countries its orders.  Null
+    # keys match nothing and are spread instead of meeting in one task.
+    family = F.when(F.col("level").isin("order", "line"), F.lit("order")).when(
+        F.col("level").isin("customer", "country"), F.lit("customer")).otherwise(F.col("level"))
+    spread = F.when(F.col("k1").isNull(), F.pmod(F.hash("k2"), F.lit(1024))).otherwise(F.lit(0))
+    keyed = grouped.withColumn("family", family).withColumn("spread", spread)
+    whole = Window.partitionBy("family", "k1", "spread")
+    same_line = Window.partitionBy("family", "k1", "spread", "k2", "level")
+    known = F.col("k1").isNotNull()
+
+    def of_key(measure: str, level: str) -> Column:
+        return F.when(known, F.sum(F.when(F.col("level") == level, F.col(measure))).over(whole))
+
+    keyed = (keyed
+             .withColumn("key_orders", of_key("orders", "order")).withColumn("key_year", of_key("in_year", "order"))
+             .withColumn("key_valid", of_key("valid", "order")).withColumn("key_total", of_key("total", "order"))
+             .withColumn("customer_orders", of_key("orders", "customer"))
+             .withColumn("line_rows", F.sum("rows").over(same_line))
+             .withColumn("line_no", F.row_number().over(same_line.orderBy("k3"))))
+
+    is_ = lambda level: F.col("level") == F.lit(level)
+    n = lambda c: F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(0))
+    key = F.when(is_("line"), F.col("k3")).when(is_("country"), F.col("k2")).when(
+        F.col("level").isin("product", "score"), F.col("k1"))
+    kind = F.when(is_("line"), F.lit("product")).otherwise(F.col("level"))
+    second = keyed.groupBy(kind.alias("kind"), key.alias("key")).agg(
+        *[F.sum(m).alias(m) for m in MEASURES],
+        F.count("k1").alias("keys"),
+        F.count(_flag(known & (F.col("copies") > 0))).alias("copied_keys"),
+        F.count(_flag(known & (F.col("orders") > 0))).alias("ordered_keys"),
+        F.sum(_flag(is_("line") & (F.col("line_no") == 1) & (F.col("line_rows") > 1))).alias("dup_lines"),
+        F.sum(_flag(is_("order") & (F.col("orders") > 1))).alias("dup_orders"),
+        F.sum(F.when(n("key_orders") == 0, F.col("rows"))).alias("orphans"),
+        F.sum(F.when(~known | (n("copies") == 0), F.col("orders"))).alias("orphan_orders"),
+        F.sum(F.when(known, n("orders") * n("copies"))).alias("joined"),
+        F.sum(F.when(known, n("orders") * n("null_attr"))).alias("joined_null"),
+        F.sum(F.when(is_("country"), n("customer_orders") * n("copies"))).alias("country_orders"),
+        F.sum(F.when(is_("month") & F.col("k1").isNull(), F.col("rows"))).alias("no_month"),
+        F.sum(F.col("rows") * n("key_year")).alias("year_items"),
+        F.sum(F.col("units") * n("key_year")).alias("year_units"),
+        F.sum(F.col("rows") * F.col("key_total")).alias("weighted"),
+        F.sum(F.col("rows") * F.col("key_valid")).alias("weight"))
+
+    def at(kind: str, column: Column | str) -> Column:
+        return F.sum(F.when(F.col("kind") == kind, F.col(column) if isinstance(column, str) else column))
+
+    outside = (F.col("weighted") < F.col("weight") * commerce.SCORE_MIN) | (F.col("weighted") > F.col("weight") * commerce.SCORE_MAX)
+    score = F.when(F.col("kind") == "score", F.col("key").cast("int"))
+    country = F.when(F.col("kind") == "country", F.col("country_orders"))
+    valid, total = at("order", "valid"), at("order", "total")
+    row = second.agg(
+        at("order", "orders").alias("orders"), at("month", "rows").alias("month_rows"), at("month", "ids").alias("month_total"),
+        at("month", "no_month").alias("null_ts"), at("order", "in_year").alias("in_year"),
+        at("order", "dup_orders").alias("dup_orders"),
+        at("customer", "copies").alias("customers"), at("customer", "copied_keys").alias("customer_ids"),
+        at("customer", "ordered_keys").alias("ordering_customers"), at("customer", "orphan_orders").alias("orphan_customers"),
+        at("customer", "joined").alias("joined"), at("customer", "joined_null").alias("joined_null"),
+        F.count(_flag(country > 0)).alias("countries"), F.max(country).alias("top_country_orders"),
+        at("product", "rows").alias("items"), at("product", "ids").alias("units_sold"),
+        F.max(F.when(F.col("kind") == "product", F.col("ids"))).alias("top_units_sold"),
+        at("product", "bad_price").alias("bad_price"), at("product", "bad_freight").alias("bad_freight"),
+        at("product", "dup_lines").alias("dup_lines"), at("product", "orphans").alias("orphan_items"),
+        at("seller", "keys").alias("sellers"),
+        at("product", "copies").alias("products"), at("product", "null_attr").alias("null_category"),
+        at("product", _flag(outside)).alias("means_outside"),
+        at("product", "year_items").alias("year_items"),
+        at("product", F.col("year_items") * n("copies")).alias("year_joined"),
+        at("product", F.col("year_units") * F.col("copies")).alias("year_units"),
+        at("order", "rows").alias("reviews"), at("order", "nulls").alias("null_score"),
+        at("order", "empties").alias("empty_score"), valid.alias("valid"), total.alias("total"),
+        (ratio_half_up(total, valid, 2) * 100).cast("long").alias("mean_hundredths"),
+        at("score", "valid").alias("distribution_total"), F.min(score).alias("min_score"), F.max(score).alias("max_score"),
+        at("order", "orphans").alias("orphan_reviews"))
+    pairs = ", ".join(f"{_sql_text(c)}, CAST({c} AS DECIMAL(38,0))" for c in row.columns)
+    return row.selectExpr(f"stack({len(row.columns)}, {pairs}) AS (name, value)")
+
+
+def _expected_rows(name: str, expected_rows: Mapping[str, int]) -> Check:
     if name in expected_rows:
-        return f"{name}.row_count", "eq", "n", str(int(expected_rows[name]))
-    return f"{name}.row_count", "ge", "n", "1"
-
-
-def _union(parts: Sequence[DataFrame]) -> DataFrame:
-    """Union of same-schema frames as a balanced tree: each ``union`` re-analyses
-    its inputs, so a left-deep chain of n unions costs O(n^2) analysis."""
-    parts = list(parts)
-    while len(parts) > 1:
-        parts = [parts[i].union(parts[i + 1]) if i + 1 < len(parts) else parts[i]
-                 for i in range(0, len(parts), 2)]
-    return parts[0]
+        return f"{name}.row_count", "eq", f"v['{name}']", str(int(expected_rows[name]))
+    return f"{name}.row_count", "ge", f"coalesce(v['{name}'], 0)", "1"
+
+
+def _checks(expected_rows: Mapping[str, int], columns: Sequence[tuple[str, str, bool]], year: int | None) -> list[Check]:
+    """All checks as SQL over ``v``, the map of named numbers."""
+    zero = lambda name: f"coalesce(v['{name}'], 0)"
+    tables = ("orders", "customers", "items", "products", "reviews")
+    out = [_expected_rows(t, expected_rows) for t in tables]
+    # the one pass saw as many rows as are stored (DQ1)
+    out += [(f"{t}.rows_read", "eq", zero(t), zero(f"stored_{t}")) for t in tables]
+    out += [(f"{t}.has_column.{c}", "eq", "1" if there else "0", "1") for t, c, there in columns]
+    out += [
+        # totals of the jobs' groups against stored rows (DQ5)
+        ("orders_by_year_month.total", "eq", zero("month_total"), zero("stored_orders")),
+        ("sales_count.total", "eq", zero("units_sold"), zero("stored_items")),
+        # the groups of the score job against the valid reviews counted by order
+        ("score_distribution.total", "eq", zero("distribution_total"), zero("valid")),
+        ("orders.null_purchase_ts", "eq", zero("null_ts"), "0"),
+        ("orders.distinct_customers", "info", zero("ordering_customers"), None),
+        ("orders.duplicate_order_id", "eq", zero("dup_orders"), "0"),
+        ("orders.orphan_customer", "eq", zero("orphan_customers"), "0"),
+        ("orders_join_customers.rows", "eq", zero("joined"), zero("orders")),
+        ("orders_join_customers.null_country", "eq", zero("joined_null"), "0"),
+        ("orders_join_customers.countries", "info", zero("countries"), None),
+        ("orders_join_customers.top_country_orders", "info", "v['top_country_orders']", None),
+        ("customers.distinct_ids", "info", zero("customer_ids"), None),
+        ("items.negative_price", "eq", zero("bad_price"), "0"),
+        ("items.negative_freight", "eq", zero("bad_freight"), "0"),
+        ("items.duplicate_item_key", "eq", zero("dup_lines"), "0"),
+        ("items.orphan_order", "eq", zero("orphan_items"), "0"),
+        ("items.distinct_sellers", "eq" if "sellers" in expected_rows else "info", zero("sellers"),
+         str(int(expected_rows["sellers"])) if "sellers" in expected_rows else None),
+        ("sales_count.top_product", "info", "v['top_units_sold']", None),
+        ("products.null_category", "eq", zero("null_category"), "0"),
+        ("products.mean_out_of_range", "eq", zero("means_outside"), "0"),
+        ("reviews.null_score", "info", zero("null_score"), None),
+        ("reviews.empty_score", "info", zero("empty_score"), None),
+        ("reviews.valid_score", "info", zero("valid"), None),
+        ("reviews.invalid_score", "info", f"{zero('reviews')} - {zero('valid')}", None),
+        ("reviews.min_valid_score", "info", "v['min_score']", None),
+        ("reviews.max_valid_score", "info", "v['max_score']", None),
+        ("reviews.mean_score_hundredths", "info", "v['mean_hundredths']", None),
+        # the valid mean lies in [1, 5]: 1 * valid <= total <= 5 * valid
+        ("reviews.mean_in_range", "eq", f"CASE WHEN v['total'] >= v['valid'] * {commerce.SCORE_MIN} "
+                                        f"AND v['total'] <= v['valid'] * {commerce.SCORE_MAX} THEN 1 ELSE 0 END", "1"),
+        ("reviews.orphan_order", "eq", zero("orphan_reviews"), "0"),
+        # dense-rank continuity (DQ10); every seller is ranked
+        ("ranking.rank_gaps", "eq", "coalesce(v['max_rank'] - v['ranks'], 0)", "0"),
+        ("ranking.min_rank", "eq", "v['min_rank']", "1"),
+        ("ranking.rank1_rows", "ge", zero("rank1_rows"), "1"),
+        ("ranking.sellers", "eq", zero("ranked_sellers"), zero("sellers"))]
+    if year is not None:
+        # the revenue job of the year: items of its orders, before and after the product join
+        out += [("year.orders", "info", zero("in_year"), None),
+                ("year.items", "info", zero("year_items"), None),
+                ("year.items_after_product_join", "eq", zero("year_joined"), zero("year_items")),
+                ("year.revenue_units", "info", "v['year_units']", None),
+                ("year.revenue_positive", "eq", "CASE WHEN v['year_units'] > 0 THEN 1 ELSE 0 END", "1")]
+    return out
 
 
 def validation_report(orders: DataFrame, customers: DataFrame, items: DataFrame,
                       products: DataFrame, reviews: DataFrame, ranking: DataFrame, *,
+                      stored_rows: Mapping[str, DataFrame] | None = None,
                       expected_rows: Mapping[str, int] | None = None,
                       required_columns: Mapping[str, Sequence[str]] | None = None,
                       year: int | None = None, money_scale: int = 2) -> DataFrame:
     """The validation report over the commerce inputs and a seller ranking.
 
-    ``expected_rows``: table -> row count to require (DQ1); without it a table
-    only has to be non-empty.  ``required_columns``: table -> columns that must
-    exist (DQ2, checked on the schema).  With ``year``, the revenue job of that
-    year is checked too: no item lost at the product join, revenue positive."""
+    ``stored_rows``: table -> one-row frame ``(n_rows)`` with the rows that are
+    stored, e.g. from file footers; a table without one is counted on its own.
+    ``expected_rows``: table -> row count to require (DQ1), and ``sellers`` for the
+    number of sellers; without it a table only has to be non-empty.
+    ``required_columns``: table -> columns that must exist (DQ2, checked on the
+    schema).  With ``year``, the revenue job of that year is checked too: no item
+    lost at the product join, revenue positive; ``year.revenue_units`` is its total
+    in ``10^-money_scale`` units.
+
+    An empty table fails its row count; its other numbers are zero, or null where
+    there is no such number (least score, best product)."""
     tables = {"orders": orders, "customers": customers, "items": items,
               "products": products, "reviews": reviews}
-    expected_rows = dict(expected_rows or {})
-    parts: list[DataFrame] = []
-    one = F.lit(1)
-
-    # Each table is aggregated once; all checks on it read that aggregate.
-    # orders: rows and the (year, month) reconciliation (DQ1, DQ5)
-    ts = as_timestamp(orders, "purchase_ts")
-    o_agg = (orders.groupBy(F.year(ts).alias("__y"), F.month(ts).alias("__mo"))
-             .agg(F.count("order_id").alias("c"), F.count(one).alias("r"))
-             .agg(F.coalesce(F.sum("c"), F.lit(0)).alias("grouped"),
-                  F.coalesce(F.sum("r"), F.lit(0)).alias("n"),
-                  F.coalesce(F.sum(F.when(F.col("__y").isNull(), F.col("r"))), F.lit(0)).alias("null_ts"),
-                  F.coalesce(F.sum(F.when(F.col("__y") == F.lit(year), F.col("r"))), F.lit(0))
-                  .alias("in_year")))
-    o_checks = [_count_rule("orders", expected_rows),
-                ("orders.null_purchase_ts", "eq", "null_ts", "0"),
-                ("orders_by_year_month.total", "eq", "grouped", "n")]
-    if year is not None:
-        o_checks.append(("year.orders", "info", "in_year", None))
-    parts.append(_checks(o_agg, o_checks))
-
-    # customers: rows, plus the schema checks (DQ2: metadata, no data read)
-    c_agg = customers.agg(F.count(one).alias("n"), F.countDistinct("customer_id").alias("ids"))
-    c_checks = [_count_rule("customers", expected_rows), ("customers.distinct_ids", "info", "ids", None)]
-    for table, cols in (required_columns or {}).items():
-        present = set(tables[table].columns)
-        c_checks += [(f"{table}.has_column.{c}", "eq", "1" if c in present else "0", "1") for c in cols]
-    parts.append(_checks(c_agg, c_checks))
-
-    def total(c: str) -> Column:
-        return F.coalesce(F.sum(c), F.lit(0))
-
-    # Checks that group a table by the same key share one aggregate (one scan,
-    # one exchange): per (order, item) for items, per order for orders and
-    # reviews, per product for products.
-    # items: rows, amounts, duplicate keys (DQ1, DQ5, DQ7, DQ8)
-    per_item_key = items.groupBy("order_id", "item_id").agg(
-        F.count(one).alias("__c"), F.count("item_id").alias("__w"),
-        F.count(F.when(F.col("price") < 0, one)).alias("__np"),
-        F.count(F.when(F.col("freight") < 0, one)).alias("__nf"))
-    i_agg = per_item_key.agg(total("__c").alias("n"), total("__w").alias("with_id"),
-                             total("__np").alias("neg_price"), total("__nf").alias("neg_freight"),
-                             F.count(F.when(F.col("__c") > 1, one)).alias("dup"))
-    parts.append(_checks(i_agg, [_count_rule("items", expected_rows),
-                                 # per-product sales counts add up to the item rows (DQ5)
-                                 ("sales_count.total", "eq", "with_id", "n"),
-                                 ("items.negative_price", "eq", "neg_price", "0"),
-                                 ("items.negative_freight", "eq", "neg_freight", "0"),
-                                 ("items.duplicate_item_key", "eq", "dup", "0")]))
-    sellers = items.agg(F.countDistinct("seller_id").alias("sellers"))
-    parts.append(_checks(sellers, [("items.distinct_sellers", "info", "sellers", None)]))
-
-    # products: rows, null category; the per-product multiplicity is reused below
-    product_rows = products.groupBy("product_id").agg(
-        F.count(one).alias("__m"), F.count(F.when(F.col("category").isNull(), one)).alias("__nc"))
-    p_agg = product_rows.agg(total("__m").alias("n"), total("__nc").alias("null_cat"))
-    parts.append(_checks(p_agg, [_count_rule("products", expected_rows),
-                                 ("products.null_category", "eq", "null_cat", "0")]))
-
-    # reviews: DQ6 tallies and DQ7 mean range, per order first (the per-order
-    # rows also serve the orphan check and the product means)
-    score = lenient_int("score")
-    valid = score.between(SCORE_MIN, SCORE_MAX)
-    per_review_order = reviews.groupBy("order_id").agg(
-        F.count(one).alias("__n"),
-        F.count(F.when(F.col("score").isNull(), one)).alias("__null"),
-        F.count(F.when(F.col("score") == F.lit(""), one)).alias("__empty"),
-        F.count(F.when(valid, one)).alias("__valid"),
-        F.sum(F.when(valid, score)).alias("__total"),
-        F.min(F.when(valid, score)).alias("__lo"), F.max(F.when(valid, score)).alias("__hi"))
-    r_agg = per_review_order.agg(
-        total("__n").alias("n"), total("__null").alias("null_score"), total("__empty").alias("empty_score"),
-        total("__valid").alias("valid"), F.sum("__total").alias("total"),
-        F.min("__lo").alias("lo"), F.max("__hi").alias("hi"))
-    parts.append(_checks(r_agg, [
-        _count_rule("reviews", expected_rows),
-        ("reviews.null_score", "info", "null_score", None),
-        ("reviews.empty_score", "info", "empty_score", None),
-        ("reviews.valid_score", "info", "valid", None),
-        ("reviews.invalid_score", "info", "n - valid", None),
-        ("reviews.min_valid_score", "info", "lo", None),
-        ("reviews.max_valid_score", "info", "hi", None),
-        # the valid mean lies in [1, 5]: 1*valid <= total <= 5*valid
-        ("reviews.mean_in_range", "eq",
-         "CASE WHEN total >= valid AND total <= valid * 5 THEN 1 ELSE 0 END", "1")]))
-
-    # DQ3 / DQ4 / DQ9 orders vs customers.  Orders per customer meet customer-id
-    # multiplicities: joined rows = sum(n * multiplicity), orphans = orders whose
-    # customer id has no match — all without materialising the join.
-    per_cust = orders.groupBy("customer_id").agg(F.count(one).alias("__n"))
-    mult = customers.groupBy("customer_id").agg(
-        F.count(one).alias("__m"), F.count(F.when(F.col("country").isNull(), one)).alias("__mnull"))
-    j_agg = (per_cust.join(mult, "customer_id", "left")
-             .agg(F.sum("__n").alias("orders"),
-                  F.sum(F.col("__n") * F.coalesce(F.col("__m"), F.lit(0))).alias("rows"),
-                  F.sum(F.col("__n") * F.coalesce(F.col("__mnull"), F.lit(0))).alias("nulls"),
-                  F.sum(F.when(F.col("__m").isNull(), F.col("__n"))).alias("orphans"),
-                  F.count("customer_id").alias("ids")))
-    parts.append(_checks(j_agg, [
-        ("orders.distinct_customers", "info", "ids", None),
-        ("orders_join_customers.rows", "eq", "coalesce(rows, 0)", "coalesce(orders, 0)"),
-        ("orders_join_customers.null_country", "eq", "coalesce(nulls, 0)", "0"),
-        ("orders.orphan_customer", "eq", "coalesce(orphans, 0)", "0")]))
-
-    # DQ8 order-key uniqueness; the same per-order rows are the key set the
-    # DQ9 orphan checks join against
-    per_order_id = orders.groupBy("order_id").agg(F.count(one).alias("__c"))
-    dup_orders = per_order_id.agg(F.count(F.when(F.col("__c") > 1, one)).alias("d"))
-    parts.append(_checks(dup_orders, [("orders.duplicate_order_id", "eq", "d", "0")]))
-    order_keys = per_order_id.select(F.col("order_id").alias("__ok"), one.alias("__hit"))
-
-    def orphans(per_key: DataFrame, count_col: str) -> DataFrame:
-        """Rows whose order id is missing from the orders, from per-order counts."""
-        return (per_key.join(order_keys, per_key["order_id"] == order_keys["__ok"], "left")
-                .agg(F.sum(F.when(F.col("__hit").isNull(), F.col(count_col))).alias("d")))
-
-    item_orders = per_item_key.groupBy("order_id").agg(F.sum("__c").alias("__n"))
-    parts.append(_checks(orphans(item_orders, "__n"), [("items.orphan_order", "eq", "coalesce(d, 0)", "0")]))
-    parts.append(_checks(orphans(per_review_order, "__n"),
-                         [("reviews.orphan_order", "eq", "coalesce(d, 0)", "0")]))
-
-    # DQ7 per-product mean review score within [1, 5] (item x review pairs,
-    # computed from per-order sums as in the top-products job)
-    score_per_order = (per_review_order.filter(F.col("__valid") > 0)
-                       .select("order_id", F.col("__total").alias("__s"), F.col("__valid").alias("__v")))
-    product_means = (items.select("order_id", "product_id").join(score_per_order, "order_id", "inner")
-                     .groupBy("product_id").agg(F.sum("__s").alias("__ws"), F.sum("__v").alias("__wn"))
-                     .agg(F.count(F.when((F.col("__ws") < F.col("__wn")) | (F.col("__ws") > F.col("__wn") * 5),
-                                         one)).alias("bad")))
-    parts.append(_checks(product_means, [("products.mean_out_of_range", "eq", "bad", "0")]))
-
-    if year is not None:
-        # the revenue job of ``year``: items of the year's orders, per product
-        # first, then the product multiplicities (an inner join keeps n * m rows)
-        in_year = orders.filter(year_range(orders, "purchase_ts", year)).select("order_id")
-        units = amount_units("price", money_scale) + amount_units("freight", money_scale)
-        per_product = (items.join(in_year, "order_id", "inner").groupBy("product_id")
-                       .agg(F.count(one).alias("__n"), units_sum(units).alias("__u")))
-        y_agg = (per_product.join(product_rows.select("product_id", "__m"), "product_id", "left")
-                 .agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("items"),
-                      F.coalesce(F.sum(F.col("__n") * F.coalesce(F.col("__m"), F.lit(0))), F.lit(0))
-                      .alias("joined"),
-                      F.sum(F.when(F.col("__m").isNotNull(), F.col("__u") * F.col("__m"))).alias("revenue")))
-        parts.append(_checks(y_agg, [
-            ("year.items", "info", "items", None),
-            ("year.items_after_product_join", "eq", "joined", "items"),
-            ("year.revenue_positive", "eq", "CASE WHEN revenue > 0 THEN 1 ELSE 0 END", "1")]))
-
-    # DQ10 dense-rank continuity
-    rk = ranking.agg(F.max("rank").alias("mx"), F.countDistinct("rank").alias("nd"),
-                     F.min("rank").alias("mn"), F.count(F.when(F.col("rank") == 1, one)).alias("top"))
-    parts.append(_checks(rk, [("ranking.rank_gaps", "eq", "coalesce(mx - nd, 0)", "0"),
-                              ("ranking.min_rank", "eq", "mn", "1"),
-                              ("ranking.rank1_rows", "ge", "top", "1")]))
-
-    report = _union(parts).selectExpr(
-        "`check`", "rule", "actual", "expected",
-        "coalesce(CASE WHEN rule = 'info' THEN true WHEN rule = 'ge' THEN actual >= expected "
-        "ELSE actual = expected END, false) AS ok")
-    # DQ11 summary row: its input is the same plan as the report, so Spark's
-    # exchange reuse computes every check aggregate once for both
-    summary = report.agg(F.count(F.when(~F.col("ok"), one)).alias("failed")).selectExpr(
-        "'summary.failed_checks' AS `check`", "'eq' AS rule", "CAST(failed AS BIGINT) AS actual",
-        "CAST(0 AS BIGINT) AS expected", "failed = 0 AS ok")
-    return report.unionByName(summary)
+    numbers = _named_numbers(_levels(orders, customers, items, products, reviews, year, money_scale))
+    for name, df in tables.items():
+        n = (stored_rows or {}).get(name)
+        if n is None:
+            n = df.agg(F.count(F.lit(1)).alias("n_rows"))
+        numbers = numbers.union(n.select(F.lit(f"stored_{name}"), F.col("n_rows").cast("decimal(38,0)")))
+    rank = ranking.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.max("rank").alias("max_rank"), F.count("rank").alias("ranks"), F.min("rank").alias("min_rank"),
+        F.sum(F.when(F.col("rank") == 1, F.col("n"))).alias("rank1_rows"), F.sum("n").alias("ranked_sellers"))
+    pairs = ", ".join(f"{_sql_text(c)}, CAST({c} AS DECIMAL(38,0))" for c in rank.columns)
+    numbers = numbers.union(rank.selectExpr(f"stack({len(rank.columns)}, {pairs}) AS (name, value)"))
+    # a few dozen rows become one map; the checks and their summary are one row's expressions
+    v = numbers.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("v"))
+    present = [(t, c, c in tables[t].columns) for t, cols in (required_columns or {}).items() for c in cols]
+    structs = ", ".join(
+        f"struct({_sql_text(name)} AS `check`, {_sql_text(rule)} AS rule, "
+        f"CAST({actual} AS BIGINT) AS actual, CAST({expected or 'NULL'} AS BIGINT) AS expected)"
+        for name, rule, actual, expected in _checks(dict(expected_rows or {}), present, year))
+    report = v.selectExpr(f"array({structs}) AS checks").selectExpr(
+        "transform(checks, c -> struct(c.`check` AS `check`, c.rule AS rule, c.actual AS actual, c.expected AS expected, "
+        "coalesce(CASE WHEN c.rule = 'info' THEN true WHEN c.rule = 'ge' THEN c.actual >= c.expected "
+        "ELSE c.actual = c.expected END, false) AS ok)) AS checks")
+    # DQ11: the number of failed checks, as one more row
+    failed = "CAST(size(filter(checks, c -> NOT c.ok)) AS BIGINT)"
+    summary = (f"struct('summary.failed_checks' AS `check`, 'eq' AS rule, {failed} AS actual, "
+               f"CAST(0 AS BIGINT) AS expected, {failed} = 0 AS ok)")
+    return report.selectExpr(f"inline(concat(checks, array({summary})))")
 
 
 def leaders(orders: DataFrame, customers: DataFrame, items: DataFrame,
@@ -244,14 +298,13 @@ def leaders(orders: DataFrame, customers: DataFrame, items: DataFrame,
     most sales and the seller with the highest revenue (TOP4); ties go to the
     smallest key.  Each is a distributed top-1 (``TakeOrderedAndProject``) over
     an aggregate."""
-    from quarry.operators.commerce import orders_by_country, seller_revenue
     from quarry.operators.ranking import first_by
 
-    country = first_by(orders_by_country(orders, customers).filter(F.col("country").isNotNull()),
+    country = first_by(commerce.orders_by_country(orders, customers).filter(F.col("country").isNotNull()),
                        [F.col("order_count").desc(), F.col("country")])
     product = first_by(items.groupBy("product_id").agg(F.count("item_id").alias("n")),
                        [F.col("n").desc(), F.col("product_id")])
-    seller = first_by(seller_revenue(items, money_scale),
+    seller = first_by(commerce.seller_revenue(items, money_scale),
                       [F.col("total_revenue").desc(), F.col("seller_id")])
     return (country.select(F.lit("top_country").alias("item"), F.col("country").cast("string").alias("key"),
                            F.col("order_count").cast("double").alias("value"))

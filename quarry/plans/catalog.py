@@ -17,7 +17,7 @@ from quarry.plans.bindings import (BALANCE_BOUNDS, MIN_RATINGS_FOR_BEST, MONEY_S
                                    SENTIMENT_NEGATIVE, SENTIMENT_POSITIVE, TOP_K_WORDS,
                                    WORD_FREQ_THRESHOLD, Bindings)
 from quarry.sources.profile import dataset_profile
-from quarry.sources.tables import TABLES, read_table
+from quarry.sources.tables import TABLES, read_footers, stored_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -204,8 +204,8 @@ def _top_words(b: Bindings) -> DataFrame:
 # ---------------------------------------------------------------- commerce
 @register("dataset_profile")
 def _profile(b: Bindings) -> DataFrame:
-    """Rows, columns and column types of every benchmark table."""
-    return dataset_profile({name: read_table(b.spark, b.sf_dir, name) for name in TABLES})
+    """Rows, columns and column types of every benchmark table; rows from file footers."""
+    return dataset_profile({name: read_footers(b.spark, b.sf_dir, name) for name in TABLES})
 
 
 @register("overall_stats")
@@ -262,8 +262,11 @@ def _validation(b: Bindings) -> DataFrame:
     """Data-quality checks over the commerce bindings."""
     required = {"orders": ["order_id", "customer_id"], "customers": ["customer_id", "country"],
                 "items": ["seller_id", "price"], "products": ["category"], "reviews": ["score"]}
+    stored = {name: stored_rows(b.spark, b.sf_dir, table) for name, table in
+              (("orders", "orders"), ("customers", "customer"), ("items", "lineitem"), ("products", "part"),
+               ("reviews", "events"))}
     return quality.validation_report(b.orders, b.customers, b.items, b.products, b.score_reviews,
-                                     commerce.seller_ranking(b.items, MONEY_SCALE),
+                                     commerce.seller_ranking(b.items, MONEY_SCALE), stored_rows=stored,
                                      required_columns=required, year=REVENUE_YEAR,
                                      money_scale=MONEY_SCALE)
 

@@ -422,14 +422,36 @@ WITH {_CUSTOMERS}, {_VALID_SCORES},
   UNION ALL SELECT 'orders_join_customers.null_country', 'eq',
                    (SELECT count(*) FROM orders o JOIN cust c ON o.o_custkey = c.customer_id
                     WHERE c.country IS NULL), 0
-  UNION ALL SELECT 'orders_by_year_month.total', 'eq', count(o_orderkey), count(*) FROM orders
+  UNION ALL SELECT 'orders_by_year_month.total', 'eq', (SELECT sum(n) FROM
+                   (SELECT count(o_orderkey) AS n FROM orders GROUP BY year(o_orderdate), month(o_orderdate))),
+                   count(*) FROM orders
   UNION ALL SELECT 'orders.null_purchase_ts', 'eq', count(*) - count(o_orderdate), 0 FROM orders
   UNION ALL SELECT 'year.orders', 'info', count(CASE WHEN year(o_orderdate) = {REVENUE_YEAR} THEN 1 END), NULL
             FROM orders
   UNION ALL SELECT 'orders.distinct_customers', 'info', count(DISTINCT o_custkey), NULL FROM orders
   UNION ALL SELECT 'customers.distinct_ids', 'info', count(DISTINCT customer_id), NULL FROM cust
   UNION ALL SELECT 'items.distinct_sellers', 'info', count(DISTINCT l_suppkey), NULL FROM lineitem
-  UNION ALL SELECT 'sales_count.total', 'eq', count(l_linenumber), count(*) FROM lineitem
+  UNION ALL SELECT 'sales_count.total', 'eq', (SELECT sum(n) FROM
+                   (SELECT count(l_linenumber) AS n FROM lineitem GROUP BY l_partkey)), count(*) FROM lineitem
+  UNION ALL SELECT 'sales_count.top_product', 'info', max(n), NULL FROM
+                   (SELECT count(l_linenumber) AS n FROM lineitem GROUP BY l_partkey)
+  UNION ALL SELECT 'score_distribution.total', 'eq', (SELECT sum(n) FROM
+                   (SELECT count(*) AS n FROM v GROUP BY score)), count(*) FROM v
+  UNION ALL SELECT 'reviews.mean_score_hundredths', 'info',
+                   CAST(({_half_up('sum(score)', 'count(*)')}) * 100 AS BIGINT), NULL FROM v
+  UNION ALL SELECT 'orders.rows_read', 'eq', count(*), count(*) FROM orders
+  UNION ALL SELECT 'customers.rows_read', 'eq', count(*), (SELECT count(*) FROM customer) FROM cust
+  UNION ALL SELECT 'items.rows_read', 'eq', count(*), count(*) FROM lineitem
+  UNION ALL SELECT 'products.rows_read', 'eq', count(*), count(*) FROM part
+  UNION ALL SELECT 'reviews.rows_read', 'eq', count(*), count(*) FROM events
+  UNION ALL SELECT 'orders_join_customers.countries', 'info', count(*), NULL FROM
+                   (SELECT DISTINCT c.country FROM orders o JOIN cust c ON o.o_custkey = c.customer_id)
+  UNION ALL SELECT 'orders_join_customers.top_country_orders', 'info', max(n), NULL FROM
+                   (SELECT c.country, count(*) AS n FROM orders o JOIN cust c ON o.o_custkey = c.customer_id
+                    GROUP BY c.country)
+  UNION ALL SELECT 'year.revenue_units', 'info', CAST(sum({_REVENUE}) * 10000 AS BIGINT), NULL
+            FROM year_items y JOIN part p ON y.l_partkey = p.p_partkey
+  UNION ALL SELECT 'ranking.sellers', 'eq', (SELECT count(*) FROM sellers), count(DISTINCT l_suppkey) FROM lineitem
   UNION ALL SELECT 'reviews.invalid_score', 'info', (SELECT count(*) FROM events) - count(*), NULL FROM v
   UNION ALL SELECT 'reviews.min_valid_score', 'info', min(score), NULL FROM v
   UNION ALL SELECT 'reviews.max_valid_score', 'info', max(score), NULL FROM v

@@ -27,6 +27,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even when that costs one more shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # whole-table counts of DataSource V2 scans come from file footers
+    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.ui.enabled": "false",
 }
 

@@ -1,7 +1,8 @@
 """Dataset profile (SRC14): one row per (dataset, column).
 
-Row counts are one-row aggregates per dataset (partial count per task, no
-data leaves the executors); the column listing comes from schema metadata.
+Row counts are one-row aggregates per dataset: over frames of ``tables.read_footers``
+they come from file footers and no column is read, over others from a count in
+every task.  The column listing comes from schema metadata.
 """
 
 from __future__ import annotations
