@@ -10,13 +10,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.functions.buckets import AGE_LABELS_DASH, AGE_LABELS_OVERLAP
+from quarry.functions.tags import split_tags
 from quarry.operators import commerce, quality, ratings, reviews
+from quarry.plans import lines
 from quarry.plans.bindings import (BALANCE_BOUNDS, MIN_RATINGS_FOR_BEST, MONEY_SCALE, REVENUE_YEAR,
                                    SENTIMENT_NEGATIVE, SENTIMENT_POSITIVE, TOP_K_WORDS,
                                    WORD_FREQ_THRESHOLD, Bindings)
+from quarry.sinks.writers import format_line
+from quarry.sources import parsing
 from quarry.sources.profile import dataset_profile
+from quarry.sources.records import union_all
 from quarry.sources.tables import TABLES, read_footers, stored_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -293,3 +299,97 @@ def _segments(b: Bindings) -> DataFrame:
 def _segment_summary(b: Bindings) -> DataFrame:
     """Customers and orders per segment."""
     return commerce.segment_summary(commerce.customer_segments(b.orders))
+
+
+# ---------------------------------------------------------------- text lines (SRC1–SRC10, S15, SET1, FN10, FN14)
+@register("rating_lines")
+def _rating_lines(b: Bindings) -> DataFrame:
+    """SRC1: tolerant rating lines: short lines and bad numbers refused, a bad time is null."""
+    return parsing.parse_ratings(lines.rating_lines(b.table("lineitem"))).kept()
+
+
+@register("strict_rating_lines")
+def _strict_rating_lines(b: Bindings) -> DataFrame:
+    """SRC2: strict rating lines; one malformed line would fail the query."""
+    return parsing.parse_ratings_strict(lines.clean_rating_lines(b.table("lineitem")))
+
+
+@register("movie_line_tags")
+def _movie_line_tags(b: Bindings) -> DataFrame:
+    """SRC3, FLT9: movie lines with commas in titles, one row per tag that is not empty."""
+    movies = parsing.parse_movies(lines.movie_lines(b.table("part"))).kept()
+    return movies.select("movie_id", "title", F.explode_outer(split_tags("genres")).alias("genre"))
+
+
+@register("movie_lines_split3")
+def _movie_lines_split3(b: Bindings) -> DataFrame:
+    """SRC4: the same lines cut at the first two commas, '?' for a missing title."""
+    return parsing.parse_movies_split3(lines.movie_lines(b.table("part"), with_ids=True), missing_title="?")
+
+
+@register("user_lines")
+def _user_lines(b: Bindings) -> DataFrame:
+    """SRC5: user lines with two fields or more; an age that is no integer is null."""
+    return parsing.parse_users(lines.user_lines(b.table("customer"))).kept()
+
+
+@register("user_age_lines")
+def _user_age_lines(b: Bindings) -> DataFrame:
+    """SRC6 (MapReduce form): user lines with an integer age."""
+    return parsing.parse_users(lines.user_lines(b.table("customer")), need_age=True).kept().select("user_id", "age")
+
+
+@register("strict_user_lines")
+def _strict_user_lines(b: Bindings) -> DataFrame:
+    """SRC6, SRC7 (strict form): typed users; one malformed line would fail the query."""
+    return parsing.parse_users_strict(lines.clean_user_lines(b.table("customer")))
+
+
+@register("occupation_lines")
+def _occupation_lines(b: Bindings) -> DataFrame:
+    """SRC8: occupations split at the first comma."""
+    return parsing.parse_occupations(lines.occupation_lines(b.table("nation"))).kept()
+
+
+@register("review_lines")
+def _review_lines(b: Bindings) -> DataFrame:
+    """SRC9: ``;`` lines with quoting off; an id that is no integer and missing fields are null."""
+    return parsing.parse_reviews(lines.review_lines(b.table("documents")))
+
+
+@register("word_lines")
+def _word_lines(b: Bindings) -> DataFrame:
+    """SRC10: distinct terms, empty lines dropped."""
+    return parsing.parse_words(lines.word_lines(b.table("part")))
+
+
+@register("rejected_lines")
+def _rejected_lines(b: Bindings) -> DataFrame:
+    """Lines read, kept, blank and refused per tolerant reader."""
+    users = lines.user_lines(b.table("customer"))
+    return parsing.reader_counts([
+        parsing.parse_ratings(lines.rating_lines(b.table("lineitem"))), parsing.parse_movies(lines.movie_lines(b.table("part"))),
+        parsing.parse_users(users), parsing.parse_users(users, need_age=True),
+        parsing.parse_occupations(lines.occupation_lines(b.table("nation")))])
+
+
+@register("rating_line_union")
+def _rating_line_union(b: Bindings) -> DataFrame:
+    """SET1: ratings of two line sets together, no duplicate removed: mean and count per movie."""
+    one = parsing.parse_ratings(lines.rating_lines(b.table("lineitem"))).kept()
+    two = parsing.parse_ratings(lines.clean_rating_lines(b.table("lineitem"))).kept()
+    return union_all([one, two]).groupBy("movie_id").agg(
+        F.sum(F.col("rating").cast("double")).alias("rating_sum"), F.count("rating").alias("total_ratings"))
+
+
+@register("orders_by_purchase_text")
+def _orders_by_purchase_text(b: Bindings) -> DataFrame:
+    """FN10, J15 on text: orders per month of a text timestamp; with seconds or unreadable -> null."""
+    return commerce.orders_by_year_month(lines.purchase_texts(b.table("orders")))
+
+
+@register("movie_report_lines")
+def _movie_report_lines(b: Bindings) -> DataFrame:
+    """FN14, SNK5: one formatted line per movie, means HALF_UP to two and four places."""
+    stats = ratings.movie_stats(b.ratings, b.movies)
+    return stats.select(format_line("%s: %.2f (%.4f, %d ratings)", "title", "avg_rating", "avg_rating", "total_ratings").alias("line"))

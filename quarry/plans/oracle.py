@@ -506,3 +506,105 @@ WITH {_CUSTOMERS},
   top_s AS (SELECT 'top_seller' AS item, CAST(seller_id AS VARCHAR) AS key, total_revenue AS value
             FROM bs ORDER BY total_revenue DESC, seller_id LIMIT 1)
 SELECT * FROM top_c UNION ALL SELECT * FROM top_p UNION ALL SELECT * FROM top_s"""
+
+# ------------------------------------------------------------ text lines
+# Written from the table values, not from the lines; what is bad is stated in lines.py.
+_SECONDS = "CAST(epoch(l_shipdate) AS BIGINT)"
+_KEPT_RATING = """NOT (l_linenumber = 4 AND l_returnflag = 'A') AND NOT (l_linenumber = 6 AND l_returnflag = 'A')
+  AND NOT (l_linenumber = 7 AND l_returnflag = 'R')"""
+_RATING_OF_LINE = "CAST(CASE WHEN l_linenumber = 6 THEN l_quantity + 0.5 ELSE l_quantity END AS FLOAT)"
+
+ORACLE_SQL["rating_lines"] = f"""
+SELECT CAST(l_orderkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS movie_id, {_RATING_OF_LINE} AS rating,
+       CASE WHEN l_linenumber = 5 OR (l_linenumber = 7 AND l_returnflag = 'N') THEN NULL ELSE {_SECONDS} END AS ts
+FROM lineitem WHERE {_KEPT_RATING}"""
+
+ORACLE_SQL["strict_rating_lines"] = f"""
+SELECT CAST(l_orderkey AS INTEGER) AS user_id, CAST(l_partkey AS INTEGER) AS movie_id, l_quantity AS rating, {_SECONDS} AS ts
+FROM lineitem"""
+
+_TITLE = "CASE WHEN p_size % 2 = 1 THEN p_name || ', The' ELSE p_name END"
+
+ORACLE_SQL["movie_line_tags"] = f"""
+WITH m AS (SELECT CAST(p_partkey AS VARCHAR) AS movie_id, {_TITLE} AS title, p_type, p_brand, p_size FROM part
+           WHERE p_size NOT IN (49, 50))
+SELECT movie_id, title, p_type AS genre FROM m WHERE p_size % 7 <> 0
+UNION ALL SELECT movie_id, title, p_brand FROM m WHERE p_size % 7 <> 0
+UNION ALL SELECT movie_id, title, NULL FROM m WHERE p_size % 7 = 0"""
+
+ORACLE_SQL["movie_lines_split3"] = """
+WITH g AS (SELECT *, CASE WHEN p_size % 7 = 0 THEN '' WHEN p_size % 5 = 0 THEN p_type || '|| ' || p_brand || '|'
+                          ELSE p_type || '|' || p_brand END AS genres FROM part WHERE p_size <> 49)
+SELECT CAST(p_partkey AS INTEGER) AS movie_id, p_name AS title,
+       CASE WHEN p_size = 50 THEN '' WHEN p_size % 2 = 1 THEN 'The,' || genres ELSE genres END AS genres FROM g"""
+
+_GENDER = "substr(c_mktsegment, 1, 1)"
+
+ORACLE_SQL["user_lines"] = f"""
+SELECT CAST(c_custkey AS VARCHAR) AS user_id, {_GENDER} AS gender,
+       CASE WHEN c_nationkey IN (3, 5) THEN NULL ELSE CAST(c_custkey % 80 AS INTEGER) END AS age,
+       CASE WHEN c_nationkey = 5 THEN NULL ELSE CAST(c_nationkey AS VARCHAR) END AS occupation,
+       CASE WHEN c_nationkey = 5 THEN NULL ELSE lpad(CAST(c_nationkey AS VARCHAR), 5, '0') END AS zip
+FROM customer WHERE c_nationkey <> 4"""
+
+ORACLE_SQL["user_age_lines"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS user_id, CAST(c_custkey % 80 AS INTEGER) AS age
+FROM customer WHERE c_nationkey NOT IN (3, 4, 5)"""
+
+ORACLE_SQL["strict_user_lines"] = f"""
+SELECT CAST(c_custkey AS INTEGER) AS user_id, {_GENDER} AS gender, CAST(c_custkey % 80 AS INTEGER) AS age,
+       CAST(c_nationkey AS INTEGER) AS occupation, lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zip
+FROM customer"""
+
+ORACLE_SQL["occupation_lines"] = """
+SELECT CAST(n_nationkey AS INTEGER) AS occupation_id,
+       CASE WHEN n_nationkey % 2 = 0 THEN n_name || ', retired' ELSE n_name END AS name
+FROM nation WHERE n_nationkey % 10 <> 9"""
+
+ORACLE_SQL["review_lines"] = """
+SELECT CASE WHEN doc_id % 10 = 3 THEN NULL ELSE CAST(doc_id AS INTEGER) END AS rid,
+       nullif(translate(coalesce(text, ''), chr(10) || chr(13) || ';', '   '), '') AS comment, lang AS category,
+       CASE WHEN doc_id % 10 = 4 THEN NULL ELSE source END AS aspect,
+       CASE WHEN doc_id % 10 = 4 THEN NULL ELSE 'neutral' END AS sentiment
+FROM documents"""
+
+ORACLE_SQL["word_lines"] = "SELECT DISTINCT p_name AS word FROM part WHERE p_size % 5 <> 0 AND p_name <> ''"
+
+ORACLE_SQL["rejected_lines"] = f"""
+SELECT 'ratings' AS reader, count(*) AS read, count(CASE WHEN {_KEPT_RATING} THEN 1 END) AS kept,
+       count(CASE WHEN l_linenumber = 4 AND l_returnflag = 'A' THEN 1 END) AS blank,
+       count(CASE WHEN (l_linenumber = 6 AND l_returnflag = 'A') OR (l_linenumber = 7 AND l_returnflag = 'R') THEN 1 END)
+         AS rejected FROM lineitem
+UNION ALL SELECT 'movies', count(*), count(CASE WHEN p_size < 49 THEN 1 END), 0,
+       count(CASE WHEN p_size >= 49 THEN 1 END) FROM part
+UNION ALL SELECT 'users', count(*), count(CASE WHEN c_nationkey <> 4 THEN 1 END), 0,
+       count(CASE WHEN c_nationkey = 4 THEN 1 END) FROM customer
+UNION ALL SELECT 'user_ages', count(*), count(CASE WHEN c_nationkey NOT IN (3, 4, 5) THEN 1 END), 0,
+       count(CASE WHEN c_nationkey IN (3, 4, 5) THEN 1 END) FROM customer
+UNION ALL SELECT 'occupations', count(*), count(CASE WHEN n_nationkey % 10 <> 9 THEN 1 END), 0,
+       count(CASE WHEN n_nationkey % 10 = 9 THEN 1 END) FROM nation"""
+
+ORACLE_SQL["rating_line_union"] = f"""
+WITH u AS (SELECT l_partkey, {_RATING_OF_LINE} AS rating FROM lineitem WHERE {_KEPT_RATING}
+           UNION ALL SELECT l_partkey, CAST(l_quantity AS FLOAT) FROM lineitem)
+SELECT CAST(l_partkey AS VARCHAR) AS movie_id, sum(CAST(rating AS DOUBLE)) AS rating_sum, count(*) AS total_ratings
+FROM u GROUP BY l_partkey"""
+
+ORACLE_SQL["orders_by_purchase_text"] = """
+WITH t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 6 OR o_orderkey % 3 = 1 THEN NULL ELSE o_orderdate END AS ts
+           FROM orders)
+SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, count(o_orderkey) AS order_count
+FROM t GROUP BY year(ts), month(ts)"""
+
+
+def _fixed(s: str, n: str, places: int) -> str:
+    """The non-negative ratio s / n with so many places, HALF_UP, as text."""
+    scale = 10 ** places
+    units = f"((CAST({s} AS HUGEINT) * {2 * scale} + {n}) // (2 * {n}))"
+    return f"(CAST({units} // {scale} AS VARCHAR) || '.' || lpad(CAST({units} % {scale} AS VARCHAR), {places}, '0'))"
+
+
+ORACLE_SQL["movie_report_lines"] = f"""
+WITH {_MOVIE_STATS.format(default="'?'")},
+  k AS (SELECT m.title, CAST(s.sm AS BIGINT) AS sm, m.total_ratings AS n FROM m JOIN s ON m.movie_id = s.movie_id)
+SELECT title || ': ' || {_fixed('sm', 'n', 2)} || ' (' || {_fixed('sm', 'n', 4)} || ', ' || n || ' ratings)' AS line FROM k"""

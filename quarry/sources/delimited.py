@@ -5,9 +5,8 @@
   type become NULL (``PERMISSIVE``).
 * ``read_word_list``: one term per line.
 * ``read_with_header``: header row, configurable delimiter, optional schema
-  inference, and a guard that strips a byte-order mark from the first column
-  name.  Prefer an explicit schema in production: inference is an extra full
-  pass over the input.
+  inference; Spark drops a byte-order mark itself.  Prefer an explicit schema in
+  production: inference is an extra full pass over the input.
 """
 
 from __future__ import annotations
@@ -17,10 +16,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-Paths = str | Sequence[str]
+from quarry.sources import parsing
+from quarry.sources.parsing import REVIEWS_SCHEMA
 
-REVIEWS_SCHEMA = "rid INT, comment STRING, category STRING, aspect STRING, sentiment STRING"
-BOM = "\ufeff"
+Paths = str | Sequence[str]
 
 
 def _paths(paths: Paths) -> list[str]:
@@ -39,17 +38,7 @@ def read_reviews(spark: SparkSession, paths: Paths, sep: str = ";",
 
 def read_word_list(spark: SparkSession, paths: Paths, distinct: bool = True) -> DataFrame:
     """``(word)``: one term per line, blank lines dropped (SRC10)."""
-    words = spark.read.text(_paths(paths)).select(F.col("value").alias("word"))
-    words = words.filter(F.col("word") != "")
-    return words.distinct() if distinct else words
-
-
-def strip_bom(df: DataFrame) -> DataFrame:
-    """Rename a first column whose name starts with a byte-order mark (SRC12)."""
-    first = df.columns[0]
-    if first.startswith(BOM):
-        return df.withColumnRenamed(first, first.lstrip(BOM))
-    return df
+    return parsing.parse_words(spark.read.text(_paths(paths)).select(F.col("value").alias("line")), distinct)
 
 
 def read_with_header(spark: SparkSession, paths: Paths, delimiter: str = ";",
@@ -61,4 +50,4 @@ def read_with_header(spark: SparkSession, paths: Paths, delimiter: str = ";",
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", infer_schema)
-    return strip_bom(reader.csv(_paths(paths)))
+    return reader.csv(_paths(paths))

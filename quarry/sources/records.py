@@ -1,9 +1,10 @@
-"""Comma-separated text records of the ratings family (SRC1–SRC8, SRC13, SET1).
+"""Comma-separated text files of the ratings family (SRC1–SRC8, SRC13, SET1).
 
 Two parsing disciplines exist:
 
-* *lenient* — trim the line, skip blanks, split on ``\\s*,\\s*``, skip rows
-  that are too short or whose number does not parse (the MapReduce jobs);
+* *lenient* — trim the line, skip blanks, split on ``\\s*,\\s*``, refuse rows
+  that are too short or whose number does not parse (the MapReduce jobs).  The
+  parsers of ``parsing`` do it; ``parsing.Parsed`` also has the refused lines;
 * *strict* — a typed CSV read in ``FAILFAST`` mode: any malformed row fails
   the job (the RDD jobs).
 
@@ -15,49 +16,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.casts import lenient_float
-from quarry.functions.text import java_trim
+from quarry.sources import parsing
+from quarry.sources.parsing import RATINGS_SCHEMA, USERS_SCHEMA
 
 Paths = str | Sequence[str]
 
-# The field separator of the lenient readers and the
-# comma-safe movie-line layout (id before the first comma, genres after the last).
-LENIENT_SEPARATOR = r"\s*,\s*"
-MOVIE_LINE = r"^([^,]+),(.*),([^,]*)$"
-
 
 def _paths(paths: Paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def _lines(spark: SparkSession, paths: Paths) -> DataFrame:
-    """Non-blank lines, trimmed the way ``String.trim`` does."""
-    text = spark.read.text(_paths(paths))
-    return text.select(java_trim(F.col("value")).alias("line")).filter(F.col("line") != "")
-
-
-def _fields(line: Column) -> Column:
-    return F.split(line, LENIENT_SEPARATOR)
+def read_lines(spark: SparkSession, paths: Paths) -> DataFrame:
+    """``(line)`` of text files, as the parsers take them."""
+    return spark.read.text(_paths(paths)).select(F.col("value").alias("line"))
 
 
 def read_ratings_lenient(spark: SparkSession, paths: Paths) -> DataFrame:
-    """``(user_id, movie_id, rating float, ts long)`` with string ids (SRC1).
-
-    Rows with fewer than three fields or a rating that is not a number are
-    dropped; ``ts`` is NULL when the fourth field is absent or not a number."""
-    parts = _fields(F.col("line"))
-    rows = _lines(spark, paths).select(parts.alias("p"))
-    rating = lenient_float(F.col("p")[2])
-    return (rows.filter((F.size("p") >= 3) & rating.isNotNull())
-            .select(F.col("p")[0].alias("user_id"), F.col("p")[1].alias("movie_id"),
-                    rating.alias("rating"),
-                    F.when(F.size("p") >= 4, F.col("p")[3].try_cast("long")).alias("ts")))
-
-
-RATINGS_SCHEMA = "user_id INT, movie_id INT, rating DOUBLE, ts LONG"
+    """``(user_id, movie_id, rating float, ts long)`` with text ids (SRC1)."""
+    return parsing.parse_ratings(read_lines(spark, paths)).kept()
 
 
 def read_ratings_strict(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -70,46 +49,19 @@ def read_ratings_strict(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def read_movies_comma_safe(spark: SparkSession, paths: Paths, id_type: str = "string") -> DataFrame:
-    """``(movie_id, title, genres)``: id before the first comma, genres after
-    the last comma, the title is everything between (so titles may contain
-    commas).  Lines without two commas or with an empty id are skipped (SRC3)."""
-    text = spark.read.text(_paths(paths)).select(F.col("value").alias("line"))
-    ok = text.filter(F.col("line").rlike(MOVIE_LINE))
-    out = ok.select(
-        java_trim(F.regexp_extract("line", MOVIE_LINE, 1)).alias("movie_id"),
-        java_trim(F.regexp_extract("line", MOVIE_LINE, 2)).alias("title"),
-        java_trim(F.regexp_extract("line", MOVIE_LINE, 3)).alias("genres"))
-    if id_type != "string":
-        out = out.withColumn("movie_id", F.col("movie_id").cast(id_type))
-    return out
+    """``(movie_id, title, genres)``, titles may hold commas (SRC3)."""
+    out = parsing.parse_movies(read_lines(spark, paths)).kept()
+    return out if id_type == "string" else out.withColumn("movie_id", F.col("movie_id").cast(id_type))
 
 
 def read_movies_split3(spark: SparkSession, paths: Paths, missing_title: str = "") -> DataFrame:
-    """``(movie_id int, title, genres)`` from at most three comma-separated
-    parts: the title stops at the second comma; a missing title or genre field
-    becomes ``missing_title`` / ``''`` (SRC4).  A non-integer id fails the job
-    (ANSI cast)."""
-    text = spark.read.text(_paths(paths)).select(F.split(F.col("value"), ",", 3).alias("p"))
-    return text.select(
-        java_trim(F.col("p")[0]).cast("int").alias("movie_id"),
-        F.when(F.size("p") > 1, java_trim(F.col("p")[1])).otherwise(F.lit(missing_title)).alias("title"),
-        F.when(F.size("p") > 2, java_trim(F.col("p")[2])).otherwise(F.lit("")).alias("genres"))
-
-
-def read_users_lenient(spark: SparkSession, paths: Paths) -> DataFrame:
-    """``(user_id, gender, age int, occupation, zip)`` with string ids (SRC5,
-    SRC6 lenient): rows with fewer than two fields are skipped; a non-integer
-    age gives NULL (callers needing the age drop those rows)."""
-    parts = _fields(F.col("line"))
-    rows = _lines(spark, paths).select(parts.alias("p")).filter(F.size("p") >= 2)
-    return rows.select(
-        F.col("p")[0].alias("user_id"), F.col("p")[1].alias("gender"),
-        F.when(F.size("p") >= 3, F.col("p")[2].try_cast("int")).alias("age"),
-        F.when(F.size("p") >= 4, F.col("p")[3]).alias("occupation"),
-        F.when(F.size("p") >= 5, F.col("p")[4]).alias("zip"))
+    """``(movie_id int, title, genres)`` from at most three parts (SRC4)."""
+    return parsing.parse_movies_split3(read_lines(spark, paths), missing_title)
 
 
-USERS_SCHEMA = "user_id INT, gender STRING, age INT, occupation INT, zip STRING"
+def read_users_lenient(spark: SparkSession, paths: Paths, need_age: bool = False) -> DataFrame:
+    """``(user_id, gender, age int, occupation, zip)`` with text ids (SRC5, SRC6 lenient)."""
+    return parsing.parse_users(read_lines(spark, paths), need_age).kept()
 
 
 def read_users_strict(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -120,12 +72,8 @@ def read_users_strict(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def read_occupations(spark: SparkSession, paths: Paths) -> DataFrame:
-    """``(occupation_id int, name)`` from ``id,name`` lines split once; lines
-    without a comma are skipped (SRC8)."""
-    text = spark.read.text(_paths(paths)).select(F.split(F.col("value"), ",", 2).alias("p"))
-    return (text.filter(F.size("p") >= 2)
-            .select(java_trim(F.col("p")[0]).cast("int").alias("occupation_id"),
-                    java_trim(F.col("p")[1]).alias("name")))
+    """``(occupation_id int, name)`` from ``id,name`` lines (SRC8)."""
+    return parsing.parse_occupations(read_lines(spark, paths)).kept()
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
