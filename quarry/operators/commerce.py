@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 from quarry.functions.casts import lenient_int
 from quarry.functions.numeric import amount_units, ratio_half_up, units_sum, units_to_double
 from quarry.functions.times import as_timestamp, year_range
+from quarry.operators.positions import By, with_tiles
 from quarry.operators.ranking import dense_rank_global
+from quarry.session import materialize
 
 # Valid review scores are 1..5.
 SCORE_MIN, SCORE_MAX = 1, 5
@@ -157,15 +159,14 @@ def seller_revenue(items: DataFrame, money_scale: int = 2) -> DataFrame:
 def seller_ranking(items: DataFrame, money_scale: int = 2) -> DataFrame:
     """``(seller_id, total_revenue, order_count, rank)``: revenue = sum of
     ``price + freight``, distinct orders, dense rank by revenue desc (J19).
-    The per-seller table is written once to the shared checkpoint folder and
-    ranked without a one-partition window."""
+    Ranked without a one-partition window, in one lazy plan."""
     # two levels, both summed as decimals that a hot order cannot overflow:
     # one row per order gives the distinct-order count and the total
     per_order = items.groupBy("seller_id", "order_id").agg(units_sum(_revenue_units(money_scale)).alias("__u"))
     stats = per_order.groupBy("seller_id").agg(
         units_to_double(units_sum("__u"), money_scale).alias("total_revenue"),
         F.count("order_id").alias("order_count"))
-    ranked = dense_rank_global(stats, "total_revenue", "rank", checkpoint_input=True)
+    ranked = dense_rank_global(stats, "total_revenue", "rank")
     return ranked.select("seller_id", "total_revenue", "order_count", "rank").orderBy("rank", "seller_id")
 
 
@@ -223,3 +224,20 @@ def segment_summary(segments: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("customers"), F.sum("order_count").alias("orders"))
             .orderBy("segment"))
 
+
+def customer_tiles(orders: DataFrame, tiles: int = 4) -> DataFrame:
+    """Per customer ``order_count``, ``avg_order_value``, ``days_between_orders`` and the
+    customer's ``ntile(tiles)`` under each: ``count_quartile`` and ``value_quartile``
+    (highest first), ``gap_quartile`` (shortest first, one order last); ties go by
+    customer (X2, relative form).
+
+    The per-customer table is written once, as three orders read it; each is
+    ranked in ranges, none in one task, and joined back on the customer."""
+    measures = ("order_count", "avg_order_value", "days_between_orders")
+    customers = materialize(customer_segments(orders).select("customer_id", *measures), "customers")
+    out = customers
+    for measure, tile, descending in zip(measures, ("count_quartile", "value_quartile", "gap_quartile"), (True, True, False)):
+        own = with_tiles(customers.select("customer_id", measure), [By(measure, descending), By("customer_id")], tiles, tile)
+        own = own.select(F.col("customer_id").alias("__id"), tile)
+        out = out.join(own, F.col("customer_id").eqNullSafe(F.col("__id")), "left").drop("__id")
+    return out

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.joins import fixed_broadcast
-from quarry.session import materialize
+from quarry.operators.positions import RANGES, dense_ranks
 
 
 def top_k_per_group(df: DataFrame, group: str | Sequence[str], order: Sequence[Column],
@@ -47,51 +47,16 @@ def argmax_with_ties(df: DataFrame, value: str) -> DataFrame:
 
 
 def dense_rank_global(df: DataFrame, value: str, rank_col: str = "rank", *,
-                      descending: bool = True, partitions: int | None = None,
-                      checkpoint_input: bool = False) -> DataFrame:
-    """``dense_rank() over (order by value [desc])`` computed in parallel.
-
-    1. Distinct values are range-partitioned on ``value`` (equal values always
-       share a partition, and partition ``i`` holds only values that rank
-       before those of partition ``i+1``).
-    2. The layout (value, partition id) is written once to the shared
-       checkpoint folder, so both following passes see the same assignment
-       even if an executor is lost.
-    3. Values are counted per partition (one row per partition), turned into
-       prefix offsets, and each value's rank is its local ``row_number`` plus
-       the offset of its partition.  ``row_number`` on distinct values is the
-       dense rank.
-    4. The rank is joined back to every row on ``value`` (AQE broadcasts the
-       ranked side when its measured size is small, else the join shuffles
-       and AQE splits a hot value).
-
-    ``checkpoint_input=True`` materialises ``df`` first — worthwhile when it
-    is a compact aggregate that would otherwise be recomputed for step 4.
-    Spark's range partitioner samples its input (one extra, cheap pass).
+                      descending: bool = True, partitions: int = RANGES) -> DataFrame:
+    """``dense_rank() over (order by value [desc])`` computed in parallel, lazily.
+
+    Distinct values are ranked by ``positions.dense_ranks`` in some ``partitions``
+    ranges; the rank is joined
+    back to every row on ``value`` (AQE broadcasts the ranked side when its measured
+    size is small, else the join shuffles and AQE splits a hot value).
 
     A null ``value`` ranks last, as with ``dense_rank`` over
     ``value DESC NULLS LAST``.
     """
-    spark = df.sparkSession
-    if checkpoint_input:
-        df = materialize(df, "rank-input")
-    if partitions is None:
-        # one range per shuffle partition; the offsets table has as many rows
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    distinct_values = df.select(value).distinct()
-    laid_out = materialize(distinct_values.repartitionByRange(partitions, order)
-                           .withColumn("__part", F.spark_partition_id()), "rank-layout")
-    counts = laid_out.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    # one row per partition: a bounded table, ordered on a single task
-    offsets = counts.select(
-        "__part",
-        F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("__offset"))
-    local = Window.partitionBy("__part").orderBy(order)
-    ranked = (laid_out.withColumn("__local", F.row_number().over(local))
-              .join(fixed_broadcast(offsets), "__part")
-              .select(F.col(value), (F.col("__local") + F.col("__offset")).cast("int").alias(rank_col)))
-    # one row per distinct value: a plain equi-join; AQE turns it into a
-    # broadcast from the measured shuffle size when the ranked side is small
-    return df.join(ranked, on=df[value].eqNullSafe(ranked[value]), how="left").drop(ranked[value])
+    ranked = dense_ranks(df, value, descending=descending, ranges=partitions).select(F.col(value).alias("__value"), F.col("rank").alias(rank_col))
+    return df.join(ranked, on=df[value].eqNullSafe(ranked["__value"]), how="left").drop("__value")

@@ -19,6 +19,7 @@ from quarry.plans import lines
 from quarry.plans.bindings import (BALANCE_BOUNDS, MIN_RATINGS_FOR_BEST, MONEY_SCALE, REVENUE_YEAR,
                                    SENTIMENT_NEGATIVE, SENTIMENT_POSITIVE, TOP_K_WORDS,
                                    WORD_FREQ_THRESHOLD, Bindings)
+from quarry.plans.orders import ORDERS, ordered
 from quarry.sinks.writers import format_line
 from quarry.sources import parsing
 from quarry.sources.profile import dataset_profile
@@ -393,3 +394,24 @@ def _movie_report_lines(b: Bindings) -> DataFrame:
     """FN14, SNK5: one formatted line per movie, means HALF_UP to two and four places."""
     stats = ratings.movie_stats(b.ratings, b.movies)
     return stats.select(format_line("%s: %.2f (%.4f, %d ratings)", "title", "avg_rating", "avg_rating", "total_ratings").alias("line"))
+
+
+# ---------------------------------------------------------------- order as a column (ORD1–ORD10), tiles
+def _register_ordered(job: str) -> None:
+    base = QUERIES[job]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return ordered(job, base(spark, sf_dir))
+    run.__name__ = f"ordered_{job}"
+    run.__doc__ = f"{ORDERS[job][0]}: {job} with the position of each row in the job's order."
+    QUERIES[run.__name__] = run
+
+
+for _job in ORDERS:
+    _register_ordered(_job)
+
+
+@register("customer_quartiles")
+def _quartiles(b: Bindings) -> DataFrame:
+    """X2 by ntile: quarter of each customer by orders, mean value and days between orders, best first."""
+    return commerce.customer_tiles(b.orders, 4)

@@ -608,3 +608,29 @@ ORACLE_SQL["movie_report_lines"] = f"""
 WITH {_MOVIE_STATS.format(default="'?'")},
   k AS (SELECT m.title, CAST(s.sm AS BIGINT) AS sm, m.total_ratings AS n FROM m JOIN s ON m.movie_id = s.movie_id)
 SELECT title || ': ' || {_fixed('sm', 'n', 2)} || ' (' || {_fixed('sm', 'n', 4)} || ', ' || n || ' ratings)' AS line FROM k"""
+
+# ------------------------------------------------------------ positions and tiles
+_AGE_ORDINAL = "CASE age_group " + " ".join(f"WHEN '{lab}' THEN {i}" for i, lab in enumerate(_AGE_DASH)) + " ELSE 99 END"
+
+# the jobs' orders, in SQL; nulls last
+_SQL_ORDERS = {
+    "movie_stats": "lower(title), movie_id", "gender_stats": "lower(title), movie_id",
+    "age_group_stats": f"lower(title), {_AGE_ORDINAL}, movie_id", "occupation_stats": "lower(occupation), occupation_id",
+    "genre_stats": "genre", "yearly_stats": "year", "word_freq_over_threshold": "freq DESC, word",
+    "review_count_by_category": "review_count DESC, category", "review_count_by_aspect": "review_count DESC, aspect",
+    "orders_by_country": "order_count DESC, country", "orders_by_year_month": "year, month DESC",
+    "top_words_by_category": "category, rank_in_category, word", "revenue_by_category": "total_revenue DESC, category",
+    "top_products": "sales_count DESC, product_id", "seller_ranking": "rank, seller_id",
+    "review_score_distribution": "score", "movie_report_lines": "line",
+}
+for _job, _order in _SQL_ORDERS.items():
+    _parts = ", ".join(f"{part} NULLS LAST" for part in _order.split(", "))
+    ORACLE_SQL[f"ordered_{_job}"] = f"SELECT *, row_number() OVER (ORDER BY {_parts}) AS position FROM ({ORACLE_SQL[_job]}) AS job"
+
+ORACLE_SQL["customer_quartiles"] = f"""
+WITH {_SEGMENTS}
+SELECT customer_id, order_count, avg_order_value, days_between_orders,
+       CAST(ntile(4) OVER (ORDER BY order_count DESC NULLS LAST, customer_id) AS INTEGER) AS count_quartile,
+       CAST(ntile(4) OVER (ORDER BY avg_order_value DESC NULLS LAST, customer_id) AS INTEGER) AS value_quartile,
+       CAST(ntile(4) OVER (ORDER BY days_between_orders NULLS LAST, customer_id) AS INTEGER) AS gap_quartile
+FROM seg"""
