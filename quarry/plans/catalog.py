@@ -7,6 +7,7 @@ job itself is a top-k.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,11 @@ from quarry.plans.bindings import (BALANCE_BOUNDS, MIN_RATINGS_FOR_BEST, MONEY_S
                                    SENTIMENT_NEGATIVE, SENTIMENT_POSITIVE, TOP_K_WORDS,
                                    WORD_FREQ_THRESHOLD, Bindings)
 from quarry.plans.orders import ORDERS, ordered
-from quarry.sinks.writers import format_line
+from quarry.session import ensure_checkpoint_dir
+from quarry.sinks.publish import publish, read_published
+from quarry.sinks.writers import format_line, preview, write_quoted_csv, write_report, write_sorted_lines, write_tsv
 from quarry.sources import parsing
+from quarry.sources.delimited import read_with_header
 from quarry.sources.profile import dataset_profile
 from quarry.sources.records import union_all
 from quarry.sources.tables import TABLES, read_footers, stored_rows
@@ -415,3 +419,69 @@ for _job in ORDERS:
 def _quartiles(b: Bindings) -> DataFrame:
     """X2 by ntile: quarter of each customer by orders, mean value and days between orders, best first."""
     return commerce.customer_tiles(b.orders, 4)
+
+
+# ---------------------------------------------------------------- sinks and files (SNK1–SNK6, SRC11–SRC13)
+def _fresh_output(b: Bindings, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{ensure_checkpoint_dir(b.spark).rstrip('/')}/quarry-published/{name}-{uuid.uuid4().hex}"
+
+
+@register("published_tsv")
+def _published_tsv(b: Bindings) -> DataFrame:
+    """SNK1, SNK6: orders per country as tab-separated files, published twice; the second
+    version, with all countries, is what a reader finds."""
+    path = _fresh_output(b, "orders-by-country")
+    counts = commerce.orders_by_country(b.orders, b.customers)
+    publish(counts.filter("order_count < 0"), path, write_tsv)
+    publish(counts, path, write_tsv)
+    schema = "country STRING, order_count LONG"
+    return read_published(b.spark, path, lambda spark, folder: spark.read.schema(schema).option("sep", "\t").option("quote", "").csv(folder))
+
+
+@register("published_quoted_csv")
+def _published_quoted_csv(b: Bindings) -> DataFrame:
+    """SNK2, SRC11, SRC13: whole review texts as fully quoted CSV with a header, quotes doubled,
+    in two outputs read back together, types inferred."""
+    texts = parsing.parse_reviews(lines.review_lines(b.table("documents"))).select("comment", "category", "aspect")
+    write = lambda df, folder: write_quoted_csv(df, folder, header=True)
+    folders = []
+    for name, rows in (("with-aspect", texts.filter("aspect is not null")), ("without-aspect", texts.filter("aspect is null"))):
+        path = _fresh_output(b, name)
+        publish(rows, path, write)
+        folders.append(read_published(b.spark, path, lambda spark, folder: read_with_header(
+            spark, folder, delimiter=",", infer_schema=False, schema="comment STRING, category STRING, aspect STRING",
+            quote_doubled=True)))
+    return union_all(folders)
+
+
+@register("inferred_header_csv")
+def _inferred_header_csv(b: Bindings) -> DataFrame:
+    """SRC11, SRC12: a ``;`` CSV with header, read back with inferred types."""
+    path = _fresh_output(b, "nations")
+    nations = b.table("nation").join(b.table("region"), F.col("n_regionkey") == F.col("r_regionkey")) \
+        .select("n_nationkey", "n_name", "r_name", (F.col("n_nationkey") / F.lit(4.0)).alias("quarter"))
+    publish(nations, path, lambda df, folder: df.write.option("header", True).option("sep", ";").csv(folder))
+    return read_published(b.spark, path, lambda spark, folder: read_with_header(spark, folder, delimiter=";"))
+
+
+@register("published_report")
+def _published_report(b: Bindings) -> DataFrame:
+    """SNK4, SNK5, ORD10: rendered lines per year, once in the job's order and once sorted as
+    text, read back as lines."""
+    stats = ratings.yearly_stats(b.ratings)
+    line = format_line("%d: %.4f in %d ratings", "year", "avg_rating", "total_ratings")
+    report, by_text = _fresh_output(b, "report"), _fresh_output(b, "sorted-lines")
+    publish(stats, report, lambda df, folder: write_report(df, "%d: %.4f in %d ratings", ["year", "avg_rating", "total_ratings"], folder))
+    publish(stats, by_text, lambda df, folder: write_sorted_lines(df, line, folder))
+    read = lambda spark, folder: spark.read.text(folder)
+    return read_published(b.spark, report, read).select(F.lit("report").alias("output"), F.col("value").alias("line")) \
+        .union(read_published(b.spark, by_text, read).select(F.lit("sorted"), "value"))
+
+
+@register("preview_of_words")
+def _preview(b: Bindings) -> DataFrame:
+    """SNK3: total rows, the first forty (by count), and how many more there are."""
+    words = reviews.word_frequency(reviews.clean_words(b.text_reviews_unlabelled, b.stopwords, keep=()))
+    total, head, more = preview(words, 40)
+    return head.select("word", "freq", F.lit(total).cast("long").alias("total_rows"), F.lit(more).cast("long").alias("not_shown"))

@@ -634,3 +634,19 @@ SELECT customer_id, order_count, avg_order_value, days_between_orders,
        CAST(ntile(4) OVER (ORDER BY avg_order_value DESC NULLS LAST, customer_id) AS INTEGER) AS value_quartile,
        CAST(ntile(4) OVER (ORDER BY days_between_orders NULLS LAST, customer_id) AS INTEGER) AS gap_quartile
 FROM seg"""
+
+# ------------------------------------------------------------ sinks and files
+ORACLE_SQL["published_tsv"] = ORACLE_SQL["orders_by_country"]
+ORACLE_SQL["published_quoted_csv"] = f"SELECT comment, category, aspect FROM ({ORACLE_SQL['review_lines']}) AS r"
+ORACLE_SQL["inferred_header_csv"] = """
+SELECT CAST(n_nationkey AS INTEGER) AS n_nationkey, n_name, r_name, n_nationkey / 4.0::DOUBLE AS quarter
+FROM nation JOIN region ON n_regionkey = r_regionkey"""
+ORACLE_SQL["published_report"] = f"""
+WITH y AS (SELECT year(l_shipdate) AS year, CAST(sum(l_quantity) AS BIGINT) AS sm, count(l_quantity) AS n FROM lineitem GROUP BY 1),
+  k AS (SELECT year || ': ' || {_fixed('sm', 'n', 4)} || ' in ' || n || ' ratings' AS line FROM y)
+SELECT 'report' AS output, line FROM k UNION ALL SELECT 'sorted', line FROM k"""
+ORACLE_SQL["preview_of_words"] = f"""
+WITH toks AS (SELECT {_TOKENS.format(col='text')} AS word FROM documents),
+  f AS (SELECT word, count(*) AS freq FROM toks WHERE {_KEEP} GROUP BY word)
+SELECT word, freq, (SELECT count(*) FROM f) AS total_rows, greatest((SELECT count(*) FROM f) - 40, 0) AS not_shown
+FROM f ORDER BY freq DESC, word LIMIT 40"""

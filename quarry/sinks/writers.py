@@ -1,7 +1,9 @@
 """Result writers (SNK1–SNK6).
 
 All writers are distributed (``DataFrameWriter``); nothing is gathered on the
-driver except the row count and the bounded preview of ``preview``.
+driver except the row count and the bounded preview of ``preview``.  ``overwrite``
+deletes the old files first; ``publish.publish`` runs a writer on a fresh folder and
+then switches readers over.
 """
 
 from __future__ import annotations

@@ -42,10 +42,13 @@ def read_word_list(spark: SparkSession, paths: Paths, distinct: bool = True) ->
 
 
 def read_with_header(spark: SparkSession, paths: Paths, delimiter: str = ";",
-                     infer_schema: bool = True, schema: str | None = None) -> DataFrame:
-    """Header CSV, UTF-8 (SRC11, SRC13 for lists of paths)."""
+                     infer_schema: bool = True, schema: str | None = None, quote_doubled: bool = False) -> DataFrame:
+    """Header CSV, UTF-8 (SRC11, SRC13 for lists of paths).  ``quote_doubled``: a quote
+    within a field is written twice, as ``write_quoted_csv`` does."""
     reader = (spark.read.option("header", True).option("delimiter", delimiter)
               .option("encoding", "UTF-8"))
+    if quote_doubled:
+        reader = reader.option("quote", '"').option("escape", '"')
     if schema is not None:
         reader = reader.schema(schema)
     else:

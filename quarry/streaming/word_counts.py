@@ -4,7 +4,7 @@ The batch jobs (J8, J11) re-expressed for documents that keep arriving as
 files: the same ``clean_words`` operator runs on each micro-batch, the
 ``(category, word)`` counts are kept in Spark's state store, and after every
 trigger the top-k per category is recomputed from the full counts and written
-to a table.  Recovery comes from the query checkpoint, which lives under the
+to a table, in place or as a new version.  Recovery comes from the query checkpoint, which lives under the
 session's shared checkpoint folder unless a location is given.
 """
 
@@ -18,14 +18,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quarry.operators.reviews import clean_words, rank_word_counts
 from quarry.session import ensure_checkpoint_dir
+from quarry.sinks.publish import publish
+from quarry.sources.tables import TABLE_SCHEMAS
 
 
 def document_stream(spark: SparkSession, directory: str, file_glob: str = "*.parquet",
                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame over Parquet document files in ``directory``.
-    The schema is taken once from the files already present."""
-    schema = spark.read.parquet(os.path.join(directory, file_glob)).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    """Streaming DataFrame over Parquet document files in ``directory``, which may
+    still be empty: the columns are those declared for documents."""
+    reader = spark.readStream.schema(TABLE_SCHEMAS["documents"]).option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(directory)
@@ -43,19 +44,26 @@ def word_counts(documents: DataFrame, stopwords: DataFrame | None) -> DataFrame:
 def start_top_words(documents: DataFrame, stopwords: DataFrame | None, output_path: str, *,
                     k: int = 5, query_name: str = "top_words_by_category",
                     checkpoint_location: str | None = None,
-                    available_now: bool = False) -> StreamingQuery:
+                    available_now: bool = False, versioned: bool = False) -> StreamingQuery:
     """Start the incremental top-k job; every trigger rewrites ``output_path``
-    (Parquet) with the current ``(category, word, freq, rank_in_category)``."""
+    (Parquet) with the current ``(category, word, freq, rank_in_category)``.
+
+    ``versioned`` publishes each as a version of its own, to be read with
+    ``sinks.read_published``: readers then see whole tables only."""
     spark = documents.sparkSession
     if checkpoint_location is None:
         checkpoint_location = os.path.join(ensure_checkpoint_dir(spark), "streams", query_name)
     counts = word_counts(documents, stopwords)
 
-    def publish(batch: DataFrame, _epoch: int) -> None:
-        rank_word_counts(batch, k).write.mode("overwrite").parquet(output_path)
+    def publish_top(batch: DataFrame, _epoch: int) -> None:
+        top = rank_word_counts(batch, k)
+        if versioned:
+            publish(top, output_path)
+        else:
+            top.write.mode("overwrite").parquet(output_path)
 
     writer = (counts.writeStream.outputMode("complete").queryName(query_name)
-              .option("checkpointLocation", checkpoint_location).foreachBatch(publish))
+              .option("checkpointLocation", checkpoint_location).foreachBatch(publish_top))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
 
