@@ -30,11 +30,13 @@ def unique_lookup(dim: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, value: str, *,
-           default: str | Column | None = None, alias: str | None = None) -> DataFrame:
+           default: str | Column | None = None, alias: str | None = None, unique: bool = False) -> DataFrame:
     """Left join ``dim[key, value]`` onto ``df`` (JN1, JN6, JN13), one row out
-    per row in (see ``unique_lookup``).
+    per row in (see ``unique_lookup``).  ``unique`` declares that ``dim`` has one
+    row per key, as a primary key has, and saves its aggregate.
     ``default`` replaces a missing value (``'?'``, the key itself, ...)."""
-    out = df.join(unique_lookup(dim, key, value), on=key, how="left")
+    side = dim.select(key, value) if unique else unique_lookup(dim, key, value)
+    out = df.join(side, on=key, how="left")
     name = alias or value
     if default is not None:
         fill = default if isinstance(default, Column) else F.lit(default)

@@ -11,7 +11,8 @@ Options cover the points where the two historical implementations differ
 (see the README): ``precision`` (``'double'`` or ``'float32'`` means),
 ``on_missing`` (unknown movie: ``'label'`` -> ``'?'``, ``'id'`` -> id text,
 ``'drop'``), ``by`` (group by ``'id'`` or ``'title'``), ``fill`` (value for
-an absent gender/age group: ``None`` or e.g. ``0.0``).
+an absent gender/age group: ``None`` or e.g. ``0.0``), ``unique_movies`` (``movies`` has
+one row per id, which saves an aggregate over it).
 
 Scale notes: ratings are always aggregated to one row per join key *before*
 they meet a dimension (movie titles, tags, occupations), so a dimension join
@@ -44,24 +45,28 @@ def _mean(total: Column, count: Column, precision: str) -> Column:
     return total.cast("double") / count
 
 
-def _title_of(stats: DataFrame, movies: DataFrame, on_missing: str) -> DataFrame:
+def _titles(movies: DataFrame, unique: bool) -> DataFrame:
+    return movies.select("movie_id", "title") if unique else unique_lookup(movies, "movie_id", "title")
+
+
+def _title_of(stats: DataFrame, movies: DataFrame, on_missing: str, unique: bool) -> DataFrame:
     if on_missing == "drop":
-        return stats.join(unique_lookup(movies, "movie_id", "title"), "movie_id", "inner")
+        return stats.join(_titles(movies, unique), "movie_id", "inner")
     default = F.lit(MISSING_LABEL) if on_missing == "label" else F.col("movie_id").cast("string")
     if on_missing not in ("label", "id"):
         raise ValueError("on_missing must be 'label', 'id' or 'drop'")
-    return lookup(stats, movies, "movie_id", "title", default=default)
+    return lookup(stats, movies, "movie_id", "title", default=default, unique=unique)
 
 
 def movie_stats(ratings: DataFrame, movies: DataFrame, *, precision: str = "double",
-                on_missing: str = "label") -> DataFrame:
+                on_missing: str = "label", unique_movies: bool = False) -> DataFrame:
     """``(movie_id, title, avg_rating, total_ratings)`` per rated movie (J1),
     ordered by ``lower(title), movie_id``."""
     stats = ratings.groupBy("movie_id").agg(F.sum("rating").alias("__sum"),
                                             F.count("rating").alias("total_ratings"))
     stats = stats.select("movie_id", _mean(F.col("__sum"), F.col("total_ratings"),
                                             precision).alias("avg_rating"), "total_ratings")
-    out = _title_of(stats, movies, on_missing)
+    out = _title_of(stats, movies, on_missing, unique_movies)
     return (out.select("movie_id", "title", "avg_rating", "total_ratings")
             .orderBy(F.lower("title"), "movie_id"))
 
@@ -114,7 +119,7 @@ def _user_side(ratings: DataFrame, users: DataFrame | None, cols: Sequence[str])
 def gender_stats(ratings: DataFrame, users: DataFrame | None, movies: DataFrame, *,
                  genders: Sequence[str] = ("M", "F"), case_insensitive: bool = False,
                  by: str = "id", fill: float | None = None, precision: str = "double",
-                 on_missing: str = "label") -> DataFrame:
+                 on_missing: str = "label", unique_movies: bool = False) -> DataFrame:
     """Wide per-movie means and counts for each gender.
 
     Columns ``movie_id, title, <g>_avg, <g>_count`` per gender in ``genders``
@@ -127,19 +132,20 @@ def gender_stats(ratings: DataFrame, users: DataFrame | None, movies: DataFrame,
     if by == "id":
         rated = rated.filter(F.col("gender").isin(*genders))
     return _wide(rated, movies, "gender", genders, by=by, fill=fill, precision=precision,
-                 on_missing=on_missing)
+                 on_missing=on_missing, unique_movies=unique_movies)
 
 
 def age_group_stats_wide(ratings: DataFrame, users: DataFrame | None, movies: DataFrame, *,
                          bounds: Sequence[float] = AGE_BOUNDS,
                          labels: Sequence[str] = AGE_LABELS_DASH, age_col: str = "age",
                          by: str = "id", fill: float | None = None,
-                         precision: str = "double", on_missing: str = "label") -> DataFrame:
+                         precision: str = "double", on_missing: str = "label",
+                         unique_movies: bool = False) -> DataFrame:
     """Wide per-movie means and counts for every age group (J4, wide form)."""
     rated = _user_side(ratings, users, [age_col]).withColumn("age_group", bucketize(age_col, bounds, labels))
     rated = rated.filter(F.col("age_group").isNotNull())
     return _wide(rated, movies, "age_group", labels, by=by, fill=fill, precision=precision,
-                 on_missing=on_missing, prefix="age_")
+                 on_missing=on_missing, prefix="age_", unique_movies=unique_movies)
 
 
 def _slug(label: str, prefix: str = "") -> str:
@@ -153,7 +159,8 @@ def _slug(label: str, prefix: str = "") -> str:
 
 
 def _wide(rated: DataFrame, movies: DataFrame, key: str, values: Sequence[str], *, by: str,
-          fill: float | None, precision: str, on_missing: str, prefix: str = "") -> DataFrame:
+          fill: float | None, precision: str, on_missing: str, prefix: str = "",
+          unique_movies: bool = False) -> DataFrame:
     aggs = []
     for v in values:
         hit = F.col(key) == F.lit(v)
@@ -161,14 +168,14 @@ def _wide(rated: DataFrame, movies: DataFrame, key: str, values: Sequence[str],
         aggs.append(F.count(F.when(hit, F.col("rating"))).alias(f"{_slug(v, prefix)}_count"))
     if by == "id":
         stats = rated.groupBy("movie_id").agg(*aggs)
-        stats = _title_of(stats, movies, on_missing)
+        stats = _title_of(stats, movies, on_missing, unique_movies)
         lead = [F.col("movie_id"), F.col("title")]
         order = [F.lower("title"), F.col("movie_id")]
     elif by == "title":
         # one row per movie before the titles are joined; titles shared by movies merge afterwards
         per_movie = rated.filter(F.col("rating").isNotNull()).groupBy("movie_id").agg(*aggs)
         totals = [F.sum(c).alias(c) for c in per_movie.columns if c != "movie_id"]
-        titles = unique_lookup(movies, "movie_id", "title").filter(F.col("title").isNotNull())
+        titles = _titles(movies, unique_movies).filter(F.col("title").isNotNull())
         stats = per_movie.join(titles, "movie_id", "inner").groupBy("title").agg(*totals)
         lead = [F.col("title")]
         order = [F.col("title")]
@@ -188,7 +195,8 @@ def _wide(rated: DataFrame, movies: DataFrame, key: str, values: Sequence[str],
 def age_group_stats_long(ratings: DataFrame, users: DataFrame | None, movies: DataFrame, *,
                          bounds: Sequence[float] = AGE_BOUNDS,
                          labels: Sequence[str] = AGE_LABELS_DASH, age_col: str = "age",
-                         precision: str = "double", on_missing: str = "label") -> DataFrame:
+                         precision: str = "double", on_missing: str = "label",
+                         unique_movies: bool = False) -> DataFrame:
     """``(movie_id, title, age_group, avg_rating, total_ratings)`` for the
     (movie, group) pairs that have ratings (J4, long form), ordered by
     ``lower(title)`` then group ordinal."""
@@ -199,7 +207,7 @@ def age_group_stats_long(ratings: DataFrame, users: DataFrame | None, movies: Da
     stats = stats.select("movie_id", "age_group",
                          _mean(F.col("__sum"), F.col("total_ratings"), precision).alias("avg_rating"),
                          "total_ratings")
-    out = _title_of(stats, movies, on_missing)
+    out = _title_of(stats, movies, on_missing, unique_movies)
     return (out.select("movie_id", "title", "age_group", "avg_rating", "total_ratings")
             .orderBy(F.lower("title"), bucket_ordinal("age_group", labels), "movie_id"))
 

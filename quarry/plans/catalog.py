@@ -49,25 +49,25 @@ def register(name: str):
 @register("movie_stats")
 def _movie_stats(b: Bindings) -> DataFrame:
     """Mean and count per movie, unknown titles as '?'."""
-    return ratings.movie_stats(b.ratings, b.movies)
+    return ratings.movie_stats(b.ratings, b.movies, unique_movies=True)
 
 
 @register("movie_stats_float32")
 def _movie_stats_f32(b: Bindings) -> DataFrame:
     """J1 (MapReduce form): float32 means, an unknown movie titled by its id."""
-    return ratings.movie_stats(b.ratings, b.movies, precision="float32", on_missing="id")
+    return ratings.movie_stats(b.ratings, b.movies, precision="float32", on_missing="id", unique_movies=True)
 
 
 @register("best_movie")
 def _best_movie(b: Bindings) -> DataFrame:
     """Best mean among movies with >= 5 ratings (count, title, id tiebreaks)."""
-    return ratings.best_movie(ratings.movie_stats(b.ratings, b.movies), MIN_RATINGS_FOR_BEST)
+    return ratings.best_movie(ratings.movie_stats(b.ratings, b.movies, unique_movies=True), MIN_RATINGS_FOR_BEST)
 
 
 @register("best_movie_by_id_text")
 def _best_movie_id(b: Bindings) -> DataFrame:
     """J1 (MapReduce rule): best float32 mean, ties to the smallest id in text order."""
-    stats = ratings.movie_stats(b.ratings, b.movies, precision="float32", on_missing="id")
+    stats = ratings.movie_stats(b.ratings, b.movies, precision="float32", on_missing="id", unique_movies=True)
     return ratings.best_movie(stats, MIN_RATINGS_FOR_BEST, rule="id_text")
 
 
@@ -86,35 +86,37 @@ def _genre_stats_f32(b: Bindings) -> DataFrame:
 @register("gender_stats")
 def _gender_stats(b: Bindings) -> DataFrame:
     """Wide male/female mean and count per movie."""
-    return ratings.gender_stats(b.ratings_with_user, None, b.movies)
+    return ratings.gender_stats(b.ratings_with_user, None, b.movies, unique_movies=True)
 
 
 @register("gender_means_by_title")
 def _gender_by_title(b: Bindings) -> DataFrame:
     """J3 (MapReduce form): per title, case-insensitive gender, 0.0 fill, float32."""
     return ratings.gender_stats(b.ratings_with_user, None, b.movies, case_insensitive=True,
-                                by="title", fill=0.0, precision="float32")
+                                by="title", fill=0.0, precision="float32", unique_movies=True)
 
 
 @register("age_group_stats")
 def _age_long(b: Bindings) -> DataFrame:
     """J4 long form: (movie, age group) mean and count."""
     return ratings.age_group_stats_long(b.ratings_with_user, None, b.movies,
-                                        bounds=BALANCE_BOUNDS, labels=AGE_LABELS_DASH)
+                                        bounds=BALANCE_BOUNDS, labels=AGE_LABELS_DASH, unique_movies=True)
 
 
 @register("age_group_stats_wide")
 def _age_wide(b: Bindings) -> DataFrame:
     """J4 wide form: four groups per movie, 0.0 for an absent group."""
     return ratings.age_group_stats_wide(b.ratings_with_user, None, b.movies,
-                                        bounds=BALANCE_BOUNDS, labels=AGE_LABELS_OVERLAP, fill=0.0)
+                                        bounds=BALANCE_BOUNDS, labels=AGE_LABELS_OVERLAP, fill=0.0,
+                                        unique_movies=True)
 
 
 @register("age_group_means_by_title")
 def _age_by_title(b: Bindings) -> DataFrame:
     """J4 (MapReduce form): per title, four groups, 0.0 fill, float32."""
     return ratings.age_group_stats_wide(b.ratings_with_user, None, b.movies, bounds=BALANCE_BOUNDS,
-                                        labels=AGE_LABELS_OVERLAP, by="title", fill=0.0, precision="float32")
+                                        labels=AGE_LABELS_OVERLAP, by="title", fill=0.0, precision="float32",
+                                        unique_movies=True)
 
 
 @register("occupation_stats")
@@ -396,7 +398,7 @@ def _orders_by_purchase_text(b: Bindings) -> DataFrame:
 @register("movie_report_lines")
 def _movie_report_lines(b: Bindings) -> DataFrame:
     """FN14, SNK5: one formatted line per movie, means HALF_UP to two and four places."""
-    stats = ratings.movie_stats(b.ratings, b.movies)
+    stats = ratings.movie_stats(b.ratings, b.movies, unique_movies=True)
     return stats.select(format_line("%s: %.2f (%.4f, %d ratings)", "title", "avg_rating", "avg_rating", "total_ratings").alias("line"))
 
 
