@@ -50,6 +50,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
+    """From now on this session's Arrow batches hold at most ``limit`` bytes, so that
+    a batch of long texts does not fill a Python worker.  A smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name).rstrip("bB")
+    if not now.isdigit() or int(now) > limit:
+        spark.conf.set(name, str(limit))
+
+
 def crc_bucket(ids: Sequence, buckets: int) -> list[int]:
     """``crc32(id as text) mod buckets``; a null id counts as the empty text."""
     return [zlib.crc32(b"" if i is None else str(int(i)).encode()) % buckets for i in ids]

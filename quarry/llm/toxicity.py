@@ -25,10 +25,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, written
+from .common import bounded_batches, crc_mod, written
 from .ppm import packed, unpacked
 
 WORDS = re.compile(r"[^\W\d_]+")
@@ -43,7 +44,7 @@ PRIOR = 0.05            # share of toxic texts that is assumed without labels
 CONFIDENCE = 0.98       # that a given label is right
 ROUNDS = 8
 CORRELATED = 0.5
-CACHE = 400_000
+CACHE = 100_000         # words, or features, that a worker holds at once
 FILTER_BITS = 1 << 26   # of the filter that toxic ids pass; past as many toxic ids more texts pass it, and the join decides
 
 
@@ -76,8 +77,9 @@ def feature_finder(table: dict[str, int]):
     return found
 
 
-def toxic_filter(toxic: DataFrame) -> Column:
-    """Whether a row's id may be one of the ids ``d`` of ``toxic``: a bitmap of their hashes."""
+def toxic_filter(toxic: DataFrame) -> tuple[Column, Broadcast]:
+    """Whether a row's id may be one of the ids ``d`` of ``toxic``: a bitmap of their
+    hashes.  Also its broadcast, to be destroyed after use."""
     place = F.pmod(F.xxhash64("d"), F.lit(FILTER_BITS))
     got = toxic.select(place.alias("h")).groupBy(F.shiftright("h", 3).alias("byte")) \
         .agg(F.bit_or(F.expr("shiftleft(1, cast(h & 7 as int))")).alias("bits")).toArrow()
@@ -89,7 +91,7 @@ def toxic_filter(toxic: DataFrame) -> Column:
     def may_be(h: pd.Series) -> pd.Series:
         h = h.to_numpy()
         return pd.Series(shared.value[h >> 3] >> (h & 7) & 1).astype(bool)
-    return may_be(place)
+    return may_be(place), shared
 
 
 def mine_features(train: DataFrame, given: DataFrame, n_pos: int, n_neg: int) -> pd.DataFrame:
@@ -113,8 +115,10 @@ def mine_features(train: DataFrame, given: DataFrame, n_pos: int, n_neg: int) ->
 
     toxic = given.where("toxic = 1").select("d")
     # a toxic text adds to few features' shares, so at most (features a text) / MIN_SHARE are frequent
-    mined = train.where(toxic_filter(toxic)).join(toxic, "d").select("text").mapInArrow(counts, "feature string, n long") \
+    may_be, bitmap = toxic_filter(toxic)
+    mined = train.where(may_be).join(toxic, "d").select("text").mapInArrow(counts, "feature string, n long") \
         .groupBy("feature").agg(F.sum("n").alias("pos")).where(F.col("pos") >= max(MIN_TOXIC, MIN_SHARE * n_pos)).toPandas()
+    bitmap.destroy()
     shared = train.sparkSession.sparkContext.broadcast({f: k for k, f in enumerate(mined["feature"])})
     n_features = len(mined)
 
@@ -137,6 +141,7 @@ def mine_features(train: DataFrame, given: DataFrame, n_pos: int, n_neg: int) ->
         got = train.where("d is not null").mapInArrow(numbers, "d long, ids binary").join(given.where("toxic = 0").select("d"), "d") \
             .select("ids").mapInArrow(tallies, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
         neg[got["k"]] = got["n"]
+    shared.destroy()
     pos = mined["pos"].to_numpy(float)
     odds = np.log((pos + 0.5) / (n_pos + 1)) - np.log((neg + 0.5) / (n_neg + 1))
     # a bound that the log-odds exceed with some certainty: rare features must be clearer
@@ -282,6 +287,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
         .where("d is not null and toxic in (0, 1)").groupBy("d").agg(F.max("toxic").alias("toxic"))
     train = docs.select(F.col(f"`{doc_id}`").cast("long").alias("d"), F.col(f"`{text}`").alias("text")) \
         .where(crc_mod(F.col("d"), buckets) != held)
+    bounded_batches(docs.sparkSession)
     # labels meet ids alone first
     given = written(given, "toxic-given")
     texts = {r.toxic: r["n"] for r in train.select("d").join(given, "d").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
