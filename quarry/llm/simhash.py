@@ -123,7 +123,8 @@ def close_pairs(prints: DataFrame, max_bits: int = 2, blocks: int = BLOCKS, pair
 
 def simhash_classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
                     max_bits: int = 2, blocks: int = BLOCKS) -> DataFrame:
-    """One row per input row: ``doc_id``, ``th`` (text hash), ``fp`` (signed long), ``component_id``.
+    """One row per input row: ``doc_id``, ``th`` (text hash), ``fp`` (signed long), ``component_id``,
+    ``root`` (a fingerprint that stands for the class).
 
     ``component_id`` is the smallest id of the rows that links of at most
     ``max_bits`` bits reach from this one, itself included.
@@ -142,8 +143,8 @@ def simhash_classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     roots = connected_components(links)
     linked = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
         .select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    classes = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    return rows.join(classes, "fp").select("doc_id", "th", "fp", "component_id")
+    classes = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id", "root")
+    return rows.join(classes, "fp").select("doc_id", "th", "fp", "component_id", "root")
 
 
 def hex_fingerprint(fp: Column) -> Column:
@@ -160,9 +161,9 @@ def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str =
     by an aggregation, over those rows alone.
     """
     classes = written(simhash_classes(docs, doc_id=doc_id, text=text, **options), "simhash-classes")
-    # classes without any id are told apart by their fingerprint's
+    # classes without any id are told apart by their root
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
-    first = F.struct(F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), "fp")).alias("class"))
+    first = F.struct(F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), "root")).alias("class"))
     counted = classes.groupBy(first.alias("class"), place.alias("place")).agg(F.count(F.lit(1)).alias("n"))
     kept = counted.groupBy("class").agg(F.min(F.struct("place", "n")).alias("m")) \
         .select(F.col("m.place.doc_id").alias("k_id"), F.col("m.place.th").alias("k_th"), F.col("m.n").alias("k_n"))
