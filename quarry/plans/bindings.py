@@ -124,6 +124,23 @@ class Bindings:
             F.col("lang").alias("category"), F.col("source").alias("aspect"),
             sentiment.alias("sentiment"))
 
+    def text_reviews_of(self, sentiment: str) -> DataFrame:
+        """Reviews of one labelled sentiment, by the ids of its labels alone.
+
+        The labels are filtered by plain comparisons before the join, so on a large
+        corpus Spark's runtime filter (a Bloom filter of the ids) drops the other
+        documents in the scan, and no text but that of the sentiment is shuffled."""
+        if sentiment == SENTIMENT_NEGATIVE:
+            wanted = F.col("toxic") == 1
+        elif sentiment == SENTIMENT_POSITIVE:
+            wanted = (F.col("quality") == 1) & F.coalesce(F.col("toxic") != 1, F.lit(True))
+        else:
+            raise ValueError(f"no label says {sentiment!r}")
+        ids = self.table("labels").filter(wanted).select("doc_id")
+        return self.documents.join(ids, "doc_id", "inner").select(
+            F.col("doc_id").alias("rid"), F.col("text").alias("comment"),
+            F.col("lang").alias("category"), F.col("source").alias("aspect"), F.lit(sentiment).alias("sentiment"))
+
     @cached_property
     def text_reviews_unlabelled(self) -> DataFrame:
         """Reviews without the label join, for jobs that never look at sentiment."""

@@ -196,15 +196,15 @@ def _top_neg(b: Bindings) -> DataFrame:
 @register("top_positive_words_by_category")
 def _top_pos_words(b: Bindings) -> DataFrame:
     """Five most frequent words of positive reviews per category."""
-    words = reviews.clean_words(b.text_reviews, b.stopwords, keep=("category", "sentiment"))
-    return reviews.top_words_by_category(words, TOP_K_WORDS, sentiment=SENTIMENT_POSITIVE)
+    words = reviews.clean_words(b.text_reviews_of(SENTIMENT_POSITIVE), b.stopwords, keep=("category",))
+    return reviews.top_words_by_category(words, TOP_K_WORDS)
 
 
 @register("top_negative_words_by_category")
 def _top_neg_words(b: Bindings) -> DataFrame:
     """Five most frequent words of negative reviews per category."""
-    words = reviews.clean_words(b.text_reviews, b.stopwords, keep=("category", "sentiment"))
-    return reviews.top_words_by_category(words, TOP_K_WORDS, sentiment=SENTIMENT_NEGATIVE)
+    words = reviews.clean_words(b.text_reviews_of(SENTIMENT_NEGATIVE), b.stopwords, keep=("category",))
+    return reviews.top_words_by_category(words, TOP_K_WORDS)
 
 
 @register("top_words_by_category")
