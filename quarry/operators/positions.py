@@ -63,7 +63,11 @@ def _key(df: DataFrame, order: Sequence[By]) -> Column:
         if by.descending:
             if not isinstance(field.dataType, _NUMERIC):
                 raise ValueError(f"a falling order needs a number, not {field.dataType.simpleString()}")
-            value = -(value.cast("decimal(38,0)") if isinstance(field.dataType, T.LongType) else value)
+            if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+                parts.append((~F.isnan(value)).alias(f"number{i}"))  # not a number is above all numbers
+            elif not isinstance(field.dataType, T.DecimalType):
+                value = value.cast("decimal(38,0)")  # the least whole number has no negative of its type
+            value = -value
         parts += [by.column.isNull().alias(f"null{i}"), value.alias(f"value{i}")]
     return F.struct(*parts)
 

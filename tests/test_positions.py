@@ -54,6 +54,15 @@ def test_tiles_equal_ntile(mixed, tiles):
     assert sorted(map(str, rows(with_tiles(mixed, order, tiles)))) == sorted(map(str, rows(want)))
 
 
+def test_extreme_numbers_fall(spark):
+    rows_ = [(v, d) for v in (-2 ** 63, 2 ** 63 - 1, 0, None) for d in (float("nan"), float("inf"), float("-inf"), -0.5, None)]
+    df = spark.createDataFrame(rows_, "v long, d double").withColumn("i", F.lit(-2 ** 31).cast("int"))
+    order = [By("i", True), By("d", True), By("v", True)]
+    got = rows(with_positions(df, order).orderBy("position"))
+    want = rows(df.withColumn("position", F.row_number().over(Window.orderBy(*sort_columns(order)))).orderBy("position"))
+    assert list(map(str, got)) == list(map(str, want))
+
+
 def test_empty_input(spark, mixed):
     none = mixed.filter("false")
     assert rows(with_positions(none, [By("v")])) == [] and rows(with_tiles(none, [By("v")], 4)) == []
