@@ -186,8 +186,9 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "d
 
     Edge cases: null and empty texts and items without words match nothing;
     items of up to four words must occur word by word; repeated rows of
-    either table match each on their own; ids may be null; without items or documents
-    the result is empty; other columns are not read.
+    either table match each on their own; ids may be null; texts of any length are
+    searched whole, some at a time; without items or documents the result is empty; other
+    columns are not read, so their names may be any.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("t"))
@@ -202,7 +203,10 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "d
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id",
                       item_text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The rows in which no benchmark item is found, all columns kept."""
+    """The rows in which no benchmark item is found, all columns kept, whatever their names.
+
+    Null and empty texts hold no item and stay; repeated rows stay or go together;
+    texts are searched whole, however long; without items, or documents, nothing goes."""
     for screen in screens(benchmark, item_id, item_text, similarity):
         docs = docs.where(F.size(_found(docs.sparkSession.sparkContext.broadcast(screen), F.col(f"`{text}`"))) == 0)
     return docs

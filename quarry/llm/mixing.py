@@ -23,7 +23,8 @@ from quarry.operators.ranking import dense_rank_global
 
 from .common import WORD, written
 
-GROUPS = 64  # source groups whose quotas the root tree splits
+GROUPS = 64          # source groups whose quotas the root tree splits, at least
+GROUP_DRAWS = 50_000  # block draws a group holds on average, at most; one source has few (blocks x passes)
 
 
 def word_count(text: Column) -> Column:
@@ -137,11 +138,13 @@ def draw_plan(sized: DataFrame, *, weights: Sequence[float], share: float, cap:
     # every block draw, and the tree that deals them to the shards
     copies = F.concat(F.when(F.col("passes") > 0, F.sequence(F.lit(0), F.col("passes") - 1)).otherwise(F.array().cast("array<int>")),
                       F.when(F.col("rest") != "none", F.array("passes")).otherwise(F.array().cast("array<int>")))
+    n_draws = planned.agg(F.sum(F.size(copies))).first()[0] or 0
+    groups = max(GROUPS, -(-n_draws // GROUP_DRAWS))
     draws = planned.select("source", "block", F.explode(copies).alias("copy")).select(
-        "*", F.pmod(F.xxhash64(F.lit("group"), "source"), F.lit(GROUPS)).cast("int").alias("grp"),
+        "*", F.pmod(F.xxhash64(F.lit("group"), "source"), F.lit(groups)).cast("int").alias("grp"),
         F.xxhash64(F.lit(seed), F.lit("draw"), "source", "block", "copy").alias("place"))
-    totals = {r.grp: r["n"] for r in draws.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).collect()}  # <= GROUPS rows
-    quotas = np.array([totals.get(g, 0) for g in range(GROUPS)], dtype=np.int64)
+    totals = {r.grp: r["n"] for r in draws.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a group
+    quotas = np.array([totals.get(g, 0) for g in range(groups)], dtype=np.int64)
     per_shard = split_tree(quotas, _shard_totals(int(quotas.sum()), shards), np.random.default_rng(seed))
 
     def deal(frame: pd.DataFrame) -> pd.DataFrame:

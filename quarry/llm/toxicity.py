@@ -350,6 +350,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id"
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, *, text: str = "text", threshold: float = 0.3, **options) -> DataFrame:
-    """The rows that score below ``threshold``, all columns kept."""
+    """The rows that score below ``threshold``, all columns kept, whatever their names.
+
+    Null and empty texts score as the prior, so they stay; repeated rows stay or go
+    together; texts are scored whole, however long; an empty table stays empty."""
     model = fit(docs, labels, text=text, **options)
     return docs.where(score_column(model, F.col(f"`{text}`")) < threshold)
