@@ -2,7 +2,13 @@
 
 Every stage is a function of (spark, docs, sf_dir).  Its result is written as
 Parquet and reread as the next stage's docs; all stages but the last return
-the columns of ``documents``.
+the columns of ``documents``, and any others that the docs have.
+
+Odd rows, in every stage: a null or empty text is a text without words (it scores as
+the prior, is alike to other such texts, holds no benchmark item, has size 0 in the
+mix and is one end token); a null id stays null and counts as the empty text where
+its digest decides; repeated rows are judged alike, and of near copies one stays;
+texts are taken whole, however long; an empty table gives an empty result.
 """
 
 from __future__ import annotations
