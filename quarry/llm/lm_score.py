@@ -14,12 +14,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_bucket, crc_mod, written
+from .common import bounded_batches, crc_bucket, crc_mod, written
 from .ppm import COMMON, MAX_ORDER, ORDER, batches, counted, gram_windows, packed, unpacked
 
 WORD_FLOOR = 1e-6  # relative count from which a word is looked up in a broadcast table of at most 1 / WORD_FLOOR words
 HELD = 1_000_000   # entries a counting task holds before it emits them
 CHUNK = 1 << 22    # symbols counted together
+SCORED = 1 << 20   # symbols scored together
 PRIME = 1_000_000_007
 BUCKET = 16_000_000  # symbols of the corpus per bucket of rare grams
 
@@ -162,20 +163,35 @@ def packs(base: int, whose: np.ndarray, grams: np.ndarray, splits: int) -> pa.Re
 
 
 def rare_sums(pairs: DataFrame, scores: DataFrame) -> DataFrame:
-    """``(row, rest)``: per row and bucket, the log probabilities of its grams in ``scores``."""
-    def run(packs: pa.Table, table: pa.Table) -> pa.Table:
+    """``(row, rest)``: per row the log probabilities of its grams in ``scores``.
+
+    Every (row, gram) is in one pack.  A bucket answers each of its packs with one
+    record: the pack's rows and their sums, no more numbers than the pack held.
+    The answers to a batch meet again in one group, of at most the batch's
+    (row, gram) pairs, and are added up there."""
+    def answer(packs: pa.Table, table: pa.Table) -> pa.Table:
         grams, lp = table["gram"].to_numpy(), table["lp"].to_numpy()
         place = np.argsort(grams)
         grams, lp = grams[place], lp[place]
-        rows, sums = [np.empty(0, np.int64)], [np.empty(0)]
-        for base, who, own, n in zip(packs["base"], packs["who"], packs["grams"], packs["times"], strict=True):
+        whose, sums = [], []
+        for who, own, n in zip(packs["who"], packs["grams"], packs["times"], strict=True):
             who = unpacked(who.as_py(), np.int32)
             at = np.searchsorted(grams, unpacked(own.as_py(), np.int64))
-            ids = np.unique(who).astype(np.int64)
-            rows.append(ids + base.as_py())
-            sums.append(np.bincount(who, lp[at] * unpacked(n.as_py(), np.int32))[ids])
-        return pa.table({"row": np.concatenate(rows), "rest": np.concatenate(sums)})
-    return pairs.groupBy("bucket").cogroup(scores.groupBy("bucket")).applyInArrow(run, "row long, rest double")
+            ids = np.unique(who)
+            whose.append(packed(ids))
+            sums.append(packed(np.bincount(who, lp[at] * unpacked(n.as_py(), np.int32))[ids]))
+        return pa.table({"base": packs["base"], "bucket": packs["bucket"], "who": pa.array(whose, pa.binary()), "sums": pa.array(sums, pa.binary())})
+
+    def add_up(answers: pa.Table) -> pa.Table:
+        # in bucket order, so that a rerun adds in the same order
+        answers = answers.sort_by("bucket")
+        whose = np.concatenate([unpacked(w.as_py(), np.int32) for w in answers["who"]])
+        total = np.bincount(whose, np.concatenate([unpacked(s.as_py(), np.float64) for s in answers["sums"]]))
+        ids = np.unique(whose).astype(np.int64)
+        return pa.table({"row": ids + answers["base"][0].as_py(), "rest": total[ids]})
+
+    answers = pairs.groupBy("bucket").cogroup(scores.groupBy("bucket")).applyInArrow(answer, "base long, bucket int, who binary, sums binary")
+    return answers.groupBy("base").applyInArrow(add_up, "row long, rest double")
 
 
 def lm_scores(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", training: Column | None = None,
@@ -205,6 +221,7 @@ def lm_scores(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tr
     if not 0 < order <= MAX_ORDER:
         raise ValueError(f"order must be 1 to {MAX_ORDER}")
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     train = rows.where(crc_mod(F.col("doc_id"), buckets) != 0).select("text")
 
@@ -214,29 +231,31 @@ def lm_scores(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tr
     tokens, distinct = seen[0] + n_docs, seen[1] + (n_docs > 0)
     scale = math.log10(tokens + 0.1 * (distinct + 1))
     least = max(1.0, word_floor * tokens)
-    often = words.where(F.col("n") >= least).toArrow()
-    common = spark.sparkContext.broadcast(dict(zip(often["word"].to_pylist(), often["n"].to_pylist(), strict=True)))
+    often = words.where(F.col("n") >= least).select("word", (F.log10(F.col("n") + 0.1) - F.lit(scale)).alias("score")).toArrow()
+    common = spark.sparkContext.broadcast(dict(zip(often["word"].to_pylist(), often["score"].to_pylist(), strict=True)))
     scores, symbols = gram_scores(rows.select("text", (crc_mod(F.col("doc_id"), buckets) != 0).alias("train")), order, floor)
     scores = written(scores, "lm-gram-scores")
     least_grams = max(1.0, gram_floor * symbols)
     top = scores.where(F.col("n") >= least_grams).select("gram", "lp").toArrow()
     shared = spark.sparkContext.broadcast((uuid.uuid4().hex, top["gram"].to_numpy(), top["lp"].to_numpy()))
-    splits = 1 + (rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0) // BUCKET
+    # bounded buckets, and as many as there are tasks to share them
+    splits = max(1 + (rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0) // BUCKET,
+                 int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, lps = _index(shared)
-        table = {w: math.log10(n + 0.1) - scale for w, n in common.value.items()}
+        table = common.value
         part_id, n = TaskContext.get().partitionId(), 0
         for part in parts:
             sizes = [len(t) for t in part["text"].cast(pa.binary()).fill_null(b"").to_pylist()]
-            for a, b in batches(sizes, CHUNK):
+            for a, b in batches(sizes, SCORED):
                 texts = [_raw(t.as_py()) for t in part["text"][a:b]]
                 ids = part["doc_id"][a:b].to_pylist()
                 grams, lengths = gram_windows(texts, order)
                 at = index.get_indexer(grams)
                 whose = np.repeat(np.arange(len(texts)), lengths)
                 known = at >= 0
-                sums = np.bincount(whose, np.where(at >= 0, lps[at], 0.0) if len(lps) else np.zeros(len(at)), len(texts))
+                sums = np.bincount(whose[known], lps[at[known]], len(texts)).astype(float)
                 base = (part_id << 40) + n
                 out: dict = {"row": [], "n_tokens": [], "known": [], "base": [], "rare": []}
                 for raw in texts:
@@ -259,7 +278,7 @@ def lm_scores(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", tr
                      "lm-scores")
     pairs = scored.where("bucket is not null").select("bucket", F.col("row").alias("base"), "who", "grams", "times")
     rarer = scores.where(F.col("n") < least_grams).select(F.pmod(F.col("gram") % PRIME, F.lit(splits)).cast("int").alias("bucket"), "gram", "lp")
-    more = rare_sums(pairs, rarer).groupBy("row").agg(F.sum("rest").alias("gram_rest"))
+    more = rare_sums(pairs, rarer).withColumnRenamed("rest", "gram_rest")
     scored = scored.where("bucket is null").drop("bucket", "who", "grams", "times")
     rare = scored.select("row", F.inline("rare").alias("word", "k")) \
         .join(words.where(F.col("n") < least), "word", "left") \
