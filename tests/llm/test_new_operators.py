@@ -309,3 +309,97 @@ def test_whitening_edges(spark):
     assert max(r.identity_error for r in line) < 1e-9
     big = whiten(spark.createDataFrame([(1, [1e15, 0.0]), (2, [-1e15, 1.0])], schema)).collect()
     assert all(r.deviation is None for r in big)
+
+
+# stages
+
+def test_near_copies_without_ids_are_one_class(spark):
+    from quarry.llm.simhash import _fingerprints, drop_near_duplicates
+    rng = random.Random(8)
+    base = [f"w{rng.randint(0, 500)}" for _ in range(1200)]
+    texts, seen = [" ".join(base)], {int(_fingerprints([" ".join(base)], 3)[0])}
+    for k in range(len(base)):  # texts within two bits of the first, with fingerprints of their own
+        other = " ".join(base[:k] + ["changed"] + base[k + 1:])
+        fp = int(_fingerprints([other], 3)[0])
+        if fp not in seen and all((fp ^ f).bit_count() <= 2 for f in seen):
+            seen.add(fp)
+            texts.append(other)
+        if len(texts) == 4:
+            break
+    assert len(texts) >= 3
+    rows = [(None, t) for t in texts] + [(None, "something else altogether, and not a copy"), (7, "one more text of its own kind")]
+    kept = drop_near_duplicates(frame(spark, rows), shingle=3, max_bits=2).collect()
+    assert len(kept) == 3 and len([r for r in kept if r.text in texts]) == 1
+
+
+def test_rare_grams_are_answered_once_a_pack(spark):
+    """The records of the rare-gram step grow with the text, not with documents times buckets."""
+    from pyspark.sql import functions as F
+    from quarry.llm import lm_score
+    rng = np.random.default_rng(4)
+    sizes = []
+    for docs in (40, 200):
+        splits = docs // 4
+        whose = np.repeat(np.arange(docs), 50)
+        grams = rng.integers(0, 1 << 40, len(whose))
+        table = __import__("pyarrow").Table.from_batches([lm_score.packs(7 << 40, whose, grams, splits)])
+        pairs = spark.createDataFrame(table.to_pandas()[["bucket", "row", "who", "grams", "times"]].astype({"bucket": int}),
+                                      "bucket int, row long, who binary, grams binary, times binary").withColumnRenamed("row", "base")
+        known = np.unique(grams)
+        scores = spark.createDataFrame([(int(g % lm_score.PRIME % splits), int(g), float(-1 - g % 7)) for g in known], "bucket int, gram long, lp double")
+        got = {r["row"] - (7 << 40): r.rest for r in lm_score.rare_sums(pairs, scores).collect()}
+        want = np.bincount(whose, -1.0 - grams % 7)
+        assert got.keys() == set(range(docs)) and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+        sizes.append(pairs.agg(F.count(F.lit(1))).first()[0])
+    assert sizes[1] <= 5 * sizes[0]
+
+
+# op2: votes that decide, linear reading
+
+def test_the_host_decides_on_parts_in_doubt(spark):
+    from quarry.llm.html_text import extract_main_text, main_text
+    prose = "a paragraph of prose that is long enough to count as a part of the article itself, and not as a list of links. " * 2
+    links = "".join(f'<a href="/{k}">more of the same kind {k}</a> ' for k in range(9))
+    body = " ".join(["Body text of the page."] * 30)
+    page = lambda part: f'<article><h1>Head</h1><p>{body}</p><div class="related">{part}</div></article>'
+    # most pages of one host have links there, most of the other prose; one page of each is unlike its host
+    rows = [(k, f"http://links.example/{k}", page(links)) for k in range(4)] + [(10, "http://links.example/x", page(prose))]
+    rows += [(20 + k, f"http://prose.example/{k}", page(f"<p>{prose}{k}</p>")) for k in range(4)]
+    rows += [(30, "http://prose.example/x", page("<p>one short line</p>")), (40, "http://alone.example/", page(f"<p>{prose}</p>"))]
+    got = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    short = f"Head\n{body}"
+    assert got[0] == short and got[10] == short
+    assert main_text(rows[4][2]) == f"{short}\n{prose.strip()}"  # the page alone would keep it
+    assert got[20] == f"{short}\n{prose}0" and got[30] == f"{short}\none short line"
+    assert main_text(rows[9][2]) == short                          # and this one drop it
+    assert got[40] == f"{short}\n{prose.strip()}"
+
+
+def test_parts_of_articles_stay():
+    from quarry.llm.html_text import main_text
+    long = "and this section says so at some length, in sentences of prose that no list of links would have, one after another. " * 2
+    page = (f'<main><p>First.</p><section class="related-work"><h2>Related work</h2><p>{long}</p></section><figure><img src="x">'
+            f'<figcaption>A caption.</figcaption></figure><section id="social-history"><p>{long}</p></section><p><label>Last.</label></p></main>'
+            '<div class="share"><a href="/f">Share</a></div><div class="comments"><p>' + long + "</p></div>")
+    assert main_text(page) == "\n".join(["First.", "Related work", long.strip(), "A caption.", long.strip(), "Last."])
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "text", "<b>" * 100_000 + "<p>x" * 2000, '<a href="x ' * 100_001 + "> t", "<a '" * 100_001 + " >t",
+                                  "<" * 200_000, "<ul><li>" * 50_000, "<span class=related>" * 100_000 + "x", '<div class="share">' * 100_000 + "text " * 50])
+def test_malformed_pages_are_read_in_linear_time(page):
+    import time
+    from quarry.llm.html_text import main_text
+    began = time.process_time()
+    main_text(page)
+    assert time.process_time() - began < 10
+
+
+def test_html_odd_input(spark):
+    from quarry.llm.html_text import extract_main_text
+    schema = "page_id long, url string, html string, host string, paths string, text string"
+    rows = [(None, None, "<p>a</p>", "h", "p", "t"), (1, "http://a.example/", None, None, None, None), (1, "http://a.example/", None, None, None, None),
+            (2, "http://a.example/", "<p>x" * 20_000, "h", "p", "t"), (3, "http://a.example/", "<<a>>", "h", "p", "t")]
+    got = sorted((str(r.page_id), r.text[:5], r.n_chars) for r in extract_main_text(spark.createDataFrame(rows, schema)).collect())
+    assert got[:2] == [("1", "", 0), ("1", "", 0)] and ("None", "a", 1) in got and len(got) == 5
+    assert ("2", "x\nx\nx", 39_999) in got
+    assert extract_main_text(spark.createDataFrame([], schema)).collect() == []
