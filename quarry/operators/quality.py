@@ -1,7 +1,7 @@
 """Data-quality report (J20: DQ1–DQ11) as one DataFrame.
 
 Every table is read once.  Its rows enter one stream as entries
-``(level, k1, k2, k3, measures)``, a level being the key that some checks group
+``(level, keys, measures)``, a level being the key that some checks group
 by: order, order line, customer, customer and country, product, seller, month,
 score.  One aggregate over all levels replaces an aggregate per check, and rows
 of different tables with the same key meet in it, without joins.  A window per
@@ -21,10 +21,11 @@ Rules: ``eq`` (actual == expected), ``ge`` (actual >= expected),
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions.casts import lenient_int
 from quarry.functions.numeric import amount_units, ratio_half_up
@@ -45,12 +46,23 @@ def _sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _entry(level: str, k1: Column | None = None, k2: Column | None = None, k3: Column | None = None,
-           **measures: Column | int) -> Column:
+# Levels by number, and the levels of one key: what is known of an order or customer meets there.
+ORDER, LINE, CUSTOMER, COUNTRY, PRODUCT, SELLER, MONTH, SCORE = range(8)
+
+
+def _key_type(*frames: tuple[DataFrame, Sequence[str]]) -> str:
+    """``long`` if all key columns are whole numbers, else text."""
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    return "long" if all(isinstance(df.schema[c].dataType, whole) for df, cols in frames for c in cols) else "string"
+
+
+def _entry(key_type: str, level: int, k1: Column | None = None, k2: Column | None = None, k3: Column | None = None,
+           name: Column | None = None, **measures: Column | int) -> Column:
     """One entry of the stream; what is not given is null."""
-    keys = [(F.lit(None) if k is None else k).cast("string").alias(n) for n, k in (("k1", k1), ("k2", k2), ("k3", k3))]
+    keys = [(F.lit(None) if k is None else k).cast(key_type).alias(n) for n, k in (("k1", k1), ("k2", k2), ("k3", k3))]
     values = [F.lit(measures[m]) if isinstance(measures.get(m), int) else measures.get(m, F.lit(None)) for m in MEASURES]
-    return F.struct(F.lit(level).alias("level"), *keys, *(v.cast("long").alias(m) for m, v in zip(MEASURES, values)))
+    text = (F.lit(None) if name is None else name).cast("string").alias("name")
+    return F.struct(F.lit(level).alias("level"), *keys, text, *(v.cast("long").alias(m) for m, v in zip(MEASURES, values)))
 
 
 def _flag(condition: Column) -> Column:
@@ -64,116 +76,118 @@ def _entries(df: DataFrame, *entries: Column) -> DataFrame:
 def _levels(orders: DataFrame, customers: DataFrame, items: DataFrame, products: DataFrame, reviews: DataFrame,
             year: int | None, money_scale: int) -> DataFrame:
     """The entries of all tables; every table is one scan."""
+    entry = partial(_entry, _key_type((orders, ("order_id", "customer_id")), (customers, ("customer_id",)), (products, ("product_id",)),
+                                      (items, ("order_id", "item_id", "product_id", "seller_id")), (reviews, ("order_id",))))
     in_year = F.lit(None) if year is None else _flag(year_range(orders, "purchase_ts", year))
     month = commerce.month_key(orders)
     from_orders = _entries(
         orders,
-        _entry("order", F.col("order_id"), orders=1, in_year=in_year),
-        _entry("customer", F.col("customer_id"), orders=1),
-        _entry("month", *month, rows=1, ids=_flag(F.col("order_id").isNotNull())))
+        entry(ORDER, F.col("order_id"), orders=1, in_year=in_year),
+        entry(CUSTOMER, F.col("customer_id"), orders=1),
+        entry(MONTH, *month, rows=1, ids=_flag(F.col("order_id").isNotNull())))
     from_customers = _entries(
         customers,
-        _entry("customer", F.col("customer_id"), copies=1, null_attr=_flag(F.col("country").isNull())),
-        _entry("country", F.col("customer_id"), F.col("country"), copies=1))
+        entry(CUSTOMER, F.col("customer_id"), copies=1, null_attr=_flag(F.col("country").isNull())),
+        entry(COUNTRY, F.col("customer_id"), name=F.col("country"), copies=1))
     units = F.lit(None) if year is None else amount_units("price", money_scale) + amount_units("freight", money_scale)
     from_items = _entries(
         items,
-        _entry("line", F.col("order_id"), F.col("item_id"), F.col("product_id"), rows=1,
+        entry(LINE, F.col("order_id"), F.col("item_id"), F.col("product_id"), rows=1,
                ids=_flag(F.col("item_id").isNotNull()), bad_price=_flag(F.col("price") < 0),
                bad_freight=_flag(F.col("freight") < 0), units=units),
-        _entry("seller", F.col("seller_id"), rows=1))
+        entry(SELLER, F.col("seller_id"), rows=1))
     from_products = _entries(
-        products, _entry("product", F.col("product_id"), copies=1, null_attr=_flag(F.col("category").isNull())))
+        products, entry(PRODUCT, F.col("product_id"), copies=1, null_attr=_flag(F.col("category").isNull())))
     # the tally of valid scores (DQ6) has a rule of its own, the distribution the job's key (DQ5)
     score = lenient_int("score")
     valid = score.between(commerce.SCORE_MIN, commerce.SCORE_MAX)
     key = commerce.score_key(reviews)
     from_reviews = _entries(
         reviews,
-        _entry("order", F.col("order_id"), rows=1, nulls=_flag(F.col("score").isNull()),
+        entry(ORDER, F.col("order_id"), rows=1, nulls=_flag(F.col("score").isNull()),
                empties=_flag(F.col("score") == F.lit("")), valid=_flag(valid), total=F.when(valid, score)),
-        _entry("score", key, valid=_flag(key.isNotNull())))
+        entry(SCORE, key, valid=_flag(key.isNotNull())))
     return reduce(DataFrame.union, (from_orders, from_customers, from_items, from_products, from_reviews))
 
 
 def _named_numbers(levels: DataFrame) -> DataFrame:
     """``(name, value)`` rows, a few dozen, from the entries."""
-    sums = [F.sum(F.col(m).cast("decimal(38,0)") if m == "units" else F.col(m)).alias(m) for m in MEASURES]
-    grouped = levels.groupBy("level", "k1", "k2", "k3").agg(*sums)
+    # a group here is one line, key or month: its sums fit a long, or fail the query
+    grouped = levels.groupBy("level", "k1", "k2", "k3", "name").agg(*[F.sum(m).alias(m) for m in MEASURES])
 
     # an order's lines see the order; a customer's countries its orders.  Null
     # keys match nothing and are spread instead of meeting in one task.
-    family = F.when(F.col("level").isin("order", "line"), F.lit("order")).when(
-        F.col("level").isin("customer", "country"), F.lit("customer")).otherwise(F.col("level"))
-    spread = F.when(F.col("k1").isNull(), F.pmod(F.hash("k2"), F.lit(1024))).otherwise(F.lit(0))
+    is_ = lambda level: F.col("level") == F.lit(level)
+    family = F.when(is_(LINE), F.lit(ORDER)).when(is_(COUNTRY), F.lit(CUSTOMER)).otherwise(F.col("level"))
+    spread = F.when(F.col("k1").isNull(), F.pmod(F.hash("k2", "k3", "name"), F.lit(1024))).otherwise(F.lit(0))
     keyed = grouped.withColumn("family", family).withColumn("spread", spread)
+    # the finer window comes first: its order serves both
+    same_line = Window.partitionBy("family", "k1", "spread", "level", "k2").orderBy("k3")
     whole = Window.partitionBy("family", "k1", "spread")
-    same_line = Window.partitionBy("family", "k1", "spread", "k2", "level")
     known = F.col("k1").isNotNull()
 
-    def of_key(measure: str, level: str) -> Column:
-        return F.when(known, F.sum(F.when(F.col("level") == level, F.col(measure))).over(whole))
+    def of_key(measure: str, level: int) -> Column:
+        return F.when(known, F.sum(F.when(is_(level), F.col(measure))).over(whole))
 
-    keyed = (keyed
-             .withColumn("key_orders", of_key("orders", "order")).withColumn("key_year", of_key("in_year", "order"))
-             .withColumn("key_valid", of_key("valid", "order")).withColumn("key_total", of_key("total", "order"))
-             .withColumn("customer_orders", of_key("orders", "customer"))
-             .withColumn("line_rows", F.sum("rows").over(same_line))
-             .withColumn("line_no", F.row_number().over(same_line.orderBy("k3"))))
+    keyed = keyed.withColumn("line_no", F.row_number().over(same_line)).withColumn("next_line", F.lead("level").over(same_line))
+    keyed = keyed.select("*", of_key("orders", ORDER).alias("key_orders"), of_key("in_year", ORDER).alias("key_year"),
+                         of_key("valid", ORDER).alias("key_valid"), of_key("total", ORDER).alias("key_total"),
+                         of_key("orders", CUSTOMER).alias("customer_orders"))
 
-    is_ = lambda level: F.col("level") == F.lit(level)
     n = lambda c: F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(0))
-    key = F.when(is_("line"), F.col("k3")).when(is_("country"), F.col("k2")).when(
-        F.col("level").isin("product", "score"), F.col("k1"))
-    kind = F.when(is_("line"), F.lit("product")).otherwise(F.col("level"))
-    second = keyed.groupBy(kind.alias("kind"), key.alias("key")).agg(
-        *[F.sum(m).alias(m) for m in MEASURES],
+    units = F.col("units").cast("decimal(38,0)")
+    key = F.when(is_(LINE), F.col("k3")).when(F.col("level").isin(PRODUCT, SCORE), F.col("k1"))
+    kind = F.when(is_(LINE), F.lit(PRODUCT)).otherwise(F.col("level"))
+    # an (order, item) that stands on more than one row: of several products, or of one
+    doubled = is_(LINE) & ((F.col("line_no") == 2) | ((F.col("line_no") == 1) & F.col("next_line").isNull() & (F.col("rows") > 1)))
+    second = keyed.groupBy(kind.alias("kind"), key.alias("key"), F.when(is_(COUNTRY), F.col("name")).alias("name")).agg(
+        *[F.sum(m).alias(m) for m in MEASURES if m != "units"],
         F.count("k1").alias("keys"),
         F.count(_flag(known & (F.col("copies") > 0))).alias("copied_keys"),
         F.count(_flag(known & (F.col("orders") > 0))).alias("ordered_keys"),
-        F.sum(_flag(is_("line") & (F.col("line_no") == 1) & (F.col("line_rows") > 1))).alias("dup_lines"),
-        F.sum(_flag(is_("order") & (F.col("orders") > 1))).alias("dup_orders"),
+        F.count(_flag(doubled)).alias("dup_lines"),
+        F.count(_flag(is_(ORDER) & (F.col("orders") > 1))).alias("dup_orders"),
         F.sum(F.when(n("key_orders") == 0, F.col("rows"))).alias("orphans"),
         F.sum(F.when(~known | (n("copies") == 0), F.col("orders"))).alias("orphan_orders"),
         F.sum(F.when(known, n("orders") * n("copies"))).alias("joined"),
         F.sum(F.when(known, n("orders") * n("null_attr"))).alias("joined_null"),
-        F.sum(F.when(is_("country"), n("customer_orders") * n("copies"))).alias("country_orders"),
-        F.sum(F.when(is_("month") & F.col("k1").isNull(), F.col("rows"))).alias("no_month"),
-        F.sum(F.col("rows") * n("key_year")).alias("year_items"),
-        F.sum(F.col("units") * n("key_year")).alias("year_units"),
+        F.sum(F.when(is_(COUNTRY), n("customer_orders") * n("copies"))).alias("country_orders"),
+        F.sum(F.when(is_(MONTH) & F.col("k1").isNull(), F.col("rows"))).alias("no_month"),
+        F.sum(F.col("rows") * F.col("key_year")).alias("year_items"),
+        F.sum(units * F.col("key_year")).alias("year_units"),
         F.sum(F.col("rows") * F.col("key_total")).alias("weighted"),
         F.sum(F.col("rows") * F.col("key_valid")).alias("weight"))
 
-    def at(kind: str, column: Column | str) -> Column:
+    def at(kind: int, column: Column | str) -> Column:
         return F.sum(F.when(F.col("kind") == kind, F.col(column) if isinstance(column, str) else column))
 
     outside = (F.col("weighted") < F.col("weight") * commerce.SCORE_MIN) | (F.col("weighted") > F.col("weight") * commerce.SCORE_MAX)
-    score = F.when(F.col("kind") == "score", F.col("key").cast("int"))
-    country = F.when(F.col("kind") == "country", F.col("country_orders"))
-    valid, total = at("order", "valid"), at("order", "total")
+    score = F.when(F.col("kind") == SCORE, F.col("key").cast("int"))
+    country = F.when(F.col("kind") == COUNTRY, F.col("country_orders"))
+    valid, total = at(ORDER, "valid"), at(ORDER, "total")
     row = second.agg(
-        at("order", "orders").alias("orders"), at("month", "rows").alias("month_rows"), at("month", "ids").alias("month_total"),
-        at("month", "no_month").alias("null_ts"), at("order", "in_year").alias("in_year"),
-        at("order", "dup_orders").alias("dup_orders"),
-        at("customer", "copies").alias("customers"), at("customer", "copied_keys").alias("customer_ids"),
-        at("customer", "ordered_keys").alias("ordering_customers"), at("customer", "orphan_orders").alias("orphan_customers"),
-        at("customer", "joined").alias("joined"), at("customer", "joined_null").alias("joined_null"),
+        at(ORDER, "orders").alias("orders"), at(MONTH, "rows").alias("month_rows"), at(MONTH, "ids").alias("month_total"),
+        at(MONTH, "no_month").alias("null_ts"), at(ORDER, "in_year").alias("in_year"),
+        at(ORDER, "dup_orders").alias("dup_orders"),
+        at(CUSTOMER, "copies").alias("customers"), at(CUSTOMER, "copied_keys").alias("customer_ids"),
+        at(CUSTOMER, "ordered_keys").alias("ordering_customers"), at(CUSTOMER, "orphan_orders").alias("orphan_customers"),
+        at(CUSTOMER, "joined").alias("joined"), at(CUSTOMER, "joined_null").alias("joined_null"),
         F.count(_flag(country > 0)).alias("countries"), F.max(country).alias("top_country_orders"),
-        at("product", "rows").alias("items"), at("product", "ids").alias("units_sold"),
-        F.max(F.when(F.col("kind") == "product", F.col("ids"))).alias("top_units_sold"),
-        at("product", "bad_price").alias("bad_price"), at("product", "bad_freight").alias("bad_freight"),
-        at("product", "dup_lines").alias("dup_lines"), at("product", "orphans").alias("orphan_items"),
-        at("seller", "keys").alias("sellers"),
-        at("product", "copies").alias("products"), at("product", "null_attr").alias("null_category"),
-        at("product", _flag(outside)).alias("means_outside"),
-        at("product", "year_items").alias("year_items"),
-        at("product", F.col("year_items") * n("copies")).alias("year_joined"),
-        at("product", F.col("year_units") * F.col("copies")).alias("year_units"),
-        at("order", "rows").alias("reviews"), at("order", "nulls").alias("null_score"),
-        at("order", "empties").alias("empty_score"), valid.alias("valid"), total.alias("total"),
+        at(PRODUCT, "rows").alias("items"), at(PRODUCT, "ids").alias("units_sold"),
+        F.max(F.when(F.col("kind") == PRODUCT, F.col("ids"))).alias("top_units_sold"),
+        at(PRODUCT, "bad_price").alias("bad_price"), at(PRODUCT, "bad_freight").alias("bad_freight"),
+        at(PRODUCT, "dup_lines").alias("dup_lines"), at(PRODUCT, "orphans").alias("orphan_items"),
+        at(SELLER, "keys").alias("sellers"),
+        at(PRODUCT, "copies").alias("products"), at(PRODUCT, "null_attr").alias("null_category"),
+        at(PRODUCT, _flag(outside)).alias("means_outside"),
+        at(PRODUCT, "year_items").alias("year_items"),
+        at(PRODUCT, F.col("year_items") * n("copies")).alias("year_joined"),
+        at(PRODUCT, F.col("year_units") * F.col("copies")).alias("year_units"),
+        at(ORDER, "rows").alias("reviews"), at(ORDER, "nulls").alias("null_score"),
+        at(ORDER, "empties").alias("empty_score"), valid.alias("valid"), total.alias("total"),
         (ratio_half_up(total, valid, 2) * 100).cast("long").alias("mean_hundredths"),
-        at("score", "valid").alias("distribution_total"), F.min(score).alias("min_score"), F.max(score).alias("max_score"),
-        at("order", "orphans").alias("orphan_reviews"))
+        at(SCORE, "valid").alias("distribution_total"), F.min(score).alias("min_score"), F.max(score).alias("max_score"),
+        at(ORDER, "orphans").alias("orphan_reviews"))
     pairs = ", ".join(f"{_sql_text(c)}, CAST({c} AS DECIMAL(38,0))" for c in row.columns)
     return row.selectExpr(f"stack({len(row.columns)}, {pairs}) AS (name, value)")
 

@@ -64,16 +64,21 @@ def _parsed(reader: str, lines: DataFrame, reasons: Sequence[tuple[str, Column]]
     reason = F.when(F.col("line").isNull(), F.lit(BLANK))
     for name, refused in reasons:
         reason = reason.when(refused, F.lit(name))
-    kept = reason.isNull()
-    # the fields of refused lines are null, so that their casts are not tried
-    return Parsed(reader, lines.select("line", reason.alias("reason"), *(F.when(kept, f).alias(n) for f, n in zip(fields, names))),
+    # the reason is worked out once; fields of refused lines are null, so that their casts are not tried
+    judged = lines.withColumn("reason", reason)
+    return Parsed(reader, judged.select("line", "reason", *(F.when(F.col("reason").isNull(), f).alias(n) for f, n in zip(fields, names))),
                   tuple(names))
 
 
 def _fields(lines: DataFrame) -> tuple[DataFrame, Column]:
-    """The lines with their trimmed, comma-separated parts."""
-    parts = F.split(java_trim(F.col("line")), LENIENT_SEPARATOR)
-    return lines.select("line", parts.alias("p")), F.col("p")
+    """The lines with their trimmed, comma-separated parts ``p``."""
+    trimmed = lines.select("line", java_trim(F.col("line")).alias("t"))
+    return trimmed.select("line", F.split("t", LENIENT_SEPARATOR).alias("p")), F.col("p")
+
+
+def _no_fields() -> Column:
+    """Blank: the only part is empty."""
+    return (F.size("p") == 1) & (F.get("p", F.lit(0)) == "")
 
 
 def _is_blank() -> Column:
@@ -86,7 +91,7 @@ def parse_ratings(lines: DataFrame) -> Parsed:
     ``ts`` is NULL when the fourth field is absent or not a number."""
     lines, p = _fields(lines)
     rating = lenient_float(F.get(p, 2))
-    return _parsed("ratings", lines, [(BLANK, _is_blank()), ("short", F.size(p) < 3), ("rating", rating.isNull())],
+    return _parsed("ratings", lines, [(BLANK, _no_fields()), ("short", F.size(p) < 3), ("rating", rating.isNull())],
                    [F.get(p, 0), F.get(p, 1), rating, F.get(p, 3).try_cast("long")], ("user_id", "movie_id", "rating", "ts"))
 
 
@@ -116,7 +121,7 @@ def parse_users(lines: DataFrame, need_age: bool = False) -> Parsed:
     integer age is refused, too (SRC6); otherwise its age is NULL."""
     lines, p = _fields(lines)
     age = F.get(p, 2).try_cast("int")
-    reasons = [(BLANK, _is_blank()), ("short", F.size(p) < (3 if need_age else 2))]
+    reasons = [(BLANK, _no_fields()), ("short", F.size(p) < (3 if need_age else 2))]
     if need_age:
         reasons.append(("age", age.isNull()))
     return _parsed("user_ages" if need_age else "users", lines, reasons,
