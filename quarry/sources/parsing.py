@@ -41,8 +41,10 @@ class Parsed:
     fields: tuple[str, ...]
 
     def kept(self) -> DataFrame:
-        """The typed rows."""
-        return self.rows.filter(F.col("reason").isNull()).select(*self.fields)
+        """The typed rows.  Refused lines are dropped by a generator, not by a filter: a
+        filter would be pushed below the parsing and repeat it for its own condition."""
+        row = F.struct(*(F.col(f) for f in self.fields))
+        return self.rows.select(F.inline(F.when(F.col("reason").isNull(), F.array(row))))
 
     def rejected(self) -> DataFrame:
         """``(reader, reason, line)`` of the refused lines, blank ones not among them."""
