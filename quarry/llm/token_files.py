@@ -27,16 +27,19 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, written
+from .common import bounded_batches, fresh_path, written
 
 MAGIC = b"QPFOR001"
 BLOCK = 1024
+TOGETHER = 256  # blocks coded at once, which bounds the memory
 LANES = 64  # values packed together into `width` words
 PERCENTILE = 90
 FILE_IDS = 2_000_000  # a file is closed after the document that reaches this
@@ -75,14 +78,23 @@ def encode_ids(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[np.ndar
     n_blocks = -(-len(ids) // BLOCK)
     if not n_blocks:
         return np.zeros(1, np.uint64), b""
-    padded = np.full(n_blocks * BLOCK, ids[-1], np.uint64)
-    padded[:len(ids)] = ids
-    blocks = padded.reshape(n_blocks, BLOCK)
+    parts: list[bytes] = []
+    for a in range(0, n_blocks, TOGETHER):
+        own = ids[a * BLOCK:(a + TOGETHER) * BLOCK]
+        padded = np.full(-(-len(own) // BLOCK) * BLOCK, own[-1], np.uint64)
+        padded[:len(own)] = own
+        parts += _encoded(padded.reshape(-1, BLOCK), percentile)
+    index = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype("<u8")
+    return index, b"".join(parts)
+
+
+def _encoded(blocks: np.ndarray, percentile: float) -> list[bytes]:
+    """Rows of BLOCK uint64 ids -> blocks of the file."""
     minimum = blocks.min(axis=1)
     offsets = blocks - minimum[:, None]
     at = min(BLOCK - 1, int(BLOCK * percentile / 100))
     widths = _bits(np.partition(offsets, at, axis=1)[:, at])
-    parts: list[bytes] = [b""] * n_blocks
+    parts: list[bytes] = [b""] * len(blocks)
     for width in np.unique(widths):
         chosen = np.flatnonzero(widths == width)
         own = offsets[chosen]
@@ -95,14 +107,18 @@ def encode_ids(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[np.ndar
             a, b = ends[k], ends[k + 1]
             parts[block] = b"".join((int(minimum[block]).to_bytes(4, "little"), bytes([width]), int(b - a).to_bytes(2, "little"),
                                      low[k].astype("<u8").tobytes(), place[a:b].tobytes(), high[a:b].tobytes()))
-    index = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype("<u8")
-    return index, b"".join(parts)
+    return parts
 
 
 def decode_blocks(index: np.ndarray, data: memoryview, first: int = 0, last: int | None = None) -> np.ndarray:
     """Blocks ``first`` to ``last`` (exclusive) -> uint32 ids, padding included."""
     last = len(index) - 1 if last is None else last
-    out = np.zeros((max(0, last - first), BLOCK), np.uint64)
+    made = [_decoded(index, data, a, min(last, a + TOGETHER)) for a in range(first, last, TOGETHER)]
+    return np.concatenate(made) if made else np.zeros(0, np.uint32)
+
+
+def _decoded(index: np.ndarray, data: memoryview, first: int, last: int) -> np.ndarray:
+    out = np.zeros((last - first, BLOCK), np.uint64)
     by_width: dict[int, list[tuple[int, np.ndarray]]] = {}
     patches = []
     minimum = np.zeros(len(out), np.uint64)
@@ -152,68 +168,79 @@ _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:
 _PROBE = "A b,\tCD.\nthe\rThe \u00c9t\u00e9!? 1 don't ...  x"
 
 
-class WordIds(dict):
-    """Piece of a text between white space, as UTF-8 -> its ids as bytes.
+class WordIds:
+    """Ids of texts from those of their pieces between white space, a group of texts at a time.
 
     Holds for tokenizers that drop white space, lower case and never put a
     letter and punctuation into one token, which ``fits`` tries: a text's ids
     are those of its pieces in a row, and a plain word's are what the model
     alone makes of its bytes, in lower case; other pieces take the whole tokenizer.
-    Two generations of ``limit`` pieces each bound the memory: a full young
-    one becomes the old one.
+    Pieces are kept between groups as Arrow and numpy columns, which take some 30 bytes
+    a piece; past ``limit`` pieces, only those of the group at hand stay.
     """
 
-    def __init__(self, tokenizer, limit: int = 400_000):
+    def __init__(self, tokenizer, limit: int = 500_000):
         from tokenizers.pre_tokenizers import ByteLevel
-        super().__init__({b"": b""})
-        self.tokenizer, self.limit, self.old = tokenizer, limit, {}
+        self.tokenizer, self.limit = tokenizer, limit
         self.model = tokenizer.model
         # the model's letters for UTF-8 bytes, as the library maps them
         spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.letters = {c: spell(chr(c))[0][0] for c in range(0xDF, 0x100)}
+        self.pieces, self.lengths, self.ids = pa.array([], pa.large_binary()), np.zeros(0, np.int32), np.zeros(0, np.uint32)
 
     def fits(self) -> bool:
         """Whether this tokenizer's ids of a probe are those of its pieces."""
-        pieces = _pieces(_PROBE.encode())
-        self.learn(set(pieces))
-        return b"".join(map(self.__getitem__, pieces)) == _id_bytes(self.tokenizer.encode(_PROBE, add_special_tokens=False).ids)
-
-    def _word(self, word: str) -> bytes:
-        return _id_bytes([t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.letters))])
-
-    def learn(self, pieces: set[bytes]) -> None:
-        """Make sure that all of these are young."""
-        pieces = pieces.difference(self)
-        if len(self) + len(pieces) > self.limit:
-            self.old = dict(self)
-            self.clear()
-            self[b""] = b""
-            pieces = pieces.union([b""])
-        known = pieces.intersection(self.old)
-        for p in known:
-            self[p] = self.old[p]
-        split, odd, words = [], [], {}
-        for p in pieces.difference(known):
-            match = _PLAIN.fullmatch(p.decode())
-            if match:
-                word, tail = match[1].lower(), match[2].encode()
-                split.append((p, word, tail))
-                words[word] = b""
-                odd.append(tail)
-            else:
-                odd.append(p)
-        new = list(set(odd).difference(self))
-        for p, got in zip(new, self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False), strict=True):
-            self[p] = _id_bytes(got.ids)
-        for word in words:
-            key = word.encode()
-            words[word] = self.get(key) or self.old.get(key) or self._word(word)
-        for p, word, tail in split:
-            self[p] = words[word] + self[tail]
-
-    def __missing__(self, piece: bytes) -> bytes:  # dropped while its own batch was learnt
-        self[piece] = got = self.old.get(piece) or _id_bytes(self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids)
-        return got
+        return next(self.encode([_PROBE.encode()])).tolist() == self.tokenizer.encode(_PROBE, add_special_tokens=False).ids
+
+    def _word(self, word: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.letters))]
+
+    def learn(self, pieces: pa.Array) -> None:
+        """Add these distinct pieces, none of which is known."""
+        ids: list[list[int]] = []
+        odd: dict[str, list[int]] = {}   # punctuation and pieces that are not plain
+        later: list[tuple[int, str]] = []
+        for k, p in enumerate(pieces.cast(pa.large_string()).to_pylist()):
+            if p.isascii() and p.isalpha():
+                ids.append(self._word(p.lower()))
+                continue
+            match = _PLAIN.fullmatch(p)
+            ids.append(self._word(match[1].lower()) if match else [])
+            rest = match[2] if match else p
+            if rest:
+                odd[rest] = []
+                later.append((k, rest))
+        for p, got in zip(odd, self.tokenizer.encode_batch_fast(list(odd), add_special_tokens=False), strict=True):
+            odd[p] = got.ids
+        for k, rest in later:
+            ids[k] += odd[rest]
+        self.pieces = pa.concat_arrays([self.pieces, pieces])
+        self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, ids), np.int32, len(ids))])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.uint32)])
+
+    def _rows(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces at these places in a row, and where each piece's end there."""
+        n = self.lengths[rows]
+        ends = np.cumsum(n, dtype=np.int64)
+        first = (np.cumsum(self.lengths, dtype=np.int64) - self.lengths)[rows]
+        place = np.repeat(first - ends + n, n)
+        place += np.arange(len(place))
+        return self.ids[place], ends
+
+    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """Each text's ids."""
+        split = pc.split_pattern(pa.array(list(map(_spaced, texts)), pa.large_binary()), " ")
+        coded = split.values.dictionary_encode()
+        distinct = coded.dictionary
+        known = pc.index_in(distinct, value_set=self.pieces)
+        rows, new = known.fill_null(-1).to_numpy().copy(), distinct.filter(known.is_null())
+        rows[rows < 0] = np.arange(len(self.pieces), len(self.pieces) + len(new))
+        self.learn(new)
+        ids, ends = self._rows(rows[coded.indices.to_numpy()])
+        if len(self.pieces) > self.limit:
+            self.pieces, self.lengths, self.ids = distinct, self.lengths[rows], self._rows(rows)[0]
+        ends = np.concatenate([[0], ends])[split.offsets.to_numpy()]
+        return (ids[a:b] for a, b in pairwise(ends))
 
 
 def _id_bytes(ids: list[int]) -> bytes:
@@ -238,9 +265,9 @@ _BREAKS_LOWER = bytes.maketrans(b"\t\n\rABCDEFGHIJKLMNOPQRSTUVWXYZ", b"   abcdef
 GROUP_BYTES = 2_000_000  # bytes of text tokenised together
 
 
-def _pieces(text: bytes) -> list[bytes]:
+def _spaced(text: bytes) -> bytes:
     # special tokens are case-sensitive, so texts that may hold one keep their capitals
-    return text.translate(_BREAKS if b"<|" in text else _BREAKS_LOWER).split(b" ")
+    return text.translate(_BREAKS if b"<|" in text else _BREAKS_LOWER)
 
 
 def encode_texts(texts: Iterable[str | None], path: str, end_id: int) -> Iterator[bytes]:
@@ -251,9 +278,7 @@ def encode_texts(texts: Iterable[str | None], path: str, end_id: int) -> Iterato
         if cache is None:
             yield from (_id_bytes(got.ids) + end for got in tokenizer.encode_batch_fast([t.decode() for t in group], add_special_tokens=False))
             return
-        pieces = [_pieces(t) for t in group]
-        cache.learn(set().union(*pieces))
-        yield from (b"".join(map(cache.__getitem__, p)) + end for p in pieces)
+        yield from (ids.astype("<u4", copy=False).tobytes() + end for ids in cache.encode(group))
 
     group: list[bytes] = []
     size = 0
@@ -290,6 +315,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, *, doc_id
     unless their texts are equal too.  A null id comes first; a null text is
     an empty one and yields the end id alone; an empty table writes no file.
     """
+    bounded_batches(docs.sparkSession)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("d"), F.col(f"`{text}`").alias("t"))
     rows = rows.withColumn("h", F.xxhash64("t")).withColumn("r", F.rand(7))
@@ -321,6 +347,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, *, doc_id
                     yield flush()
         if held:
             yield flush()
+        pa.default_memory_pool().release_unused()  # Spark keeps the worker, which else keeps this memory
 
     files = written(placed.mapInArrow(write, "part int, seq int, name string, n_docs long, n_ids long"), "token-manifest")
     # prefix sums over parts (one row a task), then over the files of a part
@@ -350,6 +377,7 @@ def read_token_files(manifest: DataFrame, path: str, per_doc: Callable[[np.ndarr
                 yield pa.RecordBatch.from_pydict({
                     "name": [name.as_py()] * len(ends), "doc_id": pa.array(doc_ids, pa.int64()), "at": ends - lengths,
                     "n_tokens": lengths.astype(np.int64), **dict(zip(names, map(pa.array, made), strict=True))})
+        pa.default_memory_pool().release_unused()
 
     docs = named.mapInArrow(decode, f"name string, doc_id long, at long, n_tokens long, {fields}")
     return docs.join(manifest.select("name", F.col("start").alias("base")), "name") \

@@ -337,6 +337,33 @@ def test_ids_of_pieces_are_those_of_whole_texts():
         assert np.frombuffer(got, "<u4").tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], text
 
 
+def test_kept_pieces_take_few_bytes_and_dropped_ones_change_nothing(monkeypatch):
+    import tracemalloc
+
+    import public_tokenizers
+    import pyarrow as pa
+    from quarry.llm import token_files
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, rng = Tokenizer.from_file(path), np.random.default_rng(3)
+    words = ["".join(w) for w in rng.choice(list("abcdefghijkl"), (80_000, 9))]
+    texts = [" ".join(words[k:k + 1000]) for k in range(0, len(words), 1000)]
+    monkeypatch.setattr(token_files, "_loaded", {})
+    monkeypatch.setattr(token_files, "GROUP_BYTES", 50_000)
+    cache = token_files._load(path)[1]
+    tracemalloc.start()
+    before = pa.total_allocated_bytes()
+    for _ in token_files.encode_texts(texts, path, 2):
+        pass
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert held < 64 * len(words), held
+    cache.limit = 3_000  # what is known is dropped again and again
+    texts = [f"{t} The, the {words[0]}! l'\u00e9t\u00e9 {t[:5]}" for t in texts[::-8]]
+    for text, got in zip(texts, token_files.encode_texts(texts, path, 2), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+
+
 def test_ids_of_a_tokenizer_that_keeps_spaces():
     import public_tokenizers
     from quarry.llm.token_files import encode_texts
