@@ -337,6 +337,19 @@ def test_ids_of_pieces_are_those_of_whole_texts():
         assert np.frombuffer(got, "<u4").tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], text
 
 
+def test_token_files_bound_their_batches(spark, docs):
+    import public_tokenizers
+    from quarry.llm.token_files import token_digest
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(64 << 20))
+    try:
+        token_digest(docs, public_tokenizers.path("word_bpe_49k.json"))
+        assert int(spark.conf.get(name)) <= 4 << 20
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_kept_pieces_take_few_bytes_and_dropped_ones_change_nothing(monkeypatch):
     import tracemalloc
 
