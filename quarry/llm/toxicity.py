@@ -18,19 +18,22 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, crc_mod, written
-from .ppm import packed, unpacked
+from .ppm import batches, packed, unpacked
 
 WORDS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5)
@@ -44,7 +47,8 @@ PRIOR = 0.05            # share of toxic texts that is assumed without labels
 CONFIDENCE = 0.98       # that a given label is right
 ROUNDS = 8
 CORRELATED = 0.5
-CACHE = 100_000         # words, or features, that a worker holds at once
+CACHE = 100_000         # features that a worker holds at once
+PIECE = 1 << 20         # characters of the texts whose words are looked up at once, and the rest of the last text
 FILTER_BITS = 1 << 26   # of the filter that toxic ids pass; past as many toxic ids more texts pass it, and the join decides
 
 
@@ -58,22 +62,56 @@ def text_features(text: str | None) -> set[str]:
     return {f for w in words for f in word_features(w)}
 
 
+@lru_cache(1)
+def letters() -> np.ndarray:
+    """Of every code point, whether it belongs to words."""
+    own = np.zeros(sys.maxunicode + 1, bool)
+    for run in WORDS.finditer("".join(map(chr, range(len(own))))):
+        own[run.start():run.end()] = True
+    return own
+
+
 def feature_finder(table: dict[str, int]):
-    """A function from a text to the set of its features' numbers in ``table``."""
-    known: dict[str, tuple[int, ...]] = {}
-
-    def found(text: str | None) -> set[int]:
-        ids: set[int] = set()
-        for word in set(WORDS.findall((text or "").lower())):
-            own = known.get(word)
-            if own is None:
-                own = tuple(table[f] for f in word_features(word) if f in table)
-                if len(known) >= CACHE:
-                    known.clear()
-                known[word] = own
-            if own:
-                ids.update(own)
-        return ids
+    """A function from texts to the numbers in ``table`` of each one's features, as a sorted array a text.
+
+    The words of many texts are looked up at once: most distinct words are rare, so that a
+    memory of words met before would miss, and words that have no feature cost no Python step."""
+    n, lookups = max(1, len(table)), []
+    for width in (0, *PREFIXES):  # whole words, then beginnings
+        own = [f for f in table if (len(f) - 1 if f.endswith("*") else 0) == width]
+        if own:
+            coded = pa.array([f[:width or None].encode("utf-32-le") for f in own], pa.large_binary())
+            lookups.append((width, coded, np.array([table[f] for f in own], np.int64)))
+
+    def looked_up(words: np.ndarray, ends: np.ndarray, coded: pa.Array) -> np.ndarray:
+        """Places in ``coded``, or -1, of the words that end there among all their code points."""
+        ends = np.concatenate([[0], 4 * ends]).astype(np.int64)
+        words = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(words))])
+        return pc.index_in(words, value_set=coded).fill_null(-1).to_numpy()
+
+    def piece(texts: list[str]) -> list[np.ndarray]:
+        points = np.frombuffer(f" {' '.join(texts)} ".encode("utf-32-le"), "<u4")
+        inside = letters()[points]
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        starts, sizes = edges[::2], edges[1::2] - edges[::2]
+        row = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, side="right")
+        keys = []
+        for width, coded, numbers in lookups:
+            if width:
+                some = np.flatnonzero(sizes >= width)
+                at = looked_up(points[starts[some][:, None] + np.arange(width)], np.arange(1, len(some) + 1) * width, coded)
+            else:
+                some = np.arange(len(starts))
+                at = looked_up(points[inside], np.cumsum(sizes), coded)
+            hit = at >= 0
+            keys.append(row[some[hit]] * n + numbers[at[hit]])
+        keys = np.sort(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
+        keys = keys[np.diff(keys, prepend=-1) > 0]
+        return np.split(keys % n, np.searchsorted(keys, np.arange(1, len(texts)) * n))
+
+    def found(texts: Sequence[str | None]) -> list[np.ndarray]:
+        lowered = [(t or "").lower() for t in texts]
+        return [own for a, b in batches([len(t) + 1 for t in lowered], PIECE) for own in piece(lowered[a:b])]
     return found
 
 
@@ -125,7 +163,7 @@ def mine_features(train: DataFrame, given: DataFrame, n_pos: int, n_neg: int) ->
     def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = feature_finder(shared.value)
         for batch in batches:
-            ids = [packed(np.array(sorted(found(t.as_py())), np.int32)) for t in batch["text"]]
+            ids = [packed(own.astype(np.int32)) for own in found(batch["text"].to_pylist())]
             yield pa.RecordBatch.from_pydict({"d": batch["d"], "ids": pa.array(ids, pa.binary())})
 
     def tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,9 +203,8 @@ class ToxicityModel:
     def score(self, texts: list[str | None]) -> np.ndarray:
         found = feature_finder(self.feature_ids())
         out = np.empty(len(texts))
-        for k, text in enumerate(texts):
-            ids = found(text)
-            z = self.bias + self.weights[list(ids)].sum() if ids else self.bias
+        for k, ids in enumerate(found(texts)):
+            z = self.bias + self.weights[ids].sum() if len(ids) else self.bias
             out[k] = 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
         return out
 
@@ -305,7 +342,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         find = feature_finder(table)
         for texts in batches:
-            yield pd.Series([sorted(find(t)) for t in texts])
+            yield pd.Series([own.astype(np.int32) for own in find(texts.tolist())], dtype=object)
     ids = F.pandas_udf(found, "array<int>")
     rows = written(train.withColumn("ids", ids("text")).select("d", "ids", F.xxhash64("d", "ids").alias("h"))
                    .join(given, "d", "left"), "toxic-features")

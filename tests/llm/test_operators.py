@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import sys
 import zlib
 
 import numpy as np
@@ -234,6 +235,39 @@ def test_toxicity_counts_all_labelled_texts(spark, monkeypatch):
     assert dict(zip(mined["feature"], zip(mined["pos"], mined["neg"], strict=True), strict=True))["smorf"] == (n_pos, 0)
 
 
+def test_toxicity_finds_features_of_many_texts_at_once(monkeypatch):
+    from quarry.llm import toxicity
+    texts = ["\u0391\u03a3'\u0391 \u039f\u0394\u039f\u03a3 \u03a3", "\u0130stanbul \u212aelvin \u1e9e", "a1b2 c_d \u00b2\u00bd \u2167 x\u0663y \u4e94\u767e", None, "",
+             "\u00e9t\u00e9 na\u00efve-\u00c9COLE \U0001f600ab\U0001d49ccde", "\x85abcd\xa0efgh\u200bab", "smorf Smorfed smor smorf"]
+    every = sorted(set().union(*map(toxicity.text_features, texts)))
+    table = {f: k for k, f in enumerate(f for k, f in enumerate(every) if k % 3)}
+    for piece in (1 << 20, 10):
+        monkeypatch.setattr(toxicity, "PIECE", piece)
+        got = toxicity.feature_finder(table)(texts)
+        assert [own.tolist() for own in got] == [sorted(table[f] for f in toxicity.text_features(t) if f in table) for t in texts]
+    assert [own.tolist() for own in toxicity.feature_finder({})(["a", None])] == [[], []] and toxicity.feature_finder(table)([]) == []
+
+
+def test_toxicity_scores_rare_words_without_a_step_a_word():
+    from quarry.llm.toxicity import ToxicityModel
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [a + b + c + "ling" for a in letters for b in letters for c in letters]
+    model = ToxicityModel(["smorf", "smor*"], np.array([2.0, 1.0]), -3.0, [], np.zeros((0, 2)), np.zeros(0, int), 0.1)
+    model.score(["warm"])
+    steps = 0
+
+    def count(frame, event, arg):
+        nonlocal steps
+        steps += event in ("call", "c_call")
+    sys.setprofile(count)
+    try:
+        got = model.score([" ".join(words), " ".join(words[:100]) + " smorf", None])
+    finally:
+        sys.setprofile(None)
+    assert got.tolist() == pytest.approx([1 / (1 + np.exp(3)), 0.5, 1 / (1 + np.exp(3))])
+    assert steps < len(words) / 10  # a call a word and more, when every word was worked out in Python
+
+
 # op5
 
 def test_url_rules(spark):
