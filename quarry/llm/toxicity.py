@@ -48,7 +48,7 @@ CONFIDENCE = 0.98       # that a given label is right
 ROUNDS = 8
 CORRELATED = 0.5
 CACHE = 100_000         # features that a worker holds at once
-PIECE = 1 << 20         # characters of the texts whose words are looked up at once, and the rest of the last text
+PIECE = 1 << 18         # characters of the texts whose words are looked up at once, and the rest of the last text
 FILTER_BITS = 1 << 26   # of the filter that toxic ids pass; past as many toxic ids more texts pass it, and the join decides
 
 
@@ -66,7 +66,7 @@ def text_features(text: str | None) -> set[str]:
 def letters() -> np.ndarray:
     """Of every code point, whether it belongs to words."""
     own = np.zeros(sys.maxunicode + 1, bool)
-    for run in WORDS.finditer("".join(map(chr, range(len(own))))):
+    for run in WORDS.finditer(np.arange(len(own), dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")):
         own[run.start():run.end()] = True
     return own
 
@@ -89,7 +89,8 @@ def feature_finder(table: dict[str, int]):
         words = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(words))])
         return pc.index_in(words, value_set=coded).fill_null(-1).to_numpy()
 
-    def piece(texts: list[str]) -> list[np.ndarray]:
+    def piece(texts: Sequence[str | None]) -> list[np.ndarray]:
+        texts = [(t or "").lower() for t in texts]
         points = np.frombuffer(f" {' '.join(texts)} ".encode("utf-32-le"), "<u4")
         inside = letters()[points]
         edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
@@ -110,8 +111,7 @@ def feature_finder(table: dict[str, int]):
         return np.split(keys % n, np.searchsorted(keys, np.arange(1, len(texts)) * n))
 
     def found(texts: Sequence[str | None]) -> list[np.ndarray]:
-        lowered = [(t or "").lower() for t in texts]
-        return [own for a, b in batches([len(t) + 1 for t in lowered], PIECE) for own in piece(lowered[a:b])]
+        return [own for a, b in batches([len(t or "") + 1 for t in texts], PIECE) for own in piece(texts[a:b])]
     return found
 
 
@@ -165,6 +165,7 @@ def mine_features(train: DataFrame, given: DataFrame, n_pos: int, n_neg: int) ->
         for batch in batches:
             ids = [packed(own.astype(np.int32)) for own in found(batch["text"].to_pylist())]
             yield pa.RecordBatch.from_pydict({"d": batch["d"], "ids": pa.array(ids, pa.binary())})
+        pa.default_memory_pool().release_unused()  # Spark keeps the worker, which else keeps this memory
 
     def tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(n_features, np.int64)
@@ -343,6 +344,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
         find = feature_finder(table)
         for texts in batches:
             yield pd.Series([own.astype(np.int32) for own in find(texts.tolist())], dtype=object)
+        pa.default_memory_pool().release_unused()
     ids = F.pandas_udf(found, "array<int>")
     rows = written(train.withColumn("ids", ids("text")).select("d", "ids", F.xxhash64("d", "ids").alias("h"))
                    .join(given, "d", "left"), "toxic-features")
@@ -367,6 +369,7 @@ def score_column(model: ToxicityModel, text: Column) -> Column:
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series(model.score(texts.tolist()))
+        pa.default_memory_pool().release_unused()
     return of(text)
 
 
