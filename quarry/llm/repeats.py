@@ -6,7 +6,8 @@ the string itself determines (its minimiser), so equal strings meet.  The
 strings that one occurrence of a minimiser stands for are a run of starts and
 are one piece.  Pieces that occur again whole (by hash) are repeated as they
 stand; only hashes travel for that.  The minimisers that occur in different
-pieces are what is left to compare: their texts are fetched and cut into
+pieces are what is left to compare: their texts are fetched.  Strings whose
+hash occurs once among them are repeated nowhere; the others are cut into
 shards, each shard's suffixes are sorted, and the shards' transforms are merged
 by interleave refinement, whose blocks are the repeated intervals.  No suffix
 is sorted again.
@@ -30,13 +31,14 @@ SIZE = 100
 GRAM = 32                # bytes of a minimiser
 STREAM = 1 << 20         # bytes handled together; positions fit the low bits of a key
 SHARD_BYTES = 1 << 15    # of a transform
-MERGE_BYTES = 1 << 18    # of the pieces merged together, at least
+SIFT_BYTES = 1 << 20     # of the pieces whose strings are hashed together, at least
+MERGE_BYTES = 1 << 18    # of what is merged together, at least
 MULTIPLIER = 0x9E3779B97F4A7C15
 _LOW = STREAM - 1
 
 
-def _gram_keys(stream: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every gram (a power of two bytes), and sort keys: its high bits, then the position, later first."""
+def _gram_hashes(stream: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of every gram (a power of two bytes)."""
     h, done = stream.astype(np.uint64) + np.uint64(1), 1
     while done < gram:
         h = h[:len(h) - done] * np.uint64(pow(MULTIPLIER, done, 1 << 64)) + h[done:]
@@ -44,6 +46,12 @@ def _gram_keys(stream: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
+    return h
+
+
+def _gram_keys(stream: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every gram, and sort keys: its high bits, then the position, later first."""
+    h = _gram_hashes(stream, gram)
     return h, (h & ~np.uint64(_LOW)) | (np.uint64(_LOW) - np.arange(len(h), dtype=np.uint64))
 
 
@@ -70,30 +78,22 @@ def window_runs(lengths: np.ndarray, stream: np.ndarray, size: int = SIZE, gram:
     return of[first], starts[first], starts[last], h[own[first]], own[first]
 
 
-HOT = 20_000             # different pieces of one minimiser that are merged; with more, each string goes by its own hash
+HOT = 20_000             # different pieces of one minimiser that are compared; with more, they go part by part
+PART = 12                # strings of such a part, at most; parts go by the bytes that all strings of their place around the minimiser have
 PIECE = "h long, doc_id long, th long, at long, off int, n int, ph long"
 FOUND = "doc_id long, th long, a long, b long, h long, off int, hot boolean"
 TEXT_PIECE = "h long, doc_id long, th long, at long, off int, n int, piece binary"
-RANGE = "doc_id long, th long, a long, b long"
+COMPARED = "doc_id long, th long, a long, b long, h long, piece binary"
 
 
-def _batch(rows: list, schema: str) -> pa.RecordBatch:
+def _named_batch(columns: list, schema: str) -> pa.RecordBatch:
     types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
     fields = [f.split() for f in schema.split(", ")]
-    columns = list(zip(*rows, strict=True)) if rows else [()] * len(fields)
-    return pa.RecordBatch.from_arrays([pa.array(c, types[t]) for c, (_, t) in zip(columns, fields, strict=True)], names=[f for f, _ in fields])
-
-
-def _order(row: list) -> tuple:
-    """Place of a row of PIECE or TEXT_PIECE."""
-    return (row[1] is None, row[1] or 0, row[2], row[3])
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, types[t]) for c, (_, t) in zip(columns, fields, strict=True)],
+                                      names=[f for f, _ in fields])
 
 
-def _digest(piece: bytes) -> int:
-    return int.from_bytes(xxhash.xxh64_digest(piece), "little", signed=True)
-
-
-def _digests(data: bytes, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+def _digests(data: bytes | np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
     view, digest = memoryview(data), xxhash.xxh64_intdigest
     return np.array([digest(view[a:b]) for a, b in zip(first.tolist(), end.tolist(), strict=True)], np.uint64).view(np.int64)
 
@@ -142,83 +142,150 @@ def _pieces(size: int):
     return run
 
 
-def _known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _known(most: int):
     """Rows of PIECE, sorted by minimiser, piece and place -> ranges repeated whole
     (``h`` null), and the first places of the pieces of minimisers that have several.
 
     Whole batches are compared row by row with the row before.  What is carried
-    over is the first rows of the pieces of the last minimiser, at most ``HOT``."""
-    held: pa.RecordBatch | None = None   # first rows of the last minimiser's pieces
-    before: pa.RecordBatch | None = None  # the last row
-    hot_h = None
-
-    def ranges(rows: pa.RecordBatch, asked: bool, hot: bool = False) -> pa.RecordBatch:
-        n = rows.num_rows
-        return pa.RecordBatch.from_arrays([rows["doc_id"], rows["th"], rows["at"], pc.add(rows["at"], rows["n"].cast(pa.int64())),
-                                           rows["h"] if asked else pa.nulls(n, pa.int64()), rows["off"] if asked else pa.nulls(n, pa.int32()),
-                                           pa.array(np.full(n, hot)) if asked else pa.nulls(n, pa.bool_())],
-                                          names=[f.split()[0] for f in FOUND.split(", ")])
-
-    for batch in batches:
-        yield ranges(batch.filter(batch["ph"].is_null()), False)
-        batch = batch.filter(batch["ph"].is_valid())
-        if not batch.num_rows:
-            continue
-        seen = pa.concat_batches([before, batch]) if before is not None else batch
-        same = [np.concatenate([[False], _equal(seen[c])])[-batch.num_rows:] for c in ("h", "off", "ph", "doc_id", "th", "at")]
-        piece = same[0] & same[1] & same[2]
-        yield ranges(batch.filter(pa.array(piece & ~(same[3] & same[4] & same[5]))), False)
-        before = batch.slice(batch.num_rows - 1)
-        firsts = batch.filter(pa.array(~piece))
-        if held is not None:
-            firsts = pa.concat_batches([held, firsts])
-        if not firsts.num_rows:
-            continue
-        h = firsts["h"].to_numpy(zero_copy_only=False)
-        run = np.cumsum(np.concatenate([[0], h[1:] != h[:-1]]))
-        several = (np.bincount(run) > 1)[run] | (h == hot_h if hot_h is not None else False)
-        last = run == run[-1]
-        yield ranges(firsts.filter(pa.array(several & ~last & (h != hot_h if hot_h is not None else True))), True)
-        if hot_h is not None:
-            yield ranges(firsts.filter(pa.array((h == hot_h) & ~last)), True, True)
-        held = firsts.filter(pa.array(last))
-        if held.num_rows > HOT or h[-1] == hot_h:
-            hot_h = int(h[-1])
-            yield ranges(held, True, True)
-            held = held.slice(held.num_rows)
-    if held is not None and held.num_rows > 1:
-        yield ranges(held, True)
+    over is the first rows of the pieces of the last minimiser, at most ``most``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None   # first rows of the last minimiser's pieces
+        before: pa.RecordBatch | None = None  # the last row
+        hot_h = None
+
+        def ranges(rows: pa.RecordBatch, asked: bool, hot: bool = False) -> pa.RecordBatch:
+            n = rows.num_rows
+            return pa.RecordBatch.from_arrays([rows["doc_id"], rows["th"], rows["at"], pc.add(rows["at"], rows["n"].cast(pa.int64())),
+                                               rows["h"] if asked else pa.nulls(n, pa.int64()), rows["off"] if asked else pa.nulls(n, pa.int32()),
+                                               pa.array(np.full(n, hot)) if asked else pa.nulls(n, pa.bool_())],
+                                              names=[f.split()[0] for f in FOUND.split(", ")])
+
+        for batch in batches:
+            yield ranges(batch.filter(batch["ph"].is_null()), False)
+            batch = batch.filter(batch["ph"].is_valid())
+            if not batch.num_rows:
+                continue
+            seen = pa.concat_batches([before, batch]) if before is not None else batch
+            same = [np.concatenate([[False], _equal(seen[c])])[-batch.num_rows:] for c in ("h", "off", "ph", "doc_id", "th", "at")]
+            piece = same[0] & same[1] & same[2]
+            yield ranges(batch.filter(pa.array(piece & ~(same[3] & same[4] & same[5]))), False)
+            before = batch.slice(batch.num_rows - 1)
+            firsts = batch.filter(pa.array(~piece))
+            if held is not None:
+                firsts = pa.concat_batches([held, firsts])
+            if not firsts.num_rows:
+                continue
+            h = firsts["h"].to_numpy(zero_copy_only=False)
+            key = np.cumsum(np.concatenate([[0], h[1:] != h[:-1]]))
+            several = (np.bincount(key) > 1)[key] | (h == hot_h if hot_h is not None else False)
+            last = key == key[-1]
+            yield ranges(firsts.filter(pa.array(several & ~last & (h != hot_h if hot_h is not None else True))), True)
+            if hot_h is not None:
+                yield ranges(firsts.filter(pa.array((h == hot_h) & ~last)), True, True)
+            held = firsts.filter(pa.array(last))
+            if held.num_rows > most or h[-1] == hot_h:
+                hot_h = int(h[-1])
+                yield ranges(held, True, True)
+                held = held.slice(held.num_rows)
+        if held is not None and held.num_rows > 1:
+            yield ranges(held, True)
+    return run
 
 
 def _equal(column: pa.Array) -> np.ndarray:
     """Which values equal the one before (nulls are equal)."""
+    if pa.types.is_binary(column.type):
+        return pc.equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
     null = column.is_null().to_numpy(zero_copy_only=False)
     value = column.fill_null(0).to_numpy(zero_copy_only=False)
     return (value[1:] == value[:-1]) & (null[1:] == null[:-1])
 
 
+def _parts(a: np.ndarray, b: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """Pieces from ``a`` to ``b``, their minimiser at ``a + off``, part by part: (piece, its ``a``, ``b`` and ``off``, where the part's key starts).
+
+    A string's distance from the minimiser says which part it is in.  The strings of a part share ``size - PART + 1`` bytes, its key,
+    which every string tells by itself, so equal strings have one key."""
+    top = off // PART
+    n = top - (off - (b - a - size)) // PART + 1
+    piece = np.repeat(np.arange(len(a)), n)
+    part = top[piece] - (np.arange(len(piece)) - np.repeat(np.cumsum(n) - n, n))
+    own = (a + off)[piece]
+    first = np.maximum(a[piece], own - part * PART - PART + 1)
+    last = np.minimum(b[piece] - size, own - part * PART)
+    return piece, first, last + size, own - first, own - part * PART
+
+
+def _cut_out(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The bytes of ``data`` from each start to its end."""
+    lengths = end - start
+    to = np.concatenate([[0], np.cumsum(lengths)])
+    at = np.arange(to[-1]) + np.repeat(start - to[:-1], lengths)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(to.astype(np.int32)), pa.py_buffer(data[at])])
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a column of texts, and where in them each begins and the last one ends."""
+    column = column.cast(pa.binary())
+    bounds = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4).astype(np.int64)
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8), bounds
+
+
 def _fetch(size: int):
-    """The asked pieces of each text; of a hot minimiser every string by itself, under its own hash."""
+    """The asked pieces of each text; of a hot minimiser part by part, under the hash of the part's key."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
         for batch in batches:
-            for doc_id, th, text, asked in zip(batch["doc_id"].to_pylist(), batch["th"].to_pylist(), batch["text"], batch["asked"], strict=True):
-                raw = text.as_py().encode("utf-8", "surrogatepass")
-                for x in asked.as_py():
-                    for a, b in ((w, w + size) for w in range(x["a"], x["b"] - size + 1)) if x["hot"] else ((x["a"], x["b"]),):
-                        piece = raw[a:b]
-                        rows.append((_digest(piece) if x["hot"] else x["h"], doc_id, th, a, -1 if x["hot"] else x["off"], b - a, piece))
-                    if len(rows) > 5_000:
-                        yield _batch(rows, TEXT_PIECE)
-                        rows.clear()
-        yield _batch(rows, TEXT_PIECE)
+            if not batch.num_rows:
+                continue
+            data, begin = _bytes(batch["text"])
+            asked = batch["asked"].flatten()
+            a, b, h, off, hot = (pc.struct_field(asked, f).to_numpy(zero_copy_only=False) for f in ("a", "b", "h", "off", "hot"))
+            row = np.repeat(np.arange(batch.num_rows), batch["asked"].value_lengths().to_numpy(zero_copy_only=False))
+            cold, split = np.flatnonzero(~hot), np.flatnonzero(hot)
+            piece, first, end, own, key = _parts(a[split], b[split], off[split].astype(np.int64), size)
+            of = begin[row[split][piece]]
+            h = np.concatenate([h[cold], _digests(data, of + key, of + key + size - PART + 1)])
+            row = np.concatenate([row[cold], row[split][piece]])
+            a, b, off = (np.concatenate([x[cold], y]) for x, y in ((a, first), (b, end), (off, own)))
+            for k in range(0, len(row), 5_000):
+                i = slice(k, k + 5_000)
+                r = pa.array(row[i])
+                yield _named_batch([h[i], batch["doc_id"].take(r), batch["th"].take(r), a[i], off[i].astype(np.int32), (b - a)[i].astype(np.int32),
+                                    _cut_out(data, begin[row[i]] + a[i], begin[row[i]] + b[i])], TEXT_PIECE)
     return run
 
 
-def _merge(reps: list[list], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _run_bounds(at: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last index of runs of following positions in one piece."""
+    cut = np.flatnonzero(np.concatenate([[True], (np.diff(at) != 1) | (np.diff(piece) != 0)]))
+    return cut, np.concatenate([cut[1:], [len(at)]]) - 1
+
+
+def _shared(data: np.ndarray, lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Strings of pieces whose hash another string has: (piece, first, last) runs."""
+    gram = 1 << (size.bit_length() - 1)
+    h = _gram_hashes(data, gram)
+    h = h[:len(data) - size + 1] * np.uint64(MULTIPLIER) + h[size - gram:]
+    begin, n = np.cumsum(lengths) - lengths, lengths - size + 1
+    piece = np.repeat(np.arange(len(lengths)), n)
+    local = np.arange(len(piece)) - np.repeat(np.cumsum(n) - n, n)
+    h = h[begin[piece] + local]
+    order = np.argsort(h)
+    same = h[order[1:]] == h[order[:-1]]
+    twice = np.zeros(len(h), bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    piece, local = piece[twice], local[twice]
+    if not len(piece):
+        return (np.empty(0, np.int64),) * 3
+    first, last = _run_bounds(local, piece)
+    return piece[first], local[first], local[last]
+
+
+def _merge(reps: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows of distinct pieces (in the order of their places) that an earlier one has: (piece, first, last) runs."""
-    data = np.frombuffer(b"".join(r[6] for r in reps), np.uint8)
-    lengths = np.array([r[5] for r in reps], np.int64)
+    data = np.frombuffer(b"".join(reps), np.uint8)
+    lengths = np.array([len(r) for r in reps], np.int64)
     order, block = merged_blocks(data, lengths, SHARD_BYTES, size)
     piece = np.repeat(np.arange(len(reps)), lengths)
     begin = np.cumsum(lengths) - lengths
@@ -230,49 +297,105 @@ def _merge(reps: list[list], size: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     again = np.sort(order[order != least[block]])
     if not len(again):
         return (np.empty(0, np.int64),) * 3
-    cut = np.flatnonzero(np.concatenate([[True], (np.diff(again) != 1) | (np.diff(piece[again]) != 0)]))
-    first, last = again[cut], again[np.concatenate([cut[1:], [len(again)]]) - 1]
+    first, last = (again[x] for x in _run_bounds(again, piece[again]))
     return piece[first], first - begin[piece[first]], last - begin[piece[first]]
 
 
-def _compare(size: int):
-    """Rows of TEXT_PIECE, sorted by minimiser, piece and place -> repeated ranges."""
+def _compare(size: int, most: int | None):
+    """Rows of TEXT_PIECE, sorted by key, piece and place -> repeated ranges (``h`` null).
+
+    Of a key with more than ``most`` different pieces the strings are handed on one by
+    one, each under its own hash.  What is carried over is the different pieces of the
+    last key, what is hashed together, and the strings that wait to be merged."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        group: list[list] = []   # different pieces of the minimiser at hand
-        ready: list[list] = []   # of minimisers with several, waiting to be merged
-        waiting, last = 0, None
-
-        def merge() -> None:
-            ready.sort(key=_order)
-            for k, a, b in zip(*(x.tolist() for x in _merge(ready, size)), strict=True):
-                r = ready[k]
-                out.append((r[1], r[2], r[3] + a, r[3] + b + size))
+        held: pa.RecordBatch | None = None    # different pieces of the last key
+        before: pa.RecordBatch | None = None  # the last row
+        hot_h = None
+        ready: list[pa.RecordBatch] = []      # of keys with several, waiting to be hashed
+        waiting: list[tuple] = []             # (id is null, id, text's hash, place, bytes) with hashes that occur again
+        ready_bytes = waiting_bytes = 0
+
+        def ranges(rows: list[tuple]) -> pa.RecordBatch:
+            doc_id, th, a, b = zip(*rows, strict=True) if rows else ((),) * 4
+            return _named_batch([doc_id, th, a, b, pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.binary())], COMPARED)
+
+        def strings(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for k in range(0, rows.num_rows, 1_000):
+                part = rows.slice(k, 1_000)
+                data, begin = _bytes(part["piece"])
+                n = part["n"].to_numpy().astype(np.int64) - size + 1
+                row = np.repeat(np.arange(part.num_rows), n)
+                local = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                a, at = part["at"].to_numpy()[row] + local, begin[row] + local
+                yield _named_batch([part["doc_id"].take(pa.array(row)), part["th"].take(pa.array(row)), a, a + size,
+                                    _digests(data, at, at + size), _cut_out(data, at, at + size)], COMPARED)
+
+        def sift() -> int:
+            rows = pa.concat_batches(ready)
             ready.clear()
+            data, begin = _bytes(rows["piece"])
+            data, lengths = data[begin[0]:begin[-1]], np.diff(begin)
+            piece, first, last = _shared(data, lengths, size)
+            start, end = begin[piece] - begin[0] + first, begin[piece] - begin[0] + last + size
+            of = rows.select(["doc_id", "th", "at"]).take(pa.array(piece))
+            for doc_id, th, at, x, y, z in zip(*(c.to_pylist() for c in of.columns), first.tolist(), start.tolist(), end.tolist(), strict=True):
+                waiting.append((doc_id is None, doc_id or 0, th, at + x, data[y:z].tobytes()))
+            return int((end - start).sum())
+
+        def merge() -> pa.RecordBatch:
+            waiting.sort(key=lambda r: r[:4])
+            found, kept = [], {}
+            for r in waiting:  # the first of equal ones goes on, the others are repeated as they stand
+                if kept.setdefault(r[4], r) is not r:
+                    found.append((None if r[0] else r[1], r[2], r[3], r[3] + len(r[4])))
+            reps = list(kept.values())
+            for k, a, b in zip(*(x.tolist() for x in _merge([r[4] for r in reps], size)), strict=True):
+                r = reps[k]
+                found.append((None if r[0] else r[1], r[2], r[3] + a, r[3] + b + size))
+            waiting.clear()
+            return ranges(found)
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if last is None or row[0] != last[0]:
-                    if len(group) > 1:
-                        ready.extend(group)
-                        waiting += sum(r[5] for r in group)
-                        if waiting >= MERGE_BYTES:
-                            merge()
-                            waiting = 0
-                    group = []
-                if last is None or (row[0], row[4], row[6]) != (last[0], last[4], last[6]):
-                    group.append(row)
-                    last = row
-                elif _order(row) != _order(last):
-                    out.append((row[1], row[2], row[3], row[3] + row[5]))
-            if len(out) > 20_000:
-                yield _batch(out, RANGE)
-                out.clear()
-        if len(group) > 1:
-            ready.extend(group)
+            if not batch.num_rows:
+                continue
+            seen = pa.concat_batches([before, batch]) if before is not None else batch
+            same = [np.concatenate([[False], _equal(seen[c])])[-batch.num_rows:] for c in ("h", "off", "piece", "doc_id", "th", "at")]
+            piece = same[0] & same[1] & same[2]
+            again = batch.filter(pa.array(piece & ~(same[3] & same[4] & same[5])))
+            yield _named_batch([again["doc_id"], again["th"], again["at"], pc.add(again["at"], again["n"].cast(pa.int64())),
+                                pa.nulls(again.num_rows, pa.int64()), pa.nulls(again.num_rows, pa.binary())], COMPARED)
+            before = batch.slice(batch.num_rows - 1)
+            firsts = batch.filter(pa.array(~piece))
+            if held is not None:
+                firsts = pa.concat_batches([held, firsts])
+            if not firsts.num_rows:
+                continue
+            h = firsts["h"].to_numpy()
+            key = np.cumsum(np.concatenate([[0], h[1:] != h[:-1]]))
+            last = key == key[-1]
+            handed = h == hot_h if hot_h is not None else np.zeros(len(h), bool)
+            several = firsts.filter(pa.array((np.bincount(key) > 1)[key] & ~last & ~handed))
+            if several.num_rows:
+                ready.append(several)
+                ready_bytes += pc.sum(several["n"]).as_py()
+            yield from strings(firsts.filter(pa.array(handed & ~last)))
+            held = firsts.filter(pa.array(last))
+            if most is not None and (held.num_rows > most or h[-1] == hot_h):
+                hot_h = int(h[-1])
+                yield from strings(held)
+                held = held.slice(held.num_rows)
+            if ready_bytes >= SIFT_BYTES:
+                waiting_bytes += sift()
+                ready_bytes = 0
+            if waiting_bytes >= MERGE_BYTES:
+                yield merge()
+                waiting_bytes = 0
+        if held is not None and held.num_rows > 1:
+            ready.append(held)
         if ready:
-            merge()
-        yield _batch(out, RANGE)
+            sift()
+        if waiting:
+            yield merge()
     return run
 
 
@@ -296,11 +419,18 @@ def repeated_ranges(rows: DataFrame, size: int = SIZE) -> DataFrame:
     pieces = rows.where(F.octet_length("text") >= size).mapInArrow(_pieces(size), PIECE)
     # what is known already passes through any task
     found = written(pieces.repartition(n, "h", F.when(F.col("ph").isNull(), F.col("at"))).sortWithinPartitions("h", "off", "ph", *place)
-                    .mapInArrow(_known, FOUND), "repeats-found")
+                    .mapInArrow(_known(HOT), FOUND), "repeats-found")
     asked = _named(found.where("h is not null").groupBy("doc_id", "th").agg(F.collect_list(F.struct("a", "b", "h", "off", "hot")).alias("asked")))
     texts = rows.join(asked, _same(rows, asked)).select("doc_id", "th", "text", "asked").mapInArrow(_fetch(size), TEXT_PIECE)
-    compared = texts.repartition(n, "h").sortWithinPartitions("h", "off", "piece", *place).mapInArrow(_compare(size), RANGE)
-    return found.where("h is null").select("doc_id", "th", "a", "b").unionByName(compared)
+    compared = written(texts.repartition(n, "h").sortWithinPartitions("h", "off", "piece", *place).mapInArrow(_compare(size, HOT), COMPARED), "repeats-compared")
+    columns = ("doc_id", "th", "a", "b")
+    ranges = found.where("h is null").select(*columns).unionByName(compared.where("h is null").select(*columns))
+    strings = compared.where("h is not null")
+    if strings.isEmpty():
+        return ranges
+    strings = strings.select("h", "doc_id", "th", F.col("a").alias("at"), F.lit(-1).alias("off"), F.lit(size).alias("n"), "piece")
+    alone = strings.repartition(n, "h").sortWithinPartitions("h", "off", "piece", *place).mapInArrow(_compare(size, None), COMPARED)
+    return ranges.unionByName(alone.select(*columns))
 
 
 def _spans(ranges, n: int) -> list[tuple[int, int]]:

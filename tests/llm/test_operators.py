@@ -566,6 +566,71 @@ def test_repeats(docs, texts, empty, size, hot, monkeypatch):
     assert repeats.repeat_digest(empty, size=size).count() == 0
 
 
+def pieces_around(middle, n, size, seed=1):
+    """Rows of TEXT_PIECE: ``n`` different pieces with one text in the middle, and the texts."""
+    from quarry.llm import repeats
+    rng = random.Random(seed)
+    around = lambda k: bytes(rng.choices(b"abcdefgh ", k=k))
+    texts = sorted(around(size - len(middle)) + middle + around(size - len(middle)) for _ in range(n))
+    columns = [[7] * n, list(range(n)), [0] * n, [0] * n, [size - len(middle)] * n, [len(t) for t in texts], texts]
+    return repeats._named_batch(columns, repeats.TEXT_PIECE), texts
+
+
+def test_repeats_merge_only_strings_that_may_occur_again(monkeypatch):
+    from quarry.llm import repeats
+    merged = []
+    whole = repeats.merged_blocks
+    monkeypatch.setattr(repeats, "merged_blocks", lambda data, *rest: merged.append(len(data)) or whole(data, *rest))
+    batch, texts = pieces_around(b"a line that many documents have, with other words around", 500, 100)
+    assert sum(b.num_rows for b in repeats._compare(100, 20_000)(iter([batch]))) == 0 and not merged
+    texts[400] = texts[3][5:120] + texts[400][115:]  # strings 5 to 20 of another piece
+    order = sorted(range(500), key=lambda k: texts[k])
+    batch = repeats._named_batch([[7] * 500, order, [0] * 500, [0] * 500, [0] * 500, [len(texts[k]) for k in order], [texts[k] for k in order]], repeats.TEXT_PIECE)
+    found = [tuple(r.values()) for b in repeats._compare(100, 20_000)(iter([batch.slice(0, 250), batch.slice(250)])) for r in b.to_pylist()]
+    assert found == [(400, 0, 0, 115, None, None)] and sum(merged) == 115  # the other's are equal bytes and wait for nothing
+
+
+def test_repeats_hot_minimisers_go_part_by_part():
+    from quarry.llm import repeats
+    size, text = 100, bytes(random.Random(2).choices(b"abcdefgh ", k=400))
+    for a, b, own in ((30, 198, 98), (30, 198, 120), (31, 150, 60), (0, 100, 68), (50, 151, 51)):
+        off = own - a
+        if off - (b - a - size) < 0:
+            continue
+        piece, first, end, at, key = repeats._parts(np.array([a]), np.array([b]), np.array([off]), size)
+        starts = [w for x, y in zip(first, end, strict=True) for w in range(x, y - size + 1)]
+        assert sorted(starts) == list(range(a, b - size + 1)) and (piece == 0).all() and (at == own - first).all()
+        assert len(piece) <= (b - a - size + 1) // repeats.PART + 2
+        for x, y, k in zip(first, end, key, strict=True):
+            assert y - size <= k <= x + size and x <= k and k + size - repeats.PART + 1 <= y
+            for w in range(x, y - size + 1):  # each string has the key, at the place its own distance tells
+                assert w <= k and k + size - repeats.PART + 1 <= w + size and k == own - (own - w) // repeats.PART * repeats.PART
+    batch, texts = pieces_around(b"a line that many documents have, with other words around", 50, size)
+    out = [r for b in repeats._compare(size, 10)(iter([batch.slice(0, 8), batch.slice(8)])) for r in b.to_pylist()]
+    assert {(r["doc_id"], r["a"], r["piece"]) for r in out} == {(k, p, t[p:p + size]) for k, t in enumerate(texts) for p in range(len(t) - size + 1)}
+
+
+@pytest.mark.parametrize("hot", [2, 8, 20_000])
+def test_repeats_of_a_common_line(spark, hot, monkeypatch):
+    from quarry.llm import repeats
+    monkeypatch.setattr(repeats, "HOT", hot)
+    rng = random.Random(4)
+    around = lambda n: "".join(rng.choices("abcdefgh é", k=n))
+    lines = [around(60), around(76), around(140), around(95)]
+    ends = [around(40) for _ in range(3)]
+    texts = [(k, around(rng.randint(0, 90)) + rng.choice(ends) + rng.choice(lines) + rng.choice(ends)[:rng.randint(0, 40)] + around(rng.randint(0, 90))) for k in range(150)]
+    texts += [(None, texts[3][1]), (500, texts[4][1] + "x"), (501, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    assert bag(tuple(r) for r in repeats.repeat_digest(docs).collect()) == removed(texts, 100)
+
+
+def test_wide_symbols_are_dealt_stably():
+    from quarry.llm.bwt import _stable_order
+    rng = np.random.default_rng(0)
+    for values in (rng.integers(0, 1 << 32, 5000, dtype=np.uint32) >> np.uint32(14), rng.integers(0, 50, 5000).astype(np.uint16), np.empty(0, np.uint32)):
+        assert (_stable_order(values) == np.argsort(values, kind="stable")).all()
+
+
 def test_merged_blocks_share_their_first_letters():
     from quarry.llm.bwt import merged_blocks
     rng = np.random.default_rng(0)
